@@ -63,6 +63,11 @@ def unescape_xml(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("&")), parsed["b"]).otherwise(text)
 
 
+def has_special_sections(raw: Column) -> Column:
+    """Whether there are comments, processing instructions or CDATA."""
+    return F.contains(raw, F.lit("<!")) | F.contains(raw, F.lit("<?"))
+
+
 def without_special_sections(raw: Column) -> Column:
     """Drop comments and processing instructions and turn CDATA into escaped text."""
     lexemes = F.regexp_extract_all(raw, F.lit(_LEXEMES), F.lit(0))
@@ -76,8 +81,7 @@ def without_special_sections(raw: Column) -> Column:
         )
 
     rebuilt = F.array_join(F.transform(lexemes, plain), "")
-    special = F.contains(raw, F.lit("<!")) | F.contains(raw, F.lit("<?"))
-    return F.when(special, rebuilt).otherwise(raw)
+    return F.when(has_special_sections(raw), rebuilt).otherwise(raw)
 
 
 def without_inline_markup(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citelake.functions.markup import (
+    has_special_sections,
     unescape_xml,
     without_inline_markup,
     without_special_sections,
@@ -26,6 +27,8 @@ NO_CITATION = f"no {CITATION_TAG}"
 BAD_IDENTIFIER = "identifier is not a number"
 
 _MALFORMED_COLUMN = "_malformed"
+# Filled with whatever child elements a struct of the schema does not name.
+_OTHERS = "xs_any"
 _DATE = "struct<Year: string, Month: string, Day: string>"
 _RECORD = f"""
 {CITATION_TAG} struct<
@@ -37,18 +40,21 @@ _RECORD = f"""
       JournalIssue: struct<PubDate: struct<Year: string, MedlineDate: string>>,
       Title: string>,
     ArticleTitle: string,
-    Abstract: struct<AbstractText: array<struct<`@Label`: string, `#text`: string>>>,
+    Abstract: struct<AbstractText: array<
+      struct<`@Label`: string, `#text`: string, {_OTHERS}: array<string>>>>,
     AuthorList: array<struct<Author: array<struct<LastName: string, ForeName: string>>>>,
     PublicationTypeList: array<struct<PublicationType: array<string>>>>,
   MeshHeadingList: array<struct<MeshHeading: array<struct<DescriptorName: array<string>>>>>,
   KeywordList: array<struct<Keyword: array<string>>>>,
 {DATA_TAG} struct<
-  ArticleIdList: struct<ArticleId: array<struct<`@IdType`: string, `#text`: string>>>>,
+  ArticleIdList: struct<ArticleId: array<
+    struct<`@IdType`: string, `#text`: string, {_OTHERS}: array<string>>>>>,
 {_MALFORMED_COLUMN} string
 """
 _OPTIONS = {
     "attributePrefix": "@",
     "valueTag": "#text",
+    "wildcardColName": _OTHERS,
     "ignoreSurroundingSpaces": "false",
     "columnNameOfCorruptRecord": _MALFORMED_COLUMN,
 }
@@ -65,29 +71,38 @@ def extract_xml(records: DataFrame, doi_scope: str = "own") -> DataFrame:
     if doi_scope not in ("own", "any"):
         raise ValueError(f"doi_scope must be 'own' or 'any', not {doi_scope!r}")
     closed = F.col("closed") if "closed" in records.columns else F.lit(True)
-    flat = records.select(
+    as_given = records.select(
         LINEAGE_COLUMN,
         "raw",
         closed.alias("_closed"),
-        without_inline_markup(without_special_sections(F.col("raw"))).alias("_flat"),
+        F.from_xml("raw", _RECORD, _OPTIONS).alias("_given"),
     )
-    # Rewriting could hide broken markup, so a rewritten record is also checked as it came.
-    rewritten = F.col("raw") != F.col("_flat")
-    as_given = F.from_xml("raw", f"{_MALFORMED_COLUMN} string", _OPTIONS)[_MALFORMED_COLUMN]
-    parsed = flat.select(
+    # One parse settles most records. The few with inline markup or comments where text is wanted
+    # are rewritten without and parsed again.
+    given = F.col("_given")
+    well_formed = given[_MALFORMED_COLUMN].isNull()
+    flat = without_inline_markup(without_special_sections(F.col("raw")))
+    parsed = as_given.select(
         LINEAGE_COLUMN,
         "raw",
         "_closed",
-        "_flat",
-        F.from_xml("_flat", _RECORD, _OPTIONS).alias("_record"),
-        F.when(rewritten, as_given).isNotNull().alias("_broken"),
+        "_given",
+        F.when(well_formed & (has_special_sections(F.col("raw")) | _mixed(given)), flat).alias(
+            "_flat"
+        ),
+    ).select(
+        LINEAGE_COLUMN,
+        "raw",
+        "_closed",
+        F.coalesce("_flat", "raw").alias("_flat"),
+        F.when(F.col("_flat").isNull(), given)
+        .otherwise(F.from_xml("_flat", _RECORD, _OPTIONS))
+        .alias("_record"),
     )
     fields = parsed.select(
         LINEAGE_COLUMN,
         "raw",
-        _reason(F.col("_record"), F.col("_broken"), F.col("_closed"), F.col("_flat")).alias(
-            "reason"
-        ),
+        _reason(F.col("_record"), F.col("_closed"), F.col("_flat")).alias("reason"),
         *_fields(F.col("_record"), F.col("_flat"), doi_scope),
     )
     return fields.select(
@@ -113,12 +128,44 @@ def summary_json() -> Column:
     return F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
 
 
-def _reason(record: Column, broken: Column, closed: Column, flat: Column) -> Column:
+def _mixed(record: Column) -> Column:
+    """Whether text that is wanted has inline markup.
+
+    The parser hands on such markup in plain text fields, so a "<" there is a sign of it (or of an
+    escaped one, which only costs the second parse).
+    """
+    citation = record[CITATION_TAG]
+    article = citation["Article"]
+    authors = _members(article["AuthorList"], "Author")
+    texts = F.concat_ws(
+        "",
+        article["ArticleTitle"],
+        article["Journal"]["Title"],
+        authors["LastName"],
+        authors["ForeName"],
+        _descriptors(citation),
+        _members(citation["KeywordList"], "Keyword"),
+        _members(article["PublicationTypeList"], "PublicationType"),
+    )
+
+    def has_others(parts: Column) -> Column:
+        return F.coalesce(
+            F.exists(parts, lambda part: part[_OTHERS].isNotNull()), F.lit(False)
+        )
+
+    return (
+        F.contains(texts, F.lit("<"))
+        | has_others(article["Abstract"]["AbstractText"])
+        | has_others(record[DATA_TAG]["ArticleIdList"]["ArticleId"])
+    )
+
+
+def _reason(record: Column, closed: Column, flat: Column) -> Column:
     citation = record[CITATION_TAG]
     identifier = citation["PMID"]
     return (
         F.when(~closed, NOT_CLOSED)
-        .when(record[_MALFORMED_COLUMN].isNotNull() | broken, MALFORMED)
+        .when(record[_MALFORMED_COLUMN].isNotNull(), MALFORMED)
         # An empty element also parses to null, but it is there.
         .when(citation.isNull() & ~flat.rlike(rf"<{CITATION_TAG}[\s/>]"), NO_CITATION)
         .when(
@@ -141,7 +188,7 @@ def _fields(record: Column, flat: Column, doi_scope: str) -> list[Column]:
         year.alias("Year"),
         _authors(_members(article["AuthorList"], "Author")).alias("Authors"),
         blank_if_missing(journal["Title"]).alias("Journal"),
-        _descriptors(_members(citation["MeshHeadingList"], "MeshHeading")).alias("MeSH_Terms"),
+        _terms(_descriptors(citation)).alias("MeSH_Terms"),
         _terms(_members(citation["KeywordList"], "Keyword")).alias("Keywords"),
         _terms(_members(article["PublicationTypeList"], "PublicationType")).alias("Pub_Types"),
         _date(citation["DateCreated"]).alias("Date_Created"),
@@ -181,8 +228,9 @@ def _terms(terms: Column) -> Column:
     return join_parts(F.filter(terms, lambda term: term != ""))
 
 
-def _descriptors(headings: Column) -> Column:
-    return _terms(F.flatten(F.filter(headings["DescriptorName"], lambda names: names.isNotNull())))
+def _descriptors(citation: Column) -> Column:
+    headings = _members(citation["MeshHeadingList"], "MeshHeading")
+    return F.flatten(F.filter(headings["DescriptorName"], lambda names: names.isNotNull()))
 
 
 def _own_doi(record: Column) -> Column:
