@@ -68,6 +68,11 @@ def has_special_sections(raw: Column) -> Column:
     return F.contains(raw, F.lit("<!")) | F.contains(raw, F.lit("<?"))
 
 
+def has_inline_markup(raw: Column, names: tuple[str, ...]) -> Column:
+    """Whether an element of these names has a child."""
+    return raw.rlike(rf"{_opening(names)}[^<]*+<(?!/)")
+
+
 def without_special_sections(raw: Column) -> Column:
     """Drop comments and processing instructions and turn CDATA into escaped text."""
     lexemes = F.regexp_extract_all(raw, F.lit(_LEXEMES), F.lit(0))

@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citelake.functions.documents import truthy
-from citelake.functions.markup import without_inline_markup, without_special_sections
+from citelake.functions.markup import (
+    has_inline_markup,
+    has_special_sections,
+    without_inline_markup,
+    without_special_sections,
+)
 from citelake.functions.numbers import tolerant_int
 from citelake.operators.extract_xml import MALFORMED, NOT_CLOSED
 from citelake.schema import CITATION_TAG, DATA_TAG, LINEAGE_COLUMN
@@ -148,7 +153,9 @@ def to_trees(records: DataFrame, schema: str = RECORD_SCHEMA) -> DataFrame:
 
 def _parse(records: DataFrame, schema: str) -> tuple[DataFrame, T.StructType]:
     closed = F.col("closed") if "closed" in records.columns else F.lit(True)
-    flat = without_inline_markup(without_special_sections(F.col("raw")), MIXED_TAGS, ())
+    rewritten = without_inline_markup(without_special_sections(F.col("raw")), MIXED_TAGS, ())
+    special = has_special_sections(F.col("raw")) | has_inline_markup(F.col("raw"), MIXED_TAGS)
+    flat = F.when(special, rewritten).otherwise(F.col("raw"))
     as_given = F.from_xml("raw", f"{_MALFORMED_COLUMN} string", _OPTIONS)[_MALFORMED_COLUMN]
     parsed = records.select(
         LINEAGE_COLUMN, "raw", closed.alias("_closed"), flat.alias("_flat")
@@ -172,8 +179,8 @@ def _parse(records: DataFrame, schema: str) -> tuple[DataFrame, T.StructType]:
 
 
 def _quoted(text: Column) -> Column:
-    as_array = F.to_json(F.array(text))
-    return F.substr(as_array, F.lit(2), F.length(as_array) - 2)
+    # Inside the brackets stands a quoted text, so trimming stops at its quotes.
+    return F.btrim(F.to_json(F.array(text)), F.lit("[]"))
 
 
 def _entries(value: Column, kind: T.StructType, spell, keep) -> Column:
@@ -191,9 +198,13 @@ def _entries(value: Column, kind: T.StructType, spell, keep) -> Column:
 def _document(value: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.StructType):
         spelled = _entries(value, kind, _document, lambda name: True)
-        # Text alone stands for the element; nothing at all is a null.
-        alone = F.regexp_replace(spelled, r'(?s)\A\{"#text":(.*)\}\z', "$1")
-        return F.regexp_replace(alone, r"\A\{\}\z", "null")
+        if "#text" not in kind.fieldNames():
+            return spelled
+        # Text without attributes stands for the element.
+        attributes = F.coalesce(*[value[n] for n in kind.fieldNames() if n != "#text"])
+        return F.when(attributes.isNotNull(), spelled).otherwise(
+            _document(value["#text"], T.StringType())
+        )
     if isinstance(kind, T.ArrayType):
         items = F.transform(
             value, lambda item: F.coalesce(_document(item, kind.elementType), F.lit("null"))
