@@ -6,11 +6,10 @@ differ only in how that tree is spelled as JSON.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from citelake.functions.documents import truthy
 from citelake.functions.markup import (
     has_inline_markup,
     has_special_sections,
@@ -132,7 +131,7 @@ def to_documents(records: DataFrame, schema: str = RECORD_SCHEMA) -> DataFrame:
     tree, kind = _parse(records, schema)
     return tree.select(
         F.coalesce(F.col("_record")[CITATION_TAG]["PMID"]["#text"], F.lit("")).alias("PMID"),
-        F.when(F.col("reason").isNull(), _document(F.col("_record"), kind)).alias("JSON"),
+        F.when(F.col("reason").isNull(), F.expr(_document("_record", kind))).alias("JSON"),
         LINEAGE_COLUMN,
         "raw",
         "reason",
@@ -144,7 +143,7 @@ def to_trees(records: DataFrame, schema: str = RECORD_SCHEMA) -> DataFrame:
     tree, kind = _parse(records, schema)
     return tree.select(
         tolerant_int(F.col("_record")[CITATION_TAG]["PMID"]["#text"]).alias("pmid"),
-        F.when(F.col("reason").isNull(), _tree(F.col("_record"), kind)).alias("json"),
+        F.when(F.col("reason").isNull(), F.expr(_tree("_record", kind))).alias("json"),
         LINEAGE_COLUMN,
         "raw",
         "reason",
@@ -178,57 +177,55 @@ def _parse(records: DataFrame, schema: str) -> tuple[DataFrame, T.StructType]:
     return tree, T.StructType([f for f in kind.fields if f.name != _MALFORMED_COLUMN])
 
 
-def _quoted(text: Column) -> Column:
+# The spelling of a tree follows its schema and is long, so it is put together as SQL text.
+
+
+def _quoted(text: str) -> str:
     # Inside the brackets stands a quoted text, so trimming stops at its quotes.
-    return F.btrim(F.to_json(F.array(text)), F.lit("[]"))
+    return f"btrim(to_json(array({text})), '[]')"
 
 
-def _entries(value: Column, kind: T.StructType, spell, keep) -> Column:
+def _spelled_object(value: str, kind: T.StructType, names: list[str], spell, depth: int) -> str:
     entries = [
-        F.when(
-            value[field.name].isNotNull(),
-            F.concat(F.lit(f'"{field.name}":'), spell(value[field.name], field.dataType)),
-        )
-        for field in kind.fields
-        if keep(field.name)
+        f"CASE WHEN {value}.`{name}` IS NOT NULL THEN "
+        f"concat('\"{name}\":', {spell(f'{value}.`{name}`', kind[name].dataType, depth)}) END"
+        for name in names
     ]
-    return F.concat(F.lit("{"), F.array_join(F.array(*entries), ","), F.lit("}"))
+    return f"concat('{{', array_join(array({', '.join(entries)}), ','), '}}')"
+
 
+def _spelled_items(value: str, kind: T.ArrayType, spell, missing: str, depth: int) -> str:
+    item = f"item{depth}"
+    spelled = spell(item, kind.elementType, depth + 1)
+    return f"array_join(transform({value}, {item} -> coalesce({spelled}, '{missing}')), ',')"
 
-def _document(value: Column, kind: T.DataType) -> Column:
+
+def _document(value: str, kind: T.DataType, depth: int = 0) -> str:
     if isinstance(kind, T.StructType):
-        spelled = _entries(value, kind, _document, lambda name: True)
-        if "#text" not in kind.fieldNames():
+        names = kind.fieldNames()
+        spelled = _spelled_object(value, kind, names, _document, depth)
+        if "#text" not in names:
             return spelled
         # Text without attributes stands for the element.
-        attributes = F.coalesce(*[value[n] for n in kind.fieldNames() if n != "#text"])
-        return F.when(attributes.isNotNull(), spelled).otherwise(
-            _document(value["#text"], T.StringType())
-        )
+        attributes = ", ".join(f"{value}.`{name}`" for name in names if name != "#text")
+        alone = _document(f"{value}.`#text`", T.StringType(), depth)
+        return f"CASE WHEN coalesce({attributes}) IS NOT NULL THEN {spelled} ELSE {alone} END"
     if isinstance(kind, T.ArrayType):
-        items = F.transform(
-            value, lambda item: F.coalesce(_document(item, kind.elementType), F.lit("null"))
-        )
-        several = F.size(value) > 1
-        return F.concat(
-            F.when(several, "[").otherwise(""),
-            F.array_join(items, ","),
-            F.when(several, "]").otherwise(""),
-        )
-    return F.when(truthy(value), _quoted(value)).otherwise("null")
-
-
-def _tree(value: Column, kind: T.DataType) -> Column:
+        items = _spelled_items(value, kind, _document, "null", depth)
+        several = f"size({value}) > 1"
+        return f"concat(if({several}, '[', ''), {items}, if({several}, ']', ''))"
+    return f"CASE WHEN {value} <> '' THEN {_quoted(value)} ELSE 'null' END"
+
+
+def _tree(value: str, kind: T.DataType, depth: int = 0) -> str:
     if isinstance(kind, T.StructType):
         names = [name for name in kind.fieldNames() if not name.startswith("@")]
         if names == ["#text"]:
-            return _quoted(F.coalesce(value["#text"], F.lit("")))
+            return _quoted(f"coalesce({value}.`#text`, '')")
         if len(names) == 1 and isinstance(kind[names[0]].dataType, T.ArrayType):
-            return F.coalesce(_tree(value[names[0]], kind[names[0]].dataType), F.lit("[]"))
-        return _entries(value, kind, _tree, lambda name: name in names)
+            members = _tree(f"{value}.`{names[0]}`", kind[names[0]].dataType, depth)
+            return f"coalesce({members}, '[]')"
+        return _spelled_object(value, kind, names, _tree, depth)
     if isinstance(kind, T.ArrayType):
-        items = F.transform(
-            value, lambda item: F.coalesce(_tree(item, kind.elementType), F.lit('""'))
-        )
-        return F.concat(F.lit("["), F.array_join(items, ","), F.lit("]"))
-    return _quoted(F.coalesce(value, F.lit("")))
+        return f"""concat('[', {_spelled_items(value, kind, _tree, '""', depth)}, ']')"""
+    return _quoted(f"coalesce({value}, '')")
