@@ -5,20 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from citelake.functions.joins import BROADCAST_ROWS, CROWDED_ROWS, look_up
 from citelake.functions.text import blank_if_missing, same_text, strip_tags
 from citelake.operators.sampling import repeatable_sample, well_described
+from citelake.session import scratch_dir
 
-# The ids of a sample up to this many rows (eight bytes each) are sent to every task.
-BROADCAST_ROWS = 100_000
-
-
-def compare_records(records: DataFrame, authority: DataFrame) -> DataFrame:
+def compare_records(
+    records: DataFrame, authority: DataFrame, crowded_rows: int = CROWDED_ROWS
+) -> DataFrame:
     """Per record: found, title and DOI agreement, and ``matched`` for both.
 
     Titles agree after trimming, also when the authoritative one has markup that the record lacks;
     a missing DOI equals an empty one. The authority is first reduced to one row per id (the least
-    title and DOI, should it hold several) where its rows lie, so that neither an id that is very
-    frequent in it nor one that is frequent on both sides multiplies rows. Id 0 stands for "no id"
+    title and DOI, should it hold several), before its rows are shuffled. Id 0 stands for "no id"
     and is never looked up.
     """
     reference = (
@@ -29,8 +28,7 @@ def compare_records(records: DataFrame, authority: DataFrame) -> DataFrame:
     title, doi = F.col("_reference.Title"), F.col("_reference.DOI")
     agree = same_text(F.col("Title"), title) | same_text(F.col("Title"), strip_tags(title))
     return (
-        records.select("PMID", "Title", "DOI")
-        .join(reference, "PMID", "left")
+        look_up(records.select("PMID", "Title", "DOI"), reference, "PMID", crowded_rows)
         .select(
             "PMID",
             F.col("_reference").isNotNull().alias("found"),
@@ -47,12 +45,20 @@ def compare_records(records: DataFrame, authority: DataFrame) -> DataFrame:
 def compare_sample(
     records: DataFrame, authority: DataFrame, size: int = 3, seed: str = "0"
 ) -> DataFrame:
-    """Compare a repeatable sample of well-described records."""
-    sample = repeatable_sample(well_described(records), size, seed)
+    """Compare a repeatable sample of well-described records.
+
+    The sample is needed in two places and is written out once instead of being drawn twice.
+    """
+    spark = records.sparkSession
+    path = scratch_dir(spark, "sample")
+    drawn = repeatable_sample(well_described(records), size, seed)
+    drawn.select("PMID", "Title", "DOI").write.parquet(path)
+    sample = spark.read.schema("PMID bigint, Title string, DOI string").parquet(path)
     ids = sample.select("PMID")
     if size <= BROADCAST_ROWS:
         ids = F.broadcast(ids)
-    return compare_records(sample, authority.join(ids, "PMID", "left_semi"))
+    wanted = authority.select("PMID", "Title", "DOI").join(ids, "PMID", "left_semi")
+    return compare_records(sample, wanted)
 
 
 def match_summary(compared: DataFrame, min_ratio: float = 2 / 3) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from citelake.functions.joins import few_rows
 from citelake.functions.text import present, title_preview
 from citelake.operators.aggregates import percentage
 from citelake.operators.search import in_years, title_has
@@ -34,18 +35,20 @@ def column_types(table: DataFrame) -> DataFrame:
 def known_records(table: DataFrame, expected: DataFrame) -> DataFrame:
     """Each expected id with whether it is there and has a title.
 
-    The table is cut to the expected ids and to one row per id before the join, so an id that
-    occurs very often costs no more than others.
+    A short list of ids goes to the table's rows, which stay where they are; a long one meets the
+    table after that is down to one row per id. Either way a crowded id is merged before any
+    shuffle.
     """
     ids = expected.select("PMID").distinct()
-    found = (
-        table.join(ids, "PMID", "left_semi")
-        .groupBy("PMID")
-        .agg(F.max("Title").alias("Title"), F.max("Year").alias("Year"))
+    wanted = table.select("PMID", "Title", "Year")
+    if few_rows(ids):
+        wanted = wanted.join(F.broadcast(ids), "PMID", "left_semi")
+    found = wanted.groupBy("PMID").agg(
+        F.max("Title").alias("Title"), F.max("Year").alias("Year"), F.lit(True).alias("_found")
     )
     return ids.join(found, "PMID", "left").select(
         "PMID",
-        F.col("Title").isNotNull().alias("found"),
+        F.coalesce("_found", F.lit(False)).alias("found"),
         F.coalesce(present(F.col("Title")), F.lit(False)).alias("titled"),
         title_preview(F.col("Title")).alias("preview"),
         "Year",

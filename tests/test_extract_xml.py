@@ -230,3 +230,26 @@ def test_plan_parses_a_record_at_most_twice(spark):
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_xml(") == 2
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_long_texts_stay_whole(spark):
+    words = "lorem &lt;ipsum&gt; <i>dolor</i> " * 60_000
+    plain = "lorem &amp; ipsum\n" * 60_000
+    rows = [
+        ("mixed", record(abstract=f'<Abstract><AbstractText Label="A">{words}</AbstractText></Abstract>')),
+        ("plain", record(abstract=f'<Abstract><AbstractText Label="A">{plain}</AbstractText></Abstract>')),
+        ("comment", record(title=f"<ArticleTitle>{plain}<!-- x -->{plain}</ArticleTitle>")),
+    ]
+    found = {r.src: r for r in extract_xml(spark.createDataFrame(rows, "src string, raw string")).collect()}
+    assert found["mixed"].Abstract == "A: " + "lorem <ipsum> dolor " * 60_000
+    assert found["plain"].Abstract == "A: " + "lorem & ipsum\n" * 60_000
+    assert found["comment"].Title == "lorem & ipsum\n" * 120_000
+
+
+def test_many_lists_and_members(spark):
+    authors = "".join(
+        f"<Author><LastName>L{i}</LastName><ForeName>F</ForeName></Author>" for i in range(3000)
+    )
+    rows = [("f", record(article=f"<AuthorList>{authors}</AuthorList>"))]
+    row = extract_xml(spark.createDataFrame(rows, "src string, raw string")).first()
+    assert row.Authors == "; ".join(f"L{i}, F" for i in range(3000))

@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from citelake.functions.joins import look_up
 from citelake.functions.text import output_stem, strip_tags
 from citelake.operators import aggregates, quality, sampling
 from citelake.operators.compare import compare_records, compare_sample, match_summary
@@ -154,12 +155,31 @@ def test_comparison_keeps_its_size_with_a_crowded_id(spark):
         F.lit("t").alias("Title"),
         F.lit("").alias("DOI"),
     )
-    compared = compare_records(crowd, crowd)
+    compared = compare_records(crowd, crowd, crowded_rows=500)
     assert compared.count() == 3000
     assert compared.filter("matched").count() == 2000
     assert compared.filter("found").count() == 2000
 
 
+def test_look_up_spreads_crowded_keys(spark):
+    rows = spark.range(1000).select(F.when(F.col("id") < 900, 7).otherwise(F.col("id")).alias("k"))
+    unique = spark.range(0, 1000, 2).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    unique = unique.unionByName(spark.sql("SELECT 7L AS k, 'seven' AS v"))
+    joined = look_up(rows, unique, "k", crowded_rows=100)
+    plain = rows.join(unique, "k", "left")
+    assert sorted(map(tuple, joined.collect()), key=repr) == sorted(
+        map(tuple, plain.collect()), key=repr
+    )
+    assert joined.columns == ["k", "v"]
+
+
+def test_long_list_of_known_ids(spark, table, monkeypatch):
+    monkeypatch.setattr(quality, "few_rows", lambda ids: False)
+    expected = spark.createDataFrame([(1,), (3,), (9,)], "PMID bigint")
+    found = {r.PMID: r.titled for r in quality.known_records(table, expected).collect()}
+    assert found == {1: True, 3: False, 9: False}
+
+
 def test_inputs(spark):
     listing = spark.createDataFrame(
         [("<a>pubmed25n0002.xml.gz</a> pubmed25n0001.xml.gz.md5",), ("pubmed25n0002.xml.gz",)],

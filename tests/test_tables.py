@@ -5,6 +5,7 @@ import os
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from citelake.operators.aggregates import build_metadata
 from citelake.operators.extract_xml import MALFORMED
@@ -17,6 +18,7 @@ from citelake.plans.build import (
     reprocess_documents,
     resume_from_xml,
 )
+from citelake.plans.sinks import write_table
 from citelake.schema import TABLE_SCHEMA
 from citelake.sources.inputs import input_files
 from citelake.sources.tables import read_rejects, read_table, read_year_layout
@@ -169,6 +171,25 @@ def test_documents_and_trees(spark, inputs, tmp_path):
     ]
 
 
+def test_crowded_year_is_written_by_several_tasks(spark, tmp_path):
+    rows = spark.range(40_000).select(
+        F.col("id").alias("PMID"),
+        *[F.sha2(F.col("id").cast("string"), 512).alias(c) for c in ("Title", "Abstract")],
+        *[F.lit("").alias(f.name) for f in TABLE_SCHEMA if f.dataType.typeName() == "string"][2:],
+        F.when(F.col("id") % 3 == 0, 2024).otherwise((F.col("id") % 70).cast("int")).alias("Year"),
+    )
+    root = str(tmp_path / "table")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        write_table(rows.repartition(8), root)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256m")
+    files = read_table(spark, root).select(F.input_file_name().alias("f"), "pub_year", "PMID")
+    crowded = files.filter("pub_year = 2024").groupBy("f").count().collect()
+    assert len(crowded) > 3
+    assert files.count() == 40_000 and files.select("PMID").distinct().count() == 40_000
+
+
 def test_metadata_document(spark, inputs, tmp_path):
     root = str(tmp_path / "table")
     build_from_xml(spark, inputs, root)
