@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citelake.functions.numbers import partition_year
 from citelake.functions.text import present
+from citelake.operators.search import in_years
 from citelake.schema import LINEAGE_COLUMN, PARTITION_COLUMN, SCHEMA_VERSION
 
 
@@ -58,10 +61,17 @@ def percentage(part: Column, whole: Column, name: str = "percent") -> Column:
     return (F.try_divide(part.cast("double"), whole) * 100).alias(name)
 
 
-def year_coverage(table: DataFrame, low: int = 1950, high: int = 2025) -> DataFrame:
-    """How many years of a range occur, and whether given ones do."""
-    return table.filter(F.col("Year").between(low, high)).agg(
-        F.count_distinct("Year").alias("years")
+def year_coverage(
+    table: DataFrame, low: int = 1950, high: int = 2025, needed: Sequence[int] = (1990, 2024)
+) -> DataFrame:
+    """How many years of a range occur, and whether all needed ones are among them.
+
+    The set gathered on the way holds the years of the range at most.
+    """
+    found = in_years(table, low, high).agg(F.collect_set("Year").alias("found"))
+    common = F.array_intersect("found", F.array(*[F.lit(year) for year in needed]))
+    return found.select(
+        F.size("found").alias("years"), (F.size(common) == len(set(needed))).alias("has_needed")
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from citelake.functions.joins import few_rows
 from citelake.functions.text import present, title_preview
 from citelake.operators.aggregates import percentage
-from citelake.operators.search import in_years, title_has
+from citelake.operators.search import in_years, search, title_has
 from citelake.schema import TABLE_COLUMNS
 
 
@@ -55,6 +55,15 @@ def known_records(table: DataFrame, expected: DataFrame) -> DataFrame:
     )
 
 
+def limited_search(table: DataFrame, term: str, year_from: int, limit: int = 10) -> DataFrame:
+    """How many rows a limited title-or-abstract search returns and whether all are in its years."""
+    found = search(table, text=term, year_from=year_from, limit=limit)
+    return found.agg(
+        F.count("*").alias("records"),
+        F.coalesce(F.min("Year") >= year_from, F.lit(False)).alias("all_recent"),
+    )
+
+
 def out_of_range_years(table: DataFrame, latest: int) -> DataFrame:
     """Years after ``latest``; they are kept in the table and only reported."""
     return (

@@ -67,7 +67,9 @@ def test_counts(table):
     assert [r.Year for r in aggregates.recent_years(table, 3).collect()] == [2021, 2022, 3115]
     rates = {r.field: r.percent for r in aggregates.fill_rates(table, "Title", "DOI").collect()}
     assert rates == {"Title": 80.0, "DOI": 80.0}
-    assert aggregates.year_coverage(table).first().years == 3
+    assert tuple(aggregates.year_coverage(table).first()) == (3, False)
+    assert tuple(aggregates.year_coverage(table, needed=(1990, 2022)).first()) == (3, True)
+    assert tuple(quality.limited_search(table, "toxicity", 2020, 1).first()) == (1, True)
     assert aggregates.total_records(table).first().total_records == 5
 
 
