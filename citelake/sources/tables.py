@@ -78,9 +78,21 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def pruned_by_year(table: DataFrame) -> DataFrame:
+    """The same rows, on which a filter on ``Year`` alone skips directories.
+
+    Outside partition 0 the directory's value is the year, and taking it from there makes the
+    filter one on directories. Partition 0 also holds the rows without a year and keeps the stored
+    value.
+    """
+    dated = table.filter(F.col(PARTITION_COLUMN) != 0)
+    undated = table.filter(F.col(PARTITION_COLUMN) == 0)
+    return dated.withColumn("Year", F.col(PARTITION_COLUMN)).unionByName(undated)
+
+
 def register(table: DataFrame, name: str = "citations") -> None:
-    """Make the table available to ``spark.sql``."""
-    table.createOrReplaceTempView(name)
+    """Make the table available to ``spark.sql``, where filters on ``Year`` prune."""
+    pruned_by_year(table).createOrReplaceTempView(name)
 
 
 def _stored(spark: SparkSession, root: str) -> DataFrame:

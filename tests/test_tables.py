@@ -21,7 +21,7 @@ from citelake.plans.build import (
 from citelake.plans.sinks import write_table
 from citelake.schema import TABLE_SCHEMA
 from citelake.sources.inputs import input_files
-from citelake.sources.tables import read_rejects, read_table, read_year_layout
+from citelake.sources.tables import read_rejects, read_table, read_year_layout, register
 from citelake.sources.xml_files import read_xml_records
 from citelake.streaming.arrivals import follow
 from tests.records import bulk, record
@@ -48,15 +48,19 @@ def inputs(tmp_path, write_gzip):
     return str(folder)
 
 
-def scanned(frame) -> dict:
-    """Files read and pushed partition filters of the one scan in a plan."""
+def files_read(frame) -> list[int]:
+    """Number of files each scan of a plan read; the frame must not have run before."""
     frame.collect()
-    plan = frame._jdf.queryExecution().executedPlan()
-    if plan.nodeName() == "AdaptiveSparkPlan":
-        plan = plan.executedPlan()
-    while plan.children().size():
-        plan = plan.children().apply(0)
-    return {"files": plan.metrics().apply("numFiles").value(), "plan": plan.toString()}
+
+    def visit(plan):
+        if plan.nodeName().startswith("AdaptiveSparkPlan"):
+            return visit(plan.executedPlan())
+        children = [plan.children().apply(i) for i in range(plan.children().size())]
+        if not children:
+            return [plan.metrics().apply("numFiles").value()]
+        return [count for child in children for count in visit(child)]
+
+    return visit(frame._jdf.queryExecution().executedPlan())
 
 
 def test_reader_isolates_records(spark, inputs):
@@ -106,13 +110,22 @@ def test_build_keeps_null_years_and_rejects(spark, inputs, tmp_path):
 
 def test_year_filter_prunes_directories(spark, inputs, tmp_path):
     table = build_from_xml(spark, inputs, str(tmp_path / "table"))
-    scan = scanned(in_years(table, 2001, 2001).select("PMID"))
-    assert scan["files"] == 1
-    assert scanned(in_years(table, 2000).select("PMID"))["files"] == 1
-    assert scanned(without_year(table).select("PMID"))["files"] == 1
+    assert files_read(in_years(table, 2001, 2001).select("PMID")) == [1]
+    assert files_read(in_years(table, 2000).select("PMID")) == [1]
+    assert files_read(without_year(table).select("PMID")) == [1]
     assert [r.PMID for r in search(table, year_from=2000).collect()] == [5]
 
 
+def test_sql_on_year_alone_prunes(spark, inputs, tmp_path):
+    register(build_from_xml(spark, inputs, str(tmp_path / "table")), "pruned")
+    in_2001 = "SELECT PMID, Year FROM pruned WHERE Year = 2001"
+    assert [tuple(r) for r in spark.sql(in_2001).collect()] == [(5, 2001)]
+    # One directory of the three, and the one of rows that may have no year.
+    assert files_read(spark.sql(in_2001)) == [1, 1]
+    assert [r.PMID for r in spark.sql("SELECT PMID FROM pruned WHERE Year IS NULL").collect()] == [2]
+    assert spark.sql("SELECT PMID FROM pruned").count() == 4
+
+
 def test_scan_reads_only_needed_columns(spark, inputs, tmp_path):
     table = build_from_xml(spark, inputs, str(tmp_path / "table"))
     plan = search(table, title="T", columns=("PMID",))._jdf.queryExecution().executedPlan()
@@ -121,7 +134,7 @@ def test_scan_reads_only_needed_columns(spark, inputs, tmp_path):
 
 def test_start_from_opens_later_files_only(spark, inputs):
     records = read_xml_records(spark, inputs, start_from=2)
-    assert scanned(records.select("src"))["files"] == 1
+    assert files_read(records.select("src")) == [1]
     assert {r.src for r in records.collect()} == {"bulk25n0002.xml.gz"}
 
 
@@ -224,7 +237,7 @@ def test_year_layout_keeps_nulls_and_prunes(spark, tmp_path):
         3: (1999, 1999),
         4: (2001, 2001),
     }
-    assert scanned(in_years(table, 2001, 2001).select("PMID"))["files"] == 1
+    assert files_read(in_years(table, 2001, 2001).select("PMID")) == [1]
     assert [r.PMID for r in without_year(table).collect()] == [1]
 
 

@@ -114,7 +114,20 @@ def table_sql(spark, sf_dir):
     register(written(spark, sf_dir))
     return spark.sql(
         "SELECT Journal, count(*) AS records FROM citations "
-        "WHERE pub_year >= 2000 AND Year >= 2000 GROUP BY Journal"
+        "WHERE Year >= 2000 GROUP BY Journal"
+    )
+
+
+@query(
+    "SELECT Year, count(*) AS records FROM {citations} "
+    "WHERE Year IS NULL OR Year < 1955 OR Year = 0 GROUP BY Year"
+)
+def table_sql_years(spark, sf_dir):
+    """Year conditions in free SQL, the missing year among them."""
+    register(written(spark, sf_dir), "dated_citations")
+    return spark.sql(
+        "SELECT Year, count(*) AS records FROM dated_citations "
+        "WHERE Year IS NULL OR Year < 1955 OR Year = 0 GROUP BY Year"
     )
 
 
