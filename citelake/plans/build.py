@@ -29,11 +29,12 @@ def build_from_xml(
     *,
     glob: str = f"*{XML_SUFFIX}",
     start_from: int | None = None,
+    spread: int | None = None,
     doi_scope: str = "own",
     mode: str = "overwrite",
 ) -> DataFrame:
     """Extract every record of the files under ``source`` and write the table to ``root``."""
-    records = read_xml_records(spark, source, glob, start_from)
+    records = read_xml_records(spark, source, glob, start_from, spread)
     write_table(extract_xml(records, doi_scope), root, mode)
     return read_table(spark, root)
 

@@ -16,12 +16,17 @@ def read_xml_records(
     path: str | list[str],
     glob: str = f"*{XML_SUFFIX}",
     start_from: int | None = None,
+    spread: int | None = None,
 ) -> DataFrame:
     """Columns ``src`` (file name), ``raw`` (one record's XML) and ``closed``.
 
     The closing tag is the line separator, so files stream through and Spark decodes gzip itself.
     ``start_from`` keeps files numbered at least so; being a predicate on the file name only, it
     drops files before any is opened.
+
+    Plain and bzip2 files are cut into tasks; a gzip file is read by one. Where a few large gzip
+    files hold most records, ``spread`` deals the records out over that many tasks, at the price
+    of a shuffle, so that parsing does not wait for the largest file.
     """
     chunks = (
         spark.read.option("lineSep", RECORD_END)
@@ -31,7 +36,8 @@ def read_xml_records(
     )
     if start_from is not None:
         chunks = chunks.filter(file_number(F.col("src")) >= start_from)
-    return split_chunks(chunks)
+    records = split_chunks(chunks)
+    return records if spread is None else records.repartition(spread)
 
 
 def split_chunks(chunks: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import bz2
 import os
 
 import pyarrow as pa
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from citelake.operators.aggregates import build_metadata
-from citelake.operators.extract_xml import MALFORMED
+from citelake.operators.extract_xml import MALFORMED, accepted, extract_xml
 from citelake.operators.search import in_years, search, without_year
 from citelake.plans.build import (
     build_documents,
@@ -81,6 +82,23 @@ def test_reader_keeps_unclosed_and_truncated_records(spark, tmp_path, write_gzip
     assert read_rejects(spark, str(tmp_path / "table")).count() == 2
 
 
+@pytest.mark.parametrize("suffix", ["", ".bz2"])
+def test_large_splittable_file_is_read_by_several_tasks(spark, tmp_path, suffix):
+    text = bulk(*[numbered(i, 1999, "t" * (i % 97)) for i in range(3000)])
+    opened = bz2.open(f"{tmp_path}/a.xml.bz2", "wt") if suffix else open(tmp_path / "a.xml", "w")
+    with opened as out:
+        out.write(text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3001")
+    try:
+        records = read_xml_records(spark, str(tmp_path), glob="*.xml*")
+        parts = records.rdd.getNumPartitions()
+        ids = [r.PMID for r in accepted(extract_xml(records)).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+    assert parts > 1
+    assert sorted(ids) == list(range(3000))
+
+
 def test_damaged_gzip_fails_the_job(spark, tmp_path, write_gzip):
     path = write_gzip(tmp_path / "a.xml.gz", bulk(*[numbered(i, 1999) for i in range(500)]))
     content = open(path, "rb").read()
@@ -138,6 +156,16 @@ def test_start_from_opens_later_files_only(spark, inputs):
     assert {r.src for r in records.collect()} == {"bulk25n0002.xml.gz"}
 
 
+def test_records_of_a_large_file_are_spread(spark, tmp_path, write_gzip):
+    (tmp_path / "in").mkdir()
+    write_gzip(tmp_path / "in" / "a.xml.gz", bulk(*[numbered(i, 1999) for i in range(400)]))
+    records = read_xml_records(spark, str(tmp_path / "in"), spread=4)
+    held = records.groupBy(F.spark_partition_id()).count().collect()
+    assert len(held) == 4 and max(r["count"] for r in held) < 150
+    table = build_from_xml(spark, str(tmp_path / "in"), str(tmp_path / "table"), spread=4)
+    assert table.select("PMID").distinct().count() == table.count() == 400
+
+
 def test_resume_adds_only_new_files(spark, inputs, tmp_path, write_gzip):
     root = str(tmp_path / "table")
     assert resume_from_xml(spark, inputs, root).count() == 4
