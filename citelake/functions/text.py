@@ -9,8 +9,13 @@ from citelake.schema import LIST_SEPARATOR
 
 
 def contains_term(text: Column, term: str) -> Column:
-    """Case-insensitive containment; ``%`` and ``_`` in the term keep their pattern meaning."""
-    return text.ilike(f"%{term}%")
+    """Case-insensitive containment.
+
+    ``%`` and ``_`` in the term keep their pattern meaning; a backslash stands for itself. Without
+    any of them Spark compares bytes and needs no pattern matching.
+    """
+    pattern = term.replace("\\", r"\\")
+    return text.ilike(f"%{pattern}%")
 
 
 def present(text: Column, longer_than: int = 0) -> Column:

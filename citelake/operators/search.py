@@ -26,7 +26,7 @@ def subject_has(term: str) -> Column:
 
 
 def has_id(*ids: int) -> Column:
-    return F.col("PMID") == ids[0] if len(ids) == 1 else F.col("PMID").isin(*ids)
+    return F.col("PMID") == ids[0] if len(ids) == 1 else F.col("PMID").isin(list(ids))
 
 
 def year_is_known() -> Column:

@@ -10,7 +10,8 @@ from pyspark.sql import SparkSession
 
 # Adaptive execution splits the crowded recent years when the table is written and merges the
 # sparse early ones; the advisory size is what one write task should hold.
-# Noting where in Python each of many small columns was made would double the time to plan.
+# The last two save time only: the JDK maps case faster than ICU does, which search is bound by, and
+# noting where in Python each of many small columns was made would double the time to plan.
 SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -18,6 +19,7 @@ SESSION_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.variant.allowDuplicateKeys": "true",
+    "spark.sql.icu.caseMappings.enabled": "false",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 

@@ -43,6 +43,17 @@ def test_search(table):
     assert search(table).columns == ["PMID", "Title", "Year", "DOI"]
 
 
+def test_pattern_characters(spark):
+    texts = spark.createDataFrame([(1, r"a\b"), (2, "ab"), (3, "a-b"), (4, "A\\B")], "PMID int, Title string")
+    assert ids(texts.filter(title_has("a\\B"))) == [1, 4]
+    assert ids(texts.filter(title_has("a_b"))) == [1, 3, 4]
+    assert ids(texts.filter(title_has("a%b"))) == [1, 2, 3, 4]
+
+
+def test_no_ids_find_nothing(table):
+    assert search(table, ids=[]).count() == 0
+
+
 def test_contains_needs_no_pattern_matching(table):
     plan = table.filter(title_has("Toxicity"))._jdf.queryExecution().executedPlan().toString()
     assert "Contains(lower(" in plan
