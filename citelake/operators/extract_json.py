@@ -17,6 +17,7 @@ from citelake.functions.documents import (
     truthy,
 )
 from citelake.functions.numbers import date_text, digits_only, leading_year
+from citelake.functions.once import with_computed
 from citelake.functions.text import blank_if_missing, join_parts, strip_chars
 from citelake.schema import (
     CITATION_TAG,
@@ -35,10 +36,11 @@ def extract_json(documents: DataFrame) -> DataFrame:
     # A key given twice counts with its last value instead of spoiling the document.
     documents.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     lineage = [LINEAGE_COLUMN] if LINEAGE_COLUMN in documents.columns else []
-    document = F.try_parse_json("JSON")
-    parts = documents.select(
-        F.col("PMID").cast("string").alias("_id"), "JSON", *lineage, document.alias("_document")
-    ).select(
+    parsed = with_computed(
+        documents.select(F.col("PMID").cast("string").alias("_id"), "JSON", *lineage),
+        _document=F.try_parse_json("JSON"),
+    )
+    parts = parsed.select(
         "_id",
         "JSON",
         *lineage,

@@ -12,6 +12,7 @@ from citelake.functions.markup import (
     without_special_sections,
 )
 from citelake.functions.numbers import date_text, leading_year, tolerant_int
+from citelake.functions.once import with_computed
 from citelake.functions.text import blank_if_missing, join_parts, strip_chars
 from citelake.schema import (
     CITATION_TAG,
@@ -71,33 +72,27 @@ def extract_xml(records: DataFrame, doi_scope: str = "own") -> DataFrame:
     if doi_scope not in ("own", "any"):
         raise ValueError(f"doi_scope must be 'own' or 'any', not {doi_scope!r}")
     closed = F.col("closed") if "closed" in records.columns else F.lit(True)
-    as_given = records.select(
-        LINEAGE_COLUMN,
-        "raw",
-        closed.alias("_closed"),
-        F.from_xml("raw", _RECORD, _OPTIONS).alias("_given"),
+    as_given = with_computed(
+        records.select(LINEAGE_COLUMN, "raw", closed.alias("_closed")),
+        _given=F.from_xml("raw", _RECORD, _OPTIONS),
     )
     # One parse settles most records. The few with inline markup or comments where text is wanted
     # are rewritten without and parsed again.
     given = F.col("_given")
     well_formed = given[_MALFORMED_COLUMN].isNull()
     flat = without_inline_markup(without_special_sections(F.col("raw")))
-    parsed = as_given.select(
-        LINEAGE_COLUMN,
-        "raw",
-        "_closed",
-        "_given",
-        F.when(well_formed & (has_special_sections(F.col("raw")) | _mixed(given)), flat).alias(
-            "_flat"
+    rewritten = with_computed(
+        as_given,
+        _rewritten=F.when(
+            well_formed & (has_special_sections(F.col("raw")) | _mixed(given)), flat
+        ),
+    )
+    parsed = with_computed(
+        rewritten,
+        _flat=F.coalesce("_rewritten", "raw"),
+        _record=F.when(F.col("_rewritten").isNull(), given).otherwise(
+            F.from_xml("_rewritten", _RECORD, _OPTIONS)
         ),
-    ).select(
-        LINEAGE_COLUMN,
-        "raw",
-        "_closed",
-        F.coalesce("_flat", "raw").alias("_flat"),
-        F.when(F.col("_flat").isNull(), given)
-        .otherwise(F.from_xml("_flat", _RECORD, _OPTIONS))
-        .alias("_record"),
     )
     fields = parsed.select(
         LINEAGE_COLUMN,

@@ -17,6 +17,7 @@ from citelake.functions.markup import (
     without_special_sections,
 )
 from citelake.functions.numbers import tolerant_int
+from citelake.functions.once import with_computed
 from citelake.operators.extract_xml import MALFORMED, NOT_CLOSED
 from citelake.schema import CITATION_TAG, DATA_TAG, LINEAGE_COLUMN
 
@@ -156,14 +157,13 @@ def _parse(records: DataFrame, schema: str) -> tuple[DataFrame, T.StructType]:
     special = has_special_sections(F.col("raw")) | has_inline_markup(F.col("raw"), MIXED_TAGS)
     flat = F.when(special, rewritten).otherwise(F.col("raw"))
     as_given = F.from_xml("raw", f"{_MALFORMED_COLUMN} string", _OPTIONS)[_MALFORMED_COLUMN]
-    parsed = records.select(
-        LINEAGE_COLUMN, "raw", closed.alias("_closed"), flat.alias("_flat")
-    ).select(
-        LINEAGE_COLUMN,
-        "raw",
-        "_closed",
-        F.from_xml("_flat", f"{schema}, {_MALFORMED_COLUMN} string", _OPTIONS).alias("_record"),
-        F.when(F.col("raw") != F.col("_flat"), as_given).alias("_given"),
+    prepared = with_computed(
+        records.select(LINEAGE_COLUMN, "raw", closed.alias("_closed")), _flat=flat
+    )
+    parsed = with_computed(
+        prepared,
+        _record=F.from_xml("_flat", f"{schema}, {_MALFORMED_COLUMN} string", _OPTIONS),
+        _given=F.when(F.col("raw") != F.col("_flat"), as_given),
     )
     broken = F.coalesce(F.col("_record")[_MALFORMED_COLUMN], F.col("_given")).isNotNull()
     reason = F.when(~F.col("_closed"), NOT_CLOSED).when(broken, MALFORMED)

@@ -163,5 +163,6 @@ def test_id_column_that_is_no_number(spark):
 
 def test_document_is_parsed_once(spark):
     frame = extract_json(spark.createDataFrame([("1", "{}")], "PMID string, JSON string"))
-    plan = frame._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("parseJson(") == 1
+    for rows in (frame, frame.filter("Title ILIKE '%a%' AND Year > 2000")):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("parseJson(") == 1

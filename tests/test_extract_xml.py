@@ -232,6 +232,13 @@ def test_plan_parses_a_record_at_most_twice(spark):
     assert "Python" not in plan and "Exchange" not in plan
 
 
+def test_filters_do_not_repeat_the_parse(spark):
+    frame = extract_xml(spark.createDataFrame([("f", record())], "src string, raw string"))
+    for filtered in (accepted(frame), rejected(frame), accepted(frame).filter("Title ILIKE '%a%'")):
+        plan = filtered._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("from_xml(") == 2
+
+
 def test_long_texts_stay_whole(spark):
     words = "lorem &lt;ipsum&gt; <i>dolor</i> " * 60_000
     plain = "lorem &amp; ipsum\n" * 60_000

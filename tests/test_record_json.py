@@ -89,3 +89,9 @@ def test_broken_record_is_set_aside(spark):
     for frame in (to_documents(records(spark, broken)), to_trees(records(spark, broken))):
         row = one(frame)
         assert row.reason == MALFORMED and row.raw == broken
+
+
+def test_filters_do_not_repeat_the_parse(spark):
+    for frame in (to_documents(records(spark, FULL)), to_trees(records(spark, FULL))):
+        plan = frame.filter("reason IS NULL")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("from_xml(") == 2
