@@ -49,8 +49,8 @@ def resume_from_xml(
 ) -> DataFrame:
     """Add the files under ``source`` of which ``root`` holds nothing yet.
 
-    A write becomes visible as a whole or not at all, so after a lost job the same call picks up
-    the same files. Only file names reach the driver, which lists the files in any case.
+    A job's files are published when it commits, so after a failed one the same call picks up the
+    same inputs. Only file names reach the driver, which lists the files in any case.
     """
     inputs = input_files(spark, source, glob)
     repeated = inputs.groupBy("name").count().filter("count > 1").select("name").take(1)

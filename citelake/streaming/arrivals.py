@@ -40,8 +40,7 @@ def follow(
     """Append each batch of new files to ``root``; ``checkpoint`` remembers which were seen.
 
     A batch that was written but not recorded before a failure is offered again, and only as the
-    first batch after a start. In that one, files the table already holds are passed over; a batch
-    is written as a whole or not at all.
+    first batch after a start. In that one, files the table already holds are passed over.
     """
     may_repeat = True
 
