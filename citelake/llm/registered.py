@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citelake.llm.host_rules import apply_host_rules
+from citelake.llm.packing import decompose
+from citelake.llm.parity_join import near_duplicates
+from citelake.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +30,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -80,3 +85,22 @@ def op6_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed",
         "kept",
     )
+
+
+def tokenizer() -> dict[str, str]:
+    return {
+        "tokenizer": public_tokenizers.path("byte_bpe_50k.json"),
+        "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        "pattern": public_tokenizers.PATTERN,
+    }
+
+
+@query()
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = decompose(table(spark, sf_dir, "documents"), **tokenizer())
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query()
+def op4_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
