@@ -22,7 +22,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citelake.llm.components import components
@@ -34,7 +34,9 @@ PERCENT = 75
 # Counters that tell common shingles from rare ones, and a row's share of them.
 SLOTS = 1 << 20
 SLOTS_A_ROW = 1 << 12
-COMMON = 128
+# Copies of a small side that rows of a large class are dealt out over; keys compared by one task.
+SALTS = 16
+BLOCK = 512
 # Sets of fewer shingles than this have one part for each shingle.
 SMALL_BAND = 3
 
@@ -49,35 +51,48 @@ def _slot(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(44)).astype(np.int64) % SLOTS
 
 
-def common_slots(documents: DataFrame, key: str, text: str, size: int) -> np.ndarray:
-    """For each counter, whether it stands well above the mean: a bit array of fixed size."""
+def common_slots(rows: DataFrame, size: int) -> np.ndarray:
+    """How far above the mean each counter stands, from 0 to 255: an array of fixed size."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SLOTS, dtype=np.int64)
         for batch in batches:
-            found = [_slot(s) for _, s in _sets(batch, size)]
-            if found:
-                total += np.bincount(np.concatenate(found), minlength=SLOTS)
+            for _, s in _sets(batch, size):
+                if len(s):
+                    np.add.at(total, _slot(s), 1)
         if total.any():
-            for row, part in enumerate(total.reshape(-1, SLOTS_A_ROW)):
-                places = np.flatnonzero(part).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row] * len(places), pa.int32()), pa.array(places), pa.array(part[places])],
-                    names=["row", "place", "n"],
-                )
+            parts = total.astype("<u4").reshape(-1, SLOTS_A_ROW)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.arange(len(parts), dtype=np.int32)),
+                    pa.array([p.tobytes() for p in parts], pa.binary()),
+                ],
+                names=["row", "counts"],
+            )
+
+    def add(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS_A_ROW, dtype=np.int64)
+        row = None
+        for batch in group:
+            row = batch.column("row")[:1]
+            for counts in batch.column("counts"):
+                total += np.frombuffer(counts.as_buffer(), dtype="<u4")
+        yield pa.RecordBatch.from_arrays(
+            [row, pa.array([total.tobytes()], pa.binary())], names=["row", "counts"]
+        )
 
     counted = (
-        documents.select(key, text)
-        .mapInArrow(count, "row int, place int, n bigint")
-        .groupBy("row", "place")
-        .agg(F.sum("n").alias("n"))
+        rows.mapInArrow(count, "row int, counts binary")
+        .groupBy("row")
+        .applyInArrow(add, "row int, counts binary")
     )
-    rows = written(counted)
-    mean = (rows.agg(F.sum("n")).first()[0] or 0) / SLOTS
-    common = np.zeros(SLOTS, dtype=bool)
-    for row in rows.filter(F.col("n") > 1.5 * mean + COMMON).toLocalIterator():
-        common[row["row"] * SLOTS_A_ROW + row["place"]] = True
-    return common
+    total = np.zeros(SLOTS, dtype=np.int64)
+    for row in counted.collect():  # SLOTS numbers, whatever the size of the corpus
+        at = row["row"] * SLOTS_A_ROW
+        total[at : at + SLOTS_A_ROW] = np.frombuffer(row["counts"], dtype=np.int64)
+    mean = total.mean()
+    above = (total - mean) / max(mean, 4.0) ** 0.5 / 2
+    return np.clip(above, 0, 255).astype(np.uint8)
 
 
 def band_of(n: int) -> int:
@@ -89,7 +104,7 @@ def features(shingles: np.ndarray, common: np.ndarray, percent: int) -> list[np.
     """Hashes of the parts by which a set meets others: d + 1 for each band it may match in."""
     n = len(shingles)
     band, largest, found = band_of(n), 100 * n // percent, []
-    rare_first = common[_slot(shingles)].astype(np.uint64)
+    rare_first = common[_slot(shingles)].astype(np.uint64) << np.uint64(56)
     for at in (band, band + 1):
         top = 4 ** (at + 1) - 1
         if at > band and largest <= 4**at - 1:
@@ -98,8 +113,8 @@ def features(shingles: np.ndarray, common: np.ndarray, percent: int) -> list[np.
         differ = (100 - percent) * (n + partner) // (100 + percent)
         part = mixed(shingles ^ np.uint64(at + 1))
         if at >= SMALL_BAND:
-            part = part & np.uint64(top)
-        part = (rare_first << np.uint64(63)) | (part >> np.uint64(1))
+            part = (part & np.uint64(top)) << np.uint64(8)
+        part = rare_first | (part >> np.uint64(8))
         order = np.argsort(part)
         part, values = part[order], mixed(shingles[order])
         first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
@@ -108,6 +123,35 @@ def features(shingles: np.ndarray, common: np.ndarray, percent: int) -> list[np.
     return found
 
 
+def sketch_bits(shingles: np.ndarray, at: int) -> bytes:
+    """One bit for each part, turned over by every shingle that falls into it."""
+    size = max(64, 4 ** (at + 1))
+    place = (mixed(shingles ^ np.uint64(at + 1)) & np.uint64(size - 1)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=size) & 1).astype(np.uint8)).tobytes()
+
+
+def reaches_next(n: int, percent: int) -> bool:
+    """Whether a set of this size can match one of the next band."""
+    return 100 * n // percent >= 4 ** (band_of(n) + 1)
+
+
+def close_pairs(sizes, own, above, one, two, percent: int) -> np.ndarray:
+    """Which of the pairs (one[i], two[i]) differ in no more bits than the similarity allows."""
+    close = np.zeros(len(one), dtype=bool)
+    for i, (x, y) in enumerate(zip(one, two, strict=True)):
+        if sizes[x] > sizes[y]:
+            x, y = y, x
+        low, high = sizes[x], sizes[y]
+        if 100 * low < percent * high:
+            continue
+        mine = own[x] if band_of(low) == band_of(high) else above[x]
+        if mine is None or band_of(high) - band_of(low) > 1:
+            continue
+        bits = (int.from_bytes(mine) ^ int.from_bytes(own[y])).bit_count()
+        close[i] = bits <= (100 - percent) * (low + high) // (100 + percent)
+    return close
+
+
 def jaccard_links(
     documents: DataFrame,
     key: str = "doc_id",
@@ -119,44 +163,52 @@ def jaccard_links(
     classes: enough of them to give the components, each verified.
 
     ``class_id`` is the smallest key of those with the same set, null for documents without words.
-    Keys are integers; rows whose key is null are left out, and of rows with the same key each counts.
+    Keys are integers; rows whose key is null are left out. Rows that share a key stand for one
+    document, which is linked through any of them.
     """
     rows = documents.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
     rows = rows.filter("key IS NOT NULL")
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, one, two = [], [], []
+            n, one, two, own, above = [], [], [], [], []
             for _, s in _sets(batch, size):
                 n.append(len(s))
                 one.append(int(s.sum().view(np.int64)) if len(s) else 0)
                 two.append(int(np.bitwise_xor.reduce(mixed(s)).view(np.int64)) if len(s) else 0)
+                own.append(sketch_bits(s, band_of(len(s))) if len(s) else None)
+                more = len(s) and reaches_next(len(s), percent)
+                above.append(sketch_bits(s, band_of(len(s)) + 1) if more else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(x, pa.int64()) for x in (n, one, two)]],
-                names=["key", "n_shingles", "one", "two"],
+                [
+                    batch.column(0),
+                    *[pa.array(x, pa.int64()) for x in (n, one, two)],
+                    *[pa.array(x, pa.binary()) for x in (own, above)],
+                ],
+                names=["key", "n_shingles", "one", "two", "own", "above"],
             )
 
-    measured = written(rows.mapInArrow(measure, "key bigint, n_shingles bigint, one bigint, two bigint"))
-    filled = measured.filter("n_shingles > 0")
+    columns = "key bigint, n_shingles bigint, one bigint, two bigint, own binary, above binary"
+    measured = written(rows.mapInArrow(measure, columns))
     same = ["n_shingles", "one", "two"]
+    filled = measured.filter("n_shingles > 0")
     classes = filled.groupBy(*same).agg(F.min("key").alias("class_id"), F.count("*").alias("copies"))
     # Only classes of several rows are looked up again; for the rest the class is the key.
     several = written(classes.filter("copies > 1").drop("copies"))
-    parted = several.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(15))))
-    sets = (
-        measured.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(16)).cast("int"))
-        .join(parted, [*same, "part"], "left")
+    parted = several.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    sets = written(
+        measured.withColumn("salt", salted("key"))
+        .join(parted, [*same, "salt"], "left")
         .select(
             "key",
             "n_shingles",
             F.when(F.col("n_shingles") > 0, F.coalesce("class_id", "key")).alias("class_id"),
         )
     )
-    sets = written(sets)
     copies = sets.filter("class_id != key").select("key")
     alone = rows.join(copies, "key", "left_anti")
-
-    common = rows.sparkSession.sparkContext.broadcast(common_slots(alone, "key", "text", size))
+    sketches = measured.select("key", F.col("n_shingles").alias("n"), "own", "above")
+    common = rows.sparkSession.sparkContext.broadcast(common_slots(alone, size))
 
     def sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,37 +226,97 @@ def jaccard_links(
     met = written(parts.join(hubs.filter("hub < other").drop("other"), "part"))
 
     first = met.filter("hub < key").select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct()
-    first = written(first)
-    links = written(verified(alone, first, size, percent))
+    links = written(verified(alone, written(_close(first, sketches, percent)), size, percent))
     placed = components(links)
 
-    # Across components: runs that hold more than one, each pair that has not been compared.
     named = met.select("part", "key").join(placed, met["key"] == placed["node"], "left")
-    named = named.select("part", "key", F.coalesce("component", "key").alias("component"))
-    spread = named.groupBy("part").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_runs = named.join(spread.filter("low < high").select("part"), "part")
-    runs = open_runs.groupBy("part").agg(F.array_sort(F.collect_list(F.struct("component", "key"))).alias("run"))
-    runs = written(runs.select("run").distinct())
+    named = written(named.select("part", "key", F.coalesce("component", "key").alias("component")))
+    second = written(_across(named, sketches, percent).distinct())
+    more = verified(alone, second, size, percent)
+    return sets, written(links.unionByName(more))
+
+
+def salted(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int")
 
-    def across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _close(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose sketches are close enough; a pair is two rows of keys."""
+    of_a = sketches.select(F.col("key").alias("a"), *[F.col(c).alias(f"{c}_a") for c in ("n", "own", "above")])
+    of_b = sketches.select(F.col("key").alias("b"), *[F.col(c).alias(f"{c}_b") for c in ("n", "own", "above")])
+
+    def test(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for run in batch.column(0):
-                values = run.values
-                component, keys = (values.field(i).to_numpy() for i in (0, 1))
-                ends = np.searchsorted(component, component, side="right")
-                for i in np.flatnonzero(ends < len(keys)):
-                    others = keys[ends[i] :]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.minimum(others, keys[i])),
-                            pa.array(np.maximum(others, keys[i])),
-                        ],
-                        names=["a", "b"],
-                    )
-
-    second = runs.mapInArrow(across, "a bigint, b bigint").distinct().join(first, ["a", "b"], "left_anti")
-    more = verified(alone, written(second), size, percent)
-    return sets, written(links.unionByName(more))
+            n = batch.num_rows
+            column = {name: batch.column(name).to_pylist() for name in batch.schema.names}
+            close = close_pairs(
+                column["n_a"] + column["n_b"],
+                column["own_a"] + column["own_b"],
+                column["above_a"] + column["above_b"],
+                range(n),
+                range(n, 2 * n),
+                percent,
+            )
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a").filter(pa.array(close)), batch.column("b").filter(pa.array(close))],
+                names=["a", "b"],
+            )
+
+    return pairs.join(of_b, "b").join(of_a, "a").mapInArrow(test, "a bigint, b bigint")
+
+
+def _across(named: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs with close sketches that met in some part and lie in different components.
+
+    Parts with the same members are taken once. Large ones are cut into blocks, and every two blocks
+    are compared by a task of their own.
+    """
+    runs = named.groupBy("part").agg(
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.count("*").alias("n_run"),
+        F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("one"),
+        F.bit_xor(F.xxhash64("key", F.lit(1))).alias("two"),
+    )
+    chosen = runs.filter("low < high").groupBy("n_run", "one", "two").agg(F.min("part").alias("part"))
+    chosen = chosen.select("part", F.ceil(F.col("n_run") / BLOCK).cast("int").alias("blocks"))
+    members = named.join(chosen, "part").withColumn(
+        "block", F.pmod(F.xxhash64("key", F.lit(2)), F.col("blocks")).cast("int")
+    )
+    members = members.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    members = members.join(sketches, "key").select(
+        "part",
+        F.least("block", "with").alias("i"),
+        F.greatest("block", "with").alias("j"),
+        "block",
+        "key",
+        "component",
+        "n",
+        "own",
+        "above",
+    )
+
+    def compare(group: pa.Table) -> pa.Table:
+        column = {name: group.column(name).to_pylist() for name in group.schema.names}
+        component, block = np.array(column["component"]), np.array(column["block"])
+        size = np.array(column["n"])
+        i, j = column["i"][0], column["j"][0]
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        fits = (
+            (component[left][:, None] != component[right][None, :])
+            & (100 * size[left][:, None] >= percent * size[right][None, :])
+            & (100 * size[right][None, :] >= percent * size[left][:, None])
+        )
+        x, y = np.nonzero(fits)
+        x, y = left[x], right[y]
+        if i == j:
+            x, y = x[x < y], y[x < y]
+        close = close_pairs(column["n"], column["own"], column["above"], x, y, percent)
+        keys = np.array(column["key"])
+        a, b = keys[x[close]], keys[y[close]]
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return members.groupBy("part", "i", "j").applyInArrow(compare, "a bigint, b bigint")
 
 
 def verified(rows: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
