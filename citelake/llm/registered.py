@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citelake.llm.hidden_markov import score
 from citelake.llm.host_rules import apply_host_rules
 from citelake.llm.packing import decompose
 from citelake.llm.parity_join import near_duplicates
@@ -104,3 +105,8 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(table(spark, sf_dir, "documents"))
