@@ -13,6 +13,7 @@ from citelake.llm.host_rules import apply_host_rules
 from citelake.llm.packing import decompose
 from citelake.llm.parity_join import near_duplicates
 from citelake.llm.shipping import ship
+from citelake.llm.suffix_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,3 +111,11 @@ def op4_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op2_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )

@@ -17,8 +17,10 @@ def shared_folder(spark: SparkSession) -> str:
 def written(rows: DataFrame) -> DataFrame:
     """Write ``rows`` as Parquet to the shared folder and read them back.
 
-    What follows starts from files that outlive any executor, and is not worked out twice.
+    What follows starts from files that outlive any executor, and is not worked out twice. The
+    driver's garbage is collected, since that is what frees the shuffle files of finished steps.
     """
     path = shared_folder(rows.sparkSession)
     rows.write.parquet(path)
+    rows.sparkSession.sparkContext._jvm.System.gc()
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
