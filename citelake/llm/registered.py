@@ -13,6 +13,7 @@ from citelake.llm.host_rules import apply_host_rules
 from citelake.llm.packing import decompose
 from citelake.llm.parity_join import near_duplicates
 from citelake.llm.shipping import ship
+from citelake.llm.site_bayes import classify
 from citelake.llm.suffix_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,3 +120,9 @@ def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query()
+def op5_site_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "p_own", "p_site", "p_reject", (~F.col("rejected")).alias("kept"))
