@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from citelake.llm.hidden_markov import score
 from citelake.llm.host_rules import apply_host_rules
+from citelake.llm.latent_retrieval import contaminated
 from citelake.llm.packing import decompose
 from citelake.llm.parity_join import near_duplicates
 from citelake.llm.shipping import ship
@@ -126,3 +127,8 @@ def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_site_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "p_own", "p_site", "p_reject", (~F.col("rejected")).alias("kept"))
+
+
+@query()
+def op3_latent_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
