@@ -16,6 +16,7 @@ from citelake.llm.parity_join import near_duplicates
 from citelake.llm.shipping import ship
 from citelake.llm.site_bayes import classify
 from citelake.llm.suffix_dedup import remove_repeats
+from citelake.llm.token_spans import count_by_section, line_sections
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -132,3 +133,10 @@ def op5_site_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op3_latent_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op1_token_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_by_section(
+        table(spark, sf_dir, "documents"), **tokenizer(), sections=line_sections(F.col("text"))
+    )
