@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citelake.llm.scratch import written
+from citelake.llm.scratch import forget, written
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -20,7 +20,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     )
     before = None
     while True:
-        edges = written(_small_star(_large_star(edges)))
+        old, edges = edges, written(_small_star(_large_star(edges)))
+        forget(old)
         now = edges.agg(
             F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.count_distinct("v")
         ).first()

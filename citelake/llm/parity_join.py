@@ -26,7 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citelake.llm.components import components
-from citelake.llm.scratch import written
+from citelake.llm.scratch import forget, written
+from citelake.llm.sieve import passes, sieve
 from citelake.llm.words import column_words, mixed, shingle_set
 
 SHINGLE = 5
@@ -47,6 +48,16 @@ def _sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, np.ndarray]]:
         yield i, shingle_set(words.of(i), size)
 
 
+def _different_sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Of equal sets in a batch, the first alone; they are joined as copies."""
+    seen = set()
+    for i, s in _sets(batch, size):
+        mark = (len(s), s.tobytes() if len(s) < 8 else (int(s[0]), int(s[-1]), int(s.sum())))
+        if len(s) and mark not in seen:
+            seen.add(mark)
+            yield i, s
+
+
 def _slot(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(44)).astype(np.int64) % SLOTS
 
@@ -57,9 +68,8 @@ def common_slots(rows: DataFrame, size: int) -> np.ndarray:
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SLOTS, dtype=np.int64)
         for batch in batches:
-            for _, s in _sets(batch, size):
-                if len(s):
-                    np.add.at(total, _slot(s), 1)
+            for _, s in _different_sets(batch, size):
+                np.add.at(total, _slot(s), 1)
         if total.any():
             parts = total.astype("<u4").reshape(-1, SLOTS_A_ROW)
             yield pa.RecordBatch.from_arrays(
@@ -205,35 +215,50 @@ def jaccard_links(
             F.when(F.col("n_shingles") > 0, F.coalesce("class_id", "key")).alias("class_id"),
         )
     )
-    copies = sets.filter("class_id != key").select("key")
-    alone = rows.join(copies, "key", "left_anti")
+    copies = sets.filter("class_id != key").select("key", "class_id")
     sketches = measured.select("key", F.col("n_shingles").alias("n"), "own", "above")
-    common = rows.sparkSession.sparkContext.broadcast(common_slots(alone, size))
+    common = rows.sparkSession.sparkContext.broadcast(common_slots(rows, size))
 
     def sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(0).to_numpy(zero_copy_only=False)
             found, owner = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-            for i, s in _sets(batch, size):
-                for part in features(s, common.value, percent) if len(s) else ():
+            for i, s in _different_sets(batch, size):
+                for part in features(s, common.value, percent):
                     found.append(part)
                     owner.append(np.full(len(part), keys[i], dtype=np.int64))
             found, owner = np.concatenate(found).view(np.int64), np.concatenate(owner)
             yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(owner)], names=["part", "key"])
 
-    parts = alone.mapInArrow(sketch, "part bigint, key bigint").repartition("part")
-    hubs = parts.groupBy("part").agg(F.min("key").alias("hub"), F.max("key").alias("other"))
-    met = written(parts.join(hubs.filter("hub < other").drop("other"), "part"))
-
-    first = met.filter("hub < key").select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct()
-    links = written(verified(alone, written(_close(first, sketches, percent)), size, percent))
+    parts = rows.mapInArrow(sketch, "part bigint, key bigint").repartition("part")
+    runs = parts.groupBy("part").agg(F.min("key").alias("low"), F.max("key").alias("high"))
+    raw = written(parts.join(runs.filter("low < high").select("part"), "part"))
+    # Copies count as their class from here on.
+    met = raw.join(copies, "key", "left").select("part", F.coalesce("class_id", "key").alias("key"))
+    met = written(met.distinct())
+    forget(raw)
+
+    # The hub of a run is whom most of the others meet, as a rule what the others are copies of.
+    crowd = met.groupBy("part").agg(F.count("*").alias("n_run")).filter("n_run > 1")
+    crowd = written(met.join(crowd, "part"))
+    forget(met)
+    degree = written(crowd.groupBy("key").agg(F.sum("n_run").alias("degree")))
+    ranked = crowd.join(degree, "key").groupBy("part").agg(
+        F.max(F.struct(F.col("degree"), (-F.col("key")).alias("minus"))).alias("best")
+    )
+    hubs = written(ranked.select("part", (-F.col("best.minus")).alias("hub")))
+    first = crowd.join(hubs, "part").filter("hub != key")
+    first = first.select(F.least("hub", "key").alias("a"), F.greatest("hub", "key").alias("b")).distinct()
+    links = verified(rows, written(_close(first, sketches, percent)), size, percent)
     placed = components(links)
 
-    named = met.select("part", "key").join(placed, met["key"] == placed["node"], "left")
+    named = crowd.select("part", "key").join(placed, crowd["key"] == placed["node"], "left")
     named = written(named.select("part", "key", F.coalesce("component", "key").alias("component")))
-    second = written(_across(named, sketches, percent).distinct())
-    more = verified(alone, second, size, percent)
-    return sets, written(links.unionByName(more))
+    second = _across(named, sketches, percent).distinct().join(links, ["a", "b"], "left_anti")
+    second = written(second)
+    more = verified(rows, second, size, percent)
+    forget(measured, several, crowd, degree, hubs, named, second)
+    return sets, links.unionByName(more)
 
 
 def salted(key: str) -> Column:
@@ -322,9 +347,13 @@ def _across(named: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
 def verified(rows: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs whose sets reach the similarity."""
     nodes = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
+    wanted = rows.sparkSession.sparkContext.broadcast(
+        sieve(nodes.distinct().select(F.xxhash64("key").alias("lead")))
+    )
 
     def shingles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(passes(wanted.value, batch.column(2).to_numpy().view(np.uint64))))
             found = [s.view(np.int64) for _, s in _sets(batch, size)]
             places = np.cumsum([0, *[len(s) for s in found]]).astype(np.int32)
             values = np.concatenate([np.zeros(0, np.int64), *found])
@@ -333,13 +362,16 @@ def verified(rows: DataFrame, pairs: DataFrame, size: int, percent: int) -> Data
                 names=["key", "shingles"],
             )
 
-    wanted = rows.join(nodes.distinct(), "key", "left_semi")
-    sets = written(wanted.mapInArrow(shingles, "key bigint, shingles array<bigint>"))
+    lead = rows.select("key", "text", F.xxhash64("key").alias("lead"))
+    sets = written(lead.mapInArrow(shingles, "key bigint, shingles array<bigint>"))
     of_a = sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa"))
     of_b = sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
     either = F.size("sa") + F.size("sb") - both
-    return pairs.join(of_b, "b").join(of_a, "a").filter(100 * both >= percent * either).select("a", "b")
+    close = pairs.join(of_b, "b").join(of_a, "a").filter(100 * both >= percent * either)
+    close = written(close.select("a", "b"))
+    forget(sets)
+    return close
 
 
 def near_duplicates(

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
 
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; where it is unset, the warehouse, which is shared as well."""
@@ -20,7 +23,16 @@ def written(rows: DataFrame) -> DataFrame:
     What follows starts from files that outlive any executor, and is not worked out twice. The
     driver's garbage is collected, since that is what frees the shuffle files of finished steps.
     """
-    path = shared_folder(rows.sparkSession)
+    spark, path = rows.sparkSession, shared_folder(rows.sparkSession)
     rows.write.parquet(path)
-    rows.sparkSession.sparkContext._jvm.System.gc()
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    spark.sparkContext._jvm.System.gc()
+    back = spark.read.schema(rows.schema).parquet(path)
+    _paths[back] = path
+    return back
+
+
+def forget(*tables: DataFrame) -> None:
+    """Remove tables made by ``written`` from which nothing will be read any more."""
+    for rows in tables:
+        path = rows.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(_paths.pop(rows))
+        path.getFileSystem(rows.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
