@@ -11,8 +11,8 @@ eighteen, are enough to bring equal windows together.
    strings, so equal ones never lie across a boundary.
 2. Around a shared suffix, the stretch of all windows that picked it is hashed. Stretches alike are
    settled at once: all documents but the smallest lose them.
-3. Where stretches of one suffix differ, which is at the ends of a repeat, each window is hashed and
-   compared on its own.
+3. Where different stretches have leading bytes and what lies on one side of them in common, which is
+   so at the ends of a repeat, each window is hashed and compared on its own.
 
 A bit array of fixed size passes the shared leading bytes
 to the next reading of the texts; what it lets through by chance is compared like the rest, so it
@@ -34,14 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from citelake.llm.scratch import written
+from citelake.llm.scratch import forget, written
+from citelake.llm.sieve import passes, sieve
 from citelake.llm.words import FACTOR, INVERSE, byte_spans, chunks, mixed, powers
 
 SPAN = 50
 GRAM = 16
 GROUP_BYTES = 4 << 20
-SIEVE_BITS = 27
-SIEVE_ROW = 18
 # Documents and suffixes of each that are sampled for the splitters.
 SAMPLED = 2_000
 SAMPLED_SUFFIXES = 64
@@ -95,6 +94,17 @@ class Stretches:
             found.append(token)
         return found[0], found[1]
 
+    def sides(self) -> tuple[pa.Array, pa.Array]:
+        """Hashes of the leading bytes with what follows, and with what goes before, so far that any
+        window around them has one or the other whole; null where no window that picked them has."""
+        more = (self.span - GRAM + 1) // 2
+        found = []
+        for start in (self.place, self.place - more):
+            fits = (start >= self.start) & (start + GRAM + more <= self.end)
+            values = self.hashes(np.where(fits, start, 0), np.where(fits, GRAM + more, 0))
+            found.append(pa.array(signed(values), mask=~fits))
+        return found[0], found[1]
+
     def contexts(self) -> np.ndarray:
         size = self.end - self.start
         whole = self.hashes(self.start, size)
@@ -197,68 +207,59 @@ def shared_leads(rows: DataFrame, buckets: int, span: int) -> DataFrame:
     return dealt.groupBy("bucket").applyInArrow(compare, "lead bigint")
 
 
-def sieve(leads: DataFrame) -> np.ndarray:
-    """A bit array of fixed size in which each lead has set one bit."""
-    row_bits = SIEVE_BITS - SIEVE_ROW
-
-    def place(group: pa.Table) -> pa.Table:
-        bits = np.zeros(1 << SIEVE_ROW, dtype=np.uint8)
-        leads = group.column("lead").to_numpy().view(np.uint64)
-        bits[(leads >> np.uint64(64 - SIEVE_BITS)).astype(np.int64) & ((1 << SIEVE_ROW) - 1)] = 1
-        return pa.table(
-            {"row": group.column("row")[:1], "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())}
-        )
-
-    rows = leads.withColumn("row", F.shiftrightunsigned("lead", 64 - row_bits).cast("int"))
-    total = np.zeros((1 << row_bits, (1 << SIEVE_ROW) // 8), dtype=np.uint8)
-    for row in rows.groupBy("row").applyInArrow(place, "row int, bits binary").toLocalIterator():
-        total[row["row"]] = np.frombuffer(row["bits"], dtype=np.uint8)
-    return total.reshape(-1)
-
-
-def passes(bits: np.ndarray, leads: np.ndarray) -> np.ndarray:
-    at = (leads >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)
-    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
-
-
 def repeated_intervals(rows: DataFrame, buckets: int, span: int) -> DataFrame:
     """``key``, ``start``, ``end`` of the bytes to remove from ``rows`` of (key, text)."""
     context = rows.sparkSession.sparkContext
-    shared = context.broadcast(sieve(written(shared_leads(rows, buckets, span))))
+    leads = written(shared_leads(rows, buckets, span))
+    shared = context.broadcast(sieve(leads))
+    forget(leads)
 
     def surround(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for found, keys in stretches(batches, span):
-            lead = gram_hash(*found.tokens())
-            keep = passes(shared.value, lead)
+            keep = passes(shared.value, gram_hash(*found.tokens()))
+            right, left = found.sides()
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(signed(lead[keep])),
+                    right.filter(pa.array(keep)),
+                    left.filter(pa.array(keep)),
                     pa.array(signed(found.contexts()[keep])),
                     pa.array(keys[keep]),
                     pa.array(found.offset[keep]),
                     pa.array((found.offset + found.end - found.start)[keep]),
                 ],
-                names=["lead", "context", "key", "start", "end"],
+                names=["right", "left", "context", "key", "start", "end"],
             )
 
-    around = written(
-        rows.mapInArrow(surround, "lead bigint, context bigint, key bigint, start bigint, end bigint")
-    )
+    columns = "right bigint, left bigint, context bigint, key bigint, start bigint, end bigint"
+    around = written(rows.mapInArrow(surround, columns))
     alike = written(
         around.groupBy("context").agg(
-            F.min("key").alias("low"), F.max("key").alias("high"), F.first("lead").alias("lead")
+            F.min("key").alias("low"),
+            F.max("key").alias("high"),
+            F.min("right").alias("right"),
+            F.min("left").alias("left"),
         )
     )
     repeated = alike.filter("low < high").select("context", "low")
     settled = around.join(repeated, "context").filter("key > low").select("key", "start", "end")
     settled = written(settled)
-
-    several = alike.groupBy("lead").agg(F.count("*").alias("n")).filter("n > 1").select("lead")
-    differing = context.broadcast(sieve(several))
+    forget(around)
+
+    # Different stretches with a side in common may share windows. The smallest document's speak for
+    # all stretches alike.
+    open_sides = [
+        alike.groupBy(side).agg(F.count("*").alias("n")).filter(f"n > 1 AND {side} IS NOT NULL").select(side)
+        for side in ("right", "left")
+    ]
+    spoken = [alike.join(sides, sides.columns[0]).select("context", "low") for sides in open_sides]
+    spoken = written(spoken[0].unionByName(spoken[1]))
+    differing = context.broadcast(sieve(_speakers(spoken)))
+    forget(alike, spoken)
 
     def windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for found, keys in stretches(batches, span):
-            keep = np.flatnonzero(passes(differing.value, gram_hash(*found.tokens())))
+            speaker = mixed(found.contexts() ^ mixed(keys.astype(np.int64).view(np.uint64)))
+            keep = np.flatnonzero(passes(differing.value, speaker))
             many = found.end[keep] - span + 1 - found.start[keep]
             within = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
             start = np.repeat(found.start[keep], many) + within
@@ -275,10 +276,22 @@ def repeated_intervals(rows: DataFrame, buckets: int, span: int) -> DataFrame:
     least = single.groupBy("window").agg(F.min("key").alias("low"), F.max("key").alias("high"))
     least = written(least.filter("low < high").select("window", "low"))
     more = single.join(least, "window").filter("key > low")
-    more = more.select("key", "start", (F.col("start") + span).alias("end"))
+    more = written(more.select("key", "start", (F.col("start") + span).alias("end")))
+    forget(single, least)
     return settled.unionByName(more)
 
 
+def _speakers(spoken: DataFrame) -> DataFrame:
+    """``lead``: one hash for each stretch and its smallest document."""
+
+    def blend(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            stretch, key = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(signed(mixed(stretch ^ mixed(key))))], names=["lead"])
+
+    return spoken.select("context", "low").mapInArrow(blend, "lead bigint")
+
+
 def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Unions of overlapping or adjoining intervals, in order."""
     if not len(starts):
@@ -301,7 +314,7 @@ def remove_repeats(
     base = base.filter("key IS NOT NULL")
     buckets = 4 * max(4, documents.rdd.getNumPartitions())
 
-    found = written(repeated_intervals(base, buckets, span))
+    found = repeated_intervals(base, buckets, span)
     listed = found.groupBy("key").agg(
         F.collect_set(F.struct(F.col("start").alias("s"), F.col("end").alias("e"))).alias("found")
     )
