@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from citelake.llm.hidden_markov import score
 from citelake.llm.host_rules import apply_host_rules
 from citelake.llm.latent_retrieval import contaminated
+from citelake.llm.license_scan import scan_licenses
 from citelake.llm.packing import decompose
 from citelake.llm.parity_join import near_duplicates
 from citelake.llm.shipping import ship
@@ -149,3 +150,8 @@ def op9_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Roles of a tenth of the conversations are not learned from.
     known = rows.filter(F.crc32(F.col("conv_id").cast("string").cast("binary")) % 10 != 0)
     return recover_roles(rows, known).withColumnRenamed("role", "recovered")
+
+
+@query()
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))

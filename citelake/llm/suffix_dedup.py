@@ -306,8 +306,9 @@ def remove_repeats(
     documents: DataFrame, key: str = "doc_id", text: str = "text", span: int = SPAN
 ) -> DataFrame:
     """All columns of ``documents``, with ``n_bytes``, ``n_removed``, ``n_spans``, ``spans`` (start, end)
-    and ``kept`` (the bytes that are left); columns of these names are replaced."""
-    added = ("n_bytes", "n_removed", "n_spans", "spans", "kept")
+    ``kept`` (the bytes that are left) and ``kept_text`` (the same as text, less characters that were cut
+    in two; null where nothing was removed); columns of these names are replaced."""
+    added = tuple(field.name for field in ADDED)
     kept = documents.drop(*added)
     names = kept.columns
     base = kept.select(F.col(key).cast("bigint").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -340,6 +341,7 @@ def remove_repeats(
                     [{"start": s, "end": e} for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
                 )
                 out["kept"].append(left)
+                out["kept_text"].append(left.decode("utf-8", "ignore") if len(left) < len(raw) else None)
             arrays = [
                 pa.array(out[field.name], type=kind) for field, kind in zip(ADDED, ADDED_ARROW, strict=True)
             ]
@@ -358,6 +360,7 @@ ADDED = [
     T.StructField("n_spans", T.LongType()),
     T.StructField("spans", T.ArrayType(INTERVAL)),
     T.StructField("kept", T.BinaryType()),
+    T.StructField("kept_text", T.StringType()),
 ]
 ADDED_ARROW = [
     pa.int64(),
@@ -365,4 +368,5 @@ ADDED_ARROW = [
     pa.int64(),
     pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])),
     pa.binary(),
+    pa.string(),
 ]

@@ -123,7 +123,7 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     span = min(size, len(words))
     factor = powers(FACTOR, span + 1)
-    total = np.full(len(words) - span + 1, factor[span] * np.uint64(span), dtype=np.uint64)
+    total = np.repeat(factor[span : span + 1] * np.uint64(span), len(words) - span + 1)
     for k in range(span):
         total += words[k : len(words) - span + 1 + k] * factor[k]
     return mixed(total)
