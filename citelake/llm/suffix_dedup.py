@@ -40,7 +40,7 @@ from citelake.llm.words import FACTOR, INVERSE, byte_spans, chunks, mixed, power
 
 SPAN = 50
 GRAM = 16
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 1 << 20
 # Documents and suffixes of each that are sampled for the splitters.
 SAMPLED = 2_000
 SAMPLED_SUFFIXES = 64
@@ -272,12 +272,11 @@ def repeated_intervals(rows: DataFrame, buckets: int, span: int) -> DataFrame:
                 names=["window", "key", "start"],
             )
 
-    single = written(rows.mapInArrow(windows, "window bigint, key bigint, start bigint"))
+    # Both sides of the join read one shuffle, whose rows stream by.
+    single = rows.mapInArrow(windows, "window bigint, key bigint, start bigint").repartition("window")
     least = single.groupBy("window").agg(F.min("key").alias("low"), F.max("key").alias("high"))
-    least = written(least.filter("low < high").select("window", "low"))
-    more = single.join(least, "window").filter("key > low")
+    more = single.join(least.filter("low < high").select("window", "low"), "window").filter("key > low")
     more = written(more.select("key", "start", (F.col("start") + span).alias("end")))
-    forget(single, least)
     return settled.unionByName(more)
 
 
