@@ -4,6 +4,9 @@ Words fall into ``CLASSES`` classes by hash, the end of a text is a class of its
 emits a class, and a class a word by its frequency in the training texts; so a state's table has a
 fixed size, while word counts cover the whole vocabulary and stay in a table.
 
+Each class keeps room for words not seen, so training texts should have several times as many tokens
+as there are classes; with fewer, that room costs more than the states gain.
+
     P(text) = sum over state paths of  prod P(state | state before) P(class | state) P(word | class)
 
 Baum-Welch: each task runs forward and backward over its texts and adds up expected counts; the sums

@@ -83,27 +83,33 @@ def plain_words(body: np.ndarray, places: np.ndarray) -> Words:
     return chunk_words(body[kept], before[places])
 
 
-def align(a: list[int], b: list[int]) -> int:
-    """How many words of ``a`` find a partner in ``b``, in order."""
+def align(a: list[int], b: list[int]) -> tuple[int, int, int]:
+    """How many words of ``a`` find a partner in ``b``, in order, and the part of ``b`` they lie in."""
     matched, work = 0, [(0, len(a), 0, len(b))]
+    low, high = len(b), 0
     while work:
         a0, a1, b0, b1 = work.pop()
         while a0 < a1 and b0 < b1 and a[a0] == b[b0]:
+            low, high = min(low, b0), max(high, b0 + 1)
             a0, b0, matched = a0 + 1, b0 + 1, matched + 1
         while a0 < a1 and b0 < b1 and a[a1 - 1] == b[b1 - 1]:
+            low, high = min(low, b1 - 1), max(high, b1)
             a1, b1, matched = a1 - 1, b1 - 1, matched + 1
         if a0 == a1 or b0 == b1:
             continue
         anchors = anchor_chain(a, b, a0, a1, b0, b1)
         if not anchors:
-            matched += common_length(a[a0:a1], b[b0:b1])
+            more = common_length(a[a0:a1], b[b0:b1])
+            if more:
+                matched, low, high = matched + more, min(low, b0), max(high, b1)
             continue
         at_a, at_b = a0, b0
         for i, j in anchors:
             work.append((at_a, i, at_b, j))
             at_a, at_b, matched = i + 1, j + 1, matched + 1
+        low, high = min(low, anchors[0][1]), max(high, anchors[-1][1] + 1)
         work.append((at_a, a1, at_b, b1))
-    return matched
+    return matched, min(low, high), high
 
 
 def anchor_chain(a, b, a0: int, a1: int, b0: int, b1: int) -> list[tuple[int, int]]:
@@ -191,9 +197,9 @@ def scan_licenses(
                     own = words.of(document)
                     best = None
                     for low, high in stretches(spots, known[a:b][use], len(lists[j]), int(least[j])):
-                        matched = align(lists[j], own[low:high].tolist())
+                        matched, begin, end = align(lists[j], own[low:high].tolist())
                         if best is None or matched > best[0]:
-                            best = (matched, low, high)
+                            best = (matched, low + begin, low + end)
                     if best and best[0] >= coverage * len(lists[j]):
                         rows.append((first + int(document), names[j], best[0] / len(lists[j]), *best))
             column = list(zip(*rows, strict=True)) if rows else [[] for _ in range(6)]

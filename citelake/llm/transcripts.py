@@ -36,6 +36,7 @@ START = STATES
 BLOCK_TURNS = 64
 FAN = 64
 SIZES = 16
+MARKED = 0.05  # share of turns taken to begin with their speaker's marker, besides those counted
 # Words that name a speaker at the head of a line.
 SPEAKERS = {
     "system": ("system", "instructions"),
@@ -68,13 +69,21 @@ class Tables:
     def __init__(self, steps: np.ndarray, seen: list[np.ndarray]) -> None:
         """``steps``: counts from state or start to state; ``seen``: counts by feature, state, value."""
         steps = steps + 0.5
+        seen = [x.copy() for x in seen]
+        for role in range(len(ROLES)):  # what a marker says is known beforehand
+            seen[0][2 * role, 1 + role] += max(20.0, MARKED * seen[0][2 * role].sum())
+            seen[0][2 * role + 1, 0] += 20.0
         later = np.arange(STATES) % 2 == 1
         for before in range(STATES + 1):  # a later line follows a line of its own role
             own = later & (np.arange(STATES) // 2 == before // 2) & (before != START)
             steps[before, later & ~own] = 0
         with np.errstate(divide="ignore"):
             self.step = np.log(steps / steps.sum(axis=1, keepdims=True))
-            self.seen = [np.log((x + 0.5) / (x + 0.5).sum(axis=1, keepdims=True)) for x in seen]
+            self.seen = []
+            for x in seen:  # states that were hardly seen lean on what is seen in all
+                common = (x.sum(axis=0) + 0.5) / (x.sum(axis=0) + 0.5).sum()
+                x = x + 2 * common
+                self.seen.append(np.log(x / x.sum(axis=1, keepdims=True)))
 
     def scores(self, features: np.ndarray, begins: np.ndarray) -> np.ndarray:
         """Of line by state."""
