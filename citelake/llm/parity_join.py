@@ -38,6 +38,8 @@ SLOTS_A_ROW = 1 << 12
 # Copies of a small side that rows of a large class are dealt out over; keys compared by one task.
 SALTS = 16
 BLOCK = 512
+# Bits of a sketch for each shingle of the largest set of its band.
+BITS_A_SHINGLE = 4
 # Sets of fewer shingles than this have one part for each shingle.
 SMALL_BAND = 3
 
@@ -134,8 +136,8 @@ def features(shingles: np.ndarray, common: np.ndarray, percent: int) -> list[np.
 
 
 def sketch_bits(shingles: np.ndarray, at: int) -> bytes:
-    """One bit for each part, turned over by every shingle that falls into it."""
-    size = max(64, 4 ** (at + 1))
+    """One bit for each of many small parts, turned over by every shingle that falls into it."""
+    size = BITS_A_SHINGLE * max(16, 4 ** (at + 1))
     place = (mixed(shingles ^ np.uint64(at + 1)) & np.uint64(size - 1)).astype(np.int64)
     return np.packbits((np.bincount(place, minlength=size) & 1).astype(np.uint8)).tobytes()
 
@@ -293,8 +295,8 @@ def _close(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
 def _across(named: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Pairs with close sketches that met in some part and lie in different components.
 
-    Parts with the same members are taken once. Large ones are cut into blocks, and every two blocks
-    are compared by a task of their own.
+    Parts with the same members are taken once, and those with two members were settled with their
+    hub. Large ones are cut into blocks, and every two blocks are compared by a task of their own.
     """
     runs = named.groupBy("part").agg(
         F.min("component").alias("low"),
@@ -303,7 +305,7 @@ def _across(named: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
         F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("one"),
         F.bit_xor(F.xxhash64("key", F.lit(1))).alias("two"),
     )
-    chosen = runs.filter("low < high").groupBy("n_run", "one", "two").agg(F.min("part").alias("part"))
+    chosen = runs.filter("low < high AND n_run > 2").groupBy("n_run", "one", "two").agg(F.min("part").alias("part"))
     chosen = chosen.select("part", F.ceil(F.col("n_run") / BLOCK).cast("int").alias("blocks"))
     members = named.join(chosen, "part").withColumn(
         "block", F.pmod(F.xxhash64("key", F.lit(2)), F.col("blocks")).cast("int")
