@@ -18,8 +18,8 @@ def look_up(
 
     Keys that are crowded in ``rows`` are counted out first. Their rows are dealt out over as many
     parts as they need and the one row on the other side is copied to each part; all other keys
-    have one part. There is at most one crowded key per ``crowded_rows`` rows, so the list of them
-    is short enough to broadcast: a hundred thousand for 10^11 rows.
+    have one part. The part comes from a hash of the row, so that a task run again deals its rows the
+    same way. Adaptive execution broadcasts the list of crowded keys if it turns out short.
     """
     crowded = (
         rows.groupBy(key)
@@ -28,10 +28,10 @@ def look_up(
         .select(key, F.ceil(F.col("_rows") / crowded_rows).alias("_parts"))
     )
     parts = F.coalesce("_parts", F.lit(1))
-    dealt = rows.join(F.broadcast(crowded), key, "left").withColumn(
-        "_part", F.pmod(F.monotonically_increasing_id(), parts)
+    dealt = rows.join(crowded, key, "left").withColumn(
+        "_part", F.pmod(F.xxhash64(*rows.columns), parts)
     )
-    copied = unique.join(F.broadcast(crowded), key, "left").withColumn(
+    copied = unique.join(crowded, key, "left").withColumn(
         "_part", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1))
     )
     return dealt.drop("_parts").join(copied.drop("_parts"), [key, "_part"], "left").drop("_part")

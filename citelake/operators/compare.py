@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from citelake.functions.joins import BROADCAST_ROWS, CROWDED_ROWS, look_up
 from citelake.functions.text import blank_if_missing, same_text, strip_tags
 from citelake.operators.sampling import repeatable_sample, well_described
-from citelake.session import scratch_dir
+
 
 def compare_records(
     records: DataFrame, authority: DataFrame, crowded_rows: int = CROWDED_ROWS
@@ -47,13 +47,9 @@ def compare_sample(
 ) -> DataFrame:
     """Compare a repeatable sample of well-described records.
 
-    The sample is needed in two places and is written out once instead of being drawn twice.
+    The sample is needed in two places; drawn twice it is the same.
     """
-    spark = records.sparkSession
-    path = scratch_dir(spark, "sample")
-    drawn = repeatable_sample(well_described(records), size, seed)
-    drawn.select("PMID", "Title", "DOI").write.parquet(path)
-    sample = spark.read.schema("PMID bigint, Title string, DOI string").parquet(path)
+    sample = repeatable_sample(well_described(records), size, seed).select("PMID", "Title", "DOI")
     ids = sample.select("PMID")
     if size <= BROADCAST_ROWS:
         ids = F.broadcast(ids)

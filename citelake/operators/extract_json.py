@@ -31,10 +31,10 @@ from citelake.schema import (
 def extract_json(documents: DataFrame) -> DataFrame:
     """Parse ``(PMID, JSON[, src])`` rows; every input row gives one output row.
 
-    A document that is no JSON, or lacks a part, yields blanks there and keeps its text.
+    A document that is no JSON, or lacks a part, yields blanks there and keeps its text. Under
+    ``spark.sql.variant.allowDuplicateKeys``, which ``build_session`` sets, a key given twice counts
+    with its last value; without it such a document counts as no JSON.
     """
-    # A key given twice counts with its last value instead of spoiling the document.
-    documents.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     lineage = [LINEAGE_COLUMN] if LINEAGE_COLUMN in documents.columns else []
     parsed = with_computed(
         documents.select(F.col("PMID").cast("string").alias("_id"), "JSON", *lineage),

@@ -36,15 +36,16 @@ def known_records(table: DataFrame, expected: DataFrame) -> DataFrame:
     """Each expected id with whether it is there and has a title.
 
     A short list of ids goes to the table's rows, which stay where they are; a long one meets the
-    table after that is down to one row per id. Either way a crowded id is merged before any
-    shuffle.
+    table in a join by id. Either way a crowded id is merged before its rows are shuffled. An id held
+    several times shows one of its records: that of the latest year, then the last title.
     """
     ids = expected.select("PMID").distinct()
     wanted = table.select("PMID", "Title", "Year")
-    if few_rows(ids):
-        wanted = wanted.join(F.broadcast(ids), "PMID", "left_semi")
-    found = wanted.groupBy("PMID").agg(
-        F.max("Title").alias("Title"), F.max("Year").alias("Year"), F.lit(True).alias("_found")
+    few = F.broadcast(ids) if few_rows(ids) else ids
+    best = F.max(F.struct("Year", "Title")).alias("_best")
+    found = wanted.join(few, "PMID", "left_semi").groupBy("PMID").agg(best)
+    found = found.select(
+        "PMID", F.col("_best.Title").alias("Title"), F.col("_best.Year").alias("Year"), F.lit(True).alias("_found")
     )
     return ids.join(found, "PMID", "left").select(
         "PMID",

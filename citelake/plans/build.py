@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,16 +12,24 @@ from citelake.operators.extract_json import extract_json
 from citelake.operators.extract_xml import extract_xml
 from citelake.operators.record_json import to_documents, to_trees
 from citelake.plans.sinks import (
+    remove_rows,
     write_documents,
     write_metadata,
+    write_rejects,
     write_table,
     write_trees,
 )
-from citelake.schema import LINEAGE_COLUMN, XML_SUFFIX
-from citelake.sources.inputs import input_files, pending_inputs
+from citelake.schema import XML_SUFFIX
+from citelake.sources.inputs import from_number, input_files, pending_inputs
+from citelake.sources.manifest import read_manifest, record_finished
 from citelake.sources.tables import read_documents, read_rejects, read_table
 from citelake.sources.xml_files import read_xml_records
 
+METADATA_SCHEMA = (
+    "total_records bigint, year_distribution map<string, bigint>, schema_version string, "
+    "source string, baseline_date string"
+)
+
 
 def build_from_xml(
     spark: SparkSession,
@@ -34,8 +43,12 @@ def build_from_xml(
     mode: str = "overwrite",
 ) -> DataFrame:
     """Extract every record of the files under ``source`` and write the table to ``root``."""
+    inputs = input_files(spark, source, glob)
+    inputs = inputs if start_from is None else from_number(inputs, start_from)
+    inputs = spark.createDataFrame(inputs.collect(), inputs.schema)  # as they are before the build
     records = read_xml_records(spark, source, glob, start_from, spread)
     write_table(extract_xml(records, doi_scope), root, mode)
+    _finish(spark, inputs, root)
     return read_table(spark, root)
 
 
@@ -45,36 +58,40 @@ def resume_from_xml(
     root: str,
     *,
     glob: str = f"*{XML_SUFFIX}",
+    start_from: int | None = None,
+    spread: int | None = None,
+    exclude: Sequence[str] = (),
     doi_scope: str = "own",
 ) -> DataFrame:
-    """Add the files under ``source`` of which ``root`` holds nothing yet.
+    """Add the files under ``source`` that the manifest of ``root`` does not list as finished.
 
-    A job's files are published when it commits, so after a failed one the same call picks up the
-    same inputs. Only file names reach the driver, which lists the files in any case.
+    The manifest is written after the rows. A file that was interrupted half-way is therefore done
+    again, and what the table held of it is replaced. ``exclude`` names files to leave out, such as
+    damaged ones; they stay unfinished. Only file names reach the driver, which lists the files in any
+    case.
     """
     inputs = input_files(spark, source, glob)
+    if start_from is not None:
+        inputs = from_number(inputs, start_from)
+    if exclude:
+        inputs = inputs.filter(~F.col("name").isin(*exclude))
     repeated = inputs.groupBy("name").count().filter("count > 1").select("name").take(1)
     if repeated:
         # Finished files are known by name, so a second file of a name would be passed over.
         raise ValueError(f"several inputs are named {repeated[0].name}")
-    waiting = pending_inputs(inputs, finished_files(spark, root), done_name=LINEAGE_COLUMN)
-    paths = [row.path for row in waiting.select("path").toLocalIterator()]
+    waiting = pending_inputs(inputs, read_manifest(spark, root))
+    waiting = spark.createDataFrame(waiting.collect(), waiting.schema)  # file names, sizes and times
+    paths = [row.path for row in waiting.select("path").collect()]
     if paths:
-        records = read_xml_records(spark, paths, glob)
+        remove_rows(spark, root, files=waiting.select("name"))
+        records = read_xml_records(spark, paths, glob, spread=spread)
         write_table(extract_xml(records, doi_scope), root, mode="append")
+        _finish(spark, waiting, root)
     return read_table(spark, root)
 
 
-def finished_files(spark: SparkSession, root: str) -> DataFrame:
-    """Names of the inputs that rows of the table, or its rejects, came from."""
-    try:
-        kept = read_table(spark, root).select(LINEAGE_COLUMN)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], f"{LINEAGE_COLUMN} string")
-    set_aside = read_rejects(spark, root).select(LINEAGE_COLUMN)
-    return kept.union(set_aside).distinct()
+def _finish(spark: SparkSession, inputs: DataFrame, root: str) -> None:
+    record_finished(inputs, read_table(spark, root), read_rejects(spark, root), root)
 
 
 def reprocess_documents(
@@ -85,14 +102,19 @@ def reprocess_documents(
     return read_table(spark, root)
 
 
-def build_documents(spark: SparkSession, source: str, path: str) -> None:
-    """Bulk XML to the ``(PMID, JSON)`` form."""
-    write_documents(to_documents(read_xml_records(spark, source)), path)
+def build_documents(spark: SparkSession, source: str, path: str, rejects: str | None = None) -> None:
+    """Bulk XML to the ``(PMID, JSON)`` form; records that cannot be used go to ``rejects``, by default
+    beside ``path``."""
+    documents = to_documents(read_xml_records(spark, source))
+    write_documents(documents, path)
+    write_rejects(documents, rejects or f"{path.rstrip('/')}_rejects")
 
 
-def build_trees(spark: SparkSession, source: str, path: str) -> None:
-    """Bulk XML to the ``(pmid, json, src)`` form."""
-    write_trees(to_trees(read_xml_records(spark, source)), path)
+def build_trees(spark: SparkSession, source: str, path: str, rejects: str | None = None) -> None:
+    """Bulk XML to the ``(pmid, json, src)`` form; rejects as in ``build_documents``."""
+    trees = to_trees(read_xml_records(spark, source))
+    write_trees(trees, path)
+    write_rejects(trees, rejects or f"{path.rstrip('/')}_rejects")
 
 
 def publish_metadata(
@@ -100,7 +122,11 @@ def publish_metadata(
 ) -> DataFrame:
     """Write the metadata of the table under ``root`` and return it."""
     write_metadata(build_metadata(read_table(spark, root), source, baseline_date), path)
-    return spark.read.json(path).withColumn(
-        "year_distribution",
-        F.from_json(F.to_json("year_distribution"), "map<string, bigint>"),
-    )
+    return read_metadata(spark, path)
+
+
+def read_metadata(spark: SparkSession, path: str) -> DataFrame:
+    """The metadata row; parts that the document leaves out are null, but for an empty distribution."""
+    found = spark.read.schema(METADATA_SCHEMA).json(path)
+    none = F.create_map().cast("map<string, bigint>")
+    return found.withColumn("year_distribution", F.coalesce("year_distribution", none))

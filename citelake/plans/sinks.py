@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citelake.functions.numbers import partition_year
 from citelake.schema import LINEAGE_COLUMN, PARTITION_COLUMN, REJECT_SCHEMA, TABLE_COLUMNS
-from citelake.sources.tables import ACCEPTED, OUTCOME_COLUMN, REJECTED
+from citelake.sources.tables import ACCEPTED, OUTCOME_COLUMN, REJECTED, stored_rows
+
+KEYS = [OUTCOME_COLUMN, PARTITION_COLUMN]
 
 
 def write_table(
@@ -24,7 +29,8 @@ def write_table(
     several tasks and merges the sparse ones, which keeps file sizes even. Rows are sorted by id
     inside a year (the write has to sort by directory anyway), so an id lookup can skip row groups.
 
-    ``mode`` "years" replaces only the directories that the new rows fall into.
+    ``mode`` "years" replaces the years that the new rows fall into. Earlier rows of the same ids in
+    other years go as well, and so do earlier rejects of the same files; the rejects of other files stay.
     """
     reason = F.col("reason") if "reason" in extracted.columns else F.lit(None).cast("string")
     raw = F.col("raw") if "raw" in extracted.columns else F.lit(None).cast("string")
@@ -42,20 +48,96 @@ def write_table(
         F.when(usable, ACCEPTED).otherwise(REJECTED).alias(OUTCOME_COLUMN),
         F.when(usable, partition_year(F.col("Year"))).otherwise(0).alias(PARTITION_COLUMN),
     )
-    keys = [OUTCOME_COLUMN, PARTITION_COLUMN]
+    options = {"compression": compression, "maxRecordsPerFile": max_records_per_file}
+    if mode != "years":
+        _write(rows, root, mode, "static", options)
+        return
+    spark, staging = extracted.sparkSession, f"{root}/_staging/{uuid.uuid4().hex}"
+    _write(rows, staging, "overwrite", "static", options)
+    new = stored_rows(spark, staging)
+    accepted, rejected = (new.filter(F.col(OUTCOME_COLUMN) == x) for x in (ACCEPTED, REJECTED))
+    remove_rows(
+        spark,
+        root,
+        ids=accepted.filter("PMID != 0").select("PMID"),
+        reject_files=new.select(LINEAGE_COLUMN),
+    )
+    _write(accepted, root, "overwrite", "dynamic", options)
+    _write(rejected, root, "append", "static", options)
+    _delete(spark, staging)
+
+
+def remove_rows(
+    spark: SparkSession,
+    root: str,
+    *,
+    files: DataFrame | None = None,
+    ids: DataFrame | None = None,
+    reject_files: DataFrame | None = None,
+) -> None:
+    """Take rows out of a table: those of ``files``, those of ``ids``, the rejects of ``reject_files``.
+
+    Only directories that hold such rows are written anew. The list of directories is what reaches
+    the driver.
+    """
+    try:
+        stored = stored_rows(spark, root)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return
+    doomed = []
+    for listed, column, outcome in (
+        (files, LINEAGE_COLUMN, None),
+        (ids, "PMID", ACCEPTED),
+        (reject_files, LINEAGE_COLUMN, REJECTED),
+    ):
+        if listed is not None:
+            doomed.append((listed.toDF(column).distinct(), column, outcome))
+
+    def hit(rows: DataFrame, how: str, only: tuple[DataFrame, str, str | None]) -> DataFrame:
+        listed, column, outcome = only
+        if outcome is None:
+            return rows.join(listed, column, how)
+        listed = listed.withColumn(OUTCOME_COLUMN, F.lit(outcome))
+        return rows.join(listed, [column, OUTCOME_COLUMN], how)
+
+    touched = {
+        tuple(row) for only in doomed for row in hit(stored, "left_semi", only).select(*KEYS).distinct().collect()
+    }
+    if not touched:
+        return
+    listed = spark.createDataFrame(sorted(touched), f"{OUTCOME_COLUMN} string, {PARTITION_COLUMN} int")
+    kept = stored.join(F.broadcast(listed), KEYS, "left_semi")
+    for only in doomed:
+        kept = hit(kept, "left_anti", only)
+    staging = f"{root}/_staging/{uuid.uuid4().hex}"
+    _write(kept.select(stored.columns), staging, "overwrite", "static", {})
+    again = stored_rows(spark, staging)
+    left = {tuple(row) for row in again.select(*KEYS).distinct().collect()}
+    _write(again, root, "overwrite", "dynamic", {})
+    for outcome, year in touched - left:
+        _delete(spark, f"{root}/{OUTCOME_COLUMN}={outcome}/{PARTITION_COLUMN}={year}")
+    _delete(spark, staging)
+
+
+def _write(rows: DataFrame, path: str, mode: str, overwrite: str, options: dict) -> None:
     writer = (
-        rows.hint("rebalance", *keys)
-        .sortWithinPartitions(*keys, "PMID")
-        .write.mode("overwrite" if mode == "years" else mode)
-        .option("compression", compression)
-        .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy(*keys)
+        rows.hint("rebalance", *KEYS)
+        .sortWithinPartitions(*KEYS, "PMID")
+        .write.mode(mode)
+        .options(**options)
+        .partitionBy(*KEYS)
     )
-    if mode in ("overwrite", "years"):
-        writer = writer.option(
-            "partitionOverwriteMode", "dynamic" if mode == "years" else "static"
-        )
-    writer.parquet(root)
+    if mode == "overwrite":
+        writer = writer.option("partitionOverwriteMode", overwrite)
+    writer.parquet(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder that the table's own steps have made."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
 def write_documents(documents: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -6,7 +6,6 @@ from pyspark.sql import types as T
 RECORD_TAG = "PubmedArticle"
 CITATION_TAG = "MedlineCitation"
 DATA_TAG = "PubmedData"
-LISTING_PATTERN = r"pubmed\d+n\d+\.xml\.gz"
 FILE_NUMBER_PATTERN = r"n(\d+)"
 XML_SUFFIX = ".xml.gz"
 SCHEMA_VERSION = "2.0"
@@ -48,6 +47,18 @@ REJECT_SCHEMA = T.StructType(
     ]
 )
 
+# Hidden from scans of the table: a leading underscore is passed over.
+MANIFEST_FOLDER = "_manifest"
+MANIFEST_SCHEMA = T.StructType(
+    [
+        T.StructField("name", T.StringType()),
+        T.StructField("bytes", T.LongType()),
+        T.StructField("modified", T.TimestampType()),
+        T.StructField("accepted", T.LongType()),
+        T.StructField("rejected", T.LongType()),
+    ]
+)
+
 DOCUMENT_SCHEMA = T.StructType(
     [T.StructField("PMID", T.StringType()), T.StructField("JSON", T.StringType())]
 )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -34,11 +32,9 @@ def build_session(master: str | None = None, name: str = "citelake", **conf: str
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path under the cluster's shared checkpoint folder.
+    """A fresh path in a folder that all executors share.
 
-    Only a session without one (a test on one machine) gets a local temporary folder.
+    That is ``spark.checkpoint.dir``, or the warehouse where it is unset.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/citelake/{label}-{uuid.uuid4().hex}"
-    return os.path.join(tempfile.mkdtemp(prefix="citelake-"), label)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/citelake/{label}-{uuid.uuid4().hex}"

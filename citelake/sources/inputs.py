@@ -6,14 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citelake.functions.text import output_stem
-from citelake.schema import LISTING_PATTERN, XML_SUFFIX
+from citelake.schema import XML_SUFFIX
 from citelake.sources.xml_files import file_number
 
 
-def names_in_listing(
-    listing: DataFrame, text: str = "value", pattern: str = LISTING_PATTERN
-) -> DataFrame:
-    """Distinct input names found in listing text, in order."""
+def names_in_listing(listing: DataFrame, pattern: str, text: str = "value") -> DataFrame:
+    """Distinct input names that match ``pattern`` in listing text, in order."""
     found = F.explode(F.regexp_extract_all(F.col(text), F.lit(f"({pattern})"), F.lit(1)))
     return listing.select(found.alias("name")).distinct().orderBy("name")
 

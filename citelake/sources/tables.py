@@ -29,10 +29,15 @@ _STORED = T.StructType(
 )
 
 
+def records_path(root: str) -> str:
+    """The folder that holds records and nothing else, for any engine's ``**/*.parquet``."""
+    return f"{root.rstrip('/')}/{OUTCOME_COLUMN}={ACCEPTED}"
+
+
 def read_table(spark: SparkSession, root: str) -> DataFrame:
     """The table columns plus ``src`` and the partition column ``pub_year``."""
     return (
-        _stored(spark, root)
+        stored_rows(spark, root)
         .filter(F.col(OUTCOME_COLUMN) == ACCEPTED)
         .select(*TABLE_COLUMNS, LINEAGE_COLUMN, PARTITION_COLUMN)
     )
@@ -40,7 +45,7 @@ def read_table(spark: SparkSession, root: str) -> DataFrame:
 
 def read_rejects(spark: SparkSession, root: str) -> DataFrame:
     return (
-        _stored(spark, root)
+        stored_rows(spark, root)
         .filter(F.col(OUTCOME_COLUMN) == REJECTED)
         .select(*REJECT_SCHEMA.fieldNames())
     )
@@ -95,5 +100,6 @@ def register(table: DataFrame, name: str = "citations") -> None:
     pruned_by_year(table).createOrReplaceTempView(name)
 
 
-def _stored(spark: SparkSession, root: str) -> DataFrame:
+def stored_rows(spark: SparkSession, root: str) -> DataFrame:
+    """Accepted and rejected rows as they are stored."""
     return spark.read.schema(_STORED).parquet(root)

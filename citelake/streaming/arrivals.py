@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from citelake.operators.extract_xml import extract_xml
-from citelake.plans.build import finished_files
-from citelake.plans.sinks import write_table
+from citelake.plans.sinks import remove_rows, write_table
 from citelake.schema import LINEAGE_COLUMN, XML_SUFFIX
+from citelake.sources.inputs import input_files, pending_inputs
+from citelake.sources.manifest import read_manifest, record_finished
+from citelake.sources.tables import read_rejects, read_table
 from citelake.sources.xml_files import RECORD_END, split_chunks
 
 
@@ -40,16 +42,27 @@ def follow(
     """Append each batch of new files to ``root``; ``checkpoint`` remembers which were seen.
 
     A batch that was written but not recorded before a failure is offered again, and only as the
-    first batch after a start. In that one, files the table already holds are passed over.
+    first batch after a start. In that one, files that the manifest lists as finished are passed over,
+    and what the table holds of others is replaced. The names of a batch's files, at most
+    ``files_per_batch``, reach the driver.
     """
     may_repeat = True
 
     def add(batch: DataFrame, _: int) -> None:
         nonlocal may_repeat
+        session = batch.sparkSession
+        inputs = input_files(session, source, glob)
+        names = batch.select(F.col(LINEAGE_COLUMN).alias("name")).distinct()
+        inputs = inputs.join(F.broadcast(names), "name", "left_semi")
         if may_repeat:
-            held = finished_files(batch.sparkSession, root)
-            batch = batch.join(held, LINEAGE_COLUMN, "left_anti")
+            inputs = pending_inputs(inputs, read_manifest(session, root))
+        inputs = session.createDataFrame(inputs.collect(), inputs.schema)
+        if may_repeat:
+            remove_rows(session, root, files=inputs.select("name"))
+            waiting = inputs.select(F.col("name").alias(LINEAGE_COLUMN))
+            batch = batch.join(F.broadcast(waiting), LINEAGE_COLUMN, "left_semi")
         write_table(extract_xml(batch, doi_scope), root, mode="append")
+        record_finished(inputs, read_table(session, root), read_rejects(session, root), root)
         may_repeat = False
 
     writer = (

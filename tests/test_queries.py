@@ -198,7 +198,7 @@ def test_inputs(spark):
         [("<a>pubmed25n0002.xml.gz</a> pubmed25n0001.xml.gz.md5",), ("pubmed25n0002.xml.gz",)],
         "value string",
     )
-    names = names_in_listing(listing)
+    names = names_in_listing(listing, r"pubmed\d+n\d+\.xml\.gz")
     assert [r.name for r in names.collect()] == ["pubmed25n0001.xml.gz", "pubmed25n0002.xml.gz"]
     assert [r.name for r in from_number(names, 2).collect()] == ["pubmed25n0002.xml.gz"]
     done = spark.createDataFrame([("pubmed25n0001.parquet",)], "name string")

@@ -340,7 +340,7 @@ def strip_page_tags(spark, sf_dir):
     "FROM pages"
 )
 def listing_names(spark, sf_dir):
-    return names_in_listing(table(spark, sf_dir, "pages"), "html", r"[a-z]+\.example\.[a-z]+")
+    return names_in_listing(table(spark, sf_dir, "pages"), r"[a-z]+\.example\.[a-z]+", "html")
 
 
 @query("SELECT PMID, substring(trim(Title), 1, 60) AS preview FROM {citations}")
