@@ -12,8 +12,10 @@ from citelake.operators.record_json import to_documents, to_trees
 from citelake.plans.build import build_from_xml, reprocess_documents, resume_from_xml
 from citelake.plans.sinks import write_documents, write_rejects, write_table, write_trees
 from citelake.schema import CITATION_TAG, DATA_TAG, RECORD_TAG
-from citelake.sources.tables import read_rejects, read_table
-from citelake.sources.xml_files import RECORD_END, split_chunks
+from citelake.sources.inputs import input_files, pending_inputs
+from citelake.sources.manifest import read_manifest
+from citelake.sources.tables import read_rejects, read_table, records_path
+from citelake.sources.xml_files import RECORD_END, read_xml_records, split_chunks
 from citelake.streaming.arrivals import follow
 from workload.registry import query
 from workload.shapes import (
@@ -435,6 +437,62 @@ def resumed_build(spark, sf_dir):
     return built.select("PMID", "Title", "DOI", "Year")
 
 
+@query("SELECT PMID, Title, DOI, Year FROM {citations}")
+def resumed_after_partial_commit(spark, sf_dir):
+    """The table holds half of each file's records and no manifest; resuming replaces them."""
+    files, root = scratch(spark, "files"), scratch(spark, "table")
+    write_xml_files(plain_records(spark, sf_dir), files)
+    half = extract_xml(read_xml_records(spark, files, "*.gz")).filter("PMID % 2 = 0")
+    write_table(half, root)
+    built = resume_from_xml(spark, files, root, glob="*.gz")
+    return built.select("PMID", "Title", "DOI", "Year")
+
+
+@query("SELECT PMID, Title, DOI, Year FROM {citations}")
+def followed_after_partial_commit(spark, sf_dir):
+    """As above, for the standing build."""
+    files, root = scratch(spark, "files"), scratch(spark, "table")
+    write_xml_files(plain_records(spark, sf_dir), files)
+    write_table(extract_xml(read_xml_records(spark, files, "*.gz")).filter("PMID % 2 = 0"), root)
+    follow(spark, files, root, scratch(spark, "seen"), glob="*.gz").awaitTermination()
+    return read_table(spark, root).select("PMID", "Title", "DOI", "Year")
+
+
+@query("SELECT count(*) AS records, CAST(0 AS BIGINT) AS pending FROM {citations}")
+def resumed_with_empty_file(spark, sf_dir):
+    """A file without records counts as finished."""
+    files, root = scratch(spark, "files"), scratch(spark, "table")
+    write_xml_files(plain_records(spark, sf_dir), files)
+    spark.createDataFrame([("<empty/>",)], "value string").coalesce(1).write.mode("append").option(
+        "compression", "gzip"
+    ).text(files)
+    resume_from_xml(spark, files, root, glob="*.gz")
+    pending = pending_inputs(input_files(spark, files, "*.gz"), read_manifest(spark, root))
+    counted = read_table(spark, root).agg(F.count("*").alias("records"))
+    return counted.withColumn("pending", F.lit(pending.count()).cast("bigint"))
+
+
+@query("SELECT count(*) AS records FROM documents WHERE doc_id % 7 >= 4")
+def foreign_scan(spark, sf_dir):
+    """A recursive scan of the documented folder, as another engine does it, meets records only."""
+    root = scratch(spark, "table")
+    write_table(extract_xml(split_chunks(_chunks(spark, sf_dir))), root)
+    scan = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    return scan.parquet(records_path(root)).agg(F.count("*").alias("records"))
+
+
+@query(
+    f"SELECT source AS src, {_BROKEN} AS reason, count(*) AS records FROM documents "
+    f"WHERE {_BROKEN} IS NOT NULL GROUP BY ALL"
+)
+def rejects_of_two_writes(spark, sf_dir):
+    """Replacing years with the records of some files leaves the rejects of the others."""
+    rows, root = extract_xml(split_chunks(_chunks(spark, sf_dir))), scratch(spark, "table")
+    write_table(rows, root)
+    write_table(rows.filter("src IN ('src1', 'src2', 'src3')"), root, mode="years")
+    return aggregates.reject_tally(read_rejects(spark, root))
+
+
 @query(AS_VIEW + " FROM {citations}")
 def documents_round_trip(spark, sf_dir):
     """Record XML to the older JSON documents, and those to the table."""

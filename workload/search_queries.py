@@ -9,6 +9,7 @@ from citelake.functions.numbers import date_text, digits_only, leading_year, tol
 from citelake.functions.text import output_stem, present, strip_chars, strip_tags, title_preview
 from citelake.operators import aggregates, compare, quality, sampling
 from citelake.operators.search import count_rows, in_years, search, title_has, without_year
+from citelake.plans.build import publish_metadata
 from citelake.plans.sinks import write_metadata, write_table
 from citelake.sources.inputs import from_number, names_in_listing, pending_inputs
 from citelake.sources.tables import read_table, read_year_layout, register
@@ -437,6 +438,46 @@ def replace_years(spark, sf_dir):
     return read_table(spark, root).select("PMID", "Title", "Year", "Journal")
 
 
+@query(
+    "SELECT PMID, Title, CAST(CASE WHEN PMID % 3 = 0 THEN Year + 1 ELSE Year END AS INT) AS Year "
+    "FROM {citations} WHERE PMID % 3 = 0 OR Year <= 1980 OR Year IS NULL OR Year > 1991"
+)
+def replace_moved_years(spark, sf_dir):
+    """Records whose year has changed are written to their new years and leave the old ones."""
+    rows, root = citations(spark, sf_dir), scratch(spark, "table")
+    rows = rows.filter("PMID % 3 = 0 OR Year <= 1980 OR Year IS NULL OR Year > 1991")
+    write_table(rows, root)
+    moved = rows.withColumn("Year", F.expr("CAST(CASE WHEN PMID % 3 = 0 THEN Year + 1 ELSE Year END AS INT)"))
+    write_table(moved, root, mode="years")
+    return read_table(spark, root).select("PMID", "Title", "Year")
+
+
+@query(
+    "SELECT doc_id % 5 AS PMID, true AS found, true AS titled, "
+    "left(Title, 60) AS preview, Year FROM (SELECT PMID AS doc_id, Title, Year, row_number() OVER (PARTITION BY PMID % 5 "
+    "ORDER BY Year DESC NULLS LAST, Title DESC) AS place FROM {citations}) WHERE place = 1"
+)
+def known_repeated_ids(spark, sf_dir):
+    """Ids held many times: title and year come from one and the same record."""
+    rows = citations(spark, sf_dir).withColumn("PMID", F.expr("PMID % 5"))
+    expected = spark.range(5).select(F.col("id").alias("PMID"))
+    return quality.known_records(rows, expected)
+
+
+@query(
+    "SELECT count(*) AS total_records, CAST(NULL AS VARCHAR) AS baseline_date, CAST(0 AS BIGINT) AS years "
+    "FROM {citations} WHERE PMID < 0"
+)
+def metadata_of_nothing(spark, sf_dir):
+    """The metadata document of an empty table, without a date."""
+    root = scratch(spark, "table")
+    write_table(citations(spark, sf_dir).filter("PMID < 0"), root)
+    found = publish_metadata(spark, root, scratch(spark, "metadata"), "none")
+    return found.select(
+        "total_records", "baseline_date", F.size("year_distribution").cast("bigint").alias("years")
+    )
+
+
 @query("SELECT PMID, Title, Year, CAST(coalesce(Year, 0) AS INT) AS pub_year FROM {citations}")
 def year_layout(spark, sf_dir):
     """A table whose directories are named ``year`` beside a stored ``Year`` with nulls."""
