@@ -22,6 +22,7 @@ from citelake.plans.build import (
 from citelake.plans.sinks import write_table
 from citelake.schema import TABLE_SCHEMA
 from citelake.sources.inputs import input_files
+from citelake.sources.manifest import read_manifest
 from citelake.sources.tables import read_rejects, read_table, read_year_layout, register
 from citelake.sources.xml_files import read_xml_records
 from citelake.streaming.arrivals import follow
@@ -276,3 +277,60 @@ def test_input_listing_reads_no_content(spark, inputs):
         "bulk25n0002.xml.gz",
     ]
     assert "content" not in files._jdf.queryExecution().executedPlan().toString()
+
+
+def test_manifest_lists_what_was_read(spark, inputs, tmp_path, write_gzip):
+    root = str(tmp_path / "table")
+    write_gzip(f"{inputs}/bulk25n0009.xml.gz", "<empty/>")
+    resume_from_xml(spark, inputs, root, exclude=["bulk25n0002.xml.gz"])
+    lines = {r.name: (r.accepted, r.rejected) for r in read_manifest(spark, root).collect()}
+    assert "bulk25n0002.xml.gz" not in lines and lines["bulk25n0009.xml.gz"] == (0, 0)
+    resume_from_xml(spark, inputs, root)
+    assert read_manifest(spark, root).count() == 3
+    table, rejects = read_table(spark, root), read_rejects(spark, root)
+    total = read_manifest(spark, root).agg(F.sum("accepted"), F.sum("rejected")).first()
+    assert tuple(total) == (table.count(), rejects.count())
+
+
+def test_half_a_file_is_done_again(spark, inputs, tmp_path):
+    whole = sorted(r.PMID for r in resume_from_xml(spark, inputs, str(tmp_path / "whole")).collect())
+    for number, resume in enumerate((resume_from_xml, None)):
+        root = str(tmp_path / f"table{number}")
+        write_table(extract_xml(read_xml_records(spark, inputs)).limit(1), root)
+        if resume:
+            resume(spark, inputs, root)
+        else:
+            follow(spark, inputs, root, str(tmp_path / "seen")).awaitTermination()
+        assert sorted(r.PMID for r in read_table(spark, root).collect()) == whole
+
+
+def test_replacing_years_moves_ids_and_keeps_other_rejects(spark, tmp_path):
+    root = str(tmp_path / "table")
+    schema = "PMID bigint, Title string, Year int, src string, raw string, reason string"
+
+    def rows(*values):
+        frame = spark.createDataFrame(list(values), schema)
+        missing = [f for f in TABLE_SCHEMA.fields if f.name not in frame.columns]
+        return frame.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
+
+    write_table(
+        rows(
+            (1, "a", 2000, "f1", None, None),
+            (2, "b", 2000, "f1", None, None),
+            (3, "c", 1999, "f2", None, None),
+            (None, None, None, "f1", "<x", "bad"),
+            (None, None, None, "f2", "<y", "bad"),
+        ),
+        root,
+    )
+    write_table(rows((3, "c2", 2001, "f2", None, None), (1, "a2", 2002, "f2", None, None)), root, mode="years")
+    got = sorted((r.PMID, r.Title, r.Year) for r in read_table(spark, root).collect())
+    assert got == [(1, "a2", 2002), (2, "b", 2000), (3, "c2", 2001)]
+    assert [r.src for r in read_rejects(spark, root).collect()] == ["f1"]
+
+
+def test_metadata_of_an_empty_table(spark, tmp_path):
+    root = str(tmp_path / "table")
+    write_table(spark.createDataFrame([], TABLE_SCHEMA), root)
+    row = publish_metadata(spark, root, str(tmp_path / "meta"), "none").first()
+    assert (row.total_records, row.year_distribution, row.baseline_date) == (0, {}, None)
