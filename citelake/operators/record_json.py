@@ -6,7 +6,7 @@ differ only in how that tree is spelled as JSON.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +19,7 @@ from citelake.functions.markup import (
 from citelake.functions.numbers import tolerant_int
 from citelake.functions.once import with_computed
 from citelake.operators.extract_xml import MALFORMED, NOT_CLOSED
-from citelake.schema import CITATION_TAG, DATA_TAG, LINEAGE_COLUMN
+from citelake.schema import CITATION_TAG, DATA_TAG, LINEAGE_COLUMN, RECORD_TAG
 
 # The element and attribute names of the record format. Elements that may hold
 # inline markup (bold, sub- and superscript, formulas) are read with all their text.
@@ -127,12 +127,13 @@ def to_documents(records: DataFrame, schema: str = RECORD_SCHEMA) -> DataFrame:
     """``(PMID, JSON, src, raw, reason)``: attributes as ``@name``, text beside them as ``#text``.
 
     A tag that occurs once is a value and one that occurs more often a list, as the readers of
-    this form expect.
+    this form expect. A record with elements, attributes or nested lists that the schema does not name
+    carries its XML as ``#raw`` besides, so that nothing is lost.
     """
     tree, kind = _parse(records, schema)
     return tree.select(
         F.coalesce(F.col("_record")[CITATION_TAG]["PMID"]["#text"], F.lit("")).alias("PMID"),
-        F.when(F.col("reason").isNull(), F.expr(_document("_record", kind))).alias("JSON"),
+        F.when(F.col("reason").isNull(), _with_raw(F.expr(_document("_record", kind)))).alias("JSON"),
         LINEAGE_COLUMN,
         "raw",
         "reason",
@@ -140,11 +141,12 @@ def to_documents(records: DataFrame, schema: str = RECORD_SCHEMA) -> DataFrame:
 
 
 def to_trees(records: DataFrame, schema: str = RECORD_SCHEMA) -> DataFrame:
-    """``(pmid, json, src, raw, reason)``: no attributes, and lists wherever the format has one."""
+    """``(pmid, json, src, raw, reason)``: no attributes, and lists wherever the format has one; ``#raw``
+    as in ``to_documents``."""
     tree, kind = _parse(records, schema)
     return tree.select(
         tolerant_int(F.col("_record")[CITATION_TAG]["PMID"]["#text"]).alias("pmid"),
-        F.when(F.col("reason").isNull(), F.expr(_tree("_record", kind))).alias("json"),
+        F.when(F.col("reason").isNull(), _with_raw(F.expr(_tree("_record", kind)))).alias("json"),
         LINEAGE_COLUMN,
         "raw",
         "reason",
@@ -167,14 +169,63 @@ def _parse(records: DataFrame, schema: str) -> tuple[DataFrame, T.StructType]:
     )
     broken = F.coalesce(F.col("_record")[_MALFORMED_COLUMN], F.col("_given")).isNotNull()
     reason = F.when(~F.col("_closed"), NOT_CLOSED).when(broken, MALFORMED)
+    kind = parsed.schema["_record"].dataType
+    kind = T.StructType([f for f in kind.fields if f.name != _MALFORMED_COLUMN])
     tree = parsed.select(
         LINEAGE_COLUMN,
         F.when(reason.isNotNull(), F.col("raw")).alias("raw"),
         reason.alias("reason"),
         F.when(reason.isNull(), F.col("_record")).alias("_record"),
+        F.when(reason.isNull() & _unnamed(F.col("_flat"), F.col("_record"), kind), F.col("raw")).alias("_raw"),
+    )
+    return tree, kind
+
+
+def _names(kind: T.DataType) -> set[str]:
+    """All names of the schema, attributes with their prefix."""
+    if isinstance(kind, T.ArrayType):
+        return _names(kind.elementType)
+    if not isinstance(kind, T.StructType):
+        return set()
+    return set(kind.fieldNames()).union(*[_names(f.dataType) for f in kind.fields])
+
+
+def _unnamed(flat: Column, record: Column, kind: T.StructType) -> Column:
+    """Whether the XML has names that the schema lacks, or lists nested deeper than it goes."""
+    known = _names(kind) | {RECORD_TAG}
+
+    def beyond(pattern: str, names: list[str]) -> Column:
+        found = F.array_distinct(F.regexp_extract_all(flat, F.lit(pattern), F.lit(1)))
+        return F.size(F.array_except(found, F.array(*map(F.lit, sorted(names))))) > 0
+
+    elements = beyond(r"<([A-Za-z_][\w.:-]*)", [n for n in known if n[0] not in "@#"])
+    attributes = beyond(
+        r"<[A-Za-z_][^<>]*?\s([A-Za-z_][\w.:-]*)\s*=", [n[1:] for n in known if n[0] == "@"] or [""]
+    ) | beyond(r"""["']\s+([A-Za-z_][\w.:-]*)\s*=\s*["'][^<>]*>""", [n[1:] for n in known if n[0] == "@"] or [""])
+    unnamed = elements | attributes
+    if DATA_TAG in kind.fieldNames() and "ReferenceList" in kind[DATA_TAG].dataType.fieldNames():
+        lists = record[DATA_TAG]["ReferenceList"]
+        held = F.coalesce(F.size(lists), F.lit(0)) + F.coalesce(
+            F.aggregate(
+                lists,
+                F.lit(0),
+                lambda total, x: total + F.greatest(F.coalesce(F.size(x["ReferenceList"]), F.lit(0)), F.lit(0)),
+            ),
+            F.lit(0),
+        )
+        unnamed = unnamed | (F.regexp_count(flat, F.lit(r"<ReferenceList[\s>]")) > F.greatest(held, F.lit(0)))
+    return F.coalesce(unnamed, F.lit(False))
+
+
+def _with_raw(spelled: Column) -> Column:
+    """Put ``#raw`` behind the other keys of an object."""
+    text = F.to_json(F.array("_raw"))
+    text = F.substr(text, F.lit(2), F.length(text) - 2)
+    start = F.substr(spelled, F.lit(1), F.length(spelled) - 1)
+    comma = F.when(spelled == "{}", "").otherwise(",")
+    return F.when(F.col("_raw").isNull(), spelled).otherwise(
+        F.concat(start, comma, F.lit('"#raw":'), text, F.lit("}"))
     )
-    kind = tree.schema["_record"].dataType
-    return tree, T.StructType([f for f in kind.fields if f.name != _MALFORMED_COLUMN])
 
 
 # The spelling of a tree follows its schema and is long, so it is put together as SQL text.

@@ -95,3 +95,22 @@ def test_filters_do_not_repeat_the_parse(spark):
     for frame in (to_documents(records(spark, FULL)), to_trees(records(spark, FULL))):
         plan = frame.filter("reason IS NULL")._jdf.queryExecution().executedPlan().toString()
         assert plan.count("from_xml(") == 2
+
+
+def test_what_the_schema_lacks_is_kept(spark):
+    deep = "<ReferenceList><ReferenceList><ReferenceList><Title>t</Title></ReferenceList></ReferenceList></ReferenceList>"
+    cases = {
+        "element": record(citation="<Novel>text</Novel>"),
+        "attribute": record(journal='<Title Novel="x">J</Title>'),
+        "second attribute": record(pmid='<PMID Version="1" Novel="x">1</PMID>'),
+        "nesting": record(data=deep),
+        "data": record(data="<NewChild/>"),
+    }
+    for spell in (to_documents, to_trees):
+        rows = spell(records(spark, *cases.values())).collect()
+        for row, raw in zip(rows, cases.values(), strict=True):
+            assert json.loads(row[1])["#raw"] == raw
+    plain = one(to_documents(records(spark, FULL)))
+    assert "#raw" not in json.loads(plain.JSON)
+    text = record(title="<ArticleTitle>a = 'b' and x=\"y\" > z</ArticleTitle>")
+    assert "#raw" not in json.loads(one(to_documents(records(spark, text))).JSON)
