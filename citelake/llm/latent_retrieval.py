@@ -4,13 +4,19 @@
 2. Randomised SVD of the TF-IDF matrix of all passages: each task multiplies its passages into a
    random matrix and back, the products of fixed size are added up, and an orthonormal basis of their
    sum spans the corpus's latent directions.
-3. Overlapping windows of every document are compared with all benchmark items. The leading latent
-   directions of a corpus say what a passage is about but not which passage it is; so the cosine is
-   taken in the basis of these directions together with the items' own, and the part within the
-   latent directions counts a fifth of it again.
-4. Candidates are checked word by word: the longest common subsequence with the item must cover
-   ``LCS_SHARE`` of the item, or ``PARAPHRASE_SHARE`` if the answer is found as well. Where the
-   benchmark has no answers, an item's last sentence stands for its answer.
+3. Items of more than ``WHOLE`` words are cut into pieces of about ``PIECE``. A stretch of a document becomes
+   a candidate if it holds half of a whole item's words, or a third of a piece's. That counts the item's own
+   words, so neither its length nor the words beside a copy matter. A known number of the rarest words must
+   then be there, so only these are looked up at first; this drops nothing.
+4. Around the candidates, stretches of twice the item's length are checked word by word: the longest common
+   subsequence with the whole item must cover ``LCS_SHARE`` of the item, or ``PARAPHRASE_SHARE`` if the answer
+   is found in or near the stretch as well and ``score`` is at least ``SCORE``. ``score`` is the share of the
+   item's own squared TF-IDF weight that the stretch holds; the cosine of that part with the item in the
+   latent directions counts a fifth of it. Where the benchmark has no answers, an item's last sentence stands
+   for its answer.
+
+What covers ``LCS_SHARE`` of an item is found if it lies in at most 1.8 times the item's length; so is what
+covers ``PARAPHRASE_SHARE`` of a whole item, and of one in pieces if it lies in at most the item's length.
 
 Items are taken in blocks of ``BLOCK_ITEMS``, so that what is sent to the tasks has a fixed size.
 
@@ -34,9 +40,10 @@ from citelake.llm.words import byte_spans, chunk_words, chunks, column_words
 BINS = 1 << 20
 LATENT_BINS = 1 << 14
 RANK, SPARE = 24, 8
-WINDOW, STRIDE = 32, 16
+WINDOW = 32
+WHOLE, PIECE = 96, 64
 BLOCK_ITEMS = 512
-COSINE, SCORE, LATENT_WEIGHT = 0.3, 0.4, 0.2
+SCORE, LATENT_WEIGHT = 0.4, 0.2
 LCS_SHARE, PARAPHRASE_SHARE, ANSWER_SHARE = 0.75, 0.5, 0.8
 COUNTS_A_ROW = 1 << 14
 
@@ -150,11 +157,19 @@ def windows(places: np.ndarray, window: int, stride: int) -> tuple[np.ndarray, n
 class Items:
     """A block of benchmark items as the tasks need it."""
 
-    rows: np.ndarray  # bin -> row of weights, or -1
-    weights: np.ndarray  # row by item, each item of unit length
-    latent: np.ndarray  # rank by item, each of unit length
+    rows: np.ndarray  # bin -> row of the items' words, or -1
+    first: np.ndarray  # where a row's pieces begin in ``piece`` and ``times``
+    piece: np.ndarray  # pieces that have the row among their rarest words
+    times: np.ndarray  # how often they have it there
+    size: np.ndarray  # of each piece, in words
+    least: np.ndarray  # how many of its words a candidate holds
+    need: np.ndarray  # and how many of its rarest
+    cells: np.ndarray  # length of a candidate in lengths of the piece
+    item: np.ndarray  # the piece's item
+    held: list[dict[int, int]]  # row -> how often the piece has it
     words: list[list[int]]
     answers: list[list[int]]
+    bins: list[np.ndarray]
 
 
 def last_sentence(text: str | None) -> str:
@@ -162,26 +177,45 @@ def last_sentence(text: str | None) -> str:
     return parts[-1] if parts else ""
 
 
-def prepare(texts: list[str], answers: list[str], idf: np.ndarray, basis: np.ndarray) -> Items:
+def prepare(texts: list[str], answers: list[str], idf: np.ndarray) -> Items:
     found = column_words(pa.array(texts, pa.string()))
     asked = column_words(pa.array(answers, pa.string()))
     bins = bins_of(found.hashes)
     used = np.unique(bins)
     rows = np.full(BINS, -1, dtype=np.int32)
     rows[used] = np.arange(len(used))
-    weights = np.zeros((len(used), len(texts)), dtype=np.float32)
-    owner = np.repeat(np.arange(len(texts)), np.diff(found.places))
-    np.add.at(weights, (rows[bins], owner), idf[bins])
-    weights /= np.sqrt((weights**2).sum(axis=0)) + 1e-9
-    latent = np.zeros((basis.shape[1], len(texts)), dtype=np.float32)
-    np.add.at(latent.T, owner, basis[bins & (LATENT_BINS - 1)] * idf[bins][:, None])
-    latent /= np.sqrt((latent**2).sum(axis=0)) + 1e-9
+    pieces, held, rare = [], [], []
+    for i, n in enumerate(np.diff(found.places)):
+        parts = 1 if n <= WHOLE else round(n / PIECE)
+        edges = np.linspace(0, n, parts + 1).astype(int) if n else [0]
+        for low, high in zip(edges, edges[1:], strict=False):
+            own = bins[found.places[i] + low : found.places[i] + high]
+            size = len(own)
+            least = int(np.ceil(size * PARAPHRASE_SHARE)) if parts == 1 else -(-size // 3)
+            need = max(1, size // 6)
+            # At most ``size - least`` words are missing, so of ``need`` more than that ``need`` are there.
+            rarest = own[np.argsort(-idf[own], kind="stable")][: size - least + need]
+            which, times = np.unique(rows[rarest], return_counts=True)
+            rare.append((which, np.full(len(which), len(pieces)), times))
+            held.append(dict(zip(*(x.tolist() for x in np.unique(rows[own], return_counts=True)), strict=True)))
+            pieces.append((size, least, need, 3 if parts == 1 else 5, i))
+    which, piece, times = [np.concatenate(x) for x in zip(*rare, strict=True)] if rare else [np.zeros(0, int)] * 3
+    order = np.argsort(which, kind="stable")
+    size, least, need, cells, item = np.array(pieces, dtype=np.int64).reshape(-1, 5).T
     return Items(
         rows,
-        weights,
-        latent,
+        np.searchsorted(which[order], np.arange(len(used) + 1)),
+        piece[order],
+        times[order],
+        size,
+        least,
+        need,
+        cells,
+        item,
+        held,
         [found.of(i).tolist() for i in range(len(texts))],
         [asked.of(i).tolist() for i in range(len(texts))],
+        [bins[a:b] for a, b in zip(found.places, found.places[1:], strict=False)],
     )
 
 
@@ -198,42 +232,88 @@ def common_length(one: list[int], two: list[int]) -> int:
     return len(one) - open_places.bit_count()
 
 
-def candidates(words, idf: np.ndarray, basis: np.ndarray, items: Items):
-    """(text, window start, item, cosine) of the windows close enough to an item."""
-    bins = bins_of(words.hashes)
-    weight = idf[bins]
-    square = weight.astype(np.float64) ** 2
-    inside = items.rows[bins] >= 0
-    mass = np.concatenate([[0], np.cumsum(square)])
-    shared = np.concatenate([[0], np.cumsum(square * inside)])
-    start, end, owner = windows(words.places, WINDOW, STRIDE)
-    whole = mass[end] - mass[start]
-    # A window's cosine with any item is bounded by the share of its words that items have.
-    near = np.flatnonzero((shared[end] - shared[start] >= COSINE**2 * whole) & (whole > 0))
-    for at in range(0, len(near), 2048):
-        part = near[at : at + 2048]
-        size = end[part] - start[part]
-        token = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size - start[part], size)
-        row = np.repeat(np.arange(len(part)), size)
-        use = inside[token]
-        dots = np.zeros((len(part), items.weights.shape[1]), dtype=np.float32)
-        cut = np.flatnonzero(np.diff(row[use], prepend=-1))
-        values = items.weights[items.rows[bins[token[use]]]] * weight[token[use]][:, None]
-        if len(cut):
-            dots[row[use][cut]] = np.add.reduceat(values, cut, axis=0)
-        cosine = dots / np.sqrt(whole[part])[:, None]
-        close = np.flatnonzero((cosine >= COSINE).any(axis=1))
-        if not len(close):
+def candidates(words, items: Items) -> dict[tuple[int, int], list[tuple[int, int]]]:
+    """(text, item) -> stretches of words, apart from each other, that may hold the item."""
+    row = items.rows[bins_of(words.hashes)]
+    places, total = words.places, len(row) + 1
+    at = np.flatnonzero(row >= 0)
+    many = items.first[row[at] + 1] - items.first[row[at]]
+    at, many = at[many > 0], many[many > 0]
+    listed = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many - items.first[row[at]], many)
+    place, piece = np.repeat(at, many), items.piece[listed]
+    text = np.searchsorted(places, at, side="right") - 1
+    begin = np.repeat(places[text], many)
+    cell = place - (place - begin) % items.size[piece]
+    # Each of the piece's words once in a cell of the piece's length.
+    _, once = np.unique((piece * total + cell) * len(items.first) + row[place], return_index=True)
+    key = piece[once] * total + cell[once]
+    new = np.flatnonzero(np.diff(key, prepend=-1))
+    mass = np.concatenate([[0], np.cumsum(items.times[listed[once]])])
+    cells, first = key[new], np.append(new, len(key))
+    piece, begin = cells // total, cells % total
+    text = np.searchsorted(places, begin, side="right") - 1
+    end = np.minimum(begin + items.cells[piece] * items.size[piece], places[text + 1])
+    last = first[np.searchsorted(cells, piece * total + end)]
+    found: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for i in np.flatnonzero(mass[last] - mass[first[:-1]] >= items.need[piece]).tolist():
+        p, low, high = int(piece[i]), int(begin[i]), int(end[i])
+        inside = set(row[low:high].tolist())
+        if sum(n for r, n in items.held[p].items() if r in inside) < items.least[p]:
             continue
-        keep = np.isin(row, close)
-        cut = np.flatnonzero(np.diff(row[keep], prepend=-1))
-        values = basis[bins[token[keep]] & (LATENT_BINS - 1)] * weight[token[keep]][:, None]
-        about = np.add.reduceat(values, cut, axis=0)
-        about /= np.sqrt((about**2).sum(axis=1, keepdims=True)) + 1e-9
-        score = (1 - LATENT_WEIGHT) * cosine[close] + LATENT_WEIGHT * (about @ items.latent)
-        for i, j in zip(*np.nonzero((score >= SCORE) & (cosine[close] >= COSINE)), strict=True):
-            window = part[close[i]]
-            yield int(owner[window]), int(start[window]), int(j), float(score[i, j])
+        j, document = int(items.item[p]), int(text[i])
+        if items.size[p] < len(items.words[j]):
+            low = max(int(places[document]), low - 2 * len(items.words[j]))
+            high = min(int(places[document + 1]), high + 2 * len(items.words[j]))
+        found.setdefault((document, j), []).append((low, high))
+    for key, spans in found.items():
+        joined: list[tuple[int, int]] = []
+        for low, high in sorted(spans):
+            if joined and low <= joined[-1][1]:
+                joined[-1] = (joined[-1][0], max(high, joined[-1][1]))
+            else:
+                joined.append((low, high))
+        found[key] = joined
+    return found
+
+
+def likeness(bins: np.ndarray, item: np.ndarray, idf: np.ndarray, basis: np.ndarray) -> float:
+    """The share of the item's squared weight that ``bins`` hold, a fifth of it by the latent directions."""
+    weight = idf[item].astype(np.float64)
+    whole = (weight**2).sum()
+    if not whole:
+        return 0.0
+    there = np.isin(item, bins)
+    latent = basis[item & (LATENT_BINS - 1)] * weight[:, None]
+    own, part = latent.sum(axis=0), latent[there].sum(axis=0)
+    about = own @ part / (np.sqrt((own @ own) * (part @ part)) + 1e-9)
+    return float((1 - LATENT_WEIGHT) * (weight[there] ** 2).sum() / whole + LATENT_WEIGHT * about)
+
+
+def matches(words, items: Items, idf: np.ndarray, basis: np.ndarray):
+    """(text, item, lcs share, score, answer share) of the best stretch that holds the item."""
+    for (document, j), spans in candidates(words, items).items():
+        item, reply, best = items.words[j], items.answers[j], None
+        n, (first, last) = len(item), words.places[document : document + 2].tolist()
+        step = max(1, n // 8)
+        # An answer of its own may stand beside the item.
+        beside = 0 if item[-len(reply) :] == reply else WINDOW + len(reply)
+        for low, high in spans:
+            region = words.hashes[low:high].tolist()
+            if common_length(item, region) < PARAPHRASE_SHARE * n:
+                continue
+            for start in range(0, max(1, len(region) - 2 * n + step), step):
+                stretch = region[start : start + 2 * n]
+                lcs = common_length(item, stretch) / n
+                if lcs < PARAPHRASE_SHARE:
+                    continue
+                a, b = low + start, low + start + len(stretch)
+                from_, to = max(first, a - beside), min(last, b + beside)
+                answer = common_length(reply, words.hashes[from_:to].tolist()) / len(reply) if reply else 0.0
+                score = likeness(bins_of(words.hashes[a:b]), items.bins[j], idf, basis)
+                if lcs >= LCS_SHARE or (answer >= ANSWER_SHARE and score >= SCORE):
+                    best = max(best or (lcs, score, answer), (lcs, score, answer))
+        if best:
+            yield document, j, *best
 
 
 def contaminated(
@@ -259,7 +339,7 @@ def contaminated(
 
     def search(block: tuple[list, list[str], list[str]]) -> DataFrame:
         ids, bodies, answers = block
-        sent = context.broadcast(prepare(bodies, answers, idf, basis))
+        sent = context.broadcast(prepare(bodies, answers, idf))
 
         def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             idf, basis = shared.value
@@ -270,17 +350,8 @@ def contaminated(
                 for first, last in chunks(places):
                     at = places[first]
                     words = chunk_words(body[at : places[last]], places[first : last + 1] - at)
-                    for document, start, j, score in candidates(words, idf, basis, items):
-                        n = len(items.words[j])
-                        low = max(words.places[document], start - n)
-                        high = min(words.places[document + 1], start + WINDOW + n)
-                        region = words.hashes[low:high].tolist()
-                        lcs = common_length(items.words[j], region) / n
-                        reply = items.answers[j]
-                        found = common_length(reply, region) / len(reply) if reply else 0.0
-                        if lcs >= LCS_SHARE or (lcs >= PARAPHRASE_SHARE and found >= ANSWER_SHARE):
-                            new = (lcs, score, found)
-                            best[first + document, j] = max(best.get((first + document, j), new), new)
+                    for document, j, *found in matches(words, items, idf, basis):
+                        best[first + document, j] = tuple(found)
                 rows = sorted(best)
                 yield pa.RecordBatch.from_arrays(
                     [

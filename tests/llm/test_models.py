@@ -214,6 +214,50 @@ def test_planted_passages_are_found(documents, llm, block, monkeypatch):
     assert latent_retrieval.contaminated(documents(texts), benchmark.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("length", [3, 97, 300, 1000])
+@pytest.mark.parametrize("once", [False, True])
+def test_passages_of_any_length_between_any_words(documents, llm, length, once):
+    random.seed(12)
+    vocabulary = [f"w{i}" for i in range(2000)]
+    item = random.choices(vocabulary, k=length)
+    changed = [w if i % 5 else "other" for i, w in enumerate(item, 1)]
+    answered = [w if i % 5 < 3 or i > length - 5 else f"x{i}" for i, w in enumerate(item)]
+    inserted = [x for w in item for x in ([w, "more"] if length > 3 else [w])]
+    texts = []
+    for number, passage in enumerate([item, changed, inserted[: 7 * length // 4], answered, item[: length // 3], []]):
+        around = [f"once{number}x{i}" for i in range(800)] if once else random.choices(vocabulary, k=800)
+        texts.append(" ".join(around[:400] + passage + around[400:]))
+    texts += ["nothing of it"] * 60
+    rows = [(1, " ".join(item[:-4] + ["end."] + item[-4:] if length > 3 else item))]
+    benchmark = llm.createDataFrame(rows, "item_id long, text string")
+    got = latent_retrieval.contaminated(documents(texts), benchmark).collect()
+    assert {r.doc_id for r in got} == {1, 2, 3, 4}
+
+
+def test_candidates_lose_nothing_that_the_check_accepts():
+    random.seed(13)
+    vocabulary = [f"w{i}" for i in range(40)]
+    texts = [" ".join(random.choices(vocabulary, k=random.randint(0, 150))) for _ in range(60)]
+    items = [" ".join(random.choices(vocabulary, k=k)) for k in (1, 2, 5, 9, 20, 60)]
+    words = latent_retrieval.column_words(pa.array(texts))
+    block = latent_retrieval.prepare(items, [""] * len(items), np.ones(latent_retrieval.BINS))
+    found = latent_retrieval.candidates(words, block)
+    for d, j in itertools.product(range(len(texts)), range(len(items))):
+        own, item = words.of(d).tolist(), block.words[j]
+        for at in range(len(own)):
+            if 2 * latent_retrieval.common_length(item, own[at : at + 2 * len(item)]) >= len(item):
+                assert (d, j) in found
+
+
+def test_an_answer_beside_a_short_question(documents, llm):
+    item, reply = [f"q{i}" for i in range(10)], [f"a{i}" for i in range(12)]
+    asked = [w if i % 3 else "other" for i, w in enumerate(item)]
+    texts = [" ".join(["so"] * 50 + asked + part + ["so"] * 50) for part in (["well"] * 10 + reply, ["well"] * 22)]
+    benchmark = llm.createDataFrame([(1, " ".join(item), " ".join(reply))], "item_id long, text string, answer string")
+    found = latent_retrieval.contaminated(documents(texts + ["nothing"] * 9), benchmark, answer="answer").collect()
+    assert [r.doc_id for r in found] == [1]
+
+
 # Transcripts
 
 
