@@ -338,3 +338,27 @@ def test_licenses_are_found(documents):
     assert whole.coverage == 1.0 and (whole.start, whole.end) == (2, 2 + whole.matched)
     assert license_scan.scan_licenses(documents(texts), {}).count() == 0
     assert license_scan.scan_licenses(documents([])).count() == 0
+
+
+def test_near_misses_are_told_apart(documents):
+    mit, bsd3 = license_scan.TEMPLATES["mit"], license_scan.TEMPLATES["bsd-3-clause"]
+    whole = license_scan.whole_texts()
+    texts = [
+        "Released under the BSD License.", "Licensed under CC BY-SA 4.0.", "Licensed under CC BY-NC-SA 4.0.",
+        "Licensed under the Apache License, Version 1.1.", "Released under the Foo License.",
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This work is licensed under the GNU General Public License, version 2.", "some words. All rights reserved.",
+        license_scan.TEMPLATES["mit-0"], bsd3, license_scan.TEMPLATES["bsd"], license_scan.TEMPLATES["0bsd"],
+        mit[: len(mit) // 2], whole["gpl-3.0-text"], whole["gpl-3.0-text"].replace("GNU G", "GNU AFFERO G"),
+        f"Released under the MIT License. {'x ' * 900} {license_scan.TEMPLATES['zlib']}", whole["cc0-1.0-text"],
+    ]
+    rows = license_scan.scan_licenses(documents(texts)).collect()
+    want = [
+        "bsd-notice", "cc-by-sa-4.0-notice", "cc-by-nc-sa-4.0-notice", None, None, "lgpl-3.0-notice", "gpl-2.0-notice",
+        "all-rights-reserved", "mit-0", "bsd-3-clause", "bsd", "0bsd", None, "gpl-3.0-text", None,
+    ]
+    got = {i: {r.license for r in rows if r.doc_id == i} for i in range(1, 18)}
+    for i, name in enumerate(want, 1):
+        # A whole GPL holds the header that it tells to attach.
+        assert got[i] - {"gpl-3.0", "agpl-3.0"} == ({name} if name else set()), (i, got[i])
+    assert got[16] == {"mit-notice", "zlib"} and got[17] == {"cc0-1.0-text"}
