@@ -8,17 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citelake.llm import best_two_fit
 from citelake.llm.hidden_markov import score
 from citelake.llm.host_rules import apply_host_rules
 from citelake.llm.latent_retrieval import contaminated
+from citelake.llm.letter_runs import run_counts
 from citelake.llm.license_scan import scan_licenses
 from citelake.llm.packing import decompose
 from citelake.llm.parity_join import near_duplicates
+from citelake.llm.scratch import written
 from citelake.llm.shipping import ship
 from citelake.llm.site_bayes import classify
+from citelake.llm.spelling import group_spellings
 from citelake.llm.suffix_dedup import remove_repeats
 from citelake.llm.token_spans import count_by_section, line_sections
 from citelake.llm.transcripts import recover_roles
+from citelake.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -155,3 +160,22 @@ def op9_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_golub_kahan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op12_prefix_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = run_counts(table(spark, sf_dir, "documents"), least=7, every=31)
+    return group_spellings(written(words.filter("n >= 2")))
+
+
+@query()
+def op13_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = best_two_fit.encode_pieces(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    )
+    return best_two_fit.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))

@@ -57,6 +57,11 @@ def byte_spans(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return body, places - places[0]
 
 
+def lowered(body: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z as a-z."""
+    return _lower[body]
+
+
 def chunks(places: np.ndarray, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Runs of values of about ``most`` bytes; a longer value is a run of its own."""
     first, n = 0, len(places) - 1
