@@ -23,8 +23,8 @@ from citelake.llm.words import FACTOR, INVERSE, byte_spans, chunks, lowered, mix
 
 # Text taken together, and runs counted by a task before it hands its counts on.
 GROUP_BYTES = 4 << 20
-REMEMBERED = 1_000_000
-REMEMBERED_BYTES = 64 << 20
+REMEMBERED = 500_000
+REMEMBERED_BYTES = 32 << 20
 
 
 @lru_cache(maxsize=4096)

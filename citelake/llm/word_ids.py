@@ -21,9 +21,9 @@ from citelake.llm.run_table import Lists, RunTable, summed
 from citelake.llm.words import byte_spans, chunk_words, chunks, lowered
 
 # Text taken together, and runs remembered by a Python worker: their number and their bytes.
-GROUP_BYTES = 6 << 20
-REMEMBERED = 1_500_000
-REMEMBERED_BYTES = 64 << 20
+GROUP_BYTES = 4 << 20
+REMEMBERED = 500_000
+REMEMBERED_BYTES = 32 << 20
 
 # Fixed values of the tokenizer: how it parts a run (lower case, letters of these alphabets), and the
 # characters that stand for bytes; those without a shape of their own follow from U+0100 on.
