@@ -22,7 +22,7 @@ from citelake.llm.words import byte_spans, chunk_words, chunks, lowered
 
 # Text taken together, and runs remembered by a Python worker: their number and their bytes.
 GROUP_BYTES = 4 << 20
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 REMEMBERED_BYTES = 32 << 20
 
 # Fixed values of the tokenizer: how it parts a run (lower case, letters of these alphabets), and the
