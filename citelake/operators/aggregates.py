@@ -87,10 +87,20 @@ def build_metadata(
 ) -> DataFrame:
     """One row: total, records per year (as text, 0 where there is none), and the build's labels.
 
-    Taken from the table, so a resumed build describes all of it. What is gathered into the map is
-    one entry per year.
+    Taken from the table, so a resumed build describes all of it.
     """
-    counts = table.groupBy(_bucket(table).alias("bucket")).agg(F.count("*").alias("n"))
+    counts = table.groupBy(_bucket(table).alias(PARTITION_COLUMN)).agg(F.count("*").alias("records"))
+    return metadata_of_totals(counts, source, baseline_date, schema_version)
+
+
+def metadata_of_totals(
+    totals: DataFrame,
+    source: str,
+    baseline_date: str | None = None,
+    schema_version: str = SCHEMA_VERSION,
+) -> DataFrame:
+    """The same row from ``pub_year`` and ``records``; the map that is gathered has an entry per year."""
+    counts = totals.select(F.col(PARTITION_COLUMN).alias("bucket"), F.col("records").alias("n"))
     years = F.transform(
         F.array_sort(F.collect_list(F.struct("bucket", "n"))),
         lambda entry: F.struct(entry["bucket"].cast("string"), entry["n"]),

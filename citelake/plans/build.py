@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citelake.operators.aggregates import build_metadata
+from citelake.operators.aggregates import metadata_of_totals
 from citelake.operators.extract_json import extract_json
 from citelake.operators.extract_xml import extract_xml
 from citelake.operators.record_json import to_documents, to_trees
 from citelake.plans.sinks import (
-    remove_rows,
+    mend,
+    remove_files,
     write_documents,
     write_metadata,
     write_rejects,
@@ -20,9 +21,10 @@ from citelake.plans.sinks import (
     write_trees,
 )
 from citelake.schema import XML_SUFFIX
+from citelake.sources.contents import year_totals
 from citelake.sources.inputs import from_number, input_files, pending_inputs
 from citelake.sources.manifest import read_manifest, record_finished
-from citelake.sources.tables import read_documents, read_rejects, read_table
+from citelake.sources.tables import read_documents, read_table
 from citelake.sources.xml_files import read_xml_records
 
 METADATA_SCHEMA = (
@@ -47,8 +49,8 @@ def build_from_xml(
     inputs = inputs if start_from is None else from_number(inputs, start_from)
     inputs = spark.createDataFrame(inputs.collect(), inputs.schema)  # as they are before the build
     records = read_xml_records(spark, source, glob, start_from, spread)
-    write_table(extract_xml(records, doi_scope), root, mode)
-    _finish(spark, inputs, root)
+    batch = write_table(extract_xml(records, doi_scope), root, mode)
+    record_finished(inputs, root, batch)
     return read_table(spark, root)
 
 
@@ -66,10 +68,12 @@ def resume_from_xml(
     """Add the files under ``source`` that the manifest of ``root`` does not list as finished.
 
     The manifest is written after the rows. A file that was interrupted half-way is therefore done
-    again, and what the table held of it is replaced. ``exclude`` names files to leave out, such as
+    again, and what the table held of it is replaced. What the table holds is told by its contents
+    (``sources.contents``), not by its records. ``exclude`` names files to leave out, such as
     damaged ones; they stay unfinished. Only file names reach the driver, which lists the files in any
     case.
     """
+    mend(spark, root)
     inputs = input_files(spark, source, glob)
     if start_from is not None:
         inputs = from_number(inputs, start_from)
@@ -83,17 +87,13 @@ def resume_from_xml(
     waiting = spark.createDataFrame(waiting.collect(), waiting.schema)  # file names, sizes and times
     paths = [row.path for row in waiting.select("path").collect()]
     if paths:
-        remove_rows(spark, root, files=waiting.select("name"))
+        remove_files(spark, root, waiting)
         records = read_xml_records(spark, paths, glob, spread=spread)
-        write_table(extract_xml(records, doi_scope), root, mode="append")
-        _finish(spark, waiting, root)
+        batch = write_table(extract_xml(records, doi_scope), root, mode="append", mended=True)
+        record_finished(waiting, root, batch)
     return read_table(spark, root)
 
 
-def _finish(spark: SparkSession, inputs: DataFrame, root: str) -> None:
-    record_finished(inputs, read_table(spark, root), read_rejects(spark, root), root)
-
-
 def reprocess_documents(
     spark: SparkSession, source: str, root: str, *, mode: str = "overwrite"
 ) -> DataFrame:
@@ -120,8 +120,12 @@ def build_trees(spark: SparkSession, source: str, path: str, rejects: str | None
 def publish_metadata(
     spark: SparkSession, root: str, path: str, source: str, baseline_date: str | None = None
 ) -> DataFrame:
-    """Write the metadata of the table under ``root`` and return it."""
-    write_metadata(build_metadata(read_table(spark, root), source, baseline_date), path)
+    """Write the metadata of the table under ``root`` and return it.
+
+    The figures are those kept by its writes (``sources.contents``); no record is read.
+    """
+    mend(spark, root)
+    write_metadata(metadata_of_totals(year_totals(spark, root), source, baseline_date), path)
     return read_metadata(spark, path)
 
 

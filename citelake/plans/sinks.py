@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citelake.functions.numbers import partition_year
+from citelake.plans.swaps import Swap, apply_swap, data_files, delete, redo_swaps
 from citelake.schema import LINEAGE_COLUMN, PARTITION_COLUMN, REJECT_SCHEMA, TABLE_COLUMNS
+from citelake.sources.contents import (
+    KEYS,
+    UNNAMED_BATCH,
+    batch_of,
+    contents_lines,
+    new_batch,
+    read_contents,
+    record_batch,
+)
 from citelake.sources.tables import ACCEPTED, OUTCOME_COLUMN, REJECTED, stored_rows
 
-KEYS = [OUTCOME_COLUMN, PARTITION_COLUMN]
+NO_DATA = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def write_table(
@@ -21,8 +29,9 @@ def write_table(
     mode: str = "overwrite",
     compression: str = "snappy",
     max_records_per_file: int = 0,
-) -> None:
-    """Write extracted records and their rejects in one pass over the input.
+    mended: bool = False,
+) -> str:
+    """Write extracted records and their rejects in one pass over the input; returns the batch's name.
 
     The outcome is the outer directory, so accepted and rejected rows part ways without parsing
     twice. One shuffle brings a year together; adaptive execution cuts the crowded years into
@@ -31,6 +40,9 @@ def write_table(
 
     ``mode`` "years" replaces the years that the new rows fall into. Earlier rows of the same ids in
     other years go as well, and so do earlier rejects of the same files; the rejects of other files stay.
+
+    What an earlier write left half-way is mended first, unless the caller has done so (``mend``). A
+    table has one writer at a time.
     """
     reason = F.col("reason") if "reason" in extracted.columns else F.lit(None).cast("string")
     raw = F.col("raw") if "raw" in extracted.columns else F.lit(None).cast("string")
@@ -49,97 +61,116 @@ def write_table(
         F.when(usable, partition_year(F.col("Year"))).otherwise(0).alias(PARTITION_COLUMN),
     )
     options = {"compression": compression, "maxRecordsPerFile": max_records_per_file}
-    if mode != "years":
-        _write(rows, root, mode, "static", options)
+    spark, batch = extracted.sparkSession, new_batch()
+    if mode != "overwrite" and not mended:
+        mend(spark, root)
+    if mode == "years":
+        _replace_years(rows, root, batch, options)
+    else:
+        _write(rows, root, batch, mode, options)
+        record_batch(spark, root, batch)
+    return batch
+
+
+def mend(spark: SparkSession, root: str) -> None:
+    """Finish or undo what a lost driver left in a table; names of files are all that is looked at.
+
+    Replacements that were begun are carried through, and files of batches that were never recorded
+    go, whose rows their writer has not reported. Rows of a table written before there were batches are
+    recorded once.
+    """
+    redo_swaps(spark, root)
+    files = data_files(spark, root)
+    if files is None:
         return
-    spark, staging = extracted.sparkSession, f"{root}/_staging/{uuid.uuid4().hex}"
-    _write(rows, staging, "overwrite", "static", options)
-    new = stored_rows(spark, staging)
-    accepted, rejected = (new.filter(F.col(OUTCOME_COLUMN) == x) for x in (ACCEPTED, REJECTED))
-    remove_rows(
-        spark,
-        root,
-        ids=accepted.filter("PMID != 0").select("PMID"),
-        reject_files=new.select(LINEAGE_COLUMN),
+    files = files.select("path", batch_of(F.col("name")).alias("batch"))
+    unknown = files.join(contents_lines(spark, root).select("batch").distinct(), "batch", "left_anti")
+    named = F.col("batch").rlike("^b[0-9a-f]{32}$")
+    left = [row.path for row in unknown.filter(named).select("path").collect()]
+    if not unknown.filter(F.col("batch") == UNNAMED_BATCH).isEmpty():
+        record_batch(spark, root, UNNAMED_BATCH)
+    delete(spark, left)
+
+
+def _replace_years(rows: DataFrame, root: str, batch: str, options: dict) -> None:
+    spark, swap = rows.sparkSession, Swap(root, batch)
+    _write(rows, swap.staged, batch, "overwrite", options)
+    new = stored_rows(spark, swap.staged)
+    accepted = new.filter(F.col(OUTCOME_COLUMN) == ACCEPTED)
+    years = sorted(row[0] for row in accepted.select(PARTITION_COLUMN).distinct().collect())
+    try:
+        old = _with_paths(stored_rows(spark, root))
+    except AnalysisException as error:
+        if error.getCondition() not in NO_DATA:
+            raise
+        old = _with_paths(stored_rows(spark, swap.staged)).limit(0)
+    kept_years = (F.col(OUTCOME_COLUMN) == ACCEPTED) & ~F.col(PARTITION_COLUMN).isin(years)
+    ids = accepted.filter("PMID != 0").select("PMID").distinct()
+    sources = new.select(LINEAGE_COLUMN).distinct()
+    moved = _paths(old.filter(kept_years).join(ids, "PMID", "left_semi"))
+    again = _paths(
+        old.filter(F.col(OUTCOME_COLUMN) == REJECTED).join(sources, LINEAGE_COLUMN, "left_semi")
     )
-    _write(accepted, root, "overwrite", "dynamic", options)
-    _write(rejected, root, "append", "static", options)
-    _delete(spark, staging)
+    replaced = _paths(old.filter((F.col(OUTCOME_COLUMN) == ACCEPTED) & F.col(PARTITION_COLUMN).isin(years)))
+    touched = old.filter(F.col("_path").isin(moved + again))
+    kept = (
+        touched.filter(kept_years)
+        .join(ids, "PMID", "left_anti")
+        .unionByName(
+            touched.filter(F.col(OUTCOME_COLUMN) == REJECTED).join(sources, LINEAGE_COLUMN, "left_anti")
+        )
+    )
+    if moved or again:
+        _write(kept.select(new.columns), swap.staged, batch, "append", options)
+    apply_swap(spark, swap.begin(spark, sorted({*moved, *again, *replaced})))
 
 
-def remove_rows(
-    spark: SparkSession,
-    root: str,
-    *,
-    files: DataFrame | None = None,
-    ids: DataFrame | None = None,
-    reject_files: DataFrame | None = None,
-) -> None:
-    """Take rows out of a table: those of ``files``, those of ``ids``, the rejects of ``reject_files``.
-
-    Only directories that hold such rows are written anew. The list of directories is what reaches
-    the driver.
+def remove_files(spark: SparkSession, root: str, names: DataFrame) -> None:
+    """Take out the rows that the table holds of the input files ``names`` (column ``name``).
+
+    The contents say which batches and directories have any; only their files are opened, and those
+    that hold such rows are written anew without them.
     """
-    try:
-        stored = stored_rows(spark, root)
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return
-    doomed = []
-    for listed, column, outcome in (
-        (files, LINEAGE_COLUMN, None),
-        (ids, "PMID", ACCEPTED),
-        (reject_files, LINEAGE_COLUMN, REJECTED),
-    ):
-        if listed is not None:
-            doomed.append((listed.toDF(column).distinct(), column, outcome))
-
-    def hit(rows: DataFrame, how: str, only: tuple[DataFrame, str, str | None]) -> DataFrame:
-        listed, column, outcome = only
-        if outcome is None:
-            return rows.join(listed, column, how)
-        listed = listed.withColumn(OUTCOME_COLUMN, F.lit(outcome))
-        return rows.join(listed, [column, OUTCOME_COLUMN], how)
-
-    touched = {
-        tuple(row) for only in doomed for row in hit(stored, "left_semi", only).select(*KEYS).distinct().collect()
-    }
-    if not touched:
+    names = names.select(F.col("name").alias(LINEAGE_COLUMN)).distinct()
+    held = read_contents(spark, root).join(F.broadcast(names), LINEAGE_COLUMN, "left_semi")
+    places = held.select("batch", *KEYS).distinct().collect()
+    if not places:
         return
-    listed = spark.createDataFrame(sorted(touched), f"{OUTCOME_COLUMN} string, {PARTITION_COLUMN} int")
-    kept = stored.join(F.broadcast(listed), KEYS, "left_semi")
-    for only in doomed:
-        kept = hit(kept, "left_anti", only)
-    staging = f"{root}/_staging/{uuid.uuid4().hex}"
-    _write(kept.select(stored.columns), staging, "overwrite", "static", {})
-    again = stored_rows(spark, staging)
-    left = {tuple(row) for row in again.select(*KEYS).distinct().collect()}
-    _write(again, root, "overwrite", "dynamic", {})
-    for outcome, year in touched - left:
-        _delete(spark, f"{root}/{OUTCOME_COLUMN}={outcome}/{PARTITION_COLUMN}={year}")
-    _delete(spark, staging)
-
-
-def _write(rows: DataFrame, path: str, mode: str, overwrite: str, options: dict) -> None:
+    old = _with_paths(stored_rows(spark, root)).filter(
+        batch_of(F.col("_metadata.file_name")).isin(sorted({p.batch for p in places}))
+        & F.col(OUTCOME_COLUMN).isin(sorted({p[OUTCOME_COLUMN] for p in places}))
+        & F.col(PARTITION_COLUMN).isin(sorted({p[PARTITION_COLUMN] for p in places}))
+    )
+    hit = _paths(old.join(F.broadcast(names), LINEAGE_COLUMN, "left_semi"))
+    swap = Swap(root, new_batch())
+    kept = old.filter(F.col("_path").isin(hit)).join(F.broadcast(names), LINEAGE_COLUMN, "left_anti")
+    _write(kept.drop("_path"), swap.staged, swap.batch, "overwrite", {})
+    apply_swap(spark, swap.begin(spark, hit))
+
+
+def _with_paths(rows: DataFrame) -> DataFrame:
+    return rows.select("*", F.col("_metadata.file_path").alias("_path"))
+
+
+def _paths(rows: DataFrame) -> list[str]:
+    """The files that rows are in."""
+    return [row[0] for row in rows.select("_path").distinct().collect()]
+
+
+def _write(rows: DataFrame, path: str, batch: str, mode: str, options: dict) -> None:
     writer = (
         rows.hint("rebalance", *KEYS)
         .sortWithinPartitions(*KEYS, "PMID")
         .write.mode(mode)
         .options(**options)
+        .option("mapreduce.output.basename", batch)
         .partitionBy(*KEYS)
     )
     if mode == "overwrite":
-        writer = writer.option("partitionOverwriteMode", overwrite)
+        writer = writer.option("partitionOverwriteMode", "static")
     writer.parquet(path)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    """Remove a folder that the table's own steps have made."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
-
-
 def write_documents(documents: DataFrame, path: str, mode: str = "overwrite") -> None:
     """``(PMID, JSON)`` Parquet."""
     _usable(documents).select("PMID", "JSON").write.mode(mode).parquet(path)

@@ -7,10 +7,12 @@ here was interrupted half-way, and is done again; a file without records has a l
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citelake.schema import LINEAGE_COLUMN, MANIFEST_FOLDER, MANIFEST_SCHEMA
+from citelake.sources.contents import contents_lines
+from citelake.sources.tables import ACCEPTED, OUTCOME_COLUMN, REJECTED
 
 
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:
@@ -23,18 +25,20 @@ def read_manifest(spark: SparkSession, root: str) -> DataFrame:
         return spark.createDataFrame([], MANIFEST_SCHEMA)
 
 
-def record_finished(
-    inputs: DataFrame, accepted: DataFrame, rejected: DataFrame, root: str
-) -> None:
-    """Add a line for each of ``inputs`` (name, bytes, modified), with what the table holds of it."""
-    names = inputs.select(F.col("name").alias(LINEAGE_COLUMN))
+def record_finished(inputs: DataFrame, root: str, batch: str) -> None:
+    """Add a line for each of ``inputs`` (name, bytes, modified), with what ``batch`` holds of it.
 
-    def counted(rows: DataFrame, label: str) -> DataFrame:
-        own = rows.select(LINEAGE_COLUMN).join(names, LINEAGE_COLUMN, "left_semi")
-        return own.groupBy(F.col(LINEAGE_COLUMN).alias("name")).agg(F.count("*").alias(label))
+    The figures come from the batch's lines in the contents; no record is read.
+    """
+    spark = inputs.sparkSession
+    held = contents_lines(spark, root).filter(F.col("batch") == batch)
 
-    lines = inputs.select("name", "bytes", "modified")
-    for rows, label in ((accepted, "accepted"), (rejected, "rejected")):
-        lines = lines.join(counted(rows, label), "name", "left")
+    def of(outcome: str) -> Column:
+        return F.sum(F.when(F.col(OUTCOME_COLUMN) == outcome, F.col("records")).otherwise(0))
+
+    counts = held.groupBy(F.col(LINEAGE_COLUMN).alias("name")).agg(
+        of(ACCEPTED).alias("accepted"), of(REJECTED).alias("rejected")
+    )
+    lines = inputs.select("name", "bytes", "modified").join(counts, "name", "left")
     lines = lines.fillna(0, ["accepted", "rejected"])
     lines.coalesce(1).write.mode("append").parquet(f"{root}/{MANIFEST_FOLDER}")

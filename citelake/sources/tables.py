@@ -100,6 +100,6 @@ def register(table: DataFrame, name: str = "citations") -> None:
     pruned_by_year(table).createOrReplaceTempView(name)
 
 
-def stored_rows(spark: SparkSession, root: str) -> DataFrame:
-    """Accepted and rejected rows as they are stored."""
-    return spark.read.schema(_STORED).parquet(root)
+def stored_rows(spark: SparkSession, root: str, names: str = "*") -> DataFrame:
+    """Accepted and rejected rows as they are stored, in files whose names match."""
+    return spark.read.schema(_STORED).option("pathGlobFilter", names).parquet(root)

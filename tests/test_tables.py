@@ -19,8 +19,12 @@ from citelake.plans.build import (
     reprocess_documents,
     resume_from_xml,
 )
+from citelake.plans import sinks, swaps
 from citelake.plans.sinks import write_table
+from citelake.plans.swaps import data_files
 from citelake.schema import TABLE_SCHEMA
+from citelake.sources import contents, tables
+from citelake.sources.contents import read_contents, year_totals
 from citelake.sources.inputs import input_files
 from citelake.sources.manifest import read_manifest
 from citelake.sources.tables import read_rejects, read_table, read_year_layout, register
@@ -334,3 +338,202 @@ def test_metadata_of_an_empty_table(spark, tmp_path):
     write_table(spark.createDataFrame([], TABLE_SCHEMA), root)
     row = publish_metadata(spark, root, str(tmp_path / "meta"), "none").first()
     assert (row.total_records, row.year_distribution, row.baseline_date) == (0, {}, None)
+
+
+# --- batches, contents and swaps -------------------------------------------------
+
+
+def batches(spark, root) -> set[str]:
+    return {r.name.split("-")[0] for r in data_files(spark, root).collect()}
+
+
+def table_rows(*values):
+    """(id, title, year, file) rows of a table."""
+    schema = "PMID bigint, Title string, Year int, src string"
+
+    def make(spark):
+        frame = spark.createDataFrame(list(values), schema)
+        missing = [f for f in TABLE_SCHEMA.fields if f.name not in frame.columns]
+        return frame.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
+
+    return make
+
+
+def held(spark, root):
+    return sorted((r.PMID, r.Title, r.Year) for r in read_table(spark, root).collect())
+
+
+def scanned(spark, work) -> list[str]:
+    """Table folders that jobs of ``work`` scanned data files of, by file."""
+    found, plain = [], tables.stored_rows
+
+    def noted(session, root, names="*"):
+        found.append(names)
+        return plain(session, root, names)
+
+    with pytest.MonkeyPatch.context() as patch:
+        for module in (contents, sinks, swaps):
+            patch.setattr(module, "stored_rows", noted)
+        work()
+    return found
+
+
+def test_contents_follow_every_write(spark, inputs, tmp_path, write_gzip):
+    root = str(tmp_path / "table")
+
+    def agree():
+        rows = read_table(spark, root)
+        counted = {r.pub_year: r["count"] for r in rows.groupBy("pub_year").count().collect()}
+        assert {r.pub_year: r.records for r in year_totals(spark, root).collect()} == counted
+        kept = read_contents(spark, root)
+        assert {r[0] for r in kept.select("batch").distinct().collect()} == batches(spark, root)
+        by_file = kept.filter("outcome = 'accepted'").groupBy("src").agg(F.sum("records").alias("count"))
+        plain = rows.groupBy("src").count()
+        assert {tuple(r) for r in by_file.collect()} == {tuple(r) for r in plain.collect()}
+
+    build_from_xml(spark, inputs, root)
+    agree()
+    write_gzip(f"{inputs}/bulk25n0003.xml.gz", bulk(numbered(6, 1999), numbered(7, 2001)))
+    resume_from_xml(spark, inputs, root)
+    agree()
+    write_table(table_rows((6, "moved", 2003, "f"), (1, "new", 1999, "f"))(spark), root, mode="years")
+    assert held(spark, root) == [
+        (1, "new", 1999),
+        (2, "t", None),
+        (5, "t", 2001),
+        (6, "moved", 2003),
+        (7, "t", 2001),
+    ]
+    agree()
+
+
+def test_resume_and_follow_open_no_stored_files(spark, inputs, tmp_path, write_gzip):
+    """All that is scanned of the table are the files that the batch itself has written."""
+    root, seen = str(tmp_path / "table"), str(tmp_path / "seen")
+    follow(spark, inputs, root, seen).awaitTermination()
+    for number, work in enumerate(
+        (
+            lambda: resume_from_xml(spark, inputs, root),
+            lambda: follow(spark, inputs, root, seen).awaitTermination(),
+        )
+    ):
+        write_gzip(f"{inputs}/bulk25n000{number + 4}.xml.gz", bulk(numbered(10 + number, 1999)))
+        before = batches(spark, root)
+        names = scanned(spark, work)
+        new = batches(spark, root) - before
+        assert len(new) == 1 and names == [f"{new.pop()}-*"]
+    assert read_table(spark, root).count() == 6
+
+
+def test_metadata_reads_no_records(spark, inputs, tmp_path):
+    root = str(tmp_path / "table")
+    build_from_xml(spark, inputs, root)
+    row = []
+    assert scanned(spark, lambda: row.append(publish_metadata(spark, root, str(tmp_path / "m"), "t").first())) == []
+    assert row[0].year_distribution == {"0": 1, "1999": 2, "2001": 1}
+
+
+def test_unrecorded_batch_is_undone(spark, tmp_path, monkeypatch):
+    """The driver is lost after the rows are in place and before they are recorded."""
+    root = str(tmp_path / "table")
+    write_table(table_rows((1, "a", 2000, "f1"))(spark), root)
+    with monkeypatch.context() as patch:
+        patch.setattr(sinks, "record_batch", lost_driver)
+        with pytest.raises(DriverLost):
+            write_table(table_rows((2, "b", 2000, "f2"))(spark), root, mode="append")
+    assert len(held(spark, root)) == 2
+    write_table(table_rows((3, "c", 2001, "f3"))(spark), root, mode="append")
+    assert [r[0] for r in held(spark, root)] == [1, 3]
+
+
+class DriverLost(Exception):
+    pass
+
+
+def lost_driver(*_):
+    raise DriverLost
+
+
+@pytest.mark.parametrize("lost", ["_move_in", "delete", "add_lines", "moved half", "after"])
+def test_interrupted_replacement_is_carried_through(spark, tmp_path, monkeypatch, lost):
+    root = str(tmp_path / "a table")
+    write_table(table_rows(*[(i, "old", 2000 + i % 3, "f1") for i in range(30)])(spark).repartition(3), root)
+    new = table_rows((3, "new", 2000, "f2"), (4, "new", 2005, "f2"), (5, "new", 2002, "f2"))(spark)
+    expected = sorted(
+        [(3, "new", 2000), (4, "new", 2005), (5, "new", 2002)]
+        + [(i, "old", 2001) for i in range(30) if i % 3 == 1 and i != 4]
+    )
+    with monkeypatch.context() as patch:
+        if lost == "moved half":
+            moved, plain = [], swaps._listed
+
+            def half(files, folder):
+                found = plain(files, folder)
+                if "rows/outcome=" in str(folder) and "pub_year" in str(folder):
+                    moved.append(folder)
+                    if len(moved) > 1:
+                        raise DriverLost
+                return found
+
+            patch.setattr(swaps, "_listed", half)
+        elif lost == "delete":
+            plain_delete = swaps.delete
+
+            def refuse(session, paths):
+                if any("outcome=" in p for p in paths):
+                    raise DriverLost
+                plain_delete(session, paths)
+
+            patch.setattr(swaps, "delete", refuse)
+        elif lost == "after":
+            patch.setattr(sinks, "apply_swap", lambda *args: (swaps.apply_swap(*args), lost_driver()))
+        else:
+            patch.setattr(swaps, lost, lost_driver)
+        with pytest.raises(DriverLost):
+            write_table(new, root, mode="years")
+    if lost not in ("add_lines", "after"):  # the old rows of replaced years go just before
+        assert {r[0] for r in held(spark, root)} >= set(range(30))
+    sinks.mend(spark, root)
+    assert held(spark, root) == expected
+    assert {r.pub_year: r.records for r in year_totals(spark, root).collect()} == {2000: 1, 2001: 9, 2002: 1, 2005: 1}
+    assert sorted(p for p in os.listdir(root) if p.startswith("_")) == ["_SUCCESS", "_contents"]
+    sinks.mend(spark, root)
+    assert held(spark, root) == expected
+
+
+def test_lost_before_the_journal_changes_nothing(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "table")
+    write_table(table_rows((1, "old", 2000, "f1"))(spark), root)
+    with monkeypatch.context() as patch:
+        patch.setattr(swaps.Swap, "begin", lost_driver)
+        with pytest.raises(DriverLost):
+            write_table(table_rows((1, "new", 2000, "f1"))(spark), root, mode="years")
+    sinks.mend(spark, root)
+    assert held(spark, root) == [(1, "old", 2000)]
+    assert not os.path.exists(f"{root}/_staging")
+
+
+def test_table_without_batches_is_taken_over(spark, inputs, tmp_path):
+    """A table whose files have Spark's own names counts as one batch."""
+    root = str(tmp_path / "table")
+    rows = table_rows((1, "a", 2000, "bulk25n0001.xml.gz"), (9, "b", 2001, "other"))(spark)
+    rows.selectExpr("*", "cast(null as string) AS raw", "cast(null as string) AS reason", "'accepted' as outcome", "Year as pub_year").write.partitionBy(
+        "outcome", "pub_year"
+    ).parquet(root)
+    found = sorted(r.PMID for r in resume_from_xml(spark, inputs, root).collect())
+    assert found == [1, 2, 3, 5, 9]  # the rows of a pending file are replaced
+    assert {r.pub_year: r.records for r in year_totals(spark, root).collect()} == {0: 1, 1999: 2, 2001: 2}
+
+
+def test_follow_notes_files_without_records(spark, inputs, tmp_path, write_gzip):
+    root = str(tmp_path / "table")
+    write_gzip(f"{inputs}/bulk25n0009.xml.gz", "<empty/>")
+    follow(spark, inputs, root, str(tmp_path / "seen")).awaitTermination()
+    lines = {r.name: r for r in read_manifest(spark, root).collect()}
+    assert {n: (r.accepted, r.rejected) for n, r in lines.items()} == {
+        "bulk25n0001.xml.gz": (2, 0),
+        "bulk25n0002.xml.gz": (2, 1),
+        "bulk25n0009.xml.gz": (0, 0),
+    }
+    listed = {r.name: (r.bytes, r.modified) for r in input_files(spark, inputs).collect()}
+    assert {n: (r.bytes, r.modified) for n, r in lines.items()} == listed
