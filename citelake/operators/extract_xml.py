@@ -30,26 +30,28 @@ BAD_IDENTIFIER = "identifier is not a number"
 _MALFORMED_COLUMN = "_malformed"
 # Filled with whatever child elements a struct of the schema does not name.
 _OTHERS = "xs_any"
-_DATE = "struct<Year: string, Month: string, Day: string>"
+_DATE = "array<struct<Year: array<string>, Month: array<string>, Day: array<string>>>"
+# Everything is a list: of an element that occurs more often than the format allows, the first counts.
 _RECORD = f"""
-{CITATION_TAG} struct<
-  PMID: string,
+{CITATION_TAG} array<struct<
+  PMID: array<string>,
   DateCreated: {_DATE},
   DateRevised: {_DATE},
-  Article: struct<
-    Journal: struct<
-      JournalIssue: struct<PubDate: struct<Year: string, MedlineDate: string>>,
-      Title: string>,
-    ArticleTitle: string,
-    Abstract: struct<AbstractText: array<
-      struct<`@Label`: string, `#text`: string, {_OTHERS}: array<string>>>>,
-    AuthorList: array<struct<Author: array<struct<LastName: string, ForeName: string>>>>,
-    PublicationTypeList: array<struct<PublicationType: array<string>>>>,
+  Article: array<struct<
+    Journal: array<struct<
+      JournalIssue: array<struct<
+        PubDate: array<struct<Year: array<string>, MedlineDate: array<string>>>>>,
+      Title: array<string>>>,
+    ArticleTitle: array<string>,
+    Abstract: array<struct<AbstractText: array<
+      struct<`@Label`: string, `#text`: string, {_OTHERS}: array<string>>>>>,
+    AuthorList: array<struct<Author: array<struct<LastName: array<string>, ForeName: array<string>>>>>,
+    PublicationTypeList: array<struct<PublicationType: array<string>>>>>,
   MeshHeadingList: array<struct<MeshHeading: array<struct<DescriptorName: array<string>>>>>,
-  KeywordList: array<struct<Keyword: array<string>>>>,
-{DATA_TAG} struct<
-  ArticleIdList: struct<ArticleId: array<
-    struct<`@IdType`: string, `#text`: string, {_OTHERS}: array<string>>>>>,
+  KeywordList: array<struct<Keyword: array<string>>>>>,
+{DATA_TAG} array<struct<
+  ArticleIdList: array<struct<ArticleId: array<
+    struct<`@IdType`: string, `#text`: string, {_OTHERS}: array<string>>>>>>>,
 {_MALFORMED_COLUMN} string
 """
 _OPTIONS = {
@@ -129,15 +131,15 @@ def _mixed(record: Column) -> Column:
     The parser hands on such markup in plain text fields, so a "<" there is a sign of it (or of an
     escaped one, which only costs the second parse).
     """
-    citation = record[CITATION_TAG]
-    article = citation["Article"]
+    citation = _first(record[CITATION_TAG])
+    article = _first(citation["Article"])
     authors = _members(article["AuthorList"], "Author")
     texts = F.concat_ws(
         "",
         article["ArticleTitle"],
-        article["Journal"]["Title"],
-        authors["LastName"],
-        authors["ForeName"],
+        _members(article["Journal"], "Title"),
+        _members(authors, "LastName"),
+        _members(authors, "ForeName"),
         _descriptors(citation),
         _members(citation["KeywordList"], "Keyword"),
         _members(article["PublicationTypeList"], "PublicationType"),
@@ -150,14 +152,14 @@ def _mixed(record: Column) -> Column:
 
     return (
         F.contains(texts, F.lit("<"))
-        | has_others(article["Abstract"]["AbstractText"])
-        | has_others(record[DATA_TAG]["ArticleIdList"]["ArticleId"])
+        | has_others(_first(article["Abstract"])["AbstractText"])
+        | has_others(_identifiers(record))
     )
 
 
 def _reason(record: Column, closed: Column, flat: Column) -> Column:
-    citation = record[CITATION_TAG]
-    identifier = citation["PMID"]
+    citation = _first(record[CITATION_TAG])
+    identifier = _first(citation["PMID"])
     return (
         F.when(~closed, NOT_CLOSED)
         .when(record[_MALFORMED_COLUMN].isNotNull(), MALFORMED)
@@ -170,27 +172,33 @@ def _reason(record: Column, closed: Column, flat: Column) -> Column:
 
 
 def _fields(record: Column, flat: Column, doi_scope: str) -> list[Column]:
-    citation = record[CITATION_TAG]
-    article = citation["Article"]
-    journal = article["Journal"]
-    published = journal["JournalIssue"]["PubDate"]
-    year = F.coalesce(tolerant_int(published["Year"]), leading_year(published["MedlineDate"]))
+    citation = _first(record[CITATION_TAG])
+    article = _first(citation["Article"])
+    issues = _members(article["Journal"], "JournalIssue")
+    published = _first(_members(issues, "PubDate"))
+    year = F.coalesce(
+        tolerant_int(_first(published["Year"])), leading_year(_first(published["MedlineDate"]))
+    )
     return [
-        F.coalesce(tolerant_int(citation["PMID"], "bigint"), F.lit(0)).alias("PMID"),
-        blank_if_missing(article["ArticleTitle"]).alias("Title"),
-        _abstract(article["Abstract"]["AbstractText"]).alias("Abstract"),
+        F.coalesce(tolerant_int(_first(citation["PMID"]), "bigint"), F.lit(0)).alias("PMID"),
+        blank_if_missing(_first(article["ArticleTitle"])).alias("Title"),
+        _abstract(_first(article["Abstract"])["AbstractText"]).alias("Abstract"),
         (_own_doi(record) if doi_scope == "own" else _any_doi(flat)).alias("DOI"),
         year.alias("Year"),
         _authors(_members(article["AuthorList"], "Author")).alias("Authors"),
-        blank_if_missing(journal["Title"]).alias("Journal"),
+        blank_if_missing(_first(_members(article["Journal"], "Title"))).alias("Journal"),
         _terms(_descriptors(citation)).alias("MeSH_Terms"),
         _terms(_members(citation["KeywordList"], "Keyword")).alias("Keywords"),
         _terms(_members(article["PublicationTypeList"], "PublicationType")).alias("Pub_Types"),
-        _date(citation["DateCreated"]).alias("Date_Created"),
-        _date(citation["DateRevised"]).alias("Date_Revised"),
+        _date(_first(citation["DateCreated"])).alias("Date_Created"),
+        _date(_first(citation["DateRevised"])).alias("Date_Revised"),
     ]
 
 
+def _first(elements: Column) -> Column:
+    return F.get(elements, F.lit(0))
+
+
 def _members(lists: Column, name: str) -> Column:
     """All members of all lists of a kind, in document order."""
     return F.flatten(F.filter(lists[name], lambda members: members.isNotNull()))
@@ -207,12 +215,14 @@ def _abstract(parts: Column) -> Column:
 
 
 def _authors(authors: Column) -> Column:
-    named = F.filter(authors, lambda author: author["LastName"] != "")
+    named = F.filter(authors, lambda author: _first(author["LastName"]) != "")
     return join_parts(
         F.transform(
             named,
             lambda author: strip_chars(
-                F.concat(author["LastName"], F.lit(", "), blank_if_missing(author["ForeName"])),
+                F.concat(
+                    _first(author["LastName"]), F.lit(", "), blank_if_missing(_first(author["ForeName"]))
+                ),
                 ", ",
             ),
         )
@@ -228,9 +238,12 @@ def _descriptors(citation: Column) -> Column:
     return F.flatten(F.filter(headings["DescriptorName"], lambda names: names.isNotNull()))
 
 
+def _identifiers(record: Column) -> Column:
+    return _members(_first(record[DATA_TAG])["ArticleIdList"], "ArticleId")
+
+
 def _own_doi(record: Column) -> Column:
-    identifiers = record[DATA_TAG]["ArticleIdList"]["ArticleId"]
-    dois = F.filter(identifiers, lambda identifier: identifier["@IdType"] == "doi")
+    dois = F.filter(_identifiers(record), lambda identifier: identifier["@IdType"] == "doi")
     return blank_if_missing(F.get(dois, F.lit(0))["#text"])
 
 
@@ -244,5 +257,7 @@ def _any_doi(flat: Column) -> Column:
 def _date(date: Column) -> Column:
     # An empty month or day element counts as absent.
     return date_text(
-        date["Year"], F.nullif(date["Month"], F.lit("")), F.nullif(date["Day"], F.lit(""))
+        _first(date["Year"]),
+        F.nullif(_first(date["Month"]), F.lit("")),
+        F.nullif(_first(date["Day"]), F.lit("")),
     )

@@ -1,7 +1,8 @@
-"""Whole records as JSON, attributes and children kept, for the two older table forms.
+"""Whole records as JSON for the two older table forms.
 
-The record schema is explicit, so a tag that may repeat is always an array to Spark; the two forms
-differ only in how that tree is spelled as JSON.
+The document form takes a record's shape from the record: it is read as a Variant, whose objects and
+lists follow what occurs, so nothing depends on a schema. The tree form has a list wherever the format
+allows one, which only a schema can tell.
 """
 
 from __future__ import annotations
@@ -121,100 +122,218 @@ _OPTIONS = {
     "ignoreSurroundingSpaces": "true",
     "columnNameOfCorruptRecord": _MALFORMED_COLUMN,
 }
+# A Variant would make numbers of texts like "007". Each text is therefore read with a mark before it,
+# which goes again. Where a record holds the mark, or its escape, they are spelled with the escape.
+_MARK, _ESCAPE = "\ue000", "\ue001"
+_BEFORE_TEXT = r"(>\s*+)(?=[^<\s])"
+_BEFORE_VALUE = r"""(=\s*+["'])"""
 
 
-def to_documents(records: DataFrame, schema: str = RECORD_SCHEMA) -> DataFrame:
+def to_documents(records: DataFrame, schema: str | None = None) -> DataFrame:
     """``(PMID, JSON, src, raw, reason)``: attributes as ``@name``, text beside them as ``#text``.
 
     A tag that occurs once is a value and one that occurs more often a list, as the readers of
-    this form expect. A record with elements, attributes or nested lists that the schema does not name
-    carries its XML as ``#raw`` besides, so that nothing is lost.
+    this form expect; every element and attribute is kept at its path, whatever its name. An element
+    without content is null. Only in elements that may hold inline markup (``MIXED_TAGS``) does the
+    text stand without it; elsewhere the texts around child elements are listed. With ``schema``, the
+    elements that it leaves out are left out.
     """
-    tree, kind = _parse(records, schema)
-    return tree.select(
-        F.coalesce(F.col("_record")[CITATION_TAG]["PMID"]["#text"], F.lit("")).alias("PMID"),
-        F.when(F.col("reason").isNull(), _with_raw(F.expr(_document("_record", kind)))).alias("JSON"),
+    flat, prepared = _prepared(records)
+    text = F.regexp_replace(
+        F.regexp_replace(_escaped(flat), _BEFORE_TEXT, F.lit(f"$1{_MARK}")),
+        _BEFORE_VALUE,
+        F.lit(f"$1{_MARK}"),
+    )
+    kind = "variant" if schema is None else f"struct<{schema}>"
+    parsed = with_computed(
+        prepared,
+        _whole=F.from_xml(
+            F.concat(F.lit("<r>"), text if schema is None else flat, F.lit("</r>")),
+            f"{RECORD_TAG} {kind}, {_MALFORMED_COLUMN} string",
+            _OPTIONS,
+        ),
+        _given=_broken_as_given(),
+    )
+    record = F.col("_whole")[RECORD_TAG]
+    reason = _reason(F.col("_whole")[_MALFORMED_COLUMN])
+    if schema is None:
+        spelled = _unescaped(F.replace(F.to_json(record), F.lit(_MARK), F.lit("")))
+        spelled = F.when(spelled.startswith("{"), spelled).otherwise(F.lit("{}"))
+        identifier = _first_identifier(record)
+    else:
+        tree = parsed.schema["_whole"].dataType[RECORD_TAG].dataType
+        spelled = F.coalesce(F.expr(_document(f"_whole.{RECORD_TAG}", tree)), F.lit("{}"))
+        identifier = record[CITATION_TAG]["PMID"]["#text"]
+    return parsed.select(
+        F.when(reason.isNull(), F.coalesce(identifier, F.lit(""))).otherwise("").alias("PMID"),
+        F.when(reason.isNull(), spelled).alias("JSON"),
         LINEAGE_COLUMN,
-        "raw",
-        "reason",
+        F.when(reason.isNotNull(), F.col("raw")).alias("raw"),
+        reason.alias("reason"),
     )
 
 
-def to_trees(records: DataFrame, schema: str = RECORD_SCHEMA) -> DataFrame:
-    """``(pmid, json, src, raw, reason)``: no attributes, and lists wherever the format has one; ``#raw``
-    as in ``to_documents``."""
-    tree, kind = _parse(records, schema)
-    return tree.select(
-        tolerant_int(F.col("_record")[CITATION_TAG]["PMID"]["#text"]).alias("pmid"),
-        F.when(F.col("reason").isNull(), _with_raw(F.expr(_tree("_record", kind)))).alias("json"),
-        LINEAGE_COLUMN,
-        "raw",
-        "reason",
+def _first_identifier(record: Column) -> Column:
+    """The text of the first ``PMID``, which may stand alone, beside attributes, or in a list."""
+    found = [
+        F.try_variant_get(record, f"$.{CITATION_TAG}{several}.PMID{nth}{text}", "string")
+        for several in ("", "[0]")
+        for nth in ("", "[0]")
+        for text in ('["#text"]', "")
+    ]
+    # An object or list is no text; as a string it would begin with a bracket instead of the mark.
+    marked = [F.when(x.startswith(_MARK), x) for x in found]
+    return _unescaped(F.replace(F.coalesce(*marked), F.lit(_MARK), F.lit("")))
+
+
+def _escaped(text: Column) -> Column:
+    escaped = F.replace(
+        F.replace(text, F.lit(_ESCAPE), F.lit(f"{_ESCAPE}b")), F.lit(_MARK), F.lit(f"{_ESCAPE}a")
     )
+    return F.when(text.rlike(f"[{_MARK}{_ESCAPE}]"), escaped).otherwise(text)
 
 
-def _parse(records: DataFrame, schema: str) -> tuple[DataFrame, T.StructType]:
-    closed = F.col("closed") if "closed" in records.columns else F.lit(True)
-    rewritten = without_inline_markup(without_special_sections(F.col("raw")), MIXED_TAGS, ())
-    special = has_special_sections(F.col("raw")) | has_inline_markup(F.col("raw"), MIXED_TAGS)
-    flat = F.when(special, rewritten).otherwise(F.col("raw"))
-    as_given = F.from_xml("raw", f"{_MALFORMED_COLUMN} string", _OPTIONS)[_MALFORMED_COLUMN]
-    prepared = with_computed(
-        records.select(LINEAGE_COLUMN, "raw", closed.alias("_closed")), _flat=flat
+def _unescaped(text: Column) -> Column:
+    plain = F.replace(
+        F.replace(text, F.lit(f"{_ESCAPE}a"), F.lit(_MARK)), F.lit(f"{_ESCAPE}b"), F.lit(_ESCAPE)
     )
+    return F.when(F.contains(text, F.lit(_ESCAPE)), plain).otherwise(text)
+
+
+def to_trees(records: DataFrame, schema: str = RECORD_SCHEMA) -> DataFrame:
+    """``(pmid, json, src, raw, reason)``: no attributes, and lists wherever the format has one.
+
+    An element that the format allows once and that occurs more often becomes a list. A record with an
+    element or attribute at a path that the schema does not name carries its XML as ``#raw`` besides, so
+    that nothing is lost.
+    """
+    flat, prepared = _prepared(records)
+    single = _parse_type(records.sparkSession, schema)
     parsed = with_computed(
-        prepared,
-        _record=F.from_xml("_flat", f"{schema}, {_MALFORMED_COLUMN} string", _OPTIONS),
-        _given=F.when(F.col("raw") != F.col("_flat"), as_given),
+        prepared.withColumn("_flat", flat),
+        _record=F.from_xml(
+            "_flat", _all_lists(single).add(_MALFORMED_COLUMN, T.StringType()), _OPTIONS
+        ),
+        _given=_broken_as_given(),
     )
-    broken = F.coalesce(F.col("_record")[_MALFORMED_COLUMN], F.col("_given")).isNotNull()
-    reason = F.when(~F.col("_closed"), NOT_CLOSED).when(broken, MALFORMED)
-    kind = parsed.schema["_record"].dataType
-    kind = T.StructType([f for f in kind.fields if f.name != _MALFORMED_COLUMN])
+    reason = _reason(F.col("_record")[_MALFORMED_COLUMN])
     tree = parsed.select(
         LINEAGE_COLUMN,
         F.when(reason.isNotNull(), F.col("raw")).alias("raw"),
         reason.alias("reason"),
         F.when(reason.isNull(), F.col("_record")).alias("_record"),
-        F.when(reason.isNull() & _unnamed(F.col("_flat"), F.col("_record"), kind), F.col("raw")).alias("_raw"),
+        F.when(reason.isNull() & _unplaced(F.col("_flat"), single), F.col("raw")).alias("_raw"),
+    )
+    identifier = F.get(F.get(F.col("_record")[CITATION_TAG], F.lit(0))["PMID"], F.lit(0))["#text"]
+    return tree.select(
+        tolerant_int(F.get(identifier, F.lit(0))).alias("pmid"),
+        F.when(F.col("reason").isNull(), _with_raw(F.expr(_tree("_record", single)))).alias("json"),
+        LINEAGE_COLUMN,
+        "raw",
+        "reason",
+    )
+
+
+def _prepared(records: DataFrame) -> tuple[Column, DataFrame]:
+    """A record's XML without inline markup where its text is wanted whole, and the rows it is of."""
+    closed = F.col("closed") if "closed" in records.columns else F.lit(True)
+    rewritten = without_inline_markup(without_special_sections(F.col("raw")), MIXED_TAGS, ())
+    special = has_special_sections(F.col("raw")) | has_inline_markup(F.col("raw"), MIXED_TAGS)
+    rows = with_computed(
+        records.select(LINEAGE_COLUMN, "raw", closed.alias("_closed")),
+        _changed=F.when(special, rewritten),
     )
-    return tree, kind
+    return F.coalesce("_changed", "raw"), rows
 
 
-def _names(kind: T.DataType) -> set[str]:
-    """All names of the schema, attributes with their prefix."""
+def _broken_as_given() -> Column:
+    """What rewriting may have hidden: the record as it was, if that is malformed."""
+    given = F.from_xml("raw", f"{_MALFORMED_COLUMN} string", _OPTIONS)[_MALFORMED_COLUMN]
+    return F.when(F.col("_changed").isNotNull(), given)
+
+
+def _reason(malformed: Column) -> Column:
+    broken = F.coalesce(malformed, F.col("_given")).isNotNull()
+    return F.when(~F.col("_closed"), NOT_CLOSED).when(broken, MALFORMED)
+
+
+def _parse_type(spark, schema: str) -> T.StructType:
+    return spark.createDataFrame([], schema).schema
+
+
+def _all_lists(kind: T.DataType) -> T.DataType:
+    """The type with a list wherever it has a single element."""
     if isinstance(kind, T.ArrayType):
-        return _names(kind.elementType)
+        return T.ArrayType(_all_lists(kind.elementType))
     if not isinstance(kind, T.StructType):
-        return set()
-    return set(kind.fieldNames()).union(*[_names(f.dataType) for f in kind.fields])
-
-
-def _unnamed(flat: Column, record: Column, kind: T.StructType) -> Column:
-    """Whether the XML has names that the schema lacks, or lists nested deeper than it goes."""
-    known = _names(kind) | {RECORD_TAG}
-
-    def beyond(pattern: str, names: list[str]) -> Column:
-        found = F.array_distinct(F.regexp_extract_all(flat, F.lit(pattern), F.lit(1)))
-        return F.size(F.array_except(found, F.array(*map(F.lit, sorted(names))))) > 0
-
-    elements = beyond(r"<([A-Za-z_][\w.:-]*)", [n for n in known if n[0] not in "@#"])
-    attributes = beyond(
-        r"<[A-Za-z_][^<>]*?\s([A-Za-z_][\w.:-]*)\s*=", [n[1:] for n in known if n[0] == "@"] or [""]
-    ) | beyond(r"""["']\s+([A-Za-z_][\w.:-]*)\s*=\s*["'][^<>]*>""", [n[1:] for n in known if n[0] == "@"] or [""])
-    unnamed = elements | attributes
-    if DATA_TAG in kind.fieldNames() and "ReferenceList" in kind[DATA_TAG].dataType.fieldNames():
-        lists = record[DATA_TAG]["ReferenceList"]
-        held = F.coalesce(F.size(lists), F.lit(0)) + F.coalesce(
-            F.aggregate(
-                lists,
-                F.lit(0),
-                lambda total, x: total + F.greatest(F.coalesce(F.size(x["ReferenceList"]), F.lit(0)), F.lit(0)),
-            ),
-            F.lit(0),
+        return kind
+    return T.StructType(
+        [
+            T.StructField(
+                f.name,
+                f.dataType
+                if f.name.startswith("@")
+                else _all_lists(f.dataType)
+                if isinstance(f.dataType, T.ArrayType)
+                else T.ArrayType(_all_lists(f.dataType)),
+            )
+            for f in kind.fields
+        ]
+    )
+
+
+def _paths(kind: T.DataType, path: str) -> list[str]:
+    """The paths of all elements and attributes of a type."""
+    if isinstance(kind, T.ArrayType):
+        return _paths(kind.elementType, path)
+    found = [path]
+    if isinstance(kind, T.StructType):
+        for f in kind.fields:
+            if f.name.startswith("@"):
+                found.append(f"{path}/{f.name}")
+            elif f.name != "#text":
+                found += _paths(f.dataType, f"{path}/{f.name}")
+    return found
+
+
+_NAME = r"[A-Za-z_][\w.:-]*+"
+_TOKEN = rf"""</?{_NAME}|\s{_NAME}\s*+=\s*+(?:"[^"]*+"|'[^']*+')|/?>"""
+
+
+def _unplaced(flat: Column, kind: T.StructType) -> Column:
+    """Whether an element or attribute stands at a path that the schema lacks.
+
+    The tags of the record are gone through with the path so far; what looks like an attribute or the
+    end of a tag in a text is passed over.
+    """
+    known = F.lit(" " + " ".join(_paths(kind, f"/{RECORD_TAG}")) + " ")
+    start = F.struct(F.lit("").alias("path"), F.lit(False).alias("inside"), F.lit(False).alias("odd"))
+
+    def lacks(path: Column) -> Column:
+        return ~F.contains(known, F.concat(F.lit(" "), path, F.lit(" ")))
+
+    def after(path: Column, inside: Column, odd: Column) -> Column:
+        return F.struct(path.alias("path"), inside.alias("inside"), odd.alias("odd"))
+
+    def parent(path: Column) -> Column:
+        last = F.substring_index(path, "/", -1)
+        return F.substr(path, F.lit(1), F.length(path) - F.length(last) - 1)
+
+    def step(state: Column, token: Column) -> Column:
+        path, odd = state["path"], state["odd"]
+        deeper = F.concat(path, F.lit("/"), F.substr(token, F.lit(2)))
+        name = F.trim(F.translate(F.substring_index(token, "=", 1), "\t\r\n", "   "))
+        return (
+            F.when(token.startswith("</"), after(parent(path), F.lit(False), odd))
+            .when(token.startswith("<"), after(deeper, F.lit(True), odd | lacks(deeper)))
+            .when(~state["inside"], state)
+            .when(token == "/>", after(parent(path), F.lit(False), odd))
+            .when(token == ">", after(path, F.lit(False), odd))
+            .otherwise(after(path, F.lit(True), odd | lacks(F.concat(path, F.lit("/@"), name))))
         )
-        unnamed = unnamed | (F.regexp_count(flat, F.lit(r"<ReferenceList[\s>]")) > F.greatest(held, F.lit(0)))
-    return F.coalesce(unnamed, F.lit(False))
+
+    tokens = F.regexp_extract_all(flat, F.lit(_TOKEN), F.lit(0))
+    return F.coalesce(F.aggregate(tokens, start, step)["odd"], F.lit(False))
 
 
 def _with_raw(spelled: Column) -> Column:
@@ -258,7 +377,7 @@ def _document(value: str, kind: T.DataType, depth: int = 0) -> str:
         if "#text" not in names:
             return spelled
         # Text without attributes stands for the element.
-        attributes = ", ".join(f"{value}.`{name}`" for name in names if name != "#text")
+        attributes = ", ".join(["NULL", *(f"{value}.`{name}`" for name in names if name != "#text")])
         alone = _document(f"{value}.`#text`", T.StringType(), depth)
         return f"CASE WHEN coalesce({attributes}) IS NOT NULL THEN {spelled} ELSE {alone} END"
     if isinstance(kind, T.ArrayType):
@@ -269,14 +388,23 @@ def _document(value: str, kind: T.DataType, depth: int = 0) -> str:
 
 
 def _tree(value: str, kind: T.DataType, depth: int = 0) -> str:
+    """``kind`` says where lists belong; in ``value`` every element is a list."""
     if isinstance(kind, T.StructType):
         names = [name for name in kind.fieldNames() if not name.startswith("@")]
         if names == ["#text"]:
-            return _quoted(f"coalesce({value}.`#text`, '')")
+            return _quoted(f"coalesce(array_join({value}.`#text`, ''), '')")
         if len(names) == 1 and isinstance(kind[names[0]].dataType, T.ArrayType):
             members = _tree(f"{value}.`{names[0]}`", kind[names[0]].dataType, depth)
             return f"coalesce({members}, '[]')"
-        return _spelled_object(value, kind, names, _tree, depth)
+        return _spelled_object(value, kind, names, _tree_element, depth)
     if isinstance(kind, T.ArrayType):
         return f"""concat('[', {_spelled_items(value, kind, _tree, '""', depth)}, ']')"""
     return _quoted(f"coalesce({value}, '')")
+
+
+def _tree_element(value: str, kind: T.DataType, depth: int) -> str:
+    """A single element as what it holds, a repeated one as a list."""
+    if isinstance(kind, T.ArrayType):
+        return _tree(value, kind, depth)
+    items = _spelled_items(value, T.ArrayType(kind), _tree, '""', depth)
+    return f"concat(if(size({value}) > 1, '[', ''), {items}, if(size({value}) > 1, ']', ''))"

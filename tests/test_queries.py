@@ -195,14 +195,14 @@ def test_long_list_of_known_ids(spark, table, monkeypatch):
 
 def test_inputs(spark):
     listing = spark.createDataFrame(
-        [("<a>pubmed25n0002.xml.gz</a> pubmed25n0001.xml.gz.md5",), ("pubmed25n0002.xml.gz",)],
+        [("<a>bulk25n0002.xml.gz</a> bulk25n0001.xml.gz.md5",), ("bulk25n0002.xml.gz",)],
         "value string",
     )
-    names = names_in_listing(listing, r"pubmed\d+n\d+\.xml\.gz")
-    assert [r.name for r in names.collect()] == ["pubmed25n0001.xml.gz", "pubmed25n0002.xml.gz"]
-    assert [r.name for r in from_number(names, 2).collect()] == ["pubmed25n0002.xml.gz"]
-    done = spark.createDataFrame([("pubmed25n0001.parquet",)], "name string")
-    assert [r.name for r in pending_inputs(names, done).collect()] == ["pubmed25n0002.xml.gz"]
+    names = names_in_listing(listing, r"bulk\d+n\d+\.xml\.gz")
+    assert [r.name for r in names.collect()] == ["bulk25n0001.xml.gz", "bulk25n0002.xml.gz"]
+    assert [r.name for r in from_number(names, 2).collect()] == ["bulk25n0002.xml.gz"]
+    done = spark.createDataFrame([("bulk25n0001.parquet",)], "name string")
+    assert [r.name for r in pending_inputs(names, done).collect()] == ["bulk25n0002.xml.gz"]
     assert names.filter(has_suffix(F.col("name"))).count() == 2
 
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import bz2
 import os
+import shutil
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -25,6 +26,7 @@ from citelake.plans.swaps import data_files
 from citelake.schema import TABLE_SCHEMA
 from citelake.sources import contents, tables
 from citelake.sources.contents import read_contents, year_totals
+from citelake.sources.id_index import ROWS_SCHEMA, find_ids, index_ids
 from citelake.sources.inputs import input_files
 from citelake.sources.manifest import read_manifest
 from citelake.sources.tables import read_rejects, read_table, read_year_layout, register
@@ -537,3 +539,52 @@ def test_follow_notes_files_without_records(spark, inputs, tmp_path, write_gzip)
     }
     listed = {r.name: (r.bytes, r.modified) for r in input_files(spark, inputs).collect()}
     assert {n: (r.bytes, r.modified) for n, r in lines.items()} == listed
+
+
+# --- the id index -----------------------------------------------------------------
+
+
+def test_lookup_by_index_opens_few_files(spark, tmp_path):
+    root = str(tmp_path / "table")
+    rows = table_rows(*[(i, f"t{i}", 1990 + i % 25, "f") for i in range(500)])(spark)
+    write_table(rows.repartition(4), root)
+    assert index_ids(spark, root) and index_ids(spark, root) == []
+    everything = files_read(read_table(spark, root).filter("PMID IN (7, 123)").select("PMID"))
+    found = find_ids(spark, root, [7, 123, 99_999, -5])
+    assert found.columns == read_table(spark, root).columns
+    opened = files_read(found.select("PMID", "Title", "Year"))
+    assert everything[0] >= 25 and opened[0] <= 2
+    assert sorted(r.Title for r in found.collect()) == ["t123", "t7"]
+    # of the index itself, one directory for each id at most is read
+    lookup = spark.read.schema(ROWS_SCHEMA).parquet(f"{root}/_ids/rows").filter("bucket = 7 AND PMID = 7")
+    assert files_read(lookup)[0] <= 2
+
+
+def test_index_may_lag_behind_the_table(spark, tmp_path):
+    """Rows written, moved or replaced since are found, and removed ones are not."""
+    root = str(tmp_path / "table")
+
+    def found(*ids):
+        return sorted((r.PMID, r.Title, r.Year) for r in find_ids(spark, root, ids).collect())
+
+    write_table(table_rows((1, "a", 2000, "f"), (2, "b", 2001, "f"), (-3, "n", None, "f"))(spark), root)
+    assert found(1, -3) == [(-3, "n", None), (1, "a", 2000)]  # without an index
+    index_ids(spark, root)
+    write_table(table_rows((3, "c", 2000, "g"), (1, "a too", 1990, "g"))(spark), root, mode="append")
+    assert found(1, 2, 3, -3) == [(-3, "n", None), (1, "a", 2000), (1, "a too", 1990), (2, "b", 2001), (3, "c", 2000)]
+    write_table(table_rows((1, "moved", 2005, "h"), (4, "d", 2001, "h"))(spark), root, mode="years")
+    expected = [(1, "moved", 2005), (3, "c", 2000), (4, "d", 2001)]
+    assert found(1, 2, 3, 4) == expected
+    index_ids(spark, root)
+    assert found(1, 2, 3, 4) == expected and found() == [] and found(77) == []
+
+
+def test_index_of_a_lost_driver(spark, tmp_path, monkeypatch):
+    """Rows that were added without naming their batch are added again; lookups stay right."""
+    root = str(tmp_path / "table")
+    write_table(table_rows((1, "a", 2000, "f"))(spark), root)
+    index_ids(spark, root)
+    shutil.rmtree(f"{root}/_ids/batches")
+    assert [r.PMID for r in find_ids(spark, root, [1]).collect()] == [1]
+    index_ids(spark, root)
+    assert [r.PMID for r in find_ids(spark, root, [1]).collect()] == [1]

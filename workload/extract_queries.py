@@ -525,6 +525,84 @@ def trees_round_trip(spark, sf_dir):
     )
 
 
+_TWICE = (
+    "SELECT doc_id, source, lang, CAST(1950 + doc_id % 76 AS INT) AS Year, 'first ' || source AS Title, "
+    "'J ' || lang AS Journal FROM documents"
+)
+
+
+def _repeated_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records in which elements that the format has once occur twice."""
+    year = (F.lit(1950) + F.col("doc_id") % 76).cast("string")
+    return document_records(
+        spark,
+        sf_dir,
+        pmid=F.concat(pmid_xml(F.col("doc_id")), F.lit("<PMID>7</PMID>")),
+        date=F.concat(element("Year", year), F.lit("<Year>1900</Year>")),
+        title=F.concat(
+            F.lit("first "), F.col("source"), F.lit("</ArticleTitle><ArticleTitle>second <i>one</i>")
+        ),
+        journal=F.concat(F.lit("J "), F.col("lang"), F.lit("</Title><Title>K")),
+    )
+
+
+@query(f"SELECT doc_id AS PMID, Title, Year, Journal FROM ({_TWICE})")
+def first_of_repeated(spark, sf_dir):
+    """The first id, title, year and journal count."""
+    return xml_fields(_repeated_records(spark, sf_dir), "Title", "Year", "Journal")
+
+
+@query(
+    "SELECT CAST(doc_id AS VARCHAR) AS PMID, Title, 'second one' AS second_title, "
+    f"CAST(Year AS VARCHAR) AS first_year, '1900' AS second_year FROM ({_TWICE})"
+)
+def kept_repeated_elements(spark, sf_dir):
+    """In the document form both of an element that occurs twice are listed."""
+    documents = to_documents(_repeated_records(spark, sf_dir))
+
+    def at(path: str) -> Column:
+        return F.get_json_object("JSON", f"$.{CITATION_TAG}.Article.{path}")
+
+    year = "Journal.JournalIssue.PubDate.Year"
+    return documents.select(
+        "PMID",
+        at("ArticleTitle[0]").alias("Title"),
+        at("ArticleTitle[1]").alias("second_title"),
+        at(f"{year}[0]").alias("first_year"),
+        at(f"{year}[1]").alias("second_year"),
+    )
+
+
+@query(
+    "SELECT CAST(doc_id AS VARCHAR) AS PMID, source AS suffix, '00' || doc_id AS code, lang AS title_ui, "
+    "source AS novel FROM documents"
+)
+def kept_paths(spark, sf_dir):
+    """Known names at places of their own, an unknown attribute and an unknown element are all kept."""
+    strange = document_records(
+        spark,
+        sf_dir,
+        title=F.lit("t"),
+        article=F.concat(
+            element("Suffix", F.col("source")),
+            F.lit("<ELocationID Novel='00"),
+            F.col("doc_id").cast("string"),
+            F.lit("'>x</ELocationID>"),
+            F.lit("<VernacularTitle UI='"),
+            F.col("lang"),
+            F.lit("'>v</VernacularTitle>"),
+        ),
+        citation=element("Novel", element("Deep", F.col("source"))),
+    )
+    return to_documents(strange).select(
+        "PMID",
+        F.get_json_object("JSON", f"$.{CITATION_TAG}.Article.Suffix").alias("suffix"),
+        F.get_json_object("JSON", f"$.{CITATION_TAG}.Article.ELocationID['@Novel']").alias("code"),
+        F.get_json_object("JSON", f"$.{CITATION_TAG}.Article.VernacularTitle['@UI']").alias("title_ui"),
+        F.get_json_object("JSON", f"$.{CITATION_TAG}.Novel.Deep").alias("novel"),
+    )
+
+
 # --- JSON documents -----------------------------------------------------------
 
 

@@ -11,6 +11,8 @@ from citelake.operators import aggregates, compare, quality, sampling
 from citelake.operators.search import count_rows, in_years, search, title_has, without_year
 from citelake.plans.build import publish_metadata
 from citelake.plans.sinks import write_metadata, write_table
+from citelake.sources.contents import year_totals
+from citelake.sources.id_index import find_ids, index_ids
 from citelake.sources.inputs import from_number, names_in_listing, pending_inputs
 from citelake.sources.tables import read_table, read_year_layout, register
 from workload.registry import query
@@ -438,20 +440,38 @@ def replace_years(spark, sf_dir):
     return read_table(spark, root).select("PMID", "Title", "Year", "Journal")
 
 
-@query(
-    "SELECT PMID, Title, CAST(CASE WHEN PMID % 3 = 0 THEN Year + 1 ELSE Year END AS INT) AS Year "
-    "FROM {citations} WHERE PMID % 3 = 0 OR Year <= 1980 OR Year IS NULL OR Year > 1991"
-)
+@query("SELECT PMID, Title, CAST(Year + 1 AS INT) AS Year FROM {citations}")
 def replace_moved_years(spark, sf_dir):
     """Records whose year has changed are written to their new years and leave the old ones."""
     rows, root = citations(spark, sf_dir), scratch(spark, "table")
-    rows = rows.filter("PMID % 3 = 0 OR Year <= 1980 OR Year IS NULL OR Year > 1991")
     write_table(rows, root)
-    moved = rows.withColumn("Year", F.expr("CAST(CASE WHEN PMID % 3 = 0 THEN Year + 1 ELSE Year END AS INT)"))
-    write_table(moved, root, mode="years")
+    write_table(rows.withColumn("Year", F.expr("CAST(Year + 1 AS INT)")), root, mode="years")
     return read_table(spark, root).select("PMID", "Title", "Year")
 
 
+@query(
+    "SELECT CAST(coalesce(Year, 0) AS INT) AS pub_year, "
+    "count(*) * CASE WHEN Year >= 1980 THEN 1 ELSE 2 END AS records FROM {citations} GROUP BY Year"
+)
+def kept_year_totals(spark, sf_dir):
+    """Counts by year after a write, an append and a replacement, without reading a record."""
+    rows, root = citations(spark, sf_dir), scratch(spark, "table")
+    write_table(rows, root)
+    write_table(rows.withColumn("PMID", F.col("PMID") + 10**9), root, mode="append")
+    write_table(rows.filter("Year >= 1980"), root, mode="years")
+    return year_totals(spark, root)
+
+
+@query("SELECT PMID, Title, Year FROM {citations} WHERE PMID IN (3, 97, 150, 388) OR PMID = 1000000007")
+def indexed_lookup(spark, sf_dir):
+    """Ids by the index: of an indexed write, a replaced year and a write not indexed yet."""
+    rows, root = citations(spark, sf_dir), scratch(spark, "table")
+    write_table(rows, root)
+    index_ids(spark, root)
+    write_table(rows.filter("Year >= 1980"), root, mode="years")
+    return find_ids(spark, root, [3, 97, 150, 388, 10**9 + 7]).select("PMID", "Title", "Year")
+
+
 @query(
     "SELECT doc_id % 5 AS PMID, true AS found, true AS titled, "
     "left(Title, 60) AS preview, Year FROM (SELECT PMID AS doc_id, Title, Year, row_number() OVER (PARTITION BY PMID % 5 "
@@ -465,17 +485,24 @@ def known_repeated_ids(spark, sf_dir):
 
 
 @query(
-    "SELECT count(*) AS total_records, CAST(NULL AS VARCHAR) AS baseline_date, CAST(0 AS BIGINT) AS years "
-    "FROM {citations} WHERE PMID < 0"
+    "SELECT 'all' AS part, count(*) AS total_records, CAST(NULL AS VARCHAR) AS baseline_date, "
+    "count(DISTINCT coalesce(Year, 0)) AS years FROM {citations} "
+    "UNION ALL SELECT 'none', 0, NULL, 0"
 )
 def metadata_of_nothing(spark, sf_dir):
-    """The metadata document of an empty table, without a date."""
-    root = scratch(spark, "table")
-    write_table(citations(spark, sf_dir).filter("PMID < 0"), root)
-    found = publish_metadata(spark, root, scratch(spark, "metadata"), "none")
-    return found.select(
-        "total_records", "baseline_date", F.size("year_distribution").cast("bigint").alias("years")
-    )
+    """The metadata documents of the whole table and of an empty one, without a date."""
+    found = None
+    for part, rows in (("all", citations(spark, sf_dir)), ("none", citations(spark, sf_dir).limit(0))):
+        root = scratch(spark, "table")
+        write_table(rows, root)
+        row = publish_metadata(spark, root, scratch(spark, "metadata"), part).select(
+            F.lit(part).alias("part"),
+            "total_records",
+            "baseline_date",
+            F.size("year_distribution").cast("bigint").alias("years"),
+        )
+        found = row if found is None else found.unionByName(row)
+    return found
 
 
 @query("SELECT PMID, Title, Year, CAST(coalesce(Year, 0) AS INT) AS pub_year FROM {citations}")
