@@ -1,6 +1,6 @@
 """Which file holds which id: a side table sorted by id, so that a lookup opens few files.
 
-The index has a row (id, year, file) for each record, dealt to ``BUCKETS`` directories by id and sorted by id
+The index has a row (id, year's directory and file) for each record, dealt to ``BUCKETS`` directories by id and sorted by id
 inside each, so a lookup opens the files of one directory and of those only the row groups that may hold
 the id. It is added to by batch. A batch's files never change: what the index says of a file stays right as
 long as the file is there, and files of batches not indexed yet are searched besides. So it may lag behind a
@@ -23,7 +23,7 @@ from citelake.sources.tables import ACCEPTED, OUTCOME_COLUMN, read_table, stored
 
 INDEX_FOLDER = "_ids"
 BUCKETS = 64
-ROWS_SCHEMA = f"PMID bigint, {PARTITION_COLUMN} int, file string, bucket int"
+ROWS_SCHEMA = "PMID bigint, place string, bucket int"
 BATCHES_SCHEMA = "batch string"
 
 
@@ -31,6 +31,11 @@ def bucket_of(identifier: Column) -> Column:
     return F.pmod(identifier, F.lit(BUCKETS)).cast("int")
 
 
+def place_of(file_path: Column) -> Column:
+    """A file's directory and name; a task gives its files in all directories the same name."""
+    return F.substring_index(file_path, "/", -2)
+
+
 def indexed_batches(spark: SparkSession, root: str) -> list[str]:
     """The batches whose records are in the index; a name for each write of the table."""
     try:
@@ -53,11 +58,14 @@ def index_ids(spark: SparkSession, root: str) -> list[str]:
     new = sorted(row.batch for row in held.select("batch").distinct().collect() if row.batch not in known)
     if not new:
         return []
-    name = F.col("_metadata.file_name")
     rows = (
         stored_rows(spark, root)
-        .filter((F.col(OUTCOME_COLUMN) == ACCEPTED) & batch_of(name).isin(new))
-        .select("PMID", PARTITION_COLUMN, name.alias("file"), bucket_of(F.col("PMID")).alias("bucket"))
+        .filter((F.col(OUTCOME_COLUMN) == ACCEPTED) & batch_of(F.col("_metadata.file_name")).isin(new))
+        .select(
+            "PMID",
+            place_of(F.col("_metadata.file_path")).alias("place"),
+            bucket_of(F.col("PMID")).alias("bucket"),
+        )
     )
     (
         rows.repartitionByRange("bucket", "PMID")
@@ -87,13 +95,12 @@ def find_ids(spark: SparkSession, root: str, ids: Sequence[int]) -> DataFrame:
     rows = spark.read.schema(ROWS_SCHEMA).parquet(f"{root}/{INDEX_FOLDER}/rows")
     buckets = sorted({identifier % BUCKETS for identifier in wanted})
     found = rows.filter(F.col("bucket").isin(buckets) & F.col("PMID").isin(wanted))
-    files = [row.file for row in found.select("file").distinct().collect()]
-    name = F.col("_metadata.file_name")
-    named = F.coalesce(name.isin(files), F.lit(False)) if files else F.lit(False)
+    places = [row.place for row in found.select("place").distinct().collect()]
+    named = place_of(F.col("_metadata.file_path")).isin(places) if places else F.lit(False)
     return (
         stored_rows(spark, root)
         .filter(F.col(OUTCOME_COLUMN) == ACCEPTED)
-        .filter(named | ~batch_of(name).isin(batches))
+        .filter(named | ~batch_of(F.col("_metadata.file_name")).isin(batches))
         .filter(F.col("PMID").isin(wanted))
         .select(*TABLE_COLUMNS, LINEAGE_COLUMN, PARTITION_COLUMN)
     )
