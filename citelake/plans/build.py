@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,8 +24,14 @@ from citelake.plans.sinks import (
 )
 from citelake.schema import XML_SUFFIX
 from citelake.sources.contents import year_totals
-from citelake.sources.inputs import from_number, input_files, pending_inputs
-from citelake.sources.manifest import read_manifest, record_finished
+from citelake.sources.damaged import damaged_files, unreadable
+from citelake.sources.inputs import from_number, input_files
+from citelake.sources.manifest import (
+    read_manifest,
+    record_damaged,
+    record_finished,
+    waiting_inputs,
+)
 from citelake.sources.tables import read_documents, read_table
 from citelake.sources.xml_files import read_xml_records
 
@@ -43,17 +51,53 @@ def build_from_xml(
     spread: int | None = None,
     doi_scope: str = "own",
     mode: str = "overwrite",
+    set_aside: bool = True,
 ) -> DataFrame:
-    """Extract every record of the files under ``source`` and write the table to ``root``."""
+    """Extract every record of the files under ``source`` and write the table to ``root``.
+
+    A file that cannot be read costs no other: with ``set_aside`` it is left out, and the manifest has a
+    line with its error.
+    """
     inputs = input_files(spark, source, glob)
     inputs = inputs if start_from is None else from_number(inputs, start_from)
     inputs = spark.createDataFrame(inputs.collect(), inputs.schema)  # as they are before the build
-    records = read_xml_records(spark, source, glob, start_from, spread)
-    batch = write_table(extract_xml(records, doi_scope), root, mode)
-    record_finished(inputs, root, batch)
+
+    def write(paths: str | list[str]) -> str:
+        records = read_xml_records(spark, paths, glob, start_from, spread)
+        return write_table(extract_xml(records, doi_scope), root, mode)
+
+    _write_readable(spark, inputs, source, write, root, set_aside)
     return read_table(spark, root)
 
 
+def _write_readable(
+    spark: SparkSession,
+    inputs: DataFrame,
+    paths: str | list[str],
+    write: Callable[[str | list[str]], str],
+    root: str,
+    set_aside: bool,
+) -> None:
+    """Write the inputs; where that fails over a file's content, write those that can be read."""
+    schema = "path string, error string"
+    damaged: dict[str, str] = {}
+    try:
+        batch = write(paths)
+    except (Py4JJavaError, PySparkException) as error:
+        if not set_aside or not unreadable(error):
+            raise
+        listed = [row.path for row in inputs.select("path").collect()]
+        damaged = damaged_files(spark, listed)
+        readable = [path for path in listed if path not in damaged]
+        if not damaged or not readable:
+            raise
+        batch = write(readable)
+    found = spark.createDataFrame(list(damaged.items()), schema)
+    record_finished(inputs.join(F.broadcast(found), "path", "left_anti"), root, batch)
+    if damaged:
+        record_damaged(inputs.join(F.broadcast(found), "path"), root)
+
+
 def resume_from_xml(
     spark: SparkSession,
     source: str,
@@ -64,13 +108,15 @@ def resume_from_xml(
     spread: int | None = None,
     exclude: Sequence[str] = (),
     doi_scope: str = "own",
+    set_aside: bool = True,
 ) -> DataFrame:
     """Add the files under ``source`` that the manifest of ``root`` does not list as finished.
 
     The manifest is written after the rows. A file that was interrupted half-way is therefore done
     again, and what the table held of it is replaced. What the table holds is told by its contents
-    (``sources.contents``), not by its records. ``exclude`` names files to leave out, such as
-    damaged ones; they stay unfinished. Only file names reach the driver, which lists the files in any
+    (``sources.contents``), not by its records. ``exclude`` names files to leave out; they stay
+    unfinished. A damaged file is set aside as in ``build_from_xml`` and is not tried again until another
+    stands in its place. Only file names reach the driver, which lists the files in any
     case.
     """
     mend(spark, root)
@@ -83,14 +129,17 @@ def resume_from_xml(
     if repeated:
         # Finished files are known by name, so a second file of a name would be passed over.
         raise ValueError(f"several inputs are named {repeated[0].name}")
-    waiting = pending_inputs(inputs, read_manifest(spark, root))
+    waiting = waiting_inputs(inputs, read_manifest(spark, root))
     waiting = spark.createDataFrame(waiting.collect(), waiting.schema)  # file names, sizes and times
     paths = [row.path for row in waiting.select("path").collect()]
     if paths:
         remove_files(spark, root, waiting)
-        records = read_xml_records(spark, paths, glob, spread=spread)
-        batch = write_table(extract_xml(records, doi_scope), root, mode="append", mended=True)
-        record_finished(waiting, root, batch)
+
+        def write(some: str | list[str]) -> str:
+            records = read_xml_records(spark, some, glob, spread=spread)
+            return write_table(extract_xml(records, doi_scope), root, mode="append", mended=True)
+
+        _write_readable(spark, waiting, paths, write, root, set_aside)
     return read_table(spark, root)
 
 

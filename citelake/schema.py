@@ -56,6 +56,7 @@ MANIFEST_SCHEMA = T.StructType(
         T.StructField("modified", T.TimestampType()),
         T.StructField("accepted", T.LongType()),
         T.StructField("rejected", T.LongType()),
+        T.StructField("error", T.StringType()),
     ]
 )
 

@@ -26,6 +26,7 @@ from citelake.plans.swaps import data_files
 from citelake.schema import TABLE_SCHEMA
 from citelake.sources import contents, tables
 from citelake.sources.contents import read_contents, year_totals
+from citelake.sources.damaged import damaged_files
 from citelake.sources.id_index import ROWS_SCHEMA, find_ids, index_ids
 from citelake.sources.inputs import input_files
 from citelake.sources.manifest import read_manifest
@@ -588,3 +589,51 @@ def test_index_of_a_lost_driver(spark, tmp_path, monkeypatch):
     assert [r.PMID for r in find_ids(spark, root, [1]).collect()] == [1]
     index_ids(spark, root)
     assert [r.PMID for r in find_ids(spark, root, [1]).collect()] == [1]
+
+
+# --- damaged files ------------------------------------------------------------------
+
+
+def cut_short(path) -> None:
+    content = open(path, "rb").read()
+    with open(path, "wb") as out:
+        out.write(content[: len(content) // 2])
+
+
+@pytest.fixture
+def partly_damaged(tmp_path, write_gzip):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for n in range(7):
+        write_gzip(folder / f"bulk25n000{n}.xml.gz", bulk(*[numbered(100 * n + i, 1999) for i in range(30)]))
+    for n in (2, 5):
+        cut_short(folder / f"bulk25n000{n}.xml.gz")
+    (folder / "bulk25n0006.xml.gz").write_bytes(b"no gzip at all")
+    return folder
+
+
+def test_damaged_files_cost_no_others(spark, partly_damaged, tmp_path, write_gzip):
+    source, good = str(partly_damaged), [100 * n + i for n in (0, 1, 3, 4) for i in range(30)]
+    bad = {f"bulk25n000{n}.xml.gz" for n in (2, 5, 6)}
+    for build in (build_from_xml, resume_from_xml):
+        root = str(tmp_path / build.__name__)
+        assert sorted(r.PMID for r in build(spark, source, root).collect()) == good
+        lines = {r.name: r for r in read_manifest(spark, root).collect()}
+        assert len(lines) == 7 and {n for n, r in lines.items() if r.error} == bad
+        assert all(r.accepted == (0 if r.error else 30) for r in lines.values())
+        # nothing is tried again as it stands
+        assert scanned(spark, lambda root=root: resume_from_xml(spark, source, root)) == []
+    # a file put in a damaged one's place is taken up
+    write_gzip(partly_damaged / "bulk25n0005.xml.gz", bulk(numbered(501, 2000)))
+    assert sorted(r.PMID for r in resume_from_xml(spark, source, root).collect()) == sorted([*good, 501])
+
+
+def test_damaged_files_fail_where_that_is_wanted(spark, partly_damaged, tmp_path):
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        build_from_xml(spark, str(partly_damaged), str(tmp_path / "table"), set_aside=False)
+
+
+def test_other_failures_are_not_taken_for_damage(spark, tmp_path):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        damaged_files(spark, [str(tmp_path / "none.gz")])
+    assert damaged_files(spark, []) == {}

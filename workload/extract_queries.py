@@ -472,6 +472,22 @@ def resumed_with_empty_file(spark, sf_dir):
     return counted.withColumn("pending", F.lit(pending.count()).cast("bigint"))
 
 
+@query("SELECT PMID, Title, DOI, Year, CAST(1 AS BIGINT) AS damaged FROM {citations}")
+def damaged_build(spark, sf_dir):
+    """One file that ends too early costs no other file, and the manifest says so."""
+    files, root = scratch(spark, "files"), scratch(spark, "table")
+    write_xml_files(plain_records(spark, sf_dir), files)
+    whole = spark.read.format("binaryFile").load(files).orderBy("path").first()
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{files}/cut.gz")
+    out = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).create(path)
+    out.write(bytearray(whole.content[: whole.length // 2]))
+    out.close()
+    build_from_xml(spark, files, root, glob="*.gz")
+    built = resume_from_xml(spark, files, root, glob="*.gz")
+    damaged = read_manifest(spark, root).filter("error IS NOT NULL AND name = 'cut.gz'").count()
+    return built.select("PMID", "Title", "DOI", "Year", F.lit(damaged).cast("bigint").alias("damaged"))
+
+
 @query("SELECT count(*) AS records FROM documents WHERE doc_id % 7 >= 4")
 def foreign_scan(spark, sf_dir):
     """A recursive scan of the documented folder, as another engine does it, meets records only."""
