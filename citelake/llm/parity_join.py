@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from citelake.llm.components import components
 from citelake.llm.scratch import forget, written
@@ -175,9 +176,11 @@ def jaccard_links(
     classes: enough of them to give the components, each verified.
 
     ``class_id`` is the smallest key of those with the same set, null for documents without words.
-    Keys are integers; rows whose key is null are left out. Rows that share a key stand for one
-    document, which is linked through any of them.
+    Keys are integers; other keys are refused, and rows whose key is null are left out. Rows that share
+    a key stand for one document, which is linked through any of them.
     """
+    if not isinstance(documents.schema[key].dataType, T.IntegralType):
+        raise TypeError(f"the keys of {key} are not integers")
     rows = documents.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
     rows = rows.filter("key IS NOT NULL")
 
@@ -383,17 +386,30 @@ def near_duplicates(
     size: int = SHINGLE,
     percent: int = PERCENT,
 ) -> DataFrame:
-    """``key``, ``n_shingles``, ``class_id``, ``component_id`` for each row with a key.
+    """``key``, ``n_shingles``, ``class_id``, ``component_id`` for each row.
 
     ``component_id`` is the smallest key reachable by links, the row's own included. Documents
-    without words (blank, empty or null texts) are linked with nothing. An empty table gives no rows.
+    without words (blank, empty or null texts) are linked with nothing. Rows whose key is null cannot be
+    named by a link: each stands for itself, with null as class and component. An empty table gives no
+    rows.
     """
     sets, links = jaccard_links(documents, key, text, size, percent)
     placed = components(links)
     joined = sets.join(placed, sets["class_id"] == placed["node"], "left")
-    return joined.select(
+    named = joined.select(
         F.col("key").alias(key),
         "n_shingles",
         "class_id",
         F.coalesce("component", "class_id", "key").alias("component_id"),
     )
+
+    columns = named.columns
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = [len(s) for _, s in _sets(batch, size)]
+            none = pa.nulls(len(n), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, pa.array(n, pa.int64()), none, none], names=columns)
+
+    unnamed = documents.filter(F.col(key).isNull()).select(F.lit(0).alias("key"), F.col(text).alias("text"))
+    return named.unionByName(unnamed.mapInArrow(count, named.schema))

@@ -32,8 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from citelake.llm.run_table import ragged
 from citelake.llm.scratch import forget, written
-from citelake.llm.token_ids import ragged
 from citelake.llm.words import byte_spans
 
 PARTS = 4

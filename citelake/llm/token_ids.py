@@ -2,8 +2,8 @@
 
 Every piece of text between spaces is encoded once and looked up from then on. That gives the ids of
 the whole text: the tokenizer always parts words before a space that no blank follows, so a piece,
-with the space before it, is encoded the same wherever it stands. Texts in which a blank follows a
-space are encoded as they are.
+with the space before it, is encoded the same wherever it stands. A hash proposes a piece and its bytes
+decide. Texts in which a blank follows a space are encoded as they are.
 """
 
 from __future__ import annotations
@@ -12,14 +12,14 @@ import base64
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 
+from citelake.llm.run_table import RunTable, ragged
 from citelake.llm.words import FACTOR, INVERSE, byte_spans, chunks, mixed, powers
 
 # Texts taken together, and pieces remembered by a Python worker.
 GROUP_BYTES = 6 << 20
-REMEMBERED = 1_500_000
+REMEMBERED = 1_000_000
 # Bytes of a string handed to the tokenizer at once.
 CALL_BYTES = 1 << 16
 
@@ -52,7 +52,7 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known = np.zeros(0, np.uint64)
+        self.table = RunTable()
         self.slots = np.zeros(0, np.int64)
         self.places = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint32)
@@ -104,32 +104,18 @@ class Encoder:
         self.ids = np.concatenate([self.ids, *found])
         return slot
 
-    def look_up(self, hashes: np.ndarray, body, start, size) -> np.ndarray:
-        """The slot of each piece, given its hash; unknown ones are encoded first."""
-        codes, distinct = pd.factorize(hashes)
-        if len(self.known) + len(distinct) > REMEMBERED:
+    def look_up(self, hashes, body, start, size) -> np.ndarray:
+        """The slot of each piece; unknown ones are encoded first."""
+        if len(self.table) > REMEMBERED:
             self.forget()
-        at = np.searchsorted(self.known, distinct)
-        hit = at < len(self.known)
-        hit[hit] = self.known[at[hit]] == distinct[hit]
-        slots = np.empty(len(distinct), dtype=np.int64)
-        slots[hit] = self.slots[at[hit]]
-        new = np.flatnonzero(~hit)
+        known = len(self.table)
+        numbers = self.table.look_up(hashes, body, start, size)
+        new = np.arange(known, len(self.table))
         if len(new):
-            example = np.empty(len(distinct), dtype=np.int64)
-            example[codes[::-1]] = np.arange(len(codes))[::-1]
-            slots[new] = self.pieces(body, start[example[new]], size[example[new]])
-            known = np.concatenate([self.known, distinct[new]])
-            order = np.argsort(known, kind="stable")
-            self.slots = np.concatenate([self.slots, slots[new]])[order]
-            self.known = known[order]
-        return slots[codes]
-
-
-def ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """start[0] .. start[0]+size[0]-1, start[1] .. and so on."""
-    total = np.cumsum(size)
-    return np.arange(total[-1] if len(total) else 0) + np.repeat(start - (total - size), size)
+            sizes = self.table.sizes[new]
+            slots = self.pieces(self.table.bytes_of(new), np.cumsum(sizes) - sizes, sizes)
+            self.slots = np.concatenate([self.slots, slots])
+        return self.slots[numbers]
 
 
 @lru_cache(maxsize=4)

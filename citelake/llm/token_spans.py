@@ -21,30 +21,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from citelake.llm.token_ids import encode_column, encoder, ragged
+from citelake.llm.run_table import ragged
+from citelake.llm.token_ids import encode_column, encoder
 
 SECTION = "array<struct<name:string,start:bigint,end:bigint>>"
 
 
 def line_sections(text: Column) -> Column:
-    """The lines of a text as sections ``line 0``, ``line 1``, ...; a line end belongs to its line."""
+    """The lines of a text as sections ``line 0``, ``line 1``, ...; a line end belongs to its line.
+
+    Only the lines' lengths are listed; where they begin is added up where they are used.
+    """
     lines = F.split(F.coalesce(text, F.lit("")), "\n")
-    sizes = F.transform(lines, lambda x: F.length(x).cast("bigint") + 1)
-    empty = F.array().cast("array<bigint>")
-    ends = F.aggregate(
-        sizes, F.struct(empty.alias("all"), F.lit(0).cast("bigint").alias("at")),
-        lambda a, n: F.struct(F.concat(a["all"], F.array(a["at"] + n)).alias("all"), (a["at"] + n).alias("at")),
-        lambda a: a["all"],
-    )
-    last = F.length(F.coalesce(text, F.lit(""))).cast("bigint")
-    return F.transform(
-        F.arrays_zip(sizes.alias("n"), ends.alias("e")),
-        lambda x, i: F.struct(
-            F.concat(F.lit("line "), i.cast("string")).alias("name"),
-            (x["e"] - x["n"]).alias("start"),
-            F.least(x["e"], last).alias("end"),
-        ),
-    )
+    return F.transform(lines, lambda x: F.length(x).cast("bigint") + 1)
 
 
 def head_and_body(text: Column) -> Column:
@@ -107,6 +96,28 @@ def attribute(
     return counts, float(len(size) - len(first))
 
 
+class Sections:
+    """The names of a text's sections and, as rows, their first and last character."""
+
+    def __init__(self, column: pa.Array, lines: bool) -> None:
+        self.lines, flat = lines, column.flatten()
+        self.places = np.concatenate([[0], np.cumsum(column.value_lengths().fill_null(0))])
+        if lines:
+            self.sizes = np.asarray(flat, dtype=np.int64)
+            return
+        self.names = flat.field("name").to_pylist()
+        spans = [np.asarray(flat.field(x).fill_null(0), dtype=np.int64) for x in ("start", "end")]
+        self.spans = np.column_stack(spans)
+
+    def of(self, i: int) -> tuple[list[str], np.ndarray]:
+        part = slice(int(self.places[i]), int(self.places[i + 1]))
+        if not self.lines:
+            return self.names[part], self.spans[part]
+        ends = np.cumsum(self.sizes[part])
+        names = [f"line {n}" for n in range(len(ends))]
+        return names, np.column_stack([ends - self.sizes[part], ends])
+
+
 def count_by_section(
     documents: DataFrame,
     tokenizer: str,
@@ -120,13 +131,14 @@ def count_by_section(
     """``key``, ``section``, ``n_tokens``, ``n_bytes``, ``doc_tokens``; one row for each section, and one
     whose section is null for the tokens in none, if there are any.
 
-    ``sections`` gives names with character offsets, in order and without overlap; by default the
-    first line and the rest.
+    ``sections`` gives names with character offsets, in order and without overlap, or the lengths of
+    lines that follow one another (``line_sections``); by default the first line and the rest.
     """
     if rule not in ("most", "split"):
         raise ValueError(f"unknown rule {rule}")
     spans = head_and_body(F.col(text)) if sections is None else sections
     rows = documents.select(F.col(key), F.col(text).alias("_text"), spans.alias("_spans"))
+    lines = not isinstance(rows.schema["_spans"].dataType.elementType, T.StructType)
     kind = T.DoubleType() if rule == "split" else T.LongType()
     result = T.StructType(
         [
@@ -141,7 +153,7 @@ def count_by_section(
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(tokenizer, ranks, pattern)
         for batch in batches:
-            keys, listed = batch.column(0), batch.column(2)
+            keys, listed = batch.column(0), Sections(batch.column(2), lines)
             for first, last, body, places, ids, counts in encode_column(tool, batch.column(1)):
                 token_ends = np.cumsum(tool.widths[ids])
                 token_starts = token_ends - tool.widths[ids]
@@ -150,16 +162,15 @@ def count_by_section(
                 begins = np.append(np.flatnonzero((body & 0xC0) != 0x80), len(body))
                 owner, names, n, sizes, totals = [], [], [], [], []
                 for i in range(last - first):
-                    found = listed[first + i].as_py() or []
+                    found, char = listed.of(first + i)
                     base = int(np.searchsorted(begins, places[i]))
                     top = int(np.searchsorted(begins, places[i + 1]))
-                    char = np.array([[x["start"], x["end"]] for x in found], dtype=np.int64).reshape(-1, 2)
                     spot = begins[np.clip(char + base, base, top)]
                     part = slice(behind[i] - counts[i], behind[i])
                     got, outside = attribute(
                         token_starts[part], token_ends[part], spot[:, 0], spot[:, 1], rule == "split"
                     )
-                    names += [x["name"] for x in found]
+                    names += found
                     n += got.tolist()
                     sizes += (spot[:, 1] - spot[:, 0]).tolist()
                     more = len(found)

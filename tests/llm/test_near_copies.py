@@ -75,10 +75,21 @@ def test_components_equal_brute_force(documents, seed, monkeypatch):
 def test_null_keys_repeated_rows_and_empty_tables(documents):
     frame = documents(["a b c d e f", "a b c d e f", "q"], ids=[4, 4, None])
     rows = near_duplicates(frame).collect()
-    assert [(r.doc_id, r.component_id) for r in rows] == [(4, 4), (4, 4)]
+    # a row without a key has a row of its own, which no link names
+    found = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in rows), key=str)
+    assert found == [(4, 2, 4), (4, 2, 4), (None, 1, None)]
+    frame = documents(["a b c d e f", "a b c d e f", None], ids=[1, None, None])
+    found = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in near_duplicates(frame).collect()), key=str)
+    assert found == [(1, 2, 1), (None, 0, None), (None, 2, None)]
     assert near_duplicates(documents([])).count() == 0
 
 
+def test_keys_that_are_no_integers_are_refused(documents):
+    frame = documents(["a"]).withColumn("doc_id", F.lit("x"))
+    with pytest.raises(TypeError):
+        near_duplicates(frame)
+
+
 def test_sketches_bound_the_difference():
     random.seed(3)
     for _ in range(200):

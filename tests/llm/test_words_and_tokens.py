@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 import zlib
 
 import numpy as np
@@ -145,3 +146,49 @@ def test_split_rule_shares_out_by_bytes():
     assert counts.tolist() == [1, 1] and outside == 0
     counts, outside = attribute(np.array([0, 2]), np.array([2, 4]), start, end, False)
     assert counts.tolist() == [2, 0]  # the earlier one at a tie
+
+
+def colliding_words(doublings: int) -> tuple[str, str]:
+    """Two words of 2^doublings letters with one value of any polynomial modulo 2^64, from ten on."""
+    one, two = "a", "b"
+    for _ in range(doublings):
+        one, two = one + two, two + one
+    return one, two
+
+
+@pytest.mark.parametrize("doublings", [10, 11])
+@pytest.mark.parametrize("files", [FILES, {"tokenizer": FILES["tokenizer"]}])
+def test_ids_of_words_built_to_collide(doublings, files):
+    one, two = colliding_words(doublings)
+    texts = [f"x {one} y", f"x {two} y", f"{two} {one}", f"{one} {two}", one, two]
+    assert column_words(pa.array([one])).hashes.tolist() == column_words(pa.array([two])).hashes.tolist()
+    tool = encoder(*files.values())
+    for again in range(2):
+        found = []
+        for _, _, _, _, ids, counts in encode_column(tool, pa.array(texts[again:] + texts[:again])):
+            found += [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+        assert found == [plain_ids(t) for t in texts[again:] + texts[:again]]
+
+
+def test_ids_of_a_whole_table_are_those_of_the_tokenizer(llm):
+    texts = [r.text for r in llm.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    tool, whole = encoder(*FILES.values()), Tokenizer.from_file(FILES["tokenizer"])
+    whole.encode_special_tokens = True
+    expected = [x.ids for x in whole.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
+    flat, counts = zip(*[(ids, n) for *_, ids, n in encode_column(tool, pa.array(texts, pa.string()))], strict=True)
+    assert np.concatenate(counts).tolist() == [len(x) for x in expected]
+    assert np.array_equal(np.concatenate(flat), np.concatenate([np.array(x, np.uint32) for x in expected]))
+
+
+def test_many_lines_take_time_in_proportion(documents):
+    """A text of four times the lines may not take sixteen times as long."""
+    seconds = {}
+    for lines in (20_000, 80_000):
+        frame = documents(["a\n" * lines])
+        for _ in range(2):
+            start = time.perf_counter()
+            rows = count_by_section(frame, **FILES, sections=line_sections(F.col("text")))
+            total = rows.agg(F.count("*"), F.sum("n_tokens"), F.sum("n_bytes"), F.max("doc_tokens")).first()
+            seconds[lines] = time.perf_counter() - start
+        assert tuple(total) == (lines + 1, total[3], 2 * lines, total[3])
+    assert seconds[80_000] < 8 * seconds[20_000] + 2
