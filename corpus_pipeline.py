@@ -19,7 +19,7 @@ from citelake.llm.shipping import ship
 from citelake.llm.site_bayes import classify
 from citelake.llm.suffix_dedup import remove_repeats
 
-# SQL has no equal of the classifier and the tokenizer; the stages are tested against brute force.
+# SQL has no equal of the classifier and the tokenizer.
 ORACLE_SQL = None
 
 
