@@ -8,19 +8,26 @@ eighteen, are enough to bring equal windows together.
 1. The picked suffixes' leading bytes, as two tokens of eight, are dealt into buckets between sampled
    splitters. A bucket is sorted by multikey quicksort, first token first, and neighbours are
    compared: leading bytes found in more than one document are shared. Splitters are whole leading
-   strings, so equal ones never lie across a boundary.
-2. Around a shared suffix, the stretch of all windows that picked it is hashed. Stretches alike are
-   settled at once: all documents but the smallest lose them.
-3. Where different stretches have leading bytes and what lies on one side of them in common, which is
-   so at the ends of a repeat, each window is hashed and compared on its own.
-
-A bit array of fixed size passes the shared leading bytes
-to the next reading of the texts; what it lets through by chance is compared like the rest, so it
-saves work and changes no result.
+   strings, so equal ones never lie across a boundary. Suffixes whose leading bytes are not shared are
+   in no repeat and go no further.
+2. The stretch around a shared suffix holds all windows that picked it. Its bytes are the row; equal
+   ones become one, with the smallest and the largest key that hold it.
+3. Every window of a stretch holds either the suffix's leading bytes and what follows, or those and
+   what goes before: one of two strings of ``GRAM`` + (``span`` - ``GRAM`` + 1) / 2 bytes, its anchors.
+   Stretches are ranged by anchor between sampled splitters and sorted; inside a run of equal anchors
+   the windows' other bytes are ordered as tokens by multikey quicksort and neighbours are compared.
+   Each run of equal windows takes the smallest key of its stretches; equal anchors never lie across a
+   boundary.
+4. A stretch's windows with their smallest keys meet the stretches' places by their bytes.
+
+What is removed follows from comparisons of bytes alone. A bit array of fixed size passes the shared
+leading bytes to the next reading of the texts; what it lets through by chance is compared like the
+rest, so it saves work and changes no result. Beyond about 10^8 shared leads it saves little.
 
 Defined results: a null text is empty; texts shorter than ``span`` stay; rows of equal keys never
-remove from each other; rows whose key is null are neither compared nor changed; an empty table gives
-an empty table.
+remove from each other, and where their texts differ each loses only what its own text shares with
+smaller keys (the texts are told apart by a 64-bit hash beside the key); rows whose key is null are
+neither compared nor changed; an empty table gives an empty table; a key that is no integer is refused.
 """
 
 from __future__ import annotations
@@ -44,6 +51,10 @@ GROUP_BYTES = 1 << 20
 # Documents and suffixes of each that are sampled for the splitters.
 SAMPLED = 2_000
 SAMPLED_SUFFIXES = 64
+# Stretches that are compared at once; a run of equal anchors is never cut.
+HELD_ROWS = 30_000
+# Stretches of one text that leave as one batch.
+AT_ONCE = 100_000
 
 
 class Stretches:
@@ -94,33 +105,27 @@ class Stretches:
             found.append(token)
         return found[0], found[1]
 
-    def sides(self) -> tuple[pa.Array, pa.Array]:
-        """Hashes of the leading bytes with what follows, and with what goes before, so far that any
-        window around them has one or the other whole; null where no window that picked them has."""
-        more = (self.span - GRAM + 1) // 2
-        found = []
-        for start in (self.place, self.place - more):
-            fits = (start >= self.start) & (start + GRAM + more <= self.end)
-            values = self.hashes(np.where(fits, start, 0), np.where(fits, GRAM + more, 0))
-            found.append(pa.array(signed(values), mask=~fits))
-        return found[0], found[1]
+    def bytes_of(self, keep: np.ndarray) -> pa.Array:
+        """The bytes of the stretches ``keep``."""
+        start, size = self.start[keep], self.end[keep] - self.start[keep]
+        ends = np.cumsum(size)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - size), size)
+        places = np.append(0, ends).astype(np.int32)
+        buffers = [None, pa.py_buffer(places), pa.py_buffer(self.body[at])]
+        return pa.Array.from_buffers(pa.binary(), len(size), buffers)
 
-    def contexts(self) -> np.ndarray:
-        size = self.end - self.start
-        whole = self.hashes(self.start, size)
-        shape = (size.astype(np.uint64) << np.uint64(32)) | (self.place - self.start).astype(np.uint64)
-        return mixed(whole ^ mixed(shape))
 
-
-def stretches(batches: Iterable[pa.RecordBatch], span: int) -> Iterator[tuple[Stretches, np.ndarray]]:
-    """For batches of (key, text): groups of texts with their keys."""
+def stretches(
+    batches: Iterable[pa.RecordBatch], span: int
+) -> Iterator[tuple[Stretches, np.ndarray, np.ndarray]]:
+    """For batches of (key, mark, text): groups of texts with their keys and marks."""
     for batch in batches:
-        keys = batch.column(0).to_numpy(zero_copy_only=False)
-        body, places = byte_spans(batch.column(1))
+        keys, marks = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        body, places = byte_spans(batch.column(2))
         for first, last in chunks(places, GROUP_BYTES):
             at = places[first]
             found = Stretches(body[at : places[last]], places[first : last + 1] - at, span)
-            yield found, keys[first:last][found.owner]
+            yield found, keys[first:last][found.owner], marks[first:last][found.owner]
 
 
 def signed(x: np.ndarray) -> np.ndarray:
@@ -131,23 +136,35 @@ def gram_hash(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     return mixed(one + mixed(two))
 
 
-def multikey_order(one: np.ndarray, two: np.ndarray) -> np.ndarray:
-    """Sort by the first token; sort again by the second only what the first leaves equal."""
-    order = np.argsort(one, kind="quicksort")
-    first = one[order]
-    same = np.append(False, first[1:] == first[:-1])
-    run = np.cumsum(~same)
-    tied = np.flatnonzero(same | np.append(same[1:], False))
-    order[tied] = order[tied][np.lexsort((two[order[tied]], run[tied]))]
+def multikey_order(*tokens: np.ndarray) -> np.ndarray:
+    """Sort by the first token; sort again by each next one only what those before leave equal."""
+    order = np.argsort(tokens[0], kind="quicksort")
+    same = np.append(False, np.ones(max(0, len(order) - 1), dtype=bool))[: len(order)]
+    for token, after in zip(tokens, tokens[1:], strict=False):
+        here = token[order]
+        same[1:] &= here[1:] == here[:-1]
+        run = np.cumsum(~same)
+        tied = np.flatnonzero(same | np.append(same[1:], False)[: len(same)])
+        order[tied] = order[tied][np.lexsort((after[order[tied]], run[tied]))]
     return order
 
 
+def run_starts(*tokens: np.ndarray) -> np.ndarray:
+    """Where in sorted tokens a row differs from its neighbour before."""
+    new = np.ones(len(tokens[0]), dtype=bool)
+    if len(new):
+        new[1:] = False
+        for token in tokens:
+            new[1:] |= token[1:] != token[:-1]
+    return np.flatnonzero(new)
+
+
 def splitters(rows: DataFrame, buckets: int, span: int) -> tuple[np.ndarray, np.ndarray]:
     """``buckets`` - 1 leading strings that cut a bounded sample of them evenly."""
     share = min(1.0, SAMPLED / max(1, rows.count()))
 
     def some(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found, _ in stretches(batches, span):
+        for found, _, _ in stretches(batches, span):
             one, two = found.tokens()
             nth = np.arange(len(one)) - np.searchsorted(found.owner, found.owner)
             size = np.bincount(found.owner, minlength=1)[found.owner]
@@ -168,11 +185,11 @@ def shared_leads(rows: DataFrame, buckets: int, span: int) -> DataFrame:
     cut_one, cut_two = splitters(rows, buckets, span)
 
     def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found, keys in stretches(batches, span):
+        for found, keys, _ in stretches(batches, span):
             one, two = found.tokens()
             order = multikey_order(one, two)
             one, two, keys = one[order], two[order], keys[order]
-            new = np.flatnonzero(np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])))[: len(one)]
+            new = run_starts(one, two)
             if not len(one):
                 continue
             low, high = np.minimum.reduceat(keys, new), np.maximum.reduceat(keys, new)
@@ -197,7 +214,7 @@ def shared_leads(rows: DataFrame, buckets: int, span: int) -> DataFrame:
         one, two = (group.column(c).to_numpy().view(np.uint64) for c in ("one", "two"))
         order = multikey_order(one, two)
         one, two = one[order], two[order]
-        new = np.flatnonzero(np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])))
+        new = run_starts(one, two)
         low = np.minimum.reduceat(group.column("low").to_numpy()[order], new)
         high = np.maximum.reduceat(group.column("high").to_numpy()[order], new)
         more = new[low < high]
@@ -207,88 +224,162 @@ def shared_leads(rows: DataFrame, buckets: int, span: int) -> DataFrame:
     return dealt.groupBy("bucket").applyInArrow(compare, "lead bigint")
 
 
+class Anchored:
+    """Stretches sorted by anchor: compared window by window with those of the same anchor."""
+
+    def __init__(self, rows: pa.Table, span: int) -> None:
+        self.rows, self.span = rows, span
+        self.place, self.first, self.last, self.low, self.high = (
+            rows.column(c).to_numpy() for c in ("place", "first", "last", "low", "high")
+        )
+        width, n = anchor_bytes(span), len(rows)
+        column = rows.column("anchor").combine_chunks()
+        self.anchors = np.frombuffer(column.buffers()[2], np.uint8)
+        at = np.frombuffer(column.buffers()[1], np.int32)[column.offset]
+        self.anchors = self.anchors[at : at + n * width].reshape(n, width)
+        new = np.append(True, (self.anchors[1:] != self.anchors[:-1]).any(axis=1))
+        self.run = np.cumsum(new) - 1
+        self.starts = np.flatnonzero(new)
+
+    def decided(self, most: int) -> pa.RecordBatch:
+        """Of the first ``most`` rows: windows (from, to) of a stretch and the smallest key that holds
+        them, where that is not the largest key of the stretch as well."""
+        alone = np.bincount(self.run)[self.run] == 1
+        alone[most:] = False
+        single = np.flatnonzero(alone & (self.low < self.high))
+        rows = np.flatnonzero(~alone[:most])
+        many = self.last[rows] - self.first[rows] + 1
+        of = np.repeat(rows, many)
+        start = np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many) + self.first[of]
+        least = self.least(of, start)
+        begin = run_starts(of, least)
+        end = np.append(begin[1:], len(of))[: len(begin)] - 1
+        lost = least[begin] < self.high[of[begin]]
+        begin, end = begin[lost], end[lost]
+        which = np.append(single, of[begin])
+        return pa.RecordBatch.from_arrays(
+            [
+                self.rows.column("stretch").take(pa.array(which)).combine_chunks(),
+                pa.array(np.append(self.first[single], start[begin]).astype(np.int64)),
+                pa.array(np.append(self.last[single], start[end]).astype(np.int64) + self.span),
+                pa.array(np.append(self.low[single], least[begin])),
+            ],
+            names=["stretch", "from", "to", "low"],
+        )
+
+    def least(self, of: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """The smallest key that holds the window at ``start`` of the stretch ``of``."""
+        if not len(of):
+            return self.low[:0]
+        body, places = raw_bytes(self.rows.column("stretch"))
+        width = anchor_bytes(self.span)
+        before = self.place[of] - start
+        at = places[of] + start
+        # All windows of a run share the anchor; what else they hold is compared.
+        tokens = [self.run[of] * (self.span + 1) + before]
+        for k in range(0, self.span - width, 8):
+            token = np.zeros(len(of), dtype=np.uint64)
+            for t in range(k, min(k + 8, self.span - width)):
+                byte = body[at + np.where(t < before, t, t + width)]
+                token = (token << np.uint64(8)) | byte.astype(np.uint64)
+            tokens.append(token)
+        order = multikey_order(*tokens)
+        new = run_starts(*(token[order] for token in tokens))
+        smallest = np.minimum.reduceat(self.low[of][order], new)
+        found = np.empty(len(of), dtype=np.int64)
+        found[order] = np.repeat(smallest, np.diff(np.append(new, len(of))))
+        return found
+
+
+def raw_bytes(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    column = column.combine_chunks()
+    _, offsets, data = column.buffers()
+    places = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8), places.astype(np.int64)
+
+
+def anchor_bytes(span: int) -> int:
+    return GRAM + (span - GRAM + 1) // 2
+
+
+def anchored(alike: DataFrame, span: int) -> DataFrame:
+    """For each stretch its one or two anchors (byte ``place``) and the first and last window of each."""
+    more = (span - GRAM + 1) // 2
+    at, latest = F.col("at"), F.length("stretch") - span
+
+    def side(place, reach):
+        first = F.greatest(F.lit(0), place - reach)
+        return F.struct(place.alias("place"), first.alias("first"), F.least(latest, place).alias("last"))
+
+    sides = F.array(side(at, more - 1), side(at - more, span - GRAM - more))
+    rows = alike.select("stretch", "low", "high", F.explode(sides).alias("side"))
+    return rows.select("stretch", "low", "high", "side.*").filter("place >= 0 AND first <= last")
+
+
+def repeated_windows(alike: DataFrame, buckets: int, span: int) -> DataFrame:
+    """``stretch``, ``from``, ``to``, ``low``: what documents with a key above ``low`` lose of it."""
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, enough = [], 0, HELD_ROWS
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size < enough:
+                continue
+            rows = Anchored(pa.Table.from_batches(held), span)
+            last = int(rows.starts[-1])  # the last run may go on
+            if last:
+                yield rows.decided(last)
+            rest = rows.rows.slice(last).combine_chunks()
+            held, size = rest.to_batches(), len(rest)
+            enough = max(HELD_ROWS, 2 * size)
+        if size:
+            yield Anchored(pa.Table.from_batches(held), span).decided(size)
+
+    anchor = F.substring("stretch", F.col("place") + 1, F.lit(anchor_bytes(span)))
+    ranged = anchored(alike, span).repartitionByRange(buckets, anchor)
+    ranged = ranged.withColumn("anchor", anchor).sortWithinPartitions("anchor")
+    return ranged.mapInArrow(compare, "stretch binary, from bigint, to bigint, low bigint")
+
+
 def repeated_intervals(rows: DataFrame, buckets: int, span: int) -> DataFrame:
-    """``key``, ``start``, ``end`` of the bytes to remove from ``rows`` of (key, text)."""
+    """``key``, ``mark``, ``start``, ``end`` of the bytes to remove from ``rows`` of (key, mark, text)."""
     context = rows.sparkSession.sparkContext
     leads = written(shared_leads(rows, buckets, span))
     shared = context.broadcast(sieve(leads))
     forget(leads)
 
     def surround(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found, keys in stretches(batches, span):
-            keep = passes(shared.value, gram_hash(*found.tokens()))
-            right, left = found.sides()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    right.filter(pa.array(keep)),
-                    left.filter(pa.array(keep)),
-                    pa.array(signed(found.contexts()[keep])),
-                    pa.array(keys[keep]),
-                    pa.array(found.offset[keep]),
-                    pa.array((found.offset + found.end - found.start)[keep]),
-                ],
-                names=["right", "left", "context", "key", "start", "end"],
-            )
+        for found, keys, marks in stretches(batches, span):
+            passed = np.flatnonzero(passes(shared.value, gram_hash(*found.tokens())))
+            for k in range(0, len(passed), AT_ONCE):
+                keep = passed[k : k + AT_ONCE]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        found.bytes_of(keep),
+                        pa.array((found.place - found.start)[keep].astype(np.int32)),
+                        pa.array(keys[keep]),
+                        pa.array(marks[keep]),
+                        pa.array(found.offset[keep]),
+                    ],
+                    names=["stretch", "at", "key", "mark", "start"],
+                )
 
-    columns = "right bigint, left bigint, context bigint, key bigint, start bigint, end bigint"
+    columns = "stretch binary, at int, key bigint, mark bigint, start bigint"
     around = written(rows.mapInArrow(surround, columns))
-    alike = written(
-        around.groupBy("context").agg(
-            F.min("key").alias("low"),
-            F.max("key").alias("high"),
-            F.min("right").alias("right"),
-            F.min("left").alias("left"),
-        )
+    alike = around.groupBy("stretch").agg(
+        F.min("at").alias("at"), F.min("key").alias("low"), F.max("key").alias("high")
     )
-    repeated = alike.filter("low < high").select("context", "low")
-    settled = around.join(repeated, "context").filter("key > low").select("key", "start", "end")
-    settled = written(settled)
-    forget(around)
-
-    # Different stretches with a side in common may share windows. The smallest document's speak for
-    # all stretches alike.
-    open_sides = [
-        alike.groupBy(side).agg(F.count("*").alias("n")).filter(f"n > 1 AND {side} IS NOT NULL").select(side)
-        for side in ("right", "left")
-    ]
-    spoken = [alike.join(sides, sides.columns[0]).select("context", "low") for sides in open_sides]
-    spoken = written(spoken[0].unionByName(spoken[1]))
-    differing = context.broadcast(sieve(_speakers(spoken)))
-    forget(alike, spoken)
-
-    def windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found, keys in stretches(batches, span):
-            speaker = mixed(found.contexts() ^ mixed(keys.astype(np.int64).view(np.uint64)))
-            keep = np.flatnonzero(passes(differing.value, speaker))
-            many = found.end[keep] - span + 1 - found.start[keep]
-            within = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            start = np.repeat(found.start[keep], many) + within
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(signed(found.hashes(start, span))),
-                    pa.array(np.repeat(keys[keep], many)),
-                    pa.array(np.repeat(found.offset[keep], many) + within),
-                ],
-                names=["window", "key", "start"],
-            )
-
-    # Both sides of the join read one shuffle, whose rows stream by.
-    single = rows.mapInArrow(windows, "window bigint, key bigint, start bigint").repartition("window")
-    least = single.groupBy("window").agg(F.min("key").alias("low"), F.max("key").alias("high"))
-    more = single.join(least.filter("low < high").select("window", "low"), "window").filter("key > low")
-    more = written(more.select("key", "start", (F.col("start") + span).alias("end")))
-    return settled.unionByName(more)
-
-
-def _speakers(spoken: DataFrame) -> DataFrame:
-    """``lead``: one hash for each stretch and its smallest document."""
-
-    def blend(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            stretch, key = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(signed(mixed(stretch ^ mixed(key))))], names=["lead"])
-
-    return spoken.select("context", "low").mapInArrow(blend, "lead bigint")
+    alike = written(alike)
+    lost = written(repeated_windows(alike, buckets, span))
+    forget(alike)
+    settled = around.join(lost, "stretch").filter("key > low")
+    settled = settled.select(
+        "key", "mark", (F.col("start") + F.col("from")).alias("s"), (F.col("start") + F.col("to")).alias("end")
+    )
+    settled = written(settled.withColumnRenamed("s", "start"))
+    forget(around, lost)
+    return settled
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -310,12 +401,18 @@ def remove_repeats(
     added = tuple(field.name for field in ADDED)
     kept = documents.drop(*added)
     names = kept.columns
-    base = kept.select(F.col(key).cast("bigint").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    if not isinstance(documents.schema[key].dataType, T.IntegralType):
+        raise ValueError(f"{key} must be an integer to tell smaller documents, not {documents.schema[key].dataType}")
+    base = kept.select(
+        F.col(key).cast("bigint").alias("key"),
+        F.xxhash64(text).alias("mark"),
+        F.coalesce(F.col(text), F.lit("")).alias("text"),
+    )
     base = base.filter("key IS NOT NULL")
     buckets = 4 * max(4, documents.rdd.getNumPartitions())
 
     found = repeated_intervals(base, buckets, span)
-    listed = found.groupBy("key").agg(
+    listed = found.groupBy("key", "mark").agg(
         F.collect_set(F.struct(F.col("start").alias("s"), F.col("end").alias("e"))).alias("found")
     )
 
@@ -346,8 +443,11 @@ def remove_repeats(
             ]
             yield pa.RecordBatch.from_arrays(columns + arrays, names=[*names, *added])
 
-    listed = listed.select(F.col("key").alias("_key"), F.col("found").alias("_found"))
-    marked = kept.withColumn("_key", F.col(key).cast("bigint")).join(listed, "_key", "left")
+    listed = listed.select(
+        F.col("key").alias("_key"), F.col("mark").alias("_mark"), F.col("found").alias("_found")
+    )
+    marked = kept.withColumns({"_key": F.col(key).cast("bigint"), "_mark": F.xxhash64(text)})
+    marked = marked.join(listed, ["_key", "_mark"], "left")
     marked = marked.select(*names, "_found")
     return marked.mapInArrow(cut, T.StructType([*kept.schema.fields, *ADDED]))
 

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from citelake.llm import parity_join
+from citelake.llm import parity_join, suffix_dedup
 from citelake.llm.components import components
 from citelake.llm.parity_join import band_of, features, near_duplicates, sketch_bits
 from citelake.llm.suffix_dedup import merged, multikey_order, remove_repeats
@@ -125,16 +125,16 @@ def test_components_of_chains_and_cycles(llm):
     assert components(llm.createDataFrame([], "a long, b long")).count() == 0
 
 
-def brute_removal(rows):
+def brute_removal(rows, span=50):
     seen, out = {}, {}
     for key, raw in rows:
-        for i in range(len(raw) - 49):
-            seen[raw[i : i + 50]] = min(key, seen.get(raw[i : i + 50], key))
+        for i in range(len(raw) - span + 1):
+            seen[raw[i : i + span]] = min(key, seen.get(raw[i : i + span], key))
     for key, raw in rows:
         gone = bytearray(len(raw))
-        for i in range(len(raw) - 49):
-            if seen[raw[i : i + 50]] < key:
-                gone[i : i + 50] = b"\1" * 50
+        for i in range(len(raw) - span + 1):
+            if seen[raw[i : i + span]] < key:
+                gone[i : i + span] = b"\1" * span
         kept = bytes(b for b, g in zip(raw, gone, strict=True) if not g)
         spans = sum(1 for i, g in enumerate(gone) if g and not (i and gone[i - 1]))
         out[key] = (len(raw), sum(gone), spans, hashlib.sha256(kept).hexdigest())
@@ -169,6 +169,43 @@ def test_removal_with_equal_and_null_keys(documents):
     assert remove_repeats(documents([])).count() == 0
 
 
+def test_texts_under_one_key_lose_their_own_repeats(documents):
+    random.seed(8)
+    first, second, other = ("".join(random.choices("abcdefgh ", k=n)) for n in (120, 60, 102))
+    frame = documents([first, "x" * 9 + first[20:100], other, second + other[:70], None], ids=[1, 2, 2, 3, 2])
+    got = sorted((r.doc_id, r.n_bytes, r.n_removed) for r in remove_repeats(frame).collect())
+    assert got == [(1, 120, 0), (2, 0, 0), (2, 89, 80), (2, 102, 0), (3, 130, 70)]
+
+
+def test_a_lead_that_all_texts_hold_and_small_batches(documents, monkeypatch):
+    random.seed(9)
+    monkeypatch.setattr(suffix_dedup, "HELD_ROWS", 7)
+    parts = ["".join(random.choices("abc", k=40)) for _ in range(6)]
+    texts = [
+        random.choice(parts) + " " * random.choice([16, 40, 70]) + "\n" * 20 + random.choice(parts)
+        for _ in range(150)
+    ]
+    got = {
+        r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(bytes(r.kept)).hexdigest())
+        for r in remove_repeats(documents(texts)).collect()
+    }
+    assert got == brute_removal([(i, x.encode()) for i, x in enumerate(texts, 1)])
+
+
+def test_other_spans(documents):
+    random.seed(10)
+    texts = ["".join(random.choices(["abcdefgh", "0123456789", "xy", "z"], k=30)) for _ in range(40)]
+    for span in (20, 33, 64):
+        want = brute_removal([(i, x.encode()) for i, x in enumerate(texts, 1)], span)
+        rows = remove_repeats(documents(texts), span=span).collect()
+        assert {r.doc_id: r.n_removed for r in rows} == {k: v[1] for k, v in want.items()}
+
+
+def test_a_key_that_is_no_integer_is_refused(documents):
+    with pytest.raises(ValueError, match="integer"):
+        remove_repeats(documents(["a"]).withColumn("doc_id", F.lit("a")))
+
+
 def test_multikey_order_and_merged():
     random.seed(6)
     one = np.array(random.choices([3, 1, 2**63, 7], k=200), dtype=np.uint64)
