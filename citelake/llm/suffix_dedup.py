@@ -10,19 +10,20 @@ eighteen, are enough to bring equal windows together.
    compared: leading bytes found in more than one document are shared. Splitters are whole leading
    strings, so equal ones never lie across a boundary. Suffixes whose leading bytes are not shared are
    in no repeat and go no further.
-2. The stretch around a shared suffix holds all windows that picked it. Its bytes are the row; equal
-   ones become one, with the smallest and the largest key that hold it.
+2. The stretch around a shared suffix holds all windows that picked it. Equal stretches, told by a
+   cryptographic digest of 128 bits, become one with the smallest key that holds it, whose document
+   gives its bytes.
 3. Every window of a stretch holds either the suffix's leading bytes and what follows, or those and
    what goes before: one of two strings of ``GRAM`` + (``span`` - ``GRAM`` + 1) / 2 bytes, its anchors.
    Stretches are ranged by anchor between sampled splitters and sorted; inside a run of equal anchors
    the windows' other bytes are ordered as tokens by multikey quicksort and neighbours are compared.
    Each run of equal windows takes the smallest key of its stretches; equal anchors never lie across a
    boundary.
-4. A stretch's windows with their smallest keys meet the stretches' places by their bytes.
+4. The windows of a stretch with their smallest keys meet the places of all its copies by the digest.
 
-What is removed follows from comparisons of bytes alone. A bit array of fixed size passes the shared
-leading bytes to the next reading of the texts; what it lets through by chance is compared like the
-rest, so it saves work and changes no result. Beyond about 10^8 shared leads it saves little.
+A bit array of fixed size passes the shared leading bytes to the next reading of the texts, and the
+stretches' smallest documents; what it lets through by chance is compared like the rest, so it saves
+work and changes no result. Beyond about 10^8 entries it saves little.
 
 Defined results: a null text is empty; texts shorter than ``span`` stay; rows of equal keys never
 remove from each other, and where their texts differ each loses only what its own text shares with
@@ -43,11 +44,12 @@ from pyspark.sql import types as T
 
 from citelake.llm.scratch import forget, written
 from citelake.llm.sieve import passes, sieve
-from citelake.llm.words import FACTOR, INVERSE, byte_spans, chunks, mixed, powers
+from citelake.llm.words import FACTOR, byte_spans, chunks, mixed
 
 SPAN = 50
 GRAM = 16
 GROUP_BYTES = 1 << 20
+MIXER = 0xD6E8FEB86659FD93
 # Documents and suffixes of each that are sampled for the splitters.
 SAMPLED = 2_000
 SAMPLED_SUFFIXES = 64
@@ -62,9 +64,7 @@ class Stretches:
 
     def __init__(self, body: np.ndarray, places: np.ndarray, span: int) -> None:
         n = len(body)
-        self.span, self.sums = span, np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum((body.astype(np.uint64) + np.uint64(1)) * powers(FACTOR, n), out=self.sums[1:])
-        self.body = body
+        self.span, self.body = span, body
         first, last = places[:-1], places[1:] - span  # the windows of each text
         valid = np.zeros(n + 2, dtype=np.int8)
         has = last >= first
@@ -73,8 +73,12 @@ class Stretches:
         windows = np.flatnonzero(np.cumsum(valid[:n]))
         if len(windows):
             low = np.uint64(0xFFFFFFFF)
-            grams = self.hashes(np.arange(n - GRAM + 1), GRAM)
-            least = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
+            least = self.eights("<u8")[: n - GRAM + 1] * np.uint64(FACTOR)
+            least ^= least >> np.uint64(29)
+            least += self.eights("<u8")[8:]
+            least *= np.uint64(MIXER)
+            least &= ~low
+            least |= np.arange(len(least), dtype=np.uint64)
             width, reach = 1, span - GRAM + 1
             while 2 * width <= reach:
                 least = np.minimum(least[: len(least) - width], least[width:])
@@ -91,19 +95,26 @@ class Stretches:
         self.owner = np.searchsorted(places, self.start, side="right") - 1
         self.offset = self.start - places[self.owner] if len(self.start) else self.start
 
-    def hashes(self, start: np.ndarray, size) -> np.ndarray:
-        """Hashes of the strings of ``size`` bytes at ``start``."""
-        return mixed((self.sums[start + size] - self.sums[start]) * powers(INVERSE, len(self.sums))[start])
+    def eights(self, kind: str) -> np.ndarray:
+        """The eight bytes from each place on as one number."""
+        return np.ndarray((len(self.body) - 7,), kind, buffer=self.body, strides=(1,))
 
     def tokens(self) -> tuple[np.ndarray, np.ndarray]:
         """The leading bytes as two numbers that sort as the bytes do."""
-        found = []
-        for k in (0, 8):
-            token = np.zeros(len(self.place), dtype=np.uint64)
-            for j in range(8):
-                token = (token << np.uint64(8)) | self.body[self.place + k + j].astype(np.uint64)
-            found.append(token)
-        return found[0], found[1]
+        if not len(self.place):
+            return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        at = self.eights(">u8")
+        return at[self.place].astype(np.uint64), at[self.place + 8].astype(np.uint64)
+
+    def digests(self, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A cryptographic digest of 128 bits of each of the stretches ``keep``, as two numbers."""
+        raw = self.body.tobytes()
+        digest = b"".join(
+            hashlib.blake2b(raw[a:b], digest_size=16).digest()
+            for a, b in zip(self.start[keep].tolist(), self.end[keep].tolist(), strict=True)
+        )
+        halves = np.frombuffer(digest, dtype=np.int64).reshape(-1, 2)
+        return halves[:, 0].copy(), halves[:, 1].copy()
 
     def bytes_of(self, keep: np.ndarray) -> pa.Array:
         """The bytes of the stretches ``keep``."""
@@ -229,8 +240,8 @@ class Anchored:
 
     def __init__(self, rows: pa.Table, span: int) -> None:
         self.rows, self.span = rows, span
-        self.place, self.first, self.last, self.low, self.high = (
-            rows.column(c).to_numpy() for c in ("place", "first", "last", "low", "high")
+        self.place, self.first, self.last, self.low, self.high, self.one, self.two = (
+            rows.column(c).to_numpy() for c in ("place", "first", "last", "low", "high", "one", "two")
         )
         width, n = anchor_bytes(span), len(rows)
         column = rows.column("anchor").combine_chunks()
@@ -259,12 +270,13 @@ class Anchored:
         which = np.append(single, of[begin])
         return pa.RecordBatch.from_arrays(
             [
-                self.rows.column("stretch").take(pa.array(which)).combine_chunks(),
+                pa.array(self.one[which]),
+                pa.array(self.two[which]),
                 pa.array(np.append(self.first[single], start[begin]).astype(np.int64)),
                 pa.array(np.append(self.last[single], start[end]).astype(np.int64) + self.span),
                 pa.array(np.append(self.low[single], least[begin])),
             ],
-            names=["stretch", "from", "to", "low"],
+            names=["one", "two", "from", "to", "low"],
         )
 
     def least(self, of: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -312,12 +324,13 @@ def anchored(alike: DataFrame, span: int) -> DataFrame:
         return F.struct(place.alias("place"), first.alias("first"), F.least(latest, place).alias("last"))
 
     sides = F.array(side(at, more - 1), side(at - more, span - GRAM - more))
-    rows = alike.select("stretch", "low", "high", F.explode(sides).alias("side"))
-    return rows.select("stretch", "low", "high", "side.*").filter("place >= 0 AND first <= last")
+    named = ["one", "two", "stretch", "low", "high"]
+    rows = alike.select(*named, F.explode(sides).alias("side"))
+    return rows.select(*named, "side.*").filter("place >= 0 AND first <= last")
 
 
 def repeated_windows(alike: DataFrame, buckets: int, span: int) -> DataFrame:
-    """``stretch``, ``from``, ``to``, ``low``: what documents with a key above ``low`` lose of it."""
+    """``one``, ``two``, ``from``, ``to``, ``low``: what documents with a key above ``low`` lose of it."""
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, enough = [], 0, HELD_ROWS
@@ -339,7 +352,7 @@ def repeated_windows(alike: DataFrame, buckets: int, span: int) -> DataFrame:
     anchor = F.substring("stretch", F.col("place") + 1, F.lit(anchor_bytes(span)))
     ranged = anchored(alike, span).repartitionByRange(buckets, anchor)
     ranged = ranged.withColumn("anchor", anchor).sortWithinPartitions("anchor")
-    return ranged.mapInArrow(compare, "stretch binary, from bigint, to bigint, low bigint")
+    return ranged.mapInArrow(compare, "one bigint, two bigint, from bigint, to bigint, low bigint")
 
 
 def repeated_intervals(rows: DataFrame, buckets: int, span: int) -> DataFrame:
@@ -349,39 +362,77 @@ def repeated_intervals(rows: DataFrame, buckets: int, span: int) -> DataFrame:
     shared = context.broadcast(sieve(leads))
     forget(leads)
 
-    def surround(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def passing(batches):
         for found, keys, marks in stretches(batches, span):
             passed = np.flatnonzero(passes(shared.value, gram_hash(*found.tokens())))
             for k in range(0, len(passed), AT_ONCE):
                 keep = passed[k : k + AT_ONCE]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        found.bytes_of(keep),
-                        pa.array((found.place - found.start)[keep].astype(np.int32)),
-                        pa.array(keys[keep]),
-                        pa.array(marks[keep]),
-                        pa.array(found.offset[keep]),
-                    ],
-                    names=["stretch", "at", "key", "mark", "start"],
-                )
+                yield found, keep, keys[keep], marks[keep], *found.digests(keep)
 
-    columns = "stretch binary, at int, key bigint, mark bigint, start bigint"
+    def surround(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found, keep, keys, marks, one, two in passing(batches):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (one, two, keys, marks, found.offset[keep])],
+                names=["one", "two", "key", "mark", "start"],
+            )
+
+    columns = "one bigint, two bigint, key bigint, mark bigint, start bigint"
     around = written(rows.mapInArrow(surround, columns))
-    alike = around.groupBy("stretch").agg(
-        F.min("at").alias("at"), F.min("key").alias("low"), F.max("key").alias("high")
-    )
-    alike = written(alike)
-    lost = written(repeated_windows(alike, buckets, span))
+    alike = written(around.groupBy("one", "two").agg(F.min("key").alias("low"), F.max("key").alias("high")))
+    speakers = context.broadcast(sieve(_blended(alike, "low")))
+    plural = context.broadcast(sieve(alike.filter("low < high").select(F.col("one").alias("lead"))))
     forget(alike)
-    settled = around.join(lost, "stretch").filter("key > low")
-    settled = settled.select(
-        "key", "mark", (F.col("start") + F.col("from")).alias("s"), (F.col("start") + F.col("to")).alias("end")
+
+    def speak(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The stretches with their bytes, from the smallest document that holds them."""
+        for found, keep, keys, _, one, two in passing(batches):
+            at = np.flatnonzero(passes(speakers.value, blend(one, keys)))
+            at = at[np.lexsort((keys[at], two[at], one[at]))]
+            at = at[run_starts(one[at], two[at])]
+            held, low = keep[at], keys[at]
+            others = passes(plural.value, one[at].view(np.uint64))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(one[at]),
+                    pa.array(two[at]),
+                    found.bytes_of(held),
+                    pa.array((found.place - found.start)[held].astype(np.int32)),
+                    pa.array(low),
+                    pa.array(np.where(others, np.iinfo(np.int64).max, low)),
+                ],
+                names=["one", "two", "stretch", "at", "low", "high"],
+            )
+
+    spoken = "one bigint, two bigint, stretch binary, at int, low bigint, high bigint"
+    distinct = written(rows.mapInArrow(speak, spoken))  # read twice, for splitters and for the deal
+    found = repeated_windows(distinct, buckets, span)
+    lost = written(
+        found.groupBy("one", "two").agg(F.collect_set(F.struct("from", "to", "low")).alias("windows"))
+    )
+    forget(distinct)
+    settled = around.join(lost, ["one", "two"]).select("key", "mark", "start", F.explode("windows").alias("w"))
+    settled = settled.filter("key > w.low").select(
+        "key", "mark", (F.col("start") + F.col("w.from")).alias("s"), (F.col("start") + F.col("w.to")).alias("end")
     )
     settled = written(settled.withColumnRenamed("s", "start"))
     forget(around, lost)
     return settled
 
 
+def blend(stretch: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """One number for a stretch and a document."""
+    return mixed(stretch.view(np.uint64) ^ mixed(key.astype(np.int64).view(np.uint64)))
+
+
+def _blended(alike: DataFrame, key: str) -> DataFrame:
+    def lead(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            stretch, held_by = (batch.column(i).to_numpy() for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(signed(blend(stretch, held_by)))], names=["lead"])
+
+    return alike.select("one", key).mapInArrow(lead, "lead bigint")
+
+
 def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Unions of overlapping or adjoining intervals, in order."""
     if not len(starts):
