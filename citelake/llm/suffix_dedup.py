@@ -15,15 +15,16 @@ eighteen, are enough to bring equal windows together.
    gives its bytes.
 3. Every window of a stretch holds either the suffix's leading bytes and what follows, or those and
    what goes before: one of two strings of ``GRAM`` + (``span`` - ``GRAM`` + 1) / 2 bytes, its anchors.
-   Stretches are ranged by anchor between sampled splitters and sorted; inside a run of equal anchors
-   the windows' other bytes are ordered as tokens by multikey quicksort and neighbours are compared.
+   Stretches whose anchor another one has too are ranged by it between sampled splitters and sorted;
+   inside a run of equal anchors the windows' other bytes are ordered as tokens by multikey quicksort
+   and neighbours are compared.
    Each run of equal windows takes the smallest key of its stretches; equal anchors never lie across a
    boundary.
 4. The windows of a stretch with their smallest keys meet the places of all its copies by the digest.
 
-A bit array of fixed size passes the shared leading bytes to the next reading of the texts, and the
-stretches' smallest documents; what it lets through by chance is compared like the rest, so it saves
-work and changes no result. Beyond about 10^8 entries it saves little.
+Bit arrays of fixed size pass the shared leading bytes to the next reading of the texts, then the
+stretches' smallest documents and the shared anchors; what they let through by chance is compared like
+the rest, so they save work and change no result. Beyond about 10^8 entries they save little.
 
 Defined results: a null text is empty; texts shorter than ``span`` stay; rows of equal keys never
 remove from each other, and where their texts differ each loses only what its own text shares with
@@ -314,7 +315,7 @@ def anchor_bytes(span: int) -> int:
     return GRAM + (span - GRAM + 1) // 2
 
 
-def anchored(alike: DataFrame, span: int) -> DataFrame:
+def anchored(distinct: DataFrame, span: int) -> DataFrame:
     """For each stretch its one or two anchors (byte ``place``) and the first and last window of each."""
     more = (span - GRAM + 1) // 2
     at, latest = F.col("at"), F.length("stretch") - span
@@ -325,11 +326,11 @@ def anchored(alike: DataFrame, span: int) -> DataFrame:
 
     sides = F.array(side(at, more - 1), side(at - more, span - GRAM - more))
     named = ["one", "two", "stretch", "low", "high"]
-    rows = alike.select(*named, F.explode(sides).alias("side"))
+    rows = distinct.select(*named, F.explode(sides).alias("side"))
     return rows.select(*named, "side.*").filter("place >= 0 AND first <= last")
 
 
-def repeated_windows(alike: DataFrame, buckets: int, span: int) -> DataFrame:
+def repeated_windows(distinct: DataFrame, buckets: int, span: int) -> DataFrame:
     """``one``, ``two``, ``from``, ``to``, ``low``: what documents with a key above ``low`` lose of it."""
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,10 +350,34 @@ def repeated_windows(alike: DataFrame, buckets: int, span: int) -> DataFrame:
         if size:
             yield Anchored(pa.Table.from_batches(held), span).decided(size)
 
+    def chosen(shared: bool):
+        def choose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = passes(crowded.value, batch.column("lead").to_numpy().view(np.uint64))
+                yield batch.filter(pa.array(found == shared))
+
+        return choose
+
     anchor = F.substring("stretch", F.col("place") + 1, F.lit(anchor_bytes(span)))
-    ranged = anchored(alike, span).repartitionByRange(buckets, anchor)
+    sides = anchored(distinct, span).select(F.xxhash64(anchor).alias("lead"), "*")
+    several = written(sides.groupBy("lead").agg(F.count("*").alias("n")).filter("n > 1").select("lead"))
+    crowded = distinct.sparkSession.sparkContext.broadcast(sieve(several))
+    forget(several)
+    ranged = sides.mapInArrow(chosen(True), sides.schema).drop("lead").repartitionByRange(buckets, anchor)
     ranged = ranged.withColumn("anchor", anchor).sortWithinPartitions("anchor")
-    return ranged.mapInArrow(compare, "one bigint, two bigint, from bigint, to bigint, low bigint")
+    found = ranged.mapInArrow(compare, "one bigint, two bigint, from bigint, to bigint, low bigint")
+    # What shares its anchor with no other stretch has nothing to be compared with.
+    alone = sides.filter("low < high").select("lead", "one", "two", "first", "last", "low")
+    alone = alone.mapInArrow(chosen(False), alone.schema)
+    return found.unionByName(
+        alone.select(
+            "one",
+            "two",
+            F.col("first").cast("long").alias("from"),
+            (F.col("last") + span).cast("long").alias("to"),
+            "low",
+        )
+    )
 
 
 def repeated_intervals(rows: DataFrame, buckets: int, span: int) -> DataFrame:
