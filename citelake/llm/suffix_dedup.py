@@ -211,28 +211,32 @@ def shared_leads(rows: DataFrame, buckets: int, span: int) -> DataFrame:
             for i in tied:
                 to = np.searchsorted(cut_one, one[i], side="right")
                 bucket[i] += np.searchsorted(cut_two[bucket[i] : to], two[i], side="right")
+            # Sorted, so a bucket's suffixes lie together: one row for each bucket of a group of texts.
+            edges = np.append(run_starts(bucket), len(bucket))
+            held = np.stack([signed(one), signed(two), low, high])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(bucket.astype(np.int32)),
-                    pa.array(signed(one)),
-                    pa.array(signed(two)),
-                    pa.array(low),
-                    pa.array(high),
+                    pa.array(bucket[edges[:-1]].astype(np.int32)),
+                    pa.array(
+                        [held[:, i:j].tobytes() for i, j in zip(edges, edges[1:], strict=False)], pa.binary()
+                    ),
                 ],
-                names=["bucket", "one", "two", "low", "high"],
+                names=["bucket", "suffixes"],
             )
 
     def compare(group: pa.Table) -> pa.Table:
-        one, two = (group.column(c).to_numpy().view(np.uint64) for c in ("one", "two"))
+        held = [np.frombuffer(x.as_buffer(), np.int64).reshape(4, -1) for x in group.column("suffixes")]
+        one, two, low, high = np.concatenate(held, axis=1)
+        one, two = one.view(np.uint64), two.view(np.uint64)
         order = multikey_order(one, two)
         one, two = one[order], two[order]
         new = run_starts(one, two)
-        low = np.minimum.reduceat(group.column("low").to_numpy()[order], new)
-        high = np.maximum.reduceat(group.column("high").to_numpy()[order], new)
+        low = np.minimum.reduceat(low[order], new)
+        high = np.maximum.reduceat(high[order], new)
         more = new[low < high]
         return pa.table({"lead": signed(gram_hash(one[more], two[more]))})
 
-    dealt = rows.mapInArrow(deal, "bucket int, one bigint, two bigint, low bigint, high bigint")
+    dealt = rows.mapInArrow(deal, "bucket int, suffixes binary")
     return dealt.groupBy("bucket").applyInArrow(compare, "lead bigint")
 
 
