@@ -434,14 +434,13 @@ def repeated_intervals(rows: DataFrame, buckets: int, span: int) -> DataFrame:
 
     spoken = "one bigint, two bigint, stretch binary, at int, low bigint, high bigint"
     distinct = written(rows.mapInArrow(speak, spoken))  # read twice, for splitters and for the deal
-    found = repeated_windows(distinct, buckets, span)
-    lost = written(
-        found.groupBy("one", "two").agg(F.collect_set(F.struct("from", "to", "low")).alias("windows"))
-    )
+    found = written(repeated_windows(distinct, buckets, span))
     forget(distinct)
-    settled = around.join(lost, ["one", "two"]).select("key", "mark", "start", F.explode("windows").alias("w"))
-    settled = settled.filter("key > w.low").select(
-        "key", "mark", (F.col("start") + F.col("w.from")).alias("s"), (F.col("start") + F.col("w.to")).alias("end")
+    lost = written(found.distinct())
+    forget(found)
+    settled = around.join(lost, ["one", "two"]).filter("key > low")
+    settled = settled.select(
+        "key", "mark", (F.col("start") + F.col("from")).alias("s"), (F.col("start") + F.col("to")).alias("end")
     )
     settled = written(settled.withColumnRenamed("s", "start"))
     forget(around, lost)
