@@ -1,12 +1,15 @@
 """Words of whole Arrow columns as 64-bit hashes, without a Python object per word.
 
 A word is a run of bytes other than blanks (space and 0x09 to 0x0D); A-Z count as a-z. Bytes and
-code points agree on that, since all blanks are ASCII. Equal words get equal hashes; two different
-words get the same one with a chance of about 2^-64.
+code points agree on that, since all blanks are ASCII. Equal words get equal hashes. A word is taken in
+steps of eight bytes, each stirred into what the steps before gave, and one of more than ``LONG_WORD``
+bytes by a cryptographic digest: no sum over the places of letters, so letters cannot be arranged to
+cancel out. Two different words get the same hash with a chance of about 2^-64.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,11 +19,13 @@ import pyarrow as pa
 CHUNK_BYTES = 1 << 20
 FACTOR = 0x9E3779B97F4A7C15
 INVERSE = pow(FACTOR, -1, 1 << 64)
+LONG_WORD = 64
 
 _lower = np.arange(256, dtype=np.uint8)
 _lower[65:91] += 32
 _blank = np.zeros(256, dtype=bool)
 _blank[[32, 9, 10, 11, 12, 13]] = True
+_first_bytes = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -72,6 +77,26 @@ def chunks(places: np.ndarray, most: int = CHUNK_BYTES) -> Iterator[tuple[int, i
         first = last
 
 
+def word_hashes(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the stretches from ``start`` to ``end`` of the bytes ``low``."""
+    padded = np.concatenate([low, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(low) + 1, dtype="<u8", buffer=padded, strides=(1,))
+    size = end - start
+    found = eight[start] & _first_bytes[np.minimum(size, 8)]
+    found = mixed(found + size.astype(np.uint64) * np.uint64(FACTOR))
+    at = np.flatnonzero((size > 8) & (size <= LONG_WORD))
+    done = 8
+    while len(at):
+        step = eight[start[at] + done] & _first_bytes[np.minimum(size[at] - done, 8)]
+        found[at] = mixed(found[at] * np.uint64(FACTOR) + step)
+        done += 8
+        at = at[size[at] > done]
+    for i in np.flatnonzero(size > LONG_WORD):
+        digest = hashlib.blake2b(low[start[i] : end[i]], digest_size=8).digest()
+        found[i] = int.from_bytes(digest, "little")
+    return found
+
+
 @dataclass
 class Words:
     """Hashes of the words in order; ``places[i]`` is where the words of value i begin."""
@@ -95,10 +120,7 @@ def chunk_words(body: np.ndarray, places: np.ndarray) -> Words:
     begins = inside[1:] & (edge | ~inside[:-1])
     stops = inside[:-1] & (edge | ~inside[1:])
     start, end = np.flatnonzero(begins), np.flatnonzero(stops)
-    sums = np.zeros(len(low) + 1, dtype=np.uint64)
-    np.cumsum((low.astype(np.uint64) + np.uint64(1)) * powers(FACTOR, len(low)), out=sums[1:])
-    raw = (sums[end] - sums[start]) * powers(INVERSE, len(low) + 1)[start]
-    return Words(mixed(raw), np.searchsorted(start, places), start, end)
+    return Words(word_hashes(low, start, end), np.searchsorted(start, places), start, end)
 
 
 def column_words(column: pa.Array, spans: bool = False) -> Words:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 import time
 import zlib
@@ -18,7 +19,7 @@ from tokenizers import Tokenizer
 from citelake.llm.packing import decompose, piece_lengths
 from citelake.llm.token_ids import encode_column, encoder
 from citelake.llm.token_spans import attribute, count_by_section, joined_fields, line_sections, with_sections
-from citelake.llm.words import column_words, shingle_set
+from citelake.llm.words import FACTOR, column_words, shingle_set
 
 ODD = ["", None, "a  b", "a   b", " x", "x ", "a \n b\n\n  c", "é ü  b", "日本 語", "a\n \nb", "　 a", "I'll 12 3a"]
 FILES = {
@@ -161,7 +162,8 @@ def colliding_words(doublings: int) -> tuple[str, str]:
 def test_ids_of_words_built_to_collide(doublings, files):
     one, two = colliding_words(doublings)
     texts = [f"x {one} y", f"x {two} y", f"{two} {one}", f"{one} {two}", one, two]
-    assert column_words(pa.array([one])).hashes.tolist() == column_words(pa.array([two])).hashes.tolist()
+    sums = [sum((ord(c) + 1) * pow(FACTOR, i, 1 << 64) for i, c in enumerate(word)) % (1 << 64) for word in (one, two)]
+    assert sums[0] == sums[1]
     tool = encoder(*files.values())
     for again in range(2):
         found = []
@@ -170,6 +172,26 @@ def test_ids_of_words_built_to_collide(doublings, files):
         assert found == [plain_ids(t) for t in texts[again:] + texts[:again]]
 
 
+@pytest.mark.parametrize("doublings", [*range(1, 13)])
+def test_words_built_to_collide_are_told_apart(doublings):
+    one, two = colliding_words(doublings)
+    assert len(set(column_words(pa.array([one, two])).hashes.tolist())) == 2
+
+
+def test_equal_words_have_equal_hashes_wherever_they_stand():
+    random.seed(14)
+    made = {"".join(random.choices("aBé\0", k=random.randint(1, 140))).strip() or "x" for _ in range(4000)}
+    made |= {"a" * n for n in range(1, 200)} | {"a" * n + "\0" for n in range(1, 200)}
+    made = sorted({w.translate({i: i + 32 for i in range(65, 91)}) for w in made})
+    hashes = column_words(pa.array(made)).hashes
+    assert len(hashes) == len(made) == len(set(hashes.tolist()))
+    texts = [" ".join(random.choices(made, k=50)) for _ in range(80)]
+    at = dict(zip(made, hashes.tolist(), strict=True))
+    found = column_words(pa.array([t.upper() if "é" not in t else t for t in texts]))
+    for i, t in enumerate(texts):
+        assert found.of(i).tolist() == [at[w] for w in t.split(" ")]
+
+
 def test_ids_of_a_whole_table_are_those_of_the_tokenizer(llm):
     texts = [r.text for r in llm.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
     tool, whole = encoder(*FILES.values()), Tokenizer.from_file(FILES["tokenizer"])
