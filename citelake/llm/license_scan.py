@@ -165,8 +165,46 @@ TEMPLATES = {
     ),
 }
 
+# Identifiers of the SPDX list, as tags in files name them.
+SPDX = [
+    "0BSD", "AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause",
+    "BSD-4-Clause", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-NC-ND-4.0", "CC-BY-NC-SA-4.0", "CC-BY-ND-4.0", "CC-BY-SA-4.0",
+    "CC0-1.0", "EPL-1.0", "EPL-2.0", "GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only",
+    "GPL-3.0-or-later", "ISC", "LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0", "LGPL-3.0-only",
+    "LGPL-3.0-or-later", "MIT", "MIT-0", "MPL-2.0", "Unlicense", "Zlib",
+]
+GNU_NAMES = [("gpl", "", "2"), ("gpl", "", "3"), ("lgpl", "Lesser ", "2.1"), ("lgpl", "Lesser ", "3"),
+             ("agpl", "Affero ", "3")]
+
+
+def other_spellings() -> tuple[dict[str, str], dict[str, tuple[str, ...]]]:
+    """Tags, licenses named by their identifier or in short, and versions with their ".0"; each with the
+    words that must stand together."""
+    texts, together = {}, {}
+    for name in SPDX:
+        texts[f"{name.lower()}-spdx"] = f"SPDX-License-Identifier: {name}"
+        together[f"{name.lower()}-spdx"] = (f"SPDX-License-Identifier: {name}",)
+        if name.startswith("CC-"):  # others are words of their own or written as notices
+            texts[f"{name.lower()}-id-notice"] = f"Licensed under {name}."
+            together[f"{name.lower()}-id-notice"] = (f"under {name}",)
+    for short, which, version in GNU_NAMES:
+        for form in (f"{short.upper()} v{version}", f"{short.upper()}v{version}"):
+            name = f"{short}-{version if '.' in version else version + '.0'}-{'short' if ' ' in form else 'joined'}-notice"
+            texts[name] = f"Licensed under the {form}."
+            together[name] = (f"under the {form}",)
+        if "." not in version:
+            name = f"{short}-{version}.0-full-notice"
+            texts[name] = f"GNU {which}General Public License, version {version}.0."
+            together[name] = (f"GNU {which}General Public License", f"version {version}.0")
+    return texts, together
+
+
+_texts, _together = other_spellings()
+TEMPLATES.update(_texts)
+
 # What must stand together in a stretch.
 NEEDED = {
+    **_together,
     "all-rights-reserved": ("all rights reserved",),
     "mit-notice": ("MIT License",),
     "bsd-notice": ("BSD License",),
@@ -190,10 +228,7 @@ NEEDED = {
     "cc-by-nc-nd-4.0": ("Attribution-NonCommercial-NoDerivatives 4.0",),
     **{
         f"{x}-{version}.0{y}".replace("2.1.0", "2.1"): (f"GNU {name}General Public License", f"version {version}")
-        for x, name, version in [
-            ("gpl", "", "2"), ("gpl", "", "3"), ("lgpl", "Lesser ", "2.1"), ("lgpl", "Lesser ", "3"),
-            ("agpl", "Affero ", "3"),
-        ]
+        for x, name, version in GNU_NAMES
         for y in ("", "-notice")
     },
     "mit": ("permission notice shall be included",),

@@ -5,10 +5,14 @@
 2. Evidence of the site: the documents' probabilities are added up by path within host and by host.
    A host's rate is shrunk towards the overall rate and a path's towards its host's, by beta priors
    whose strengths are fitted to the spread among all hosts and all paths. Sparse sites so say little.
-3. A document's odds are its own times those of its path against the overall rate.
+3. A document's odds are its own times those of its path against the overall rate. The rate is that of
+   the other documents of its path and host: its own evidence is taken out of both sums first, so that a
+   page alone on its site is judged by its text and the priors only.
+
+Without other columns for them, ``source`` stands for the host and ``lang`` for the path within it.
 
 The classifier is fitted to at most ``MAX_LABELLED`` labelled rows in expectation, half for the word
-weights, half for the calibration; rates by site cover all rows.
+weights, half for the calibration; rates by site cover all rows. A label given repeatedly counts once.
 
 Defined results: a null or blank text has no words and is judged by the intercept and its site; a null
 host or path is a site of its own; repeated rows are judged as rows; an empty table gives an empty
@@ -131,15 +135,16 @@ def fit(
     max_labelled: int = MAX_LABELLED,
 ) -> Classifier:
     """``labels`` has the key, ``quality`` and ``toxic``, each 0 or 1 or null."""
-    share = min(1.0, max_labelled / max(1, labels.count()))
-    spot = F.pmod(F.xxhash64(key), F.lit(1_000_000))
-    chosen = labels.filter(spot < share * 1_000_000).select(
+    heads = labels.select(
         key,
         (F.coalesce("quality", F.lit(1)) == 0).cast("int").alias("low"),
         (F.coalesce("toxic", F.lit(0)) == 1).cast("int").alias("toxic"),
         (F.pmod(F.xxhash64(key, F.lit(3)), F.lit(2)) == 0).alias("first"),
-    )
-    # max_labelled rows of a few bytes
+    ).distinct()
+    share = min(1.0, max_labelled / max(1, heads.count()))
+    spot = F.pmod(F.xxhash64(key), F.lit(1_000_000))
+    chosen = heads.filter(spot < share * 1_000_000)
+    # max_labelled rows of a few bytes; a key has four different ones at most
     labelled = documents.select(key, text).join(F.broadcast(chosen), key)
     labelled = written(labelled.select(text, *HEADS, "first"))
 
@@ -225,18 +230,43 @@ def prior_strength(rates: DataFrame) -> float:
 
 
 def site_rates(own: DataFrame) -> tuple[DataFrame, float]:
-    """From rows of (host, path, p): each path's shrunken rate, and the overall rate."""
+    """From rows of (host, path, p): each path's shrunken rate, and the overall rate. With each path what
+    the rate is made of: ``faults`` and ``n``, those of its host, and the strengths of both priors."""
     paths = written(own.groupBy("host", "path").agg(F.sum("p").alias("faults"), F.count("*").alias("n")))
     faults, n = paths.agg(F.sum("faults"), F.sum("n")).first()
     overall = min(max((faults or 0.0) / (n or 1), 1e-4), 1 - 1e-4)
     hosts = paths.groupBy("host").agg(F.sum("faults").alias("faults"), F.sum("n").alias("n"))
     hosts = hosts.withColumn("towards", F.lit(overall))
-    rate = shrunken(F.col("faults"), F.col("n"), F.lit(overall), prior_strength(hosts))
-    hosts = written(hosts.select(F.col("host").alias("_host"), rate.alias("towards")))
+    by_host = prior_strength(hosts)
+    hosts = written(
+        hosts.select(
+            F.col("host").alias("_host"),
+            shrunken(F.col("faults"), F.col("n"), F.lit(overall), by_host).alias("towards"),
+            F.col("faults").alias("host_faults"),
+            F.col("n").alias("host_n"),
+        )
+    )
     within = written(paths.join(hosts, F.col("host").eqNullSafe(F.col("_host"))).drop("_host"))
-    rate = shrunken(F.col("faults"), F.col("n"), F.col("towards"), prior_strength(within))
-    rate = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), rate))
-    return written(within.select("host", "path", rate.alias("p_site"))), overall
+    by_path = prior_strength(within)
+    rate = bounded(shrunken(F.col("faults"), F.col("n"), F.col("towards"), by_path))
+    strengths = [F.lit(by_host).alias("by_host"), F.lit(by_path).alias("by_path")]
+    parts = ["faults", "n", "host_faults", "host_n"]
+    return written(within.select("host", "path", rate.alias("p_site"), *parts, *strengths)), overall
+
+
+def bounded(rate: Column) -> Column:
+    return F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), rate))
+
+
+def rate_of_others(p: Column, overall: float) -> Column:
+    """A path's rate without one of its documents, whose probability is ``p``, from ``site_rates``'
+    columns with a leading underscore."""
+
+    def less(faults: str) -> Column:
+        return F.greatest(F.lit(0.0), F.col(faults) - p)
+
+    host = (less("_host_faults") + F.col("_by_host") * F.lit(overall)) / (F.col("_host_n") - 1 + F.col("_by_host"))
+    return bounded((less("_faults") + F.col("_by_path") * host) / (F.col("_n") - 1 + F.col("_by_path")))
 
 
 def classify(
@@ -249,8 +279,8 @@ def classify(
     threshold: float = 0.5,
     max_labelled: int = MAX_LABELLED,
 ) -> DataFrame:
-    """``documents`` with ``p_own`` (from the text), ``p_site`` (the path's rate), ``p_reject`` (both)
-    and ``rejected``. The texts are read twice rather than shuffled."""
+    """``documents`` with ``p_own`` (from the text), ``p_site`` (the rate of its path's other documents),
+    ``p_reject`` (both) and ``rejected``. The texts are read twice rather than shuffled."""
     rows = documents.drop(*RESULTS)
     model = documents.sparkSession.sparkContext.broadcast(fit(documents, labels, key, text, max_labelled))
 
@@ -270,7 +300,8 @@ def classify(
     seen = own(short).select("host", "path", F.col("p_own").alias("p"))
     rates, overall = site_rates(seen)
     copied = rates.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    copied = copied.select(F.col("host").alias("_host"), F.col("path").alias("_path"), "p_site", "_salt")
+    made_of = ["faults", "n", "host_faults", "host_n", "by_host", "by_path"]
+    copied = copied.select(*[F.col(c).alias(f"_{c}") for c in ("host", "path", *made_of)], "_salt")
     dealt = own(rows).withColumn("_own_salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"))
     joined = dealt.join(
         copied,
@@ -278,7 +309,9 @@ def classify(
         & dealt[host].eqNullSafe(F.col("_host"))
         & dealt[path].eqNullSafe(F.col("_path")),
         "left",
-    ).drop("_own_salt", "_salt", "_host", "_path")
+    )
+    joined = joined.withColumn("p_site", rate_of_others(F.col("p_own"), overall))
+    joined = joined.drop("_own_salt", "_salt", "_host", "_path", *[f"_{c}" for c in made_of])
     odds = F.col("p_own") / (1 - F.col("p_own")) * F.col("p_site") / (1 - F.col("p_site"))
     odds = odds * ((1 - overall) / overall)
     return joined.withColumn("p_reject", odds / (1 + odds)).withColumn(

@@ -7,13 +7,16 @@ a turn or a later one. The model's tables are counted from stretches whose role
 Viterbi path over a conversation gives every line its role. Turns are then rendered in canonical form,
 markers removed.
 
-A conversation may hold any share of all rows, so it is not taken whole: blocks of lines become
+A conversation may hold any share of all rows, with or without turn numbers, so it is not taken whole.
+All rows are range-partitioned by conversation, turn and text and numbered in that order; a block is
+``BLOCK_TURNS`` consecutive numbers of one conversation, however often turns repeat. Transitions are
+counted in the same order as the tasks' sorted rows stream by. Blocks of lines become
 matrices of best scores between states, these are multiplied (max-plus) in rounds of ``FAN`` until one
 is left for each conversation, and the states at the ends of blocks are handed down again the same
 way. The result is a best path of the whole conversation.
 
-Defined results: a null text is one empty line; a null conversation is one of its own; rows that share
-a turn are ordered by text; rows without a known role are read but not learned from; an empty table
+Defined results: a null text is one empty line; a null conversation is one of its own; a null turn counts
+as -1; rows that share a turn are ordered by text, equal ones by role; rows without a known role are read but not learned from; an empty table
 gives no rows; without any known role all roles are equally likely.
 """
 
@@ -27,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from citelake.llm.scratch import written
 
@@ -134,6 +138,97 @@ def line_states(tables: Tables, scores: np.ndarray, enter: int, leave: int) -> l
     return path[::-1]
 
 
+def in_order(rows: DataFrame) -> DataFrame:
+    """Rows dealt to tasks in ranges of (conv, turn, text, role) and sorted. Equal rows are told apart by
+    ``tie``, so that any number of them can be cut into ranges."""
+    keys = ["conv", "turn", "text", "role", "tie"]
+    tied = written(rows.withColumn("tie", F.monotonically_increasing_id()))
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return tied.repartitionByRange(n, *keys).sortWithinPartitions(*keys).drop("tie")
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """With ``place``: rows of a conversation follow each other by it, without gaps inside a task."""
+    # A task's rows get consecutive numbers, above them the task's number.
+    placed = written(in_order(rows).withColumn("at", F.monotonically_increasing_id()))
+    last = F.lit((1 << 33) - 1)
+    most = placed.agg(F.max(F.col("at").bitwiseAND(last))).first()[0]
+    width = -(-((most or 0) + 1) // BLOCK_TURNS) * BLOCK_TURNS
+    place = F.shiftright("at", 33) * width + F.col("at").bitwiseAND(last)
+    return placed.withColumn("place", place).drop("at")
+
+
+def transitions(rows: DataFrame, conv_type: T.DataType) -> np.ndarray:
+    """How often the first line of a stretch of each role follows each state, or the start. Neither a
+    stretch without a known role nor what comes right after it counts."""
+    width = STATES + 1
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        steps = np.zeros((width, len(ROLES)), dtype=np.int64)
+        edges, before = [], None
+        for batch in batches:
+            for row in zip(*[column.to_pylist() for column in batch.columns], strict=True):
+                if before is None:
+                    edges.append((False, *row))
+                else:
+                    step = follow(before, row)
+                    if step:
+                        steps[step] += 1
+                before = row
+        if before is not None:
+            edges.append((True, *before))
+        used = np.flatnonzero(steps)
+        none = [None] * len(used)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([*used.tolist(), *[None] * len(edges)], pa.int32()),
+                pa.array([*steps.reshape(-1)[used].tolist(), *[None] * len(edges)], pa.int64()),
+                pa.array([*none, *[e[4] for e in edges]], pa.int32()),
+                pa.array([*none, *[e[0] for e in edges]], pa.bool_()),
+                pa.array([*none, *[e[1] for e in edges]], batch_type),
+                pa.array([*none, *[e[2] for e in edges]], pa.string()),
+                pa.array([*none, *[e[3] for e in edges]], pa.bool_()),
+            ],
+            names=["step", "n", "task", "last", "conv", "role", "long"],
+        )
+
+    def follow(before: tuple | None, row: tuple) -> tuple[int, int] | None:
+        role = row[1]
+        if role not in ROLES:
+            return None
+        if before is None or before[0] != row[0]:
+            return START, ROLES.index(role)
+        if before[1] not in ROLES:
+            return None
+        return 2 * ROLES.index(before[1]) + bool(before[2]), ROLES.index(role)
+
+    batch_type = to_arrow_type(conv_type)
+    schema = T.StructType(
+        [
+            T.StructField("step", T.IntegerType()),
+            T.StructField("n", T.LongType()),
+            T.StructField("task", T.IntegerType()),
+            T.StructField("last", T.BooleanType()),
+            T.StructField("conv", conv_type),
+            T.StructField("role", T.StringType()),
+            T.StructField("long", T.BooleanType()),
+        ]
+    )
+    ordered = in_order(rows).select("conv", "role", (F.instr("text", "\n") > 0).alias("long"), F.spark_partition_id())
+    counted = written(ordered.mapInArrow(count, schema))
+    steps = np.zeros((width, len(ROLES)))
+    for step, n in counted.filter("step IS NOT NULL").groupBy("step").agg(F.sum("n")).collect():
+        steps[divmod(step, len(ROLES))] = n
+    before = None  # two rows a task: the stretches at either side of a cut between ranges
+    for row in counted.filter("task IS NOT NULL").orderBy("task", "last").collect():
+        if not row["last"]:
+            step = follow(before, (row["conv"], row["role"], row["long"]))
+            if step:
+                steps[step] += 1
+        before = (row["conv"], row["role"], row["long"])
+    return steps
+
+
 def learn(rows: DataFrame) -> Tables:
     """Count the model's tables from rows (conv, turn, role, text) whose role is known."""
     known = rows.filter(F.col("role").isin(*ROLES))
@@ -164,13 +259,7 @@ def learn(rows: DataFrame) -> Tables:
     for role in range(len(ROLES)):
         steps[2 * role, 2 * role + 1] = flat[2 * role]
         steps[2 * role + 1, 2 * role + 1] = flat[2 * role + 1]
-    # From turn to turn: the join is by conversation and turn, so a long conversation is spread out.
-    now = known.select("conv", "turn", "role", (F.instr("text", "\n") > 0).alias("long"))
-    before = now.select("conv", (F.col("turn") + 1).alias("turn"), F.col("role").alias("was"), "long")
-    pairs = now.drop("long").join(before, ["conv", "turn"], "left").groupBy("was", "long", "role").count()
-    for row in pairs.collect():
-        at = START if row["was"] is None else 2 * ROLES.index(row["was"]) + bool(row["long"])
-        steps[at, 2 * ROLES.index(row["role"])] += row["count"]
+    steps[:, ::2] += transitions(rows, rows.schema["conv"].dataType)
     seen, at = [], STATES
     for n in FEATURES:
         seen.append(flat[at : at + STATES * n].reshape(STATES, n))
@@ -179,7 +268,7 @@ def learn(rows: DataFrame) -> Tables:
 
 
 def _ordered(group: pa.Table) -> pa.Table:
-    return group.sort_by([("turn", "ascending"), ("text", "ascending")])
+    return group.sort_by("place")
 
 
 def recover_roles(
@@ -206,7 +295,7 @@ def recover_roles(
         )
 
     tables = spark.sparkContext.broadcast(learn(shaped(conversations if known is None else known)))
-    rows = shaped(conversations).withColumn("block", F.floor(F.col("turn") / BLOCK_TURNS))
+    rows = numbered(shaped(conversations)).withColumn("block", F.floor(F.col("place") / BLOCK_TURNS))
     conv_type = conversations.schema[conv].dataType
     level_type = T.StructType(
         [

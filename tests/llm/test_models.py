@@ -116,6 +116,43 @@ def test_sparse_sites_are_shrunk(documents, llm):
     assert p["big"] > 0.85 and p["good"] < 0.15 and overall < p["tiny"] < p["big"] and p["good"] < p[None] < overall
 
 
+def test_a_document_says_nothing_about_its_own_site(documents, llm, monkeypatch):
+    """Every probability beside one that is worked out here from all other rows."""
+    random.seed(15)
+    sites = [("big", "en")] * 30 + [("big", "de")] * 5 + [("bad", "en")] * 20 + [("alone", "en"), (None, None)]
+    texts = ["junk buy now " * random.randint(1, 9) if h == "bad" else f"fine prose w{i} here" for i, (h, _) in enumerate(sites)]
+    frame = documents(texts, sources=[h for h, _ in sites])
+    lang = F.create_map(*[F.lit(x) for i, (_, p) in enumerate(sites, 1) for x in (i, p or "")])[F.col("doc_id")]
+    frame = frame.withColumn("lang", F.nullif(lang, F.lit("")))
+    labels = llm.createDataFrame([(i, int(h != "bad"), 0) for i, (h, _) in enumerate(sites, 1)], "doc_id long, quality int, toxic int")
+    seen = {}
+    kept = site_bayes.site_rates
+    monkeypatch.setattr(site_bayes, "site_rates", lambda own: seen.setdefault("rates", kept(own)))
+    rows = site_bayes.classify(frame, labels).collect()
+    overall, strengths = seen["rates"][1], seen["rates"][0].select("by_host", "by_path").first()
+    assert len(rows) == len(sites)
+    for r in rows:
+        others = [x for x in rows if x.doc_id != r.doc_id]
+        host = [x.p_own for x in others if x.source == r.source]
+        path = [x.p_own for x in others if (x.source, x.lang) == (r.source, r.lang)]
+        towards = (sum(host) + strengths.by_host * overall) / (len(host) + strengths.by_host)
+        rate = (sum(path) + strengths.by_path * towards) / (len(path) + strengths.by_path)
+        rate = min(max(rate, 1e-6), 1 - 1e-6)
+        odds = r.p_own / (1 - r.p_own) * rate / (1 - rate) * (1 - overall) / overall
+        assert math.isclose(r.p_site, rate, rel_tol=1e-6)
+        assert math.isclose(r.p_reject, odds / (1 + odds), rel_tol=1e-6) and r.rejected == (r.p_reject >= 0.5)
+    alone = next(r for r in rows if r.source == "alone")
+    assert math.isclose(alone.p_site, overall, rel_tol=1e-9) and math.isclose(alone.p_reject, alone.p_own, rel_tol=1e-9)
+
+
+def test_toxic_documents_are_rejected(llm):
+    docs = llm.read.parquet(f"{SF_DIR.replace('0.001', '0.1')}/documents.parquet")
+    labels = llm.read.parquet(f"{SF_DIR.replace('0.001', '0.1')}/labels.parquet")
+    rows = site_bayes.classify(docs, labels.filter("doc_id % 4 != 0"))
+    toxic = rows.join(labels.filter("doc_id % 4 = 0 AND toxic = 1"), "doc_id").select("rejected").collect()
+    assert len(toxic) > 100 and sum(r.rejected for r in toxic) >= 0.85 * len(toxic)
+
+
 def test_classifier_edges(documents, llm):
     labels = llm.createDataFrame([(1, 0, None), (2, 1, 0), (2, 1, 0)], "doc_id long, quality int, toxic int")
     frame = documents(["junk", None, "", "fine words"], ids=[1, 2, None, 2], sources=["s", None, "s", "t"])
@@ -311,6 +348,77 @@ def test_markers_split_a_row_and_edges(llm):
     assert transcripts.recover_roles(rows.limit(0)).count() == 0
 
 
+def plain_viterbi(tables, lines):
+    """Best score and states over (features, begins) of all lines of a conversation, line by line."""
+    features, begins = (np.concatenate(x) for x in zip(*lines, strict=True))
+    scores = tables.scores(features, begins)
+    best = {s: (tables.step[transcripts.START, s] + scores[0, s], [s]) for s in range(transcripts.STATES)}
+    for row in scores[1:]:
+        best = {
+            s: max(((v + tables.step[t, s] + row[s], path) for t, (v, path) in best.items()), key=lambda x: x[0])
+            for s in range(transcripts.STATES)
+        }
+        best = {s: (v, [*path, s]) for s, (v, path) in best.items()}
+    return max(best.values(), key=lambda x: x[0])[1]
+
+
+def brute_turns(tables, rows):
+    """Rendered turns of each conversation, from the rows in order of turn and text."""
+    found = []
+    for conv in {r.conv_id for r in rows}:
+        own = sorted((r for r in rows if r.conv_id == conv), key=lambda r: (-1 if r.turn is None else r.turn, r.text or ""))
+        seen = [transcripts.observe(r.text) for r in own]
+        states = plain_viterbi(tables, [x[1:] for x in seen])
+        for r, (lines, *_) in zip(own, seen, strict=True):
+            mine, states = states[: len(lines)], states[len(lines) :]
+            cuts = [i for i, s in enumerate(mine) if s % 2 == 0 or i == 0] + [len(lines)]
+            for a, b in itertools.pairwise(cuts):
+                role = transcripts.ROLES[mine[a] // 2]
+                found.append((str(conv), -1 if r.turn is None else r.turn, role, transcripts.canonical(role, lines[a:b])))
+    return Counter(found)
+
+
+@pytest.mark.parametrize("block", [3, 64])
+def test_paths_equal_plain_viterbi(llm, monkeypatch, block):
+    monkeypatch.setattr(transcripts, "BLOCK_TURNS", block)
+    rows = conversations(llm, 25)
+    text = "User: how is it?\nAssistant: It is so. " * 3
+    odd = [(900, 0, None, text), (900, 0, None, text), (901, None, None, "b"), (901, None, None, "a"), (901, 4, "user", None)]
+    rows = rows.unionByName(llm.createDataFrame([*odd, *[(None, 1, None, f"x{i}?") for i in range(20)]], rows.schema))
+    learnt = {}
+    kept = transcripts.learn
+    monkeypatch.setattr(transcripts, "learn", lambda rows: learnt.setdefault("tables", kept(rows)))
+    got = transcripts.recover_roles(rows).collect()
+    assert Counter((str(r.conv_id), r.turn, r.role, r.rendered) for r in got) == brute_turns(learnt["tables"], rows.collect())
+
+
+def test_transitions_equal_a_plain_count(llm):
+    rows = conversations(llm, 30).withColumn("role", F.when(F.col("turn") % 5 != 3, F.col("role")))
+    rows = rows.withColumnRenamed("conv_id", "conv")
+    want = np.zeros((transcripts.STATES + 1, len(transcripts.ROLES)))
+    before = (None, None, None)
+    for r in sorted(rows.collect(), key=lambda r: (r.conv, r.turn)):
+        if r.role:
+            if before[0] != r.conv:
+                want[transcripts.START, transcripts.ROLES.index(r.role)] += 1
+            elif before[1]:
+                at = 2 * transcripts.ROLES.index(before[1]) + ("\n" in before[2])
+                want[at, transcripts.ROLES.index(r.role)] += 1
+        before = (r.conv, r.role, r.text)
+    assert np.array_equal(transcripts.transitions(rows, rows.schema["conv"].dataType), want)
+
+
+def test_rows_without_turn_are_cut_into_blocks(llm):
+    """Ten thousand rows of one conversation without a turn, most of them alike."""
+    made = [("user" if i % 2 else None, "why?" if i % 10 else f"It is {i}.") for i in range(10_000)]
+    rows = llm.createDataFrame([(None, None, role, text) for role, text in made], "conv_id long, turn long, role string, text string")
+    blocks = transcripts.numbered(rows.selectExpr("conv_id AS conv", "-1L AS turn", "role", "text"))
+    blocks = blocks.groupBy(F.floor(F.col("place") / transcripts.BLOCK_TURNS)).count()
+    assert blocks.agg(F.max("count"), F.sum("count")).first() == (transcripts.BLOCK_TURNS, 10_000)
+    got = transcripts.recover_roles(rows)
+    assert got.count() == 10_000 and got.filter("turn = -1 AND conv_id IS NULL").count() == 10_000
+
+
 # Licenses
 
 
@@ -362,3 +470,34 @@ def test_near_misses_are_told_apart(documents):
         # A whole GPL holds the header that it tells to attach.
         assert got[i] - {"gpl-3.0", "agpl-3.0"} == ({name} if name else set()), (i, got[i])
     assert got[16] == {"mit-notice", "zlib"} and got[17] == {"cc0-1.0-text"}
+
+
+def test_every_whole_text_is_found(documents):
+    whole = license_scan.whole_texts()
+    names = sorted(whole)
+    rows = license_scan.scan_licenses(documents([whole[n] for n in names])).collect()
+    assert len(names) == 7
+    for i, name in enumerate(names, 1):
+        best = max((r for r in rows if r.doc_id == i), key=lambda r: r.matched)
+        assert (best.license, best.coverage) == (name, 1.0)
+
+
+def test_other_spellings_of_notices(documents):
+    texts = {
+        "GNU General Public License, version 3.0.": "gpl-3.0-full-notice",
+        "This work is licensed under the GNU Lesser General Public License, version 3.0.": "lgpl-3.0-full-notice",
+        "Licensed under the GPL v3.": "gpl-3.0-short-notice",
+        "Licensed under the AGPLv3.": "agpl-3.0-joined-notice",
+        "// SPDX-License-Identifier: MIT": "mit-spdx",
+        "# SPDX-License-Identifier: Apache-2.0": "apache-2.0-spdx",
+        "SPDX-License-Identifier: GPL-2.0-or-later": "gpl-2.0-or-later-spdx",
+        "Licensed under CC-BY-4.0.": "cc-by-4.0-id-notice",
+        "Licensed under CC-BY-NC-SA-4.0.": "cc-by-nc-sa-4.0-id-notice",
+        "SPDX-License-Identifier: Other-1.0": None,
+        "Licensed under the GPL v9.": None,
+        "the GPL v3 was licensed by them under protest": None,
+        "Licensed under CC-BY-3.0.": None,
+    }
+    rows = license_scan.scan_licenses(documents([f"some prose {t} and more" for t in texts])).collect()
+    for i, (text, name) in enumerate(texts.items(), 1):
+        assert [r.license for r in rows if r.doc_id == i] == ([name] if name else []), text
