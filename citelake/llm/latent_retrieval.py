@@ -4,18 +4,24 @@
 2. Randomised SVD of the TF-IDF matrix of all passages: each task multiplies its passages into a
    random matrix and back, the products of fixed size are added up, and an orthonormal basis of their
    sum spans the corpus's latent directions.
-3. Items of more than ``WHOLE`` words are cut into pieces of about ``PIECE``. A stretch of a document becomes
-   a candidate if it holds half of a whole item's words, or a third of a piece's. That counts the item's own
-   words, so neither its length nor the words beside a copy matter. A known number of the rarest words must
-   then be there, so only these are looked up at first; this drops nothing.
-4. Around the candidates, stretches of twice the item's length are checked word by word: the longest common
+3. The TF-IDF vectors of the items span a latent space of their own, of ``DIRECTIONS`` directions. Items and
+   passages of all documents are projected into it, weighted by the inverse of its singular values; a passage
+   becomes a candidate for an item if their cosine is at least ``COSINE`` and the passage reaches ``REACH`` of
+   the item's length along it. Passages are the words of 2^k blocks of ``STEP`` words, at least as long as the
+   item and less than twice so (``SHORTEST`` words at least), and overlap by three quarters.
+4. What the cosine may miss is added by counting words. Items of more than ``WHOLE`` words are cut into pieces
+   of about ``PIECE``. A stretch of a document becomes a candidate if it holds half of a whole item's words, or
+   a third of a piece's. That counts the item's own words, so neither its length nor the words beside a copy
+   matter. A known number of the rarest words must then be there, so only these are looked up at first; this
+   drops nothing.
+5. Around the candidates, stretches of twice the item's length are checked word by word: the longest common
    subsequence with the whole item must cover ``LCS_SHARE`` of the item, or ``PARAPHRASE_SHARE`` if the answer
    is found in or near the stretch as well and ``score`` is at least ``SCORE``. ``score`` is the share of the
    item's own squared TF-IDF weight that the stretch holds; the cosine of that part with the item in the
-   latent directions counts a fifth of it. Where the benchmark has no answers, an item's last sentence stands
-   for its answer.
+   corpus's latent directions (2) counts a fifth of it. Where the benchmark has no answers, an item's last
+   sentence stands for its answer.
 
-What covers ``LCS_SHARE`` of an item is found if it lies in at most 1.8 times the item's length; so is what
+By the word counts, what covers ``LCS_SHARE`` of an item is found if it lies in at most 1.8 times the item's length; so is what
 covers ``PARAPHRASE_SHARE`` of a whole item, and of one in pieces if it lies in at most the item's length.
 
 Items are taken in blocks of ``BLOCK_ITEMS``, so that what is sent to the tasks has a fixed size.
@@ -45,7 +51,11 @@ WHOLE, PIECE = 96, 64
 BLOCK_ITEMS = 512
 SCORE, LATENT_WEIGHT = 0.4, 0.2
 LCS_SHARE, PARAPHRASE_SHARE, ANSWER_SHARE = 0.75, 0.5, 0.8
+DIRECTIONS, COSINE, REACH = 64, 0.7, 0.3
+STEP, SHORTEST = 8, 32
+AT_ONCE = 1 << 11
 COUNTS_A_ROW = 1 << 14
+COLUMNS = ("score", "lcs_share", "answer_share", "cosine")
 
 
 def bins_of(hashes: np.ndarray) -> np.ndarray:
@@ -170,6 +180,9 @@ class Items:
     words: list[list[int]]
     answers: list[list[int]]
     bins: list[np.ndarray]
+    space: np.ndarray  # row -> the word's weight in each latent direction of the items
+    points: np.ndarray  # the items there
+    lengths: np.ndarray  # their own lengths in words
 
 
 def last_sentence(text: str | None) -> str:
@@ -177,6 +190,30 @@ def last_sentence(text: str | None) -> str:
     return parts[-1] if parts else ""
 
 
+def item_space(row: np.ndarray, places: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Each word's weight in the leading directions of the items' TF-IDF vectors (rows by directions)."""
+    n, item = len(places) - 1, np.repeat(np.arange(len(places) - 1), np.diff(places))
+    cells, times = np.unique(row * n + item, return_counts=True)
+    row, item = cells // n, cells % n
+    value = times * weight[row].astype(np.float64)
+    value /= np.sqrt(np.bincount(item, value**2, minlength=n))[item] + 1e-9
+    products = np.zeros((n, n))
+    edges = np.searchsorted(row, np.arange(0, len(weight) + AT_ONCE, AT_ONCE))
+    for a, b in zip(edges, edges[1:], strict=False):
+        part = np.zeros((n, AT_ONCE))
+        part[item[a:b], row[a:b] % AT_ONCE] = value[a:b]
+        products += part @ part.T
+    squares, vectors = np.linalg.eigh(products)
+    lead = np.argsort(-squares)[:DIRECTIONS]
+    lead = lead[squares[lead] > 1e-6]
+    # Right singular vectors over the singular values: items' vectors over the squares of these.
+    turned = vectors[:, lead] / squares[lead]
+    space = np.zeros((len(weight), len(lead)))
+    for d in range(len(lead)):
+        space[:, d] = np.bincount(row, value * turned[item, d], minlength=len(weight))
+    return (space * weight[:, None]).astype(np.float32)
+
+
 def prepare(texts: list[str], answers: list[str], idf: np.ndarray) -> Items:
     found = column_words(pa.array(texts, pa.string()))
     asked = column_words(pa.array(answers, pa.string()))
@@ -202,6 +239,9 @@ def prepare(texts: list[str], answers: list[str], idf: np.ndarray) -> Items:
     which, piece, times = [np.concatenate(x) for x in zip(*rare, strict=True)] if rare else [np.zeros(0, int)] * 3
     order = np.argsort(which, kind="stable")
     size, least, need, cells, item = np.array(pieces, dtype=np.int64).reshape(-1, 5).T
+    row = rows[bins].astype(np.int64)
+    space = item_space(row, found.places, idf[used])
+    points = [space[row[a:b]].sum(axis=0) for a, b in zip(found.places, found.places[1:], strict=False)]
     return Items(
         rows,
         np.searchsorted(which[order], np.arange(len(used) + 1)),
@@ -216,6 +256,9 @@ def prepare(texts: list[str], answers: list[str], idf: np.ndarray) -> Items:
         [found.of(i).tolist() for i in range(len(texts))],
         [asked.of(i).tolist() for i in range(len(texts))],
         [bins[a:b] for a, b in zip(found.places, found.places[1:], strict=False)],
+        space,
+        np.array(points, dtype=np.float32).reshape(len(texts), -1) if points else np.zeros((0, 0), np.float32),
+        np.diff(found.places),
     )
 
 
@@ -232,8 +275,65 @@ def common_length(one: list[int], two: list[int]) -> int:
     return len(one) - open_places.bit_count()
 
 
+def retrieved(words, items: Items) -> dict[tuple[int, int], tuple[float, list[tuple[int, int]]]]:
+    """(text, item) -> cosine of the nearest passage and stretches of words, apart from each other."""
+    row = items.rows[bins_of(words.hashes)]
+    at = np.flatnonzero(row >= 0)
+    reach = np.sqrt((items.points.astype(np.float64) ** 2).sum(axis=1))
+    if not len(at) or not reach.any():
+        return {}
+    size = np.diff(words.places)
+    blocks = np.append(0, np.cumsum(-(-size // STEP)))
+    text = np.repeat(np.arange(len(size)), size)[at]
+    block = blocks[text] + (at - words.places[text]) // STEP
+    new = np.flatnonzero(np.diff(block, prepend=-1))
+    many, row = np.diff(np.append(new, len(at))), row[at]
+    sums = items.space[row[new]]
+    for nth in range(1, STEP):  # faster by far than adding up by runs, as whole rows are added
+        more = np.flatnonzero(many > nth)
+        sums[more] += items.space[row[new[more] + nth]]
+    held = np.zeros((blocks[-1], sums.shape[1]), dtype=np.float32)
+    held[block[new]] = sums
+    scale = np.ceil(np.log2(np.maximum(items.lengths, SHORTEST) / STEP)).astype(int)
+    scale[reach <= 0] = -1
+    near: dict[tuple[int, int], float] = {}
+    hits: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for k in sorted({*scale.tolist()} - {-1}):
+        which = np.flatnonzero(scale == k)
+        points = items.points[which] / reach[which, None].astype(np.float32)
+        start, end, owner = windows(blocks, 1 << k, 1 << k - 2)
+        for first in range(0, len(start), AT_ONCE):
+            low, high = start[first : first + AT_ONCE], end[first : first + AT_ONCE]
+            base = low[0]
+            summed = np.zeros((high.max() - base + 1, held.shape[1]))
+            np.cumsum(held[base : high.max()], axis=0, out=summed[1:])
+            passages = (summed[high - base] - summed[low - base]).astype(np.float32)
+            along = passages @ points.T
+            whole = np.sqrt((passages**2).sum(axis=1))[:, None]
+            window, column = np.nonzero((along >= COSINE * whole) & (along >= REACH * reach[which]))
+            cosines = along[window, column] / whole[window, 0]
+            for w, j, cosine in zip(window.tolist(), which[column].tolist(), cosines.tolist(), strict=True):
+                document, n = int(owner[first + w]), int(items.lengths[j])
+                begin, stop = words.places[document : document + 2].tolist()
+                a, b = (begin + int(x - blocks[document]) * STEP for x in (low[w], high[w]))
+                near[document, j] = max(near.get((document, j), 0.0), min(cosine, 1.0))
+                hits.setdefault((document, j), []).append((max(begin, a - n), min(stop, b + n)))
+    return {key: (near[key], joined(spans)) for key, spans in hits.items()}
+
+
+def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Overlapping or adjoining stretches as one, in order."""
+    apart: list[tuple[int, int]] = []
+    for low, high in sorted(spans):
+        if apart and low <= apart[-1][1]:
+            apart[-1] = (apart[-1][0], max(high, apart[-1][1]))
+        else:
+            apart.append((low, high))
+    return apart
+
+
 def candidates(words, items: Items) -> dict[tuple[int, int], list[tuple[int, int]]]:
-    """(text, item) -> stretches of words, apart from each other, that may hold the item."""
+    """(text, item) -> stretches of words, apart from each other, that hold enough of the item's words."""
     row = items.rows[bins_of(words.hashes)]
     places, total = words.places, len(row) + 1
     at = np.flatnonzero(row >= 0)
@@ -265,15 +365,7 @@ def candidates(words, items: Items) -> dict[tuple[int, int], list[tuple[int, int
             low = max(int(places[document]), low - 2 * len(items.words[j]))
             high = min(int(places[document + 1]), high + 2 * len(items.words[j]))
         found.setdefault((document, j), []).append((low, high))
-    for key, spans in found.items():
-        joined: list[tuple[int, int]] = []
-        for low, high in sorted(spans):
-            if joined and low <= joined[-1][1]:
-                joined[-1] = (joined[-1][0], max(high, joined[-1][1]))
-            else:
-                joined.append((low, high))
-        found[key] = joined
-    return found
+    return {key: joined(spans) for key, spans in found.items()}
 
 
 def likeness(bins: np.ndarray, item: np.ndarray, idf: np.ndarray, basis: np.ndarray) -> float:
@@ -290,8 +382,12 @@ def likeness(bins: np.ndarray, item: np.ndarray, idf: np.ndarray, basis: np.ndar
 
 
 def matches(words, items: Items, idf: np.ndarray, basis: np.ndarray):
-    """(text, item, lcs share, score, answer share) of the best stretch that holds the item."""
-    for (document, j), spans in candidates(words, items).items():
+    """(text, item, lcs share, score, answer share, cosine) of the best stretch that holds the item."""
+    near = retrieved(words, items)
+    counted = candidates(words, items)
+    for document, j in near.keys() | counted.keys():
+        cosine, spans = near.get((document, j), (None, []))
+        spans = spans + counted.get((document, j), [])
         item, reply, best = items.words[j], items.answers[j], None
         n, (first, last) = len(item), words.places[document : document + 2].tolist()
         step = max(1, n // 8)
@@ -299,6 +395,9 @@ def matches(words, items: Items, idf: np.ndarray, basis: np.ndarray):
         beside = 0 if item[-len(reply) :] == reply else WINDOW + len(reply)
         for low, high in spans:
             region = words.hashes[low:high].tolist()
+            inside = set(region)  # no subsequence is longer than what is there in any order
+            if sum(word in inside for word in item) < PARAPHRASE_SHARE * n:
+                continue
             if common_length(item, region) < PARAPHRASE_SHARE * n:
                 continue
             for start in range(0, max(1, len(region) - 2 * n + step), step):
@@ -313,7 +412,7 @@ def matches(words, items: Items, idf: np.ndarray, basis: np.ndarray):
                 if lcs >= LCS_SHARE or (answer >= ANSWER_SHARE and score >= SCORE):
                     best = max(best or (lcs, score, answer), (lcs, score, answer))
         if best:
-            yield document, j, *best
+            yield document, j, *best, cosine
 
 
 def contaminated(
@@ -324,7 +423,8 @@ def contaminated(
     item: str = "item_id",
     answer: str | None = None,
 ) -> DataFrame:
-    """``key``, ``item``, ``score``, ``lcs_share``, ``answer_share`` for each document and item it holds."""
+    """``key``, ``item``, ``score``, ``lcs_share``, ``answer_share`` and ``cosine`` for each document and item it
+    holds; ``cosine`` is that of the nearest passage, null where the word counts alone found the item."""
     texts = documents.select(text)
     df, n = document_frequencies(texts)
     idf = np.log((1 + n) / (1 + df)).astype(np.float32)
@@ -334,7 +434,7 @@ def contaminated(
     fields = [
         documents.schema[key],
         benchmark.schema[item],
-        *[T.StructField(name, T.DoubleType()) for name in ("score", "lcs_share", "answer_share")],
+        *[T.StructField(name, T.DoubleType()) for name in COLUMNS],
     ]
 
     def search(block: tuple[list, list[str], list[str]]) -> DataFrame:
@@ -360,8 +460,9 @@ def contaminated(
                         pa.array([best[r][1] for r in rows], pa.float64()),
                         pa.array([best[r][0] for r in rows], pa.float64()),
                         pa.array([best[r][2] for r in rows], pa.float64()),
+                        pa.array([best[r][3] for r in rows], pa.float64()),
                     ],
-                    names=[key, item, "score", "lcs_share", "answer_share"],
+                    names=[key, item, *COLUMNS],
                 )
 
         return documents.select(key, text).mapInArrow(find, T.StructType(fields))
