@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from citelake.functions.joins import look_up
 from citelake.functions.text import output_stem, strip_tags
@@ -10,6 +11,9 @@ from citelake.operators.compare import compare_records, compare_sample, match_su
 from citelake.operators.search import has_id, search, title_has
 from citelake.schema import TABLE_COLUMNS
 from citelake.sources.inputs import from_number, has_suffix, names_in_listing, pending_inputs
+from tests.conftest import SF_DIR
+from workload import extract_queries
+from workload.shapes import cut_copy
 
 ROWS = [
     (1, "Toxicity of É", "about lead", "10.1/1", 2021, "Endocrine Disruptors; Lead"),
@@ -238,3 +242,24 @@ def test_strip_tags(spark):
         strip_tags(F.lit("a<i>b</i> < c")), strip_tags(F.lit(None).cast("string"))
     ).first()
     assert tuple(row) == ("ab < c", "")
+
+
+def test_damaged_build_sends_no_file_to_the_driver(spark, monkeypatch):
+    collected, kind = [], type(spark.range(1))
+    collect = kind.collect
+
+    def watched(frame):
+        collected.append(frame.schema)
+        return collect(frame)
+
+    monkeypatch.setattr(kind, "collect", watched)
+    assert extract_queries.damaged_build(spark, SF_DIR).select("damaged").distinct().collect() == [(1,)]
+    assert collected and not [f for schema in collected for f in schema if f.dataType == T.BinaryType()]
+
+
+def test_cut_copy(spark, tmp_path):
+    whole = bytes(range(256)) * 100
+    (tmp_path / "whole").write_bytes(whole)
+    for size in (0, 1, 12_801, len(whole)):
+        cut_copy(spark, f"{tmp_path}/whole", f"{tmp_path}/cut{size}", size)
+        assert (tmp_path / f"cut{size}").read_bytes() == whole[:size]

@@ -21,6 +21,7 @@ from workload.registry import query
 from workload.shapes import (
     by_case,
     citations,
+    cut_copy,
     document_records,
     element,
     escaped,
@@ -477,11 +478,8 @@ def damaged_build(spark, sf_dir):
     """One file that ends too early costs no other file, and the manifest says so."""
     files, root = scratch(spark, "files"), scratch(spark, "table")
     write_xml_files(plain_records(spark, sf_dir), files)
-    whole = spark.read.format("binaryFile").load(files).orderBy("path").first()
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{files}/cut.gz")
-    out = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).create(path)
-    out.write(bytearray(whole.content[: whole.length // 2]))
-    out.close()
+    whole = input_files(spark, files, "*.gz").orderBy("path").first()
+    cut_copy(spark, whole.path, f"{files}/cut.gz", whole.bytes // 2)
     build_from_xml(spark, files, root, glob="*.gz")
     built = resume_from_xml(spark, files, root, glob="*.gz")
     damaged = read_manifest(spark, root).filter("error IS NOT NULL AND name = 'cut.gz'").count()

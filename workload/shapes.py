@@ -183,6 +183,18 @@ def write_xml_files(records: DataFrame, path: str, per_file: int = 30_000) -> No
     )
 
 
+def cut_copy(spark: SparkSession, source: str, target: str, size: int) -> None:
+    """The first ``size`` bytes of a file as another; they stream through a small buffer."""
+    jvm = spark.sparkContext._jvm
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    source, target = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    whole = source.getFileSystem(conf).open(source)
+    out = target.getFileSystem(conf).create(target)
+    jvm.org.apache.commons.io.IOUtils.copyLarge(whole, out, 0, size)
+    out.close()
+    whole.close()
+
+
 def quoted(text: Column) -> Column:
     """A JSON string literal."""
     as_array = F.to_json(F.array(text))
