@@ -50,6 +50,8 @@ from citelake.llm.words import FACTOR, byte_spans, chunks, mixed
 SPAN = 50
 GRAM = 16
 GROUP_BYTES = 1 << 20
+# Texts whose stretches are looked up or that are cut at once; a place takes some hundred bytes of memory.
+HELD_BYTES = 1 << 18
 MIXER = 0xD6E8FEB86659FD93
 # Documents and suffixes of each that are sampled for the splitters.
 SAMPLED = 2_000
@@ -128,13 +130,13 @@ class Stretches:
 
 
 def stretches(
-    batches: Iterable[pa.RecordBatch], span: int
+    batches: Iterable[pa.RecordBatch], span: int, most: int = GROUP_BYTES
 ) -> Iterator[tuple[Stretches, np.ndarray, np.ndarray]]:
     """For batches of (key, mark, text): groups of texts with their keys and marks."""
     for batch in batches:
         keys, marks = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
         body, places = byte_spans(batch.column(2))
-        for first, last in chunks(places, GROUP_BYTES):
+        for first, last in chunks(places, most):
             at = places[first]
             found = Stretches(body[at : places[last]], places[first : last + 1] - at, span)
             yield found, keys[first:last][found.owner], marks[first:last][found.owner]
@@ -392,7 +394,7 @@ def repeated_intervals(rows: DataFrame, buckets: int, span: int) -> DataFrame:
     forget(leads)
 
     def passing(batches):
-        for found, keys, marks in stretches(batches, span):
+        for found, keys, marks in stretches(batches, span, HELD_BYTES):
             passed = np.flatnonzero(passes(shared.value, gram_hash(*found.tokens())))
             for k in range(0, len(passed), AT_ONCE):
                 keep = passed[k : k + AT_ONCE]
@@ -471,6 +473,14 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts[new], ends[np.append(new[1:], True)]
 
 
+def few_bytes(batches: Iterable[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about ``HELD_BYTES`` of text, or of one longer text."""
+    for batch in batches:
+        _, places = byte_spans(batch.column(column))
+        for first, last in chunks(places, HELD_BYTES):
+            yield batch.slice(first, last - first)
+
+
 def remove_repeats(
     documents: DataFrame, key: str = "doc_id", text: str = "text", span: int = SPAN
 ) -> DataFrame:
@@ -496,7 +506,7 @@ def remove_repeats(
     )
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_bytes(batches, names.index(text)):
             columns = [batch.column(name) for name in names]
             texts = batch.column(names.index(text)).fill_null("")
             out = {name: [] for name in added}

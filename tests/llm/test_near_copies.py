@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -214,3 +215,14 @@ def test_multikey_order_and_merged():
     assert [(one[i], two[i]) for i in order] == sorted(zip(one, two, strict=True))
     starts, ends = merged(np.array([5, 0, 9, 3]), np.array([6, 2, 12, 5]))
     assert (starts.tolist(), ends.tolist()) == ([0, 3, 9], [2, 6, 12])
+
+
+def test_texts_are_cut_a_few_at_a_time():
+    random.seed(15)
+    sizes = [random.choice([0, 10, 50_000, 400_000]) for _ in range(60)]
+    batch = pa.record_batch({"doc_id": range(60), "text": [None if n == 10 else "x" * n for n in sizes]})
+    parts = list(suffix_dedup.few_bytes([batch, batch.slice(7)], 1))
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch, batch.slice(7)]))
+    for part in parts:
+        held = [len(x.as_py() or "") for x in part.column("text")]
+        assert sum(held) <= suffix_dedup.HELD_BYTES or len([n for n in held if n]) == 1
