@@ -238,6 +238,7 @@ def jaccard_links(
     parts = rows.mapInArrow(sketch, "part bigint, key bigint").repartition("part")
     runs = parts.groupBy("part").agg(F.min("key").alias("low"), F.max("key").alias("high"))
     raw = written(parts.join(runs.filter("low < high").select("part"), "part"))
+    common.destroy()
     # Copies count as their class from here on.
     met = raw.join(copies, "key", "left").select("part", F.coalesce("class_id", "key").alias("key"))
     met = written(met.distinct())
@@ -369,6 +370,7 @@ def verified(rows: DataFrame, pairs: DataFrame, size: int, percent: int) -> Data
 
     lead = rows.select("key", "text", F.xxhash64("key").alias("lead"))
     sets = written(lead.mapInArrow(shingles, "key bigint, shingles array<bigint>"))
+    wanted.destroy()
     of_a = sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa"))
     of_b = sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))

@@ -15,7 +15,12 @@ SIEVE_ROW = 18
 
 
 def sieve(leads: DataFrame) -> np.ndarray:
-    """The bits of the hashes (bigint) in column ``lead``; their leading bits choose the place."""
+    """The bits of the hashes (bigint) in column ``lead``; their leading bits choose the place.
+
+    They come to the driver in one job, not one for each partition. Whoever sends them on is to destroy
+    the broadcast when it was read for the last time: its files, one on the driver and one on each
+    executor, are as large as the bits and otherwise stay.
+    """
     row_bits = SIEVE_BITS - SIEVE_ROW
 
     def place(group: pa.Table) -> pa.Table:
@@ -28,8 +33,9 @@ def sieve(leads: DataFrame) -> np.ndarray:
 
     rows = leads.select("lead", F.shiftrightunsigned("lead", 64 - row_bits).cast("int").alias("row"))
     total = np.zeros((1 << row_bits, (1 << SIEVE_ROW) // 8), dtype=np.uint8)
-    for row in rows.groupBy("row").applyInArrow(place, "row int, bits binary").toLocalIterator():
-        total[row["row"]] = np.frombuffer(row["bits"], dtype=np.uint8)
+    placed = rows.groupBy("row").applyInArrow(place, "row int, bits binary").toArrow()
+    for at, bits in zip(placed.column("row").to_pylist(), placed.column("bits"), strict=True):
+        total[at] = np.frombuffer(bits.as_buffer(), dtype=np.uint8)
     return total.reshape(-1)
 
 

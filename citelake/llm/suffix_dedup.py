@@ -375,15 +375,16 @@ def repeated_windows(distinct: DataFrame, buckets: int, span: int) -> DataFrame:
     # What shares its anchor with no other stretch has nothing to be compared with.
     alone = sides.filter("low < high").select("lead", "one", "two", "first", "last", "low")
     alone = alone.mapInArrow(chosen(False), alone.schema)
-    return found.unionByName(
-        alone.select(
-            "one",
-            "two",
-            F.col("first").cast("long").alias("from"),
-            (F.col("last") + span).cast("long").alias("to"),
-            "low",
-        )
+    alone = alone.select(
+        "one",
+        "two",
+        F.col("first").cast("long").alias("from"),
+        (F.col("last") + span).cast("long").alias("to"),
+        "low",
     )
+    found = written(found.unionByName(alone))
+    crowded.destroy()
+    return found
 
 
 def repeated_intervals(rows: DataFrame, buckets: int, span: int) -> DataFrame:
@@ -436,7 +437,9 @@ def repeated_intervals(rows: DataFrame, buckets: int, span: int) -> DataFrame:
 
     spoken = "one bigint, two bigint, stretch binary, at int, low bigint, high bigint"
     distinct = written(rows.mapInArrow(speak, spoken))  # read twice, for splitters and for the deal
-    found = written(repeated_windows(distinct, buckets, span))
+    for sent in (shared, speakers, plural):
+        sent.destroy()
+    found = repeated_windows(distinct, buckets, span)
     forget(distinct)
     lost = written(found.distinct())
     forget(found)

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import os
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from citelake.llm.sieve import passes, sieve
 from tests.llm.test_near_copies import shingles
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -104,3 +108,35 @@ def test_later_stages_see_what_earlier_ones_kept(llm, documents, texts, monkeypa
     rows = corpus_pipeline.run(llm, str(tmp_path)).collect()
     assert len(given[0]) == len(texts) and len(given[1]) == len(texts) - 3
     assert given[1] == given[2] == {r.doc_id for r in rows}
+
+
+@pytest.mark.parametrize("name", ["near_copies", "repeated_passages"])
+def test_stages_leave_no_broadcast_files(llm, documents, texts, name):
+    folder = llm.sparkContext._temp_dir  # where PySpark keeps the driver's copy of each broadcast
+    docs = documents(texts)
+    before = set(os.listdir(folder))
+    rows = getattr(corpus_pipeline, name)(llm, docs, "").collect()
+    assert len(rows) == len(texts) - (3 if name == "near_copies" else 0)
+    left = {x: os.path.getsize(os.path.join(folder, x)) for x in set(os.listdir(folder)) - before}
+    assert left == {}
+
+
+def test_sieve_comes_in_as_many_jobs_whatever_the_partitions(llm):
+    leads = llm.range(2_000).select(F.xxhash64("id").alias("lead"))
+    context, jobs = llm.sparkContext, {}
+    held = {k: llm.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        llm.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for n in (2, 9):
+            llm.conf.set("spark.sql.shuffle.partitions", str(n))
+            context.setJobGroup(f"sieve of {n}", "")
+            bits = sieve(leads)
+            jobs[n] = len(context.statusTracker().getJobIdsForGroup(f"sieve of {n}"))
+            hashes = np.array([r.lead for r in leads.collect()], dtype=np.int64).view(np.uint64)
+            assert passes(bits, hashes).all() and not passes(bits, ~hashes).all()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        context.setLocalProperty("spark.job.description", None)
+        for k, v in held.items():
+            llm.conf.set(k, v)
+    assert jobs[2] == jobs[9]
