@@ -32,6 +32,7 @@ empty tables give no rows; other columns are left out.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -74,8 +75,9 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
                 at = places[first]
                 words = chunk_words(body[at : places[last]], places[first : last + 1] - at)
                 owner = np.repeat(np.arange(last - first), np.diff(words.places))
-                cells = np.unique(owner * BINS + bins_of(words.hashes))
-                np.add.at(total, cells & (BINS - 1), 1)
+                cells = owner * BINS + bins_of(words.hashes)
+                cells.sort()
+                np.add.at(total, cells[np.diff(cells, prepend=-1) > 0] & (BINS - 1), 1)
         if n:
             parts = [p.astype("<u4").tobytes() for p in total.reshape(-1, COUNTS_A_ROW)]
             rows = np.arange(len(parts) + 1, dtype=np.int32)
@@ -114,8 +116,8 @@ def latent_basis(texts: DataFrame, idf: np.ndarray) -> np.ndarray:
     sent = texts.sparkSession.sparkContext.broadcast(idf)
 
     def multiply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        random = np.random.default_rng(3).normal(0, 1, (LATENT_BINS, width)).astype(np.float32)
-        total, seen = np.zeros((LATENT_BINS, width)), False
+        random = np.random.default_rng(3).normal(0, 1, (LATENT_BINS, width)).T.copy()
+        total, seen = np.zeros((width, LATENT_BINS)), False
         for batch in batches:
             body, places = byte_spans(batch.column(0))
             for first, last in chunks(places):
@@ -124,19 +126,9 @@ def latent_basis(texts: DataFrame, idf: np.ndarray) -> np.ndarray:
                 if not len(words.hashes):
                     continue
                 seen = True
-                bins = bins_of(words.hashes)
-                weight, bins = sent.value[bins], bins & (LATENT_BINS - 1)
-                start, _, owner = windows(words.places, WINDOW, WINDOW)
-                passage = np.add.reduceat(random[bins] * weight[:, None], start, axis=0)
-                norm = np.sqrt(np.add.reduceat(weight**2, start)) + 1e-9
-                passage /= (norm**2)[:, None]  # rows of unit length, there and back
-                row = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(bins))))
-                order = np.argsort(bins, kind="stable")
-                new = np.flatnonzero(np.diff(bins[order], prepend=-1))
-                back = passage[row[order]] * weight[order][:, None]
-                total[bins[order][new]] += np.add.reduceat(back, new, axis=0)
+                there_and_back(words, sent.value, random, total)
         if seen:
-            parts = total.astype("<f4").reshape(-1, 1024 * width)
+            parts = total.T.astype("<f4").reshape(-1, 1024 * width)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(len(parts), dtype=np.int32)),
@@ -153,6 +145,19 @@ def latent_basis(texts: DataFrame, idf: np.ndarray) -> np.ndarray:
     return (left[:, :RANK] * (size[:RANK] > 1e-9)).astype(np.float32)
 
 
+def there_and_back(words, idf: np.ndarray, random: np.ndarray, total: np.ndarray) -> None:
+    """Add to ``total`` the passages' TF-IDF rows of unit length, multiplied into ``random`` and back."""
+    bins = bins_of(words.hashes)
+    weight, bins = idf[bins].astype(np.float64), bins & (LATENT_BINS - 1)
+    start, _, _ = windows(words.places, WINDOW, WINDOW)
+    size = np.diff(np.append(start, len(bins)))
+    norm = np.sqrt(np.add.reduceat(weight**2, start)) + 1e-9
+    back = weight / np.repeat(norm**2, size)
+    for d in range(len(random)):  # flat arrays: sums of short rows take several times as long
+        passage = np.add.reduceat(random[d][bins] * weight, start)
+        total[d] += np.bincount(bins, np.repeat(passage, size) * back, minlength=LATENT_BINS)
+
+
 def windows(places: np.ndarray, window: int, stride: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and text of the windows; the windows of a text cover all its words."""
     size = np.diff(places)
@@ -178,6 +183,7 @@ class Items:
     item: np.ndarray  # the piece's item
     held: list[dict[int, int]]  # row -> how often the piece has it
     words: list[list[int]]
+    where: list[dict[int, int]]  # word -> its places in the item, as bits
     answers: list[list[int]]
     bins: list[np.ndarray]
     space: np.ndarray  # row -> the word's weight in each latent direction of the items
@@ -254,6 +260,7 @@ def prepare(texts: list[str], answers: list[str], idf: np.ndarray) -> Items:
         item,
         held,
         [found.of(i).tolist() for i in range(len(texts))],
+        [places_of(found.of(i).tolist()) for i in range(len(texts))],
         [asked.of(i).tolist() for i in range(len(texts))],
         [bins[a:b] for a, b in zip(found.places, found.places[1:], strict=False)],
         space,
@@ -262,17 +269,27 @@ def prepare(texts: list[str], answers: list[str], idf: np.ndarray) -> Items:
     )
 
 
-def common_length(one: list[int], two: list[int]) -> int:
-    """Length of the longest common subsequence; the bits of a number stand for places in ``one``."""
+def places_of(words: list[int]) -> dict[int, int]:
+    """The places that each word has, as the bits of a number."""
     where: dict[int, int] = {}
-    for i, word in enumerate(one):
+    for i, word in enumerate(words):
         where[word] = where.get(word, 0) | 1 << i
-    full = (1 << len(one)) - 1
-    open_places = full
-    for word in two:
-        hit = open_places & where.get(word, 0)
+    return where
+
+
+def common_places(hits: Iterable[int], size: int) -> int:
+    """Length of the longest common subsequence of ``size`` words with words that stand at ``hits`` of them."""
+    full = open_places = (1 << size) - 1
+    for places in hits:
+        hit = open_places & places
         open_places = ((open_places + hit) | (open_places - hit)) & full
-    return len(one) - open_places.bit_count()
+    return size - open_places.bit_count()
+
+
+def common_length(one: list[int], two: list[int]) -> int:
+    """Length of the longest common subsequence."""
+    where = places_of(one)
+    return common_places((where[word] for word in two if word in where), len(one))
 
 
 def retrieved(words, items: Items) -> dict[tuple[int, int], tuple[float, list[tuple[int, int]]]]:
@@ -296,29 +313,63 @@ def retrieved(words, items: Items) -> dict[tuple[int, int], tuple[float, list[tu
     held[block[new]] = sums
     scale = np.ceil(np.log2(np.maximum(items.lengths, SHORTEST) / STEP)).astype(int)
     scale[reach <= 0] = -1
-    near: dict[tuple[int, int], float] = {}
-    hits: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for k in sorted({*scale.tolist()} - {-1}):
+    found = {}
+    quarters, edges = held, blocks  # sums of 2^(k-2) blocks each, and where those of a text begin
+    for k in range(2, scale.max() + 1):
+        if k > 2:
+            pairs, ends, owner = windows(edges, 2, 2)
+            quarters, edges = added_up(quarters, pairs, ends), np.searchsorted(owner, np.arange(len(edges)))
         which = np.flatnonzero(scale == k)
+        if not len(which):
+            continue
         points = items.points[which] / reach[which, None].astype(np.float32)
-        start, end, owner = windows(blocks, 1 << k, 1 << k - 2)
+        start, end, owner = windows(edges, 4, 1)
+        hits = []
         for first in range(0, len(start), AT_ONCE):
-            low, high = start[first : first + AT_ONCE], end[first : first + AT_ONCE]
-            base = low[0]
-            summed = np.zeros((high.max() - base + 1, held.shape[1]))
-            np.cumsum(held[base : high.max()], axis=0, out=summed[1:])
-            passages = (summed[high - base] - summed[low - base]).astype(np.float32)
+            passages = added_up(quarters, start[first : first + AT_ONCE], end[first : first + AT_ONCE])
             along = passages @ points.T
-            whole = np.sqrt((passages**2).sum(axis=1))[:, None]
+            whole = np.sqrt((passages**2).sum(axis=1))
+            some = np.flatnonzero(along.max(axis=1) >= COSINE * whole)
+            along, whole = along[some], whole[some, None]
             window, column = np.nonzero((along >= COSINE * whole) & (along >= REACH * reach[which]))
-            cosines = along[window, column] / whole[window, 0]
-            for w, j, cosine in zip(window.tolist(), which[column].tolist(), cosines.tolist(), strict=True):
-                document, n = int(owner[first + w]), int(items.lengths[j])
-                begin, stop = words.places[document : document + 2].tolist()
-                a, b = (begin + int(x - blocks[document]) * STEP for x in (low[w], high[w]))
-                near[document, j] = max(near.get((document, j), 0.0), min(cosine, 1.0))
-                hits.setdefault((document, j), []).append((max(begin, a - n), min(stop, b + n)))
-    return {key: (near[key], joined(spans)) for key, spans in hits.items()}
+            hits.append((first + some[window], which[column], along[window, column] / whole[window, 0]))
+        if hits:
+            window, item, cosine = (np.concatenate(x) for x in zip(*hits, strict=True))
+            begin, stop = words.places[owner[window]], words.places[owner[window] + 1]
+            low, high = ((x[window] - edges[owner[window]] << k - 2) * STEP + begin for x in (start, end))
+            low = np.maximum(begin, low - items.lengths[item])
+            high = np.minimum(stop, high + items.lengths[item])
+            found.update(nearest(owner[window], item, cosine, low, high))
+    return found
+
+
+def added_up(rows: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Sums of the few rows from each ``start`` to its ``end``."""
+    sums = rows[start]
+    for nth in range(1, int((end - start).max(initial=0))):
+        more = np.flatnonzero(end - start > nth)
+        sums[more] += rows[start[more] + nth]
+    return sums
+
+
+def nearest(document, item, cosine, low, high) -> dict[tuple[int, int], tuple[float, list[tuple[int, int]]]]:
+    """(document, item) -> the greatest cosine and the stretches, joined. Of one pair, a stretch that begins
+    later ends no earlier."""
+    if not len(item):
+        return {}
+    order = np.lexsort((low, item, document))
+    document, item, cosine, low, high = (x[order] for x in (document, item, cosine, low, high))
+    other = np.append(True, (document[1:] != document[:-1]) | (item[1:] != item[:-1]))
+    apart = np.flatnonzero(other | np.append(True, low[1:] > high[:-1]))
+    spans = list(zip(low[apart].tolist(), high[np.append(apart[1:], len(order)) - 1].tolist(), strict=True))
+    pairs = np.flatnonzero(other)
+    cosines = np.minimum(np.maximum.reduceat(cosine, pairs), 1.0)
+    edges = np.searchsorted(apart, np.append(pairs, len(order))).tolist()
+    keys = zip(document[pairs].tolist(), item[pairs].tolist(), strict=True)
+    return {
+        key: (value, spans[a:b])
+        for key, value, a, b in zip(keys, cosines.tolist(), edges, edges[1:], strict=False)
+    }
 
 
 def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -374,7 +425,8 @@ def likeness(bins: np.ndarray, item: np.ndarray, idf: np.ndarray, basis: np.ndar
     whole = (weight**2).sum()
     if not whole:
         return 0.0
-    there = np.isin(item, bins)
+    held = set(bins.tolist())
+    there = np.array([b in held for b in item.tolist()])
     latent = basis[item & (LATENT_BINS - 1)] * weight[:, None]
     own, part = latent.sum(axis=0), latent[there].sum(axis=0)
     about = own @ part / (np.sqrt((own @ own) * (part @ part)) + 1e-9)
@@ -390,22 +442,29 @@ def matches(words, items: Items, idf: np.ndarray, basis: np.ndarray):
         spans = spans + counted.get((document, j), [])
         item, reply, best = items.words[j], items.answers[j], None
         n, (first, last) = len(item), words.places[document : document + 2].tolist()
-        step = max(1, n // 8)
+        where, step = items.where[j], max(1, n // 8)
         # An answer of its own may stand beside the item.
         beside = 0 if item[-len(reply) :] == reply else WINDOW + len(reply)
         for low, high in spans:
             region = words.hashes[low:high].tolist()
-            inside = set(region)  # no subsequence is longer than what is there in any order
-            if sum(word in inside for word in item) < PARAPHRASE_SHARE * n:
-                continue
-            if common_length(item, region) < PARAPHRASE_SHARE * n:
+            # Words that the item lacks change no subsequence.
+            at = [i for i, word in enumerate(region) if word in where]
+            hits = [where[region[i]] for i in at]
+            there = 0  # no subsequence is longer than what is there in any order
+            for places in hits:
+                there |= places
+            if there.bit_count() < PARAPHRASE_SHARE * n or common_places(hits, n) < PARAPHRASE_SHARE * n:
                 continue
+            stretches = []
             for start in range(0, max(1, len(region) - 2 * n + step), step):
-                stretch = region[start : start + 2 * n]
-                lcs = common_length(item, stretch) / n
-                if lcs < PARAPHRASE_SHARE:
-                    continue
-                a, b = low + start, low + start + len(stretch)
+                stop = min(start + 2 * n, len(region))
+                lcs = common_places(hits[bisect_left(at, start) : bisect_left(at, stop)], n) / n
+                if lcs >= PARAPHRASE_SHARE:
+                    stretches.append((lcs, low + start, low + stop))
+            # A stretch that shares less than the best one needs no score.
+            for lcs, a, b in sorted(stretches, reverse=True):
+                if best and lcs < best[0]:
+                    break
                 from_, to = max(first, a - beside), min(last, b + beside)
                 answer = common_length(reply, words.hashes[from_:to].tolist()) / len(reply) if reply else 0.0
                 score = likeness(bins_of(words.hashes[a:b]), items.bins[j], idf, basis)

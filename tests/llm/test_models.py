@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import math
 import random
+import time
 import re
 import zlib
 from collections import Counter
@@ -311,6 +312,81 @@ def test_passages_are_retrieved_by_their_cosine(length, monkeypatch):
     assert all(got[i, (i + 1) % 100] >= (1, latent_retrieval.COSINE) for i in range(100))
 
 
+def test_passages_are_summed_like_every_window():
+    """Cosines and stretches, compared with one window after the other; texts shorter than a passage too."""
+    rng = np.random.default_rng(15)
+    items = [rng.integers(0, 300, n) for n in (5, 20, 33, 70, 200)]
+    texts = [rng.integers(0, 300, n) for n in (0, 3, 31, 33, 100, 600, 1500)]
+    texts = [np.concatenate([text, items[i % 5], text]) if i % 2 else text for i, text in enumerate(texts)]
+    joined = [" ".join(f"w{w}" for w in item) for item in items]
+    words = latent_retrieval.column_words(pa.array([" ".join(f"w{w}" for w in text) for text in texts]))
+    block = latent_retrieval.prepare(joined, [""] * 5, np.ones(latent_retrieval.BINS, np.float32))
+    want, step = {}, latent_retrieval.STEP
+    for d, j in itertools.product(range(len(texts)), range(5)):
+        begin, stop = words.places[d], words.places[d + 1]
+        n, point = len(items[j]), block.points[j].astype(float)
+        wide = 2 ** int(np.ceil(np.log2(max(n, latent_retrieval.SHORTEST) / step))) * step
+        cosines, spans = [], []
+        for low in range(begin, max(begin + 1, stop - wide + wide // 4), wide // 4):
+            row = block.rows[latent_retrieval.bins_of(words.hashes[low : min(low + wide, stop)])]
+            passage = block.space[row[row >= 0]].astype(float).sum(axis=0)
+            along, whole = passage @ point / np.linalg.norm(point), np.linalg.norm(passage)
+            if along >= latent_retrieval.COSINE * whole > 0 and along >= latent_retrieval.REACH * np.linalg.norm(point):
+                cosines.append(along / whole)
+                spans.append((max(begin, low - n), min(stop, low + wide + n)))
+        if spans:
+            want[d, j] = max(cosines), latent_retrieval.joined(spans)
+    got = latent_retrieval.retrieved(words, block)
+    assert got.keys() == want.keys() and len(want) >= 3
+    assert all(got[k][1] == want[k][1] and abs(got[k][0] - want[k][0]) < 1e-5 for k in want)
+
+
+def test_reading_a_text_for_its_passages_costs_little_more_than_its_words():
+    """CPU time against that of cutting the same text into words (it was 11 times as long on the given tables)."""
+    rng = np.random.default_rng(16)
+    texts = pa.array([" ".join(f"w{w}" for w in rng.zipf(1.3, 400) % 30000) for _ in range(800)])
+    words = latent_retrieval.column_words(texts)
+    idf = (1 + rng.random(latent_retrieval.BINS)).astype(np.float32)
+    random_rows = rng.normal(0, 1, (32, latent_retrieval.LATENT_BINS))
+    total = np.zeros_like(random_rows)
+
+    def seconds(work, *arguments) -> float:
+        took = []
+        for _ in range(5):
+            start = time.thread_time()
+            work(*arguments)
+            took.append(time.thread_time() - start)
+        return min(took)
+
+    cut = seconds(latent_retrieval.column_words, texts)
+    assert seconds(latent_retrieval.there_and_back, words, idf, random_rows, total) < 6 * cut
+    # What went there and back is the product with the passages' rows.
+    words = latent_retrieval.column_words(texts[:50])
+    total[:] = 0
+    latent_retrieval.there_and_back(words, idf, random_rows, total)
+    rows = np.zeros((50 * 13, latent_retrieval.LATENT_BINS), np.float32)
+    bins = latent_retrieval.bins_of(words.hashes)
+    passage = np.arange(len(bins)) // 400 * 13 + np.arange(len(bins)) % 400 // latent_retrieval.WINDOW
+    np.add.at(rows, (passage, bins & (latent_retrieval.LATENT_BINS - 1)), idf[bins])
+    length = np.sqrt(np.bincount(passage, idf[bins].astype(float) ** 2, minlength=len(rows))) + 1e-9
+    rows /= length[:, None].astype(np.float32)
+    want = rows.T @ (rows @ random_rows.T)
+    assert np.allclose(total, want.T, atol=1e-4)
+
+
+def test_only_the_best_stretches_are_scored(monkeypatch):
+    item = [f"w{i}" for i in range(40)]
+    text = [f"x{i}" for i in range(200)] + item + [f"y{i}" for i in range(200)]
+    block = latent_retrieval.prepare([" ".join(item)], [""], np.ones(latent_retrieval.BINS, np.float32))
+    words = latent_retrieval.column_words(pa.array([" ".join(text)]))
+    scored = []
+    monkeypatch.setattr(latent_retrieval, "likeness", lambda bins, *_: scored.append(len(np.unique(bins))) or 1.0)
+    found = list(latent_retrieval.matches(words, block, None, None))
+    assert [row[:3] for row in found] == [(0, 0, 1.0)]
+    # Before, each stretch that held half of the item was: 17 and more.
+    assert 1 <= len(scored) <= 10
+
+
 def test_an_answer_beside_a_short_question(documents, llm):
     item, reply = [f"q{i}" for i in range(10)], [f"a{i}" for i in range(12)]
     asked = [w if i % 3 else "other" for i, w in enumerate(item)]
