@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from citelake.llm.components import components
 from citelake.llm.scratch import forget, written
 from citelake.llm.sieve import passes, sieve
-from citelake.llm.words import column_words, mixed, shingle_set
+from citelake.llm.words import chunks, column_words, mixed, shingle_hashes, shingle_set
 
 SHINGLE = 5
 PERCENT = 75
@@ -43,12 +43,25 @@ BLOCK = 512
 BITS_A_SHINGLE = 4
 # Sets of fewer shingles than this have one part for each shingle.
 SMALL_BAND = 3
+# Words whose shingles are worked out at once.
+WORDS_A_CHUNK = 1 << 16
+# Pairs, and 64-bit words of sketches, that a task compares at once.
+PAIRS_AT_ONCE = 1 << 18
+WORDS_AT_ONCE = 1 << 20
 
 
 def _sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, np.ndarray]]:
     words = column_words(batch.column(1))
-    for i in range(batch.num_rows):
-        yield i, shingle_set(words.of(i), size)
+    places = words.places.tolist()
+    for first, last in chunks(words.places, WORDS_A_CHUNK):
+        # Shingles that lie in two texts are worked out as well, and passed over.
+        hashes = shingle_hashes(words.hashes[places[first] : places[last]], size)
+        for i in range(first, last):
+            if places[i + 1] - places[i] < size:
+                yield i, shingle_set(words.of(i), size)
+            else:
+                found = np.sort(hashes[places[i] - places[first] : places[i + 1] - places[first] - size + 1])
+                yield i, found[np.append(True, found[1:] != found[:-1])]
 
 
 def _different_sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -129,10 +142,11 @@ def features(shingles: np.ndarray, common: np.ndarray, percent: int) -> list[np.
             part = (part & np.uint64(top)) << np.uint64(8)
         part = rare_first | (part >> np.uint64(8))
         order = np.argsort(part)
-        part, values = part[order], mixed(shingles[order])
+        part = part[order]
         first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
-        sketch = np.bitwise_xor.reduceat(values, first)[: differ + 1]
-        found.append(mixed(sketch ^ mixed(part[first][: differ + 1] + np.uint64(at) * np.uint64(1 << 40))))
+        end, first = first[differ + 1] if len(first) > differ + 1 else n, first[: differ + 1]
+        sketch = np.bitwise_xor.reduceat(mixed(shingles[order[:end]]), first)
+        found.append(mixed(sketch ^ mixed(part[first] + np.uint64(at) * np.uint64(1 << 40))))
     return found
 
 
@@ -148,20 +162,44 @@ def reaches_next(n: int, percent: int) -> bool:
     return 100 * n // percent >= 4 ** (band_of(n) + 1)
 
 
-def close_pairs(sizes, own, above, one, two, percent: int) -> np.ndarray:
-    """Which of the pairs (one[i], two[i]) differ in no more bits than the similarity allows."""
-    close = np.zeros(len(one), dtype=bool)
-    for i, (x, y) in enumerate(zip(one, two, strict=True)):
-        if sizes[x] > sizes[y]:
-            x, y = y, x
-        low, high = sizes[x], sizes[y]
-        if 100 * low < percent * high:
-            continue
-        mine = own[x] if band_of(low) == band_of(high) else above[x]
-        if mine is None or band_of(high) - band_of(low) > 1:
-            continue
-        bits = (int.from_bytes(mine) ^ int.from_bytes(own[y])).bit_count()
-        close[i] = bits <= (100 - percent) * (low + high) // (100 + percent)
+def sketch_rows(column: pa.Array, rows: np.ndarray) -> np.ndarray:
+    """Sketches of one band as a matrix of 64-bit words."""
+    taken = column.take(pa.array(rows))
+    places = np.frombuffer(taken.buffers()[1], dtype=np.int32)[taken.offset : taken.offset + len(rows) + 1]
+    body = np.frombuffer(taken.buffers()[2], dtype=np.uint8)[places[0] : places[-1]]
+    return body.view(np.uint64).reshape(len(rows), -1)
+
+
+def close_pairs(sizes, own: pa.Array, above: pa.Array, one, two, percent: int) -> np.ndarray:
+    """Which of the pairs (one[i], two[i]) differ in no more bits than the similarity allows.
+
+    Some words of two sketches differ in no more bits than all of them, so a pair is dropped at the
+    first quarter that exceeds what is allowed.
+    """
+    larger = sizes[one] > sizes[two]
+    one, two = np.where(larger, two, one), np.where(larger, one, two)
+    low, high = sizes[one], sizes[two]
+    allowed = (100 - percent) * (low + high) // (100 + percent)
+    band = (np.frexp(sizes.astype(np.float64))[1] - 1) // 2  # as in ``band_of``
+    reaches = above.is_valid().to_numpy(zero_copy_only=False)
+    fits, close = 100 * low >= percent * high, np.zeros(len(one), dtype=bool)
+    for at in np.unique(band[two[fits]]):
+        mine, raised = np.flatnonzero(band == at), np.flatnonzero((band == at - 1) & reaches)
+        words = sketch_rows(own, mine)
+        if len(raised):
+            words = np.concatenate([words, sketch_rows(above, raised)])
+        place = np.full(len(sizes), -1)
+        place[mine], place[raised] = np.arange(len(mine)), np.arange(len(mine), len(words))
+        which = np.flatnonzero(fits & (band[two] == at) & (place[one] >= 0))
+        quarter, step = -(-words.shape[1] // 4), max(1, WORDS_AT_ONCE // words.shape[1])
+        for first in range(0, len(which), step):
+            pairs = which[first : first + step]
+            left = allowed[pairs]
+            for part in range(0, words.shape[1], quarter):
+                x, y = (words[place[side[pairs]], part : part + quarter] for side in (one, two))
+                left = left - np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+                pairs, left = pairs[left >= 0], left[left >= 0]
+            close[pairs] = True
     return close
 
 
@@ -278,16 +316,12 @@ def _close(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
 
     def test(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.num_rows
-            column = {name: batch.column(name).to_pylist() for name in batch.schema.names}
-            close = close_pairs(
-                column["n_a"] + column["n_b"],
-                column["own_a"] + column["own_b"],
-                column["above_a"] + column["above_b"],
-                range(n),
-                range(n, 2 * n),
-                percent,
+            sizes, own, above = (
+                pa.concat_arrays([batch.column(f"{name}_a"), batch.column(f"{name}_b")])
+                for name in ("n", "own", "above")
             )
+            one = np.arange(batch.num_rows)
+            close = close_pairs(sizes.to_numpy(), own, above, one, one + len(one), percent)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a").filter(pa.array(close)), batch.column("b").filter(pa.array(close))],
                 names=["a", "b"],
@@ -327,27 +361,61 @@ def _across(named: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
         "above",
     )
 
-    def compare(group: pa.Table) -> pa.Table:
-        column = {name: group.column(name).to_pylist() for name in group.schema.names}
-        component, block = np.array(column["component"]), np.array(column["block"])
-        size = np.array(column["n"])
-        i, j = column["i"][0], column["j"][0]
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        fits = (
-            (component[left][:, None] != component[right][None, :])
-            & (100 * size[left][:, None] >= percent * size[right][None, :])
-            & (100 * size[right][None, :] >= percent * size[left][:, None])
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for runs in whole_runs(batches):
+            yield from pairs_across(runs, percent)
+
+    # Runs are small and many: a task takes those of a batch together, in order, not one by one.
+    dealt = members.repartition("part", "i", "j").sortWithinPartitions("part", "i", "j", "block")
+    return dealt.mapInArrow(compare, "a bigint, b bigint")
+
+
+def whole_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows in order of part, i and j as tables that cut no run in two."""
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        held = rows if held is None else pa.concat_tables([held, rows])
+        begins = run_starts(held)
+        if len(begins) > 1:
+            yield held.slice(0, begins[-1])
+            held = held.slice(begins[-1])
+    if held is not None and held.num_rows:
+        yield held
+
+
+def run_starts(rows: pa.Table) -> np.ndarray:
+    new = np.arange(rows.num_rows) == 0
+    for name in ("part", "i", "j"):
+        value = rows.column(name).to_numpy()
+        new[1:] |= value[1:] != value[:-1]
+    return np.flatnonzero(new)
+
+
+def pairs_across(runs: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
+    """Close pairs of different components in whole runs, between the blocks i and j of each."""
+    column = {name: runs.column(name).to_numpy() for name in ("i", "j", "block", "key", "component", "n")}
+    own, above = (pa.concat_arrays(runs.column(name).chunks) for name in ("own", "above"))
+    component, size, key = column["component"], column["n"], column["key"]
+    new = run_starts(runs)
+    many = np.diff(np.append(new, runs.num_rows))
+    left = column["block"] == column["i"]
+    # A row of block i meets the rows of block j, or those after it if that is its own block.
+    other = np.repeat(new + np.add.reduceat(left.astype(np.int64), new), many)
+    begin = np.where(column["i"] == column["j"], np.arange(runs.num_rows) + 1, other)
+    met = np.where(left, np.repeat(new + many, many) - begin, 0)
+    places = np.append(0, np.cumsum(met))
+    for first, last in chunks(places, PAIRS_AT_ONCE):
+        x = np.repeat(np.arange(first, last), met[first:last])
+        y = np.arange(places[first], places[last]) + np.repeat(begin[first:last] - places[first:last], met[first:last])
+        fits = component[x] != component[y]
+        fits &= 100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y])
+        x, y = x[fits], y[fits]
+        close = close_pairs(size, own, above, x, y, percent)
+        a, b = key[x[close]], key[y[close]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"]
         )
-        x, y = np.nonzero(fits)
-        x, y = left[x], right[y]
-        if i == j:
-            x, y = x[x < y], y[x < y]
-        close = close_pairs(column["n"], column["own"], column["above"], x, y, percent)
-        keys = np.array(column["key"])
-        a, b = keys[x[close]], keys[y[close]]
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    return members.groupBy("part", "i", "j").applyInArrow(compare, "a bigint, b bigint")
 
 
 def verified(rows: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:

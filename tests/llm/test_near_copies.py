@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
+import time
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +18,7 @@ from citelake.llm import parity_join, suffix_dedup
 from citelake.llm.components import components
 from citelake.llm.parity_join import band_of, features, near_duplicates, sketch_bits
 from citelake.llm.suffix_dedup import merged, multikey_order, remove_repeats
+from citelake.llm.words import column_words, shingle_set
 
 LOWER = {i: i + 32 for i in range(65, 91)}
 
@@ -119,6 +123,97 @@ def test_linked_sets_always_share_a_feature():
         assert one & two
 
 
+def sketched(sets):
+    """Sizes and sketches of sets as the tasks get them, and a plain comparison of two."""
+    own = [sketch_bits(s, band_of(len(s))) for s in sets]
+    above = [sketch_bits(s, band_of(len(s)) + 1) if parity_join.reaches_next(len(s), 75) else None for s in sets]
+    size = [len(s) for s in sets]
+
+    def close(x, y):
+        x, y = (x, y) if size[x] <= size[y] else (y, x)
+        mine = own[x] if band_of(size[x]) == band_of(size[y]) else above[x]
+        if 4 * size[x] < 3 * size[y] or mine is None or band_of(size[y]) - band_of(size[x]) > 1:
+            return False
+        bits = (int.from_bytes(mine) ^ int.from_bytes(own[y])).bit_count()
+        return bits <= 25 * (size[x] + size[y]) // 175
+
+    return np.array(size), pa.array(own, pa.binary()), pa.array(above, pa.binary()), close
+
+
+def changed_sets(rng, many, sizes):
+    """Sets of which some are others with a share of their members replaced."""
+    found = []
+    for _ in range(many):
+        if found and rng.random() < 0.7:
+            new = found[rng.integers(len(found))].copy()
+            at = rng.random(len(new)) < rng.choice([0, 0.05, 0.1, 0.15, 0.2])
+            new[at] = rng.integers(0, 1 << 63, at.sum(), dtype=np.uint64)
+            new = new[: max(1, int(len(new) * rng.choice([1, 0.95, 0.8])))]
+        else:
+            new = rng.integers(0, 1 << 63, rng.choice(sizes), dtype=np.uint64)
+        found.append(np.unique(new))
+    return found
+
+
+def test_runs_compared_together_equal_pair_by_pair():
+    rng = np.random.default_rng(3)
+    sets = changed_sets(rng, 120, [1, 3, 4, 15, 17, 60, 64, 80, 250, 257, 1100])
+    size, own, above, close = sketched(sets)
+    rows, want = [], Counter()
+    for part in range(200):
+        members = rng.choice(120, rng.integers(2, 26), replace=False)
+        if part % 3:
+            i = j = 0
+            block = np.zeros(len(members), int)
+        else:
+            i, j = 1, 2  # of two blocks, one may be empty
+            block = np.sort(rng.integers(1, 3, len(members)))
+        component = members % 7
+        rows += [(part, i, j, b, k, c) for b, k, c in zip(block, members, component, strict=True)]
+        for x, y in np.transpose(np.triu_indices(len(members), 1)):
+            apart = component[x] != component[y] and (i == j or block[x] != block[y])
+            if apart and close(members[x], members[y]):
+                want[min(members[x], members[y]), max(members[x], members[y])] += 1
+    column = dict(zip(("part", "i", "j", "block", "key", "component"), np.transpose(rows), strict=True))
+    at = pa.array(column["key"])
+    table = pa.table({**column, "n": size[column["key"]], "own": own.take(at), "above": above.take(at)})
+    assert len(want) > 50
+    for cut in (1, 7, 5000):
+        got, seen = Counter(), []
+        for runs in parity_join.whole_runs(table.to_batches(max_chunksize=cut)):
+            seen += sorted({*runs["part"].to_pylist()})
+            for pairs in parity_join.pairs_across(runs, 75):
+                got.update(zip(*(c.to_pylist() for c in pairs.columns), strict=True))
+        assert seen == list(range(200)) and got == want
+
+
+def test_comparing_many_small_runs_takes_less_than_a_loop_over_their_pairs():
+    """CPU time of a task; one run and one pair after the other took longer than the plain loop here."""
+    rng = np.random.default_rng(4)
+    sets = changed_sets(rng, 400, [300, 600, 900])
+    size, own, above, close = sketched(sets)
+    key = np.concatenate([rng.choice(400, 12, replace=False) for _ in range(500)])
+    zero, at = np.zeros(len(key), int), pa.array(key)
+    column = {"part": np.repeat(np.arange(500), 12), "i": zero, "j": zero, "block": zero, "key": key, "component": key}
+    table = pa.table({**column, "n": size[key], "own": own.take(at), "above": above.take(at)})
+    start = time.thread_time()
+    found = sum(p.num_rows for runs in parity_join.whole_runs(table.to_batches(1000)) for p in parity_join.pairs_across(runs, 75))
+    took = time.thread_time() - start
+    start = time.thread_time()
+    want = sum(close(*pair) for a in range(0, len(key), 12) for pair in itertools.combinations(key[a : a + 12].tolist(), 2))
+    assert found == want and took < (time.thread_time() - start) / 2
+
+
+def test_sets_of_a_batch_equal_those_of_each_text(monkeypatch):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices("abc", k=rng.choice([0, 1, 4, 5, 6, 30]))) for _ in range(200)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(201)), pa.array(texts)], names=["key", "text"])
+    for words in (1, 16, 1 << 16):
+        monkeypatch.setattr(parity_join, "WORDS_A_CHUNK", words)
+        for i, found in parity_join._sets(batch, 5):
+            assert np.array_equal(found, shingle_set(column_words(pa.array([texts[i]], pa.string())).of(0), 5))
+
+
 def test_components_of_chains_and_cycles(llm):
     pairs = [(i, i + 1) for i in range(10, 40)] + [(1, 3), (3, 2), (2, 1), (50, 41)]
     got = {r.node: r.component for r in components(llm.createDataFrame(pairs, "a long, b long")).collect()}
