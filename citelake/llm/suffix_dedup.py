@@ -5,26 +5,29 @@ key. Not every suffix is sorted: each window of ``span`` bytes picks the place i
 leading bytes hash lowest. Equal windows pick alike, so the suffixes at picked places, about one in
 eighteen, are enough to bring equal windows together.
 
-1. The picked suffixes' leading bytes, as two tokens of eight, are dealt into buckets between sampled
-   splitters. A bucket is sorted by multikey quicksort, first token first, and neighbours are
-   compared: leading bytes found in more than one document are shared. Splitters are whole leading
-   strings, so equal ones never lie across a boundary. Suffixes whose leading bytes are not shared are
-   in no repeat and go no further.
-2. The stretch around a shared suffix holds all windows that picked it. Equal stretches, told by a
-   cryptographic digest of 128 bits, become one with the smallest key that holds it, whose document
-   gives its bytes.
-3. Every window of a stretch holds either the suffix's leading bytes and what follows, or those and
-   what goes before: one of two strings of ``GRAM`` + (``span`` - ``GRAM`` + 1) / 2 bytes, its anchors.
-   Stretches whose anchor another one has too are ranged by it between sampled splitters and sorted;
+1. Every window of a stretch, that is of the windows that picked one suffix, holds either the suffix's
+   leading bytes and what follows, or those and what goes before: one of two strings of ``GRAM`` +
+   (``span`` - ``GRAM`` + 1) / 2 bytes, its anchors. These are the leads of the sparse array's suffixes.
+   As two tokens, eight bytes and a hash of the others, they are dealt into buckets between sampled
+   splitters. A bucket is sorted by multikey quicksort, first token first, and neighbours are compared.
+   Splitters are whole leads, so equal ones never lie across a boundary. Each group of texts gets a flag
+   back for each of its leads; stretches none of whose leads another document holds are in no repeat and
+   go no further. That takes as much for each byte of text in a large corpus as in a small one, where
+   ``GRAM`` bytes alone are found in some other document the more often the larger it is.
+2. Equal stretches, told by a cryptographic digest of 128 bits, become one with the smallest key that
+   holds it, whose text gives its bytes.
+3. Stretches whose anchor another one has too are ranged by it between sampled splitters and sorted;
    inside a run of equal anchors the windows' other bytes are ordered as tokens by multikey quicksort
    and neighbours are compared.
    Each run of equal windows takes the smallest key of its stretches; equal anchors never lie across a
    boundary.
 4. The windows of a stretch with their smallest keys meet the places of all its copies by the digest.
 
-Bit arrays of fixed size pass the shared leading bytes to the next reading of the texts, then the
-stretches' smallest documents and the shared anchors; what they let through by chance is compared like
-the rest, so they save work and change no result. Beyond about 10^8 entries they save little.
+The flags of a group are found again by a digest of all that is in it. Should a second reading of the texts
+group them otherwise, all stretches of such a group go on: more work, the same result. A hash that is equal
+by chance lets a stretch go on as well. A bit array of fixed size passes on the anchors that several
+stretches have; what it lets through by chance is compared like the rest, so it saves work and changes no
+result. Beyond about 10^8 entries it saves little.
 
 Defined results: a null text is empty; texts shorter than ``span`` stay; rows of equal keys never
 remove from each other, and where their texts differ each loses only what its own text shares with
@@ -36,9 +39,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,16 +56,26 @@ from citelake.llm.words import FACTOR, byte_spans, chunks, mixed
 SPAN = 50
 GRAM = 16
 GROUP_BYTES = 1 << 20
-# Texts whose stretches are looked up or that are cut at once; a place takes some hundred bytes of memory.
+# Texts that are cut at once.
 HELD_BYTES = 1 << 18
+# A lead travels as its first token and all but the last bits of its second, with a bit that tells a shared one.
+FREE_BITS = 16
+LEAD_BYTES = 16 - FREE_BITS // 8
 MIXER = 0xD6E8FEB86659FD93
 # Documents and suffixes of each that are sampled for the splitters.
 SAMPLED = 2_000
 SAMPLED_SUFFIXES = 64
 # Stretches that are compared at once; a run of equal anchors is never cut.
 HELD_ROWS = 30_000
-# Stretches of one text that leave as one batch.
+# Stretches that leave as one batch.
 AT_ONCE = 100_000
+# Parts in which stretches are joined.
+PARTS = 2
+PACKED = ["name", "keys", "marks", "places", "body"]
+AROUND = (
+    "key bigint, mark bigint, one array<bigint>, two array<bigint>, start array<bigint>, size array<int>, "
+    "at array<int>, body binary"
+)
 
 
 class Stretches:
@@ -102,12 +118,36 @@ class Stretches:
         """The eight bytes from each place on as one number."""
         return np.ndarray((len(self.body) - 7,), kind, buffer=self.body, strides=(1,))
 
-    def tokens(self) -> tuple[np.ndarray, np.ndarray]:
-        """The leading bytes as two numbers that sort as the bytes do."""
-        if not len(self.place):
+    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the anchors, and the stretch of each: those that start at a picked suffix and those
+        that end with its leading bytes, where a window holds them."""
+        more, latest = (self.span - GRAM + 1) // 2, self.end - self.span
+        before = self.place - more
+        ahead = np.maximum(self.start, before + 1) <= np.minimum(self.place, latest)
+        behind = np.maximum(self.start, before - (self.span - GRAM - more)) <= np.minimum(before, latest)
+        of = np.append(np.flatnonzero(ahead), np.flatnonzero(behind))
+        return np.append(self.place[ahead], before[behind]), of
+
+    def tokens(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The eight bytes from each of the places on as a number that sorts as they do, and a hash of the
+        anchor's other bytes, whose last bits are left free."""
+        if not len(at):
             return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        at = self.eights(">u8")
-        return at[self.place].astype(np.uint64), at[self.place + 8].astype(np.uint64)
+        eights, width = self.eights("<u8"), anchor_bytes(self.span)
+        rest = np.zeros(len(at), np.uint64)
+        for k in (*range(8, width - 8, 8), width - 8):
+            rest = mixed(rest * np.uint64(FACTOR) + eights[at + k])
+        return self.eights(">u8")[at].astype(np.uint64), rest & ~np.uint64((2 << FREE_BITS) - 1)
+
+    def leads(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The different anchors in order as two tokens, where the run of each begins among all anchors
+        in order, and the stretches of these."""
+        at, of = self.anchors()
+        one, two = self.tokens(at)
+        order = multikey_order(one, two)
+        one, two = one[order], two[order]
+        new = run_starts(one, two)
+        return one[new], two[new], new, of[order]
 
     def digests(self, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """A cryptographic digest of 128 bits of each of the stretches ``keep``, as two numbers."""
@@ -119,35 +159,50 @@ class Stretches:
         halves = np.frombuffer(digest, dtype=np.int64).reshape(-1, 2)
         return halves[:, 0].copy(), halves[:, 1].copy()
 
-    def bytes_of(self, keep: np.ndarray) -> pa.Array:
-        """The bytes of the stretches ``keep``."""
-        start, size = self.start[keep], self.end[keep] - self.start[keep]
-        ends = np.cumsum(size)
-        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - size), size)
-        places = np.append(0, ends).astype(np.int32)
-        buffers = [None, pa.py_buffer(places), pa.py_buffer(self.body[at])]
-        return pa.Array.from_buffers(pa.binary(), len(size), buffers)
 
+@dataclass
+class Group:
+    """Texts that are looked at together; ``places`` are those between them in ``body``."""
+
+    keys: np.ndarray
+    marks: np.ndarray
+    places: np.ndarray
+    body: np.ndarray
+
+    def parts(self) -> list[bytes]:
+        return [x.tobytes() for x in (self.keys, self.marks, self.places, self.body)]
 
-def stretches(
-    batches: Iterable[pa.RecordBatch], span: int, most: int = GROUP_BYTES
-) -> Iterator[tuple[Stretches, np.ndarray, np.ndarray]]:
-    """For batches of (key, mark, text): groups of texts with their keys and marks."""
+    @staticmethod
+    def of(parts: list[pa.Scalar]) -> Group:
+        kinds = (np.int64, np.int64, np.int64, np.uint8)
+        return Group(*(np.frombuffer(x.as_buffer(), kind) for x, kind in zip(parts, kinds, strict=True)))
+
+    def name(self) -> bytes:
+        """A cryptographic digest of all that is in it: another reading of the same rows gives it again."""
+        digest = hashlib.blake2b(digest_size=16)
+        for part in self.parts():
+            digest.update(len(part).to_bytes(8))
+            digest.update(part)
+        return digest.digest()
+
+
+def groups(batches: Iterable[pa.RecordBatch]) -> Iterator[Group]:
+    """Batches of (key, mark, text) as groups of about ``GROUP_BYTES`` of text."""
     for batch in batches:
         keys, marks = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
         body, places = byte_spans(batch.column(2))
-        for first, last in chunks(places, most):
+        for first, last in chunks(places, GROUP_BYTES):
             at = places[first]
-            found = Stretches(body[at : places[last]], places[first : last + 1] - at, span)
-            yield found, keys[first:last][found.owner], marks[first:last][found.owner]
+            yield Group(keys[first:last], marks[first:last], places[first : last + 1] - at, body[at : places[last]])
 
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def gram_hash(one: np.ndarray, two: np.ndarray) -> np.ndarray:
-    return mixed(one + mixed(two))
+def binaries(places: np.ndarray, data: np.ndarray) -> pa.Array:
+    buffers = [None, pa.py_buffer(places.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))]
+    return pa.Array.from_buffers(pa.binary(), len(places) - 1, buffers)
 
 
 def multikey_order(*tokens: np.ndarray) -> np.ndarray:
@@ -178,13 +233,15 @@ def splitters(rows: DataFrame, buckets: int, span: int) -> tuple[np.ndarray, np.
     share = min(1.0, SAMPLED / max(1, rows.count()))
 
     def some(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found, _, _ in stretches(batches, span):
-            one, two = found.tokens()
-            nth = np.arange(len(one)) - np.searchsorted(found.owner, found.owner)
-            size = np.bincount(found.owner, minlength=1)[found.owner]
-            keep = nth % (size // SAMPLED_SUFFIXES + 1) == 0
+        for group in groups(batches):
+            found = Stretches(group.body, group.places, span)
+            at, of = found.anchors()
+            at, owner = at[np.argsort(of, kind="stable")], found.owner[np.sort(of)]
+            nth = np.arange(len(at)) - np.searchsorted(owner, owner)
+            size = np.bincount(owner, minlength=1)[owner]
+            one, two = found.tokens(at[nth % (size // SAMPLED_SUFFIXES + 1) == 0])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(one[keep])), pa.array(signed(two[keep]))], names=["one", "two"]
+                [pa.array(signed(one)), pa.array(signed(two))], names=["one", "two"]
             )
 
     sampled = rows.sample(share, seed=11).mapInArrow(some, "one bigint, two bigint").toArrow()
@@ -194,52 +251,64 @@ def splitters(rows: DataFrame, buckets: int, span: int) -> tuple[np.ndarray, np.
     return one[at], two[at]
 
 
+def lead_records(one: np.ndarray, two: np.ndarray, several: np.ndarray) -> np.ndarray:
+    """Of each lead the first token, what is used of the second, and whether it is known to be shared."""
+    two = two | (several.astype(np.uint64) << np.uint64(FREE_BITS))
+    held = np.stack([one, two], axis=1).astype(">u8").view(np.uint8).reshape(len(one), 16)
+    return held[:, :LEAD_BYTES]
+
+
+def read_leads(records: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    held = np.zeros((len(records) // LEAD_BYTES, 16), np.uint8)
+    held[:, :LEAD_BYTES] = records.reshape(-1, LEAD_BYTES)
+    one, two = held.view(">u8").astype(np.uint64).T
+    several = np.uint64(1 << FREE_BITS)
+    return np.ascontiguousarray(one), two & ~several, (two & several) > 0
+
+
 def shared_leads(rows: DataFrame, buckets: int, span: int) -> DataFrame:
-    """``lead``: hashes of the leading bytes found in more than one document."""
+    """``name``, ``bucket``, ``flags``: of the leads that a group has in a bucket, in order, a byte each
+    that says whether another document holds it too."""
     cut_one, cut_two = splitters(rows, buckets, span)
 
     def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found, keys, _ in stretches(batches, span):
-            one, two = found.tokens()
-            order = multikey_order(one, two)
-            one, two, keys = one[order], two[order], keys[order]
-            new = run_starts(one, two)
+        for group in groups(batches):
+            found = Stretches(group.body, group.places, span)
+            one, two, new, of = found.leads()
             if not len(one):
                 continue
-            low, high = np.minimum.reduceat(keys, new), np.maximum.reduceat(keys, new)
-            one, two = one[new], two[new]
+            keys = group.keys[found.owner[of]]
+            several = np.minimum.reduceat(keys, new) < np.maximum.reduceat(keys, new)
             bucket = np.searchsorted(cut_one, one, side="left")
             tied = np.flatnonzero(np.searchsorted(cut_one, one, side="right") > bucket)
             for i in tied:
                 to = np.searchsorted(cut_one, one[i], side="right")
                 bucket[i] += np.searchsorted(cut_two[bucket[i] : to], two[i], side="right")
-            # Sorted, so a bucket's suffixes lie together: one row for each bucket of a group of texts.
+            # Sorted, so a bucket's leads lie together: one row for each bucket of a group of texts.
             edges = np.append(run_starts(bucket), len(bucket))
-            held = np.stack([signed(one), signed(two), low, high])
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(bucket[edges[:-1]].astype(np.int32)),
-                    pa.array(
-                        [held[:, i:j].tobytes() for i, j in zip(edges, edges[1:], strict=False)], pa.binary()
-                    ),
+                    pa.repeat(pa.scalar(group.name(), pa.binary()), len(edges) - 1),
+                    binaries(edges * LEAD_BYTES, lead_records(one, two, several)),
                 ],
-                names=["bucket", "suffixes"],
+                names=["bucket", "name", "leads"],
             )
 
     def compare(group: pa.Table) -> pa.Table:
-        held = [np.frombuffer(x.as_buffer(), np.int64).reshape(4, -1) for x in group.column("suffixes")]
-        one, two, low, high = np.concatenate(held, axis=1)
-        one, two = one.view(np.uint64), two.view(np.uint64)
+        data, places = raw_bytes(group.column("leads"))
+        one, two, several = read_leads(data[places[0] : places[-1]])
         order = multikey_order(one, two)
-        one, two = one[order], two[order]
-        new = run_starts(one, two)
-        low = np.minimum.reduceat(low[order], new)
-        high = np.maximum.reduceat(high[order], new)
-        more = new[low < high]
-        return pa.table({"lead": signed(gram_hash(one[more], two[more]))})
+        new = run_starts(one[order], two[order])
+        size = np.diff(np.append(new, len(order)))
+        shared = np.logical_or.reduceat(several[order], new) | (size > 1)
+        flags = np.empty(len(order), np.uint8)
+        flags[order] = np.repeat(shared, size)
+        told = binaries((places - places[0]) // LEAD_BYTES, flags)
+        return pa.table([group.column("name"), group.column("bucket"), told], names=["name", "bucket", "flags"])
 
-    dealt = rows.mapInArrow(deal, "bucket int, suffixes binary")
-    return dealt.groupBy("bucket").applyInArrow(compare, "lead bigint")
+    dealt = rows.mapInArrow(deal, "bucket int, name binary, leads binary")
+    return dealt.groupBy("bucket").applyInArrow(compare, "name binary, bucket int, flags binary")
 
 
 class Anchored:
@@ -387,83 +456,160 @@ def repeated_windows(distinct: DataFrame, buckets: int, span: int) -> DataFrame:
     return found
 
 
-def repeated_intervals(rows: DataFrame, buckets: int, span: int) -> DataFrame:
-    """``key``, ``mark``, ``start``, ``end`` of the bytes to remove from ``rows`` of (key, mark, text)."""
-    context = rows.sparkSession.sparkContext
-    leads = written(shared_leads(rows, buckets, span))
-    shared = context.broadcast(sieve(leads))
-    forget(leads)
-
-    def passing(batches):
-        for found, keys, marks in stretches(batches, span, HELD_BYTES):
-            passed = np.flatnonzero(passes(shared.value, gram_hash(*found.tokens())))
-            for k in range(0, len(passed), AT_ONCE):
-                keep = passed[k : k + AT_ONCE]
-                yield found, keep, keys[keep], marks[keep], *found.digests(keep)
+def shared_stretches(rows: DataFrame, buckets: int, span: int) -> DataFrame:
+    """``AROUND``: of each text the stretches around leads that another document holds too, in order."""
+    flags = written(shared_leads(rows, buckets, span))
 
-    def surround(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found, keep, keys, marks, one, two in passing(batches):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (one, two, keys, marks, found.offset[keep])],
-                names=["one", "two", "key", "mark", "start"],
-            )
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups(batches):
+            values = [group.name(), *group.parts()]
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in values], names=PACKED)
 
-    columns = "one bigint, two bigint, key bigint, mark bigint, start bigint"
-    around = written(rows.mapInArrow(surround, columns))
-    alike = written(around.groupBy("one", "two").agg(F.min("key").alias("low"), F.max("key").alias("high")))
-    speakers = context.broadcast(sieve(_blended(alike, "low")))
-    plural = context.broadcast(sieve(alike.filter("low < high").select(F.col("one").alias("lead"))))
-    forget(alike)
+    def surround(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for *parts, told in zip(*(batch.column(c) for c in (*PACKED[1:], "told")), strict=True):
+                group = Group.of(parts)
+                found = Stretches(group.body, group.places, span)
+                passed = told_stretches(found, told)
+                for k in range(0, len(passed), AT_ONCE):
+                    yield around(group, found, passed[k : k + AT_ONCE])
+
+    told = flags.groupBy("name").agg(F.collect_list(F.struct("bucket", "flags")).alias("told"))
+    packed = rows.mapInArrow(pack, ", ".join(f"{c} binary" for c in PACKED))
+    found = written(packed.join(told.hint("shuffle_hash"), "name", "left").mapInArrow(surround, AROUND))
+    forget(flags)
+    return found
 
-    def speak(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The stretches with their bytes, from the smallest document that holds them."""
-        for found, keep, keys, _, one, two in passing(batches):
-            at = np.flatnonzero(passes(speakers.value, blend(one, keys)))
-            at = at[np.lexsort((keys[at], two[at], one[at]))]
-            at = at[run_starts(one[at], two[at])]
-            held, low = keep[at], keys[at]
-            others = passes(plural.value, one[at].view(np.uint64))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(one[at]),
-                    pa.array(two[at]),
-                    found.bytes_of(held),
-                    pa.array((found.place - found.start)[held].astype(np.int32)),
-                    pa.array(low),
-                    pa.array(np.where(others, np.iinfo(np.int64).max, low)),
-                ],
-                names=["one", "two", "stretch", "at", "low", "high"],
-            )
 
-    spoken = "one bigint, two bigint, stretch binary, at int, low bigint, high bigint"
-    distinct = written(rows.mapInArrow(speak, spoken))  # read twice, for splitters and for the deal
-    for sent in (shared, speakers, plural):
-        sent.destroy()
-    found = repeated_windows(distinct, buckets, span)
-    forget(distinct)
-    lost = written(found.distinct())
-    forget(found)
-    settled = around.join(lost, ["one", "two"]).filter("key > low")
-    settled = settled.select(
-        "key", "mark", (F.col("start") + F.col("from")).alias("s"), (F.col("start") + F.col("to")).alias("end")
+def told_stretches(found: Stretches, told: pa.Scalar) -> np.ndarray:
+    """Which stretches have a lead that is flagged. All have, as far as is known, if the texts came in other
+    groups when the leads were compared: ``told`` is null then."""
+    one, _, new, of = found.leads()
+    flags = np.ones(len(one), np.uint8)
+    if told.is_valid:
+        buckets, at = np.unique(told.values.field("bucket").to_numpy(), return_index=True)
+        data, places = raw_bytes(pa.chunked_array([told.values.field("flags").take(pa.array(at))]))
+        if places[-1] - places[0] == len(one):
+            flags = data[places[0] : places[-1]]
+    size = np.diff(np.append(new, len(of)))
+    return np.unique(of[np.repeat(flags > 0, size)])
+
+
+def around(group: Group, found: Stretches, keep: np.ndarray) -> pa.RecordBatch:
+    """The stretches ``keep``, a row for each text that has some. Neighbours overlap: ``body`` has each byte
+    once that lies in any of them."""
+    owner = found.owner[keep]
+    first = run_starts(owner)
+    edges = np.append(first, len(owner))
+    one, two = found.digests(keep)
+    offset, size = found.offset[keep], found.end[keep] - found.start[keep]
+    at = (found.place - found.start)[keep]
+    places = pa.array(edges.astype(np.int32))
+    lists = (one, two, offset, size.astype(np.int32), at.astype(np.int32))
+    inside = np.zeros(len(group.body) + 1, np.int32)
+    np.add.at(inside, found.start[keep], 1)
+    np.add.at(inside, found.end[keep], -1)
+    covered = np.flatnonzero(np.cumsum(inside[:-1]))
+    texts = owner[first]
+    bodies = np.append(np.searchsorted(covered, group.places[texts]), len(covered))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(group.keys[texts]),
+            pa.array(group.marks[texts]),
+            *(pa.ListArray.from_arrays(places, pa.array(x)) for x in lists),
+            binaries(bodies, group.body[covered]),
+        ],
+        names=["key", "mark", "one", "two", "start", "size", "at", "body"],
     )
-    settled = written(settled.withColumnRenamed("s", "start"))
-    forget(around, lost)
-    return settled
 
 
-def blend(stretch: np.ndarray, key: np.ndarray) -> np.ndarray:
-    """One number for a stretch and a document."""
-    return mixed(stretch.view(np.uint64) ^ mixed(key.astype(np.int64).view(np.uint64)))
+def begins(text: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Where in the bodies of their texts, one after another, stretches in order of ``start`` begin."""
+    fresh = np.append(True, (text[1:] != text[:-1]) | (start[1:] > (start + size)[:-1]))[: len(text)]
+    step = np.append(0, np.diff(start))[: len(text)]
+    step[fresh] = np.append(0, size)[:-1][fresh]
+    return np.cumsum(step)
+
+
+def blend(stretch: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """One number for a stretch and a text."""
+    return mixed(stretch.view(np.uint64) ^ mixed(text.astype(np.int64).view(np.uint64)))
+
+
+def own_stretches(texts: pa.RecordBatch) -> pa.RecordBatch:
+    """With their bytes the stretches that no text with a smaller key holds, once for each text."""
+
+    def listed(column: str) -> tuple[np.ndarray, np.ndarray]:
+        lists = texts.column(column)
+        of = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+        return lists.flatten().to_numpy(), of
+
+    (one, text), two, start, size, at = listed("one"), *(listed(c)[0] for c in ("two", "start", "size", "at"))
+    mine = blend(one, text)
+    own, plural = (blend(*listed(c)) for c in ("own", "plural"))
+    chosen = np.flatnonzero(np.isin(mine, own))
+    chosen = chosen[np.lexsort((two[chosen], one[chosen], text[chosen]))]
+    chosen = chosen[run_starts(text[chosen], one[chosen], two[chosen])]
+    data, places = raw_bytes(pa.chunked_array([texts.column("body")]))
+    begin, size = (places[0] + begins(text, start, size))[chosen], size[chosen].astype(np.int64)
+    ends = np.cumsum(size)
+    held = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - (ends - size), size)
+    low = texts.column("key").to_numpy()[text[chosen]]
+    others = np.isin(mine[chosen], plural)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(one[chosen]),
+            pa.array(two[chosen]),
+            binaries(np.append(0, ends), data[held]),
+            pa.array(at[chosen]),
+            pa.array(low),
+            pa.array(np.where(others, np.iinfo(np.int64).max, low)),
+        ],
+        names=["one", "two", "stretch", "at", "low", "high"],
+    )
+
 
+def repeated_intervals(rows: DataFrame, buckets: int, span: int) -> DataFrame:
+    """``key``, ``mark``, ``start``, ``end`` of the bytes to remove from ``rows`` of (key, mark, text)."""
+    held = shared_stretches(rows, buckets, span)
+    alike = held.select("key", "mark", F.inline(F.arrays_zip("one", "two"))).groupBy("one", "two").agg(
+        F.min("key").alias("low"), F.max("key").alias("high"), F.min_by("mark", "key").alias("mark")
+    )
+    # By text, so that each gives the bytes of those stretches that no smaller document holds.
+    spoken = written(
+        alike.groupBy(F.col("low").alias("key"), "mark").agg(
+            F.collect_list("one").alias("own"),
+            F.collect_list(F.when(F.col("low") < F.col("high"), F.col("one"))).alias("plural"),
+        )
+    )
 
-def _blended(alike: DataFrame, key: str) -> DataFrame:
-    def lead(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def speak(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            stretch, held_by = (batch.column(i).to_numpy() for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(signed(blend(stretch, held_by)))], names=["lead"])
-
-    return alike.select("one", key).mapInArrow(lead, "lead bigint")
+            places = np.append(0, np.cumsum(pc.list_value_length(batch.column("one")).to_numpy()))
+            for first, last in chunks(places, AT_ONCE):
+                yield own_stretches(batch.slice(first, last - first))
+
+    columns = "one bigint, two bigint, stretch binary, at int, low bigint, high bigint"
+    texts = [joined(held, spoken, ["key", "mark"], part) for part in range(PARTS)]
+    texts = [written(rows.mapInArrow(speak, columns)) for rows in texts]
+    forget(spoken)
+    # Read twice, for splitters and for the deal.
+    found = repeated_windows(reduce(DataFrame.unionByName, texts), buckets, span)
+    forget(*texts)
+    lost = written(found.distinct())
+    forget(found)
+    each = held.select("key", "mark", F.inline(F.arrays_zip("one", "two", F.col("start").alias("at"))))
+    settled = [joined(each, lost, ["one", "two"], part).filter("key > low") for part in range(PARTS)]
+    start, end = ((F.col("at") + F.col(c)).alias(name) for c, name in (("from", "start"), ("to", "end")))
+    settled = [written(rows.select("key", "mark", start, end)) for rows in settled]
+    forget(held, lost)
+    return reduce(DataFrame.unionByName, settled)
+
+
+def joined(left: DataFrame, right: DataFrame, keys: list[str], part: int) -> DataFrame:
+    """One of ``PARTS`` parts of a join: written one after another, they never have all rows shuffled at once."""
+    here = F.pmod(F.hash(*keys), F.lit(PARTS)) == part
+    return left.filter(here).join(right.filter(here), keys)
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

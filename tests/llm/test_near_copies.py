@@ -321,3 +321,78 @@ def test_texts_are_cut_a_few_at_a_time():
     for part in parts:
         held = [len(x.as_py() or "") for x in part.column("text")]
         assert sum(held) <= suffix_dedup.HELD_BYTES or len([n for n in held if n]) == 1
+
+
+def test_texts_that_share_leading_bytes_only_go_no_further(documents, monkeypatch):
+    random.seed(16)
+    words = ["".join(random.choices("abcdef", k=9)) for _ in range(40)]
+    texts = [" ".join(random.choices(words, k=200)) for _ in range(60)]
+    texts.append(texts[7][300:420] + " end")
+    rows, written = [], suffix_dedup.written
+
+    def counted(table):
+        rows.append((back := written(table)).count())
+        return back
+
+    monkeypatch.setattr(suffix_dedup, "written", counted)
+    got = {r.doc_id: r.n_removed for r in remove_repeats(documents(texts)).collect()}
+    want = brute_removal([(i, x.encode()) for i, x in enumerate(texts, 1)])
+    assert got == {key: row[1] for key, row in want.items()} and got[61] >= 120
+    assert max(rows) < 1_000  # 4,726 stretches share their leading 16 bytes with another text
+
+
+def a_group(seed: int) -> suffix_dedup.Group:
+    random.seed(seed)
+    texts = ["".join(random.choices("abé ", k=random.choice([0, 30, 50, 300, 900]))).encode() for _ in range(40)]
+    places = np.cumsum([0, *map(len, texts)])
+    keys = np.array(random.sample(range(-500, 500), len(texts)))
+    return suffix_dedup.Group(keys, keys * 7, places, np.frombuffer(b"".join(texts), np.uint8))
+
+
+def test_bytes_of_stretches_come_back_from_what_texts_keep():
+    group = a_group(17)
+    found = suffix_dedup.Stretches(group.body, group.places, 50)
+    keep = np.flatnonzero(np.random.default_rng(1).random(len(found.start)) < 0.6)
+    rows = suffix_dedup.around(group, found, keep)
+    ones = rows.column("one").to_pylist()
+    rows = pa.table(rows).append_column("own", pa.array(ones)).append_column("plural", pa.array([x[:1] for x in ones]))
+    for part in (rows, rows.slice(5)):
+        batch = part.combine_chunks().to_batches()[0]
+        got = suffix_dedup.own_stretches(batch).to_pylist()
+        want = set()
+        for text in np.unique(found.owner[keep]).tolist()[len(rows) - len(part) :]:
+            mine = keep[found.owner[keep] == text]
+            for i, one, two in zip(mine, *found.digests(mine), strict=True):
+                raw = group.body[found.start[i] : found.end[i]].tobytes()
+                want.add((one, two, raw, found.place[i] - found.start[i], group.keys[text]))
+        assert {(r["one"], r["two"], r["stretch"], r["at"], r["low"]) for r in got} == want
+        assert sum(r["high"] > r["low"] for r in got) == len(part)
+
+
+def test_stretches_of_a_group_that_was_never_compared_all_go_on():
+    group = a_group(18)
+    found = suffix_dedup.Stretches(group.body, group.places, 50)
+    n, kind = len(found.leads()[0]), pa.list_(pa.struct([("bucket", pa.int32()), ("flags", pa.binary())]))
+
+    def passed(*told):
+        rows = [{"bucket": b, "flags": x} for b, x in told]
+        return suffix_dedup.told_stretches(found, pa.scalar(rows or None, kind)).tolist()
+
+    assert passed() == passed((0, b"\0")) == list(range(len(found.start)))
+    assert passed((3, b"\0" * (n - 9)), (1, b"\0" * 9)) == []
+    at, of = found.anchors()
+    first = bytes(group.body[at[np.lexsort(found.tokens(at)[::-1])[0]] :][:33])
+    holds = {of[k] for k in range(len(at)) if bytes(group.body[at[k] :][:33]) == first}
+    assert passed((3, b"\0" * (n - 9)), (1, b"\1" + b"\0" * 8)) == sorted(holds)
+    assert suffix_dedup.Group(group.keys, group.marks, group.places, group.body).name() == group.name()
+    assert suffix_dedup.Group(group.keys + 1, group.marks, group.places, group.body).name() != group.name()
+
+
+def test_leads_travel_as_they_are():
+    rng = np.random.default_rng(2)
+    one = rng.integers(0, 2**64, 50, dtype=np.uint64)
+    two = rng.integers(0, 2**64, 50, dtype=np.uint64) & ~np.uint64((2 << suffix_dedup.FREE_BITS) - 1)
+    several = rng.random(50) < 0.5
+    records = suffix_dedup.lead_records(one, two, several)
+    for got, want in zip(suffix_dedup.read_leads(records.reshape(-1)), (one, two, several), strict=True):
+        assert got.tolist() == want.tolist()
