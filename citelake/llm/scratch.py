@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from weakref import WeakKeyDictionary
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 _paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
@@ -36,3 +37,14 @@ def forget(*tables: DataFrame) -> None:
     for rows in tables:
         path = rows.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(_paths.pop(rows))
         path.getFileSystem(rows.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def settle(spark: SparkSession) -> None:
+    """Free the shuffle files of finished steps before a large one begins: a job's plan, and with it its files,
+    is held until the listeners have heard of its end."""
+    context = spark.sparkContext
+    try:
+        context._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    except Py4JError:  # they are slow: the files stay for another step
+        pass
+    context._jvm.System.gc()

@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from citelake.llm.scratch import forget, written
+from citelake.llm.scratch import forget, settle, written
 from citelake.llm.sieve import passes, sieve
 from citelake.llm.words import FACTOR, byte_spans, chunks, mixed
 
@@ -459,6 +459,7 @@ def repeated_windows(distinct: DataFrame, buckets: int, span: int) -> DataFrame:
 def shared_stretches(rows: DataFrame, buckets: int, span: int) -> DataFrame:
     """``AROUND``: of each text the stretches around leads that another document holds too, in order."""
     flags = written(shared_leads(rows, buckets, span))
+    settle(rows.sparkSession)
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches):
@@ -590,6 +591,7 @@ def repeated_intervals(rows: DataFrame, buckets: int, span: int) -> DataFrame:
                 yield own_stretches(batch.slice(first, last - first))
 
     columns = "one bigint, two bigint, stretch binary, at int, low bigint, high bigint"
+    settle(rows.sparkSession)
     texts = [joined(held, spoken, ["key", "mark"], part) for part in range(PARTS)]
     texts = [written(rows.mapInArrow(speak, columns)) for rows in texts]
     forget(spoken)
@@ -598,6 +600,7 @@ def repeated_intervals(rows: DataFrame, buckets: int, span: int) -> DataFrame:
     forget(*texts)
     lost = written(found.distinct())
     forget(found)
+    settle(rows.sparkSession)
     each = held.select("key", "mark", F.inline(F.arrays_zip("one", "two", F.col("start").alias("at"))))
     settled = [joined(each, lost, ["one", "two"], part).filter("key > low") for part in range(PARTS)]
     start, end = ((F.col("at") + F.col(c)).alias(name) for c, name in (("from", "start"), ("to", "end")))
